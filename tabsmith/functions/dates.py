@@ -22,7 +22,7 @@ def elapsed_days(start, end) -> Column:
     ``timestampdiff(DAY)`` truncates toward zero and ``unix_micros`` rejects
     timestamp_ntz, so the microsecond difference is floored instead.
     """
-    us = F.timestampdiff("MICROSECOND", col(start), col(end))
+    us = F.timestamp_diff("MICROSECOND", col(start), col(end))
     return F.floor(us / F.lit(86_400_000_000.0)).cast("bigint")
 
 

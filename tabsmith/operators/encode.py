@@ -199,3 +199,14 @@ def encode_frame(df: DataFrame, target: str, date_columns: list[str] | None = No
         if c in d.columns:
             d = sine_cosine(d, c, mapping, period)
     return d, params
+
+
+# -- M11 category codes -------------------------------------------------------------
+
+def category_codes(df: DataFrame, column: str, out: str | None = None,
+                   max_categories: int = MAX_CATEGORIES) -> DataFrame:
+    """Pandas ``cat.codes``: sorted distinct non-null values -> 0..k-1, null -> -1."""
+    m = fit_labels(df.where(col(column).isNotNull()), column, max_categories)
+    coded = encode_labels(df, m, column, out or column)
+    o = out or column
+    return coded.withColumn(o, F.coalesce(F.col(o), F.lit(-1)))
