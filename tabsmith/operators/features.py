@@ -71,9 +71,9 @@ def row_statistics(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def engineer(df: DataFrame, target: str | None = None, polynomial_features: bool = False,
-             polynomial_degree: int = 2) -> DataFrame:
-    """Numeric list fixed first (target excluded), then G1, optional G2, then G3."""
-    nums = numeric_columns(df, exclude=[target] if target else [])
+             polynomial_degree: int = 2, exclude: tuple | list = ()) -> DataFrame:
+    """Numeric list fixed first (target and keys excluded), then G1, optional G2, then G3."""
+    nums = numeric_columns(df, exclude=list(exclude) + ([target] if target else []))
     out = interactions(df, nums)
     if polynomial_features:
         out = polynomial(out, nums, polynomial_degree)
