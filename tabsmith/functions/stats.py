@@ -11,6 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def ks_pvalue(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
@@ -66,7 +67,7 @@ def _gammaincc(a: float, x: float) -> float:
     return math.exp(-x + a * math.log(x) - gln) * h
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def chi2_sf(stat: pd.Series, dof: pd.Series) -> pd.Series:
     """Chi-square survival function Q(dof/2, stat/2); dof 0 gives p = 1."""
     out = np.empty(len(stat))
