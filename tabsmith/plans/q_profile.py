@@ -285,13 +285,13 @@ def membership_flag(spark, sf):
 
 def _brand_sets(spark, sf):
     p = load(spark, sf, "part")
-    a = p.where(F.col("p_size") > 25).select(F.col("p_brand").alias("feature"))
-    b = p.where(F.col("p_retailprice") > 1500).select(F.col("p_brand").alias("feature"))
+    a = p.where(F.col("p_size") > 48).select(F.col("p_brand").alias("feature"))
+    b = p.where(F.col("p_retailprice") > 998).select(F.col("p_brand").alias("feature"))
     return a, b
 
 
-SETS_SQL = ("WITH a AS (SELECT p_brand AS feature FROM part WHERE p_size > 25), "
-            "b AS (SELECT p_brand AS feature FROM part WHERE p_retailprice > 1000) ")
+SETS_SQL = ("WITH a AS (SELECT p_brand AS feature FROM part WHERE p_size > 48), "
+            "b AS (SELECT p_brand AS feature FROM part WHERE p_retailprice > 998) ")
 
 
 @query("feature_union", SETS_SQL + "SELECT feature FROM a UNION SELECT feature FROM b")
