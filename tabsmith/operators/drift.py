@@ -17,7 +17,7 @@ Test-statistic tails run on the one-row-per-feature tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabsmith.functions.scalars import interpret_psi, severity
@@ -165,25 +165,14 @@ def psi(ref: DataFrame, cur: DataFrame, cols: list[str], bins: int = PSI_BINS) -
                .select("feature",
                        F.when(F.col("mn") == F.col("mx"), F.col("mn") - 0.5).otherwise(F.col("mn")).alias("lo"),
                        F.when(F.col("mn") == F.col("mx"), F.col("mx") + 0.5).otherwise(F.col("mx")).alias("hi")))
-    v, lo, hi = F.col("value"), F.col("lo"), F.col("hi")
-    step = (hi - lo) / bins
-
-    def edge(i):
-        return F.when(i >= bins, hi).otherwise(i * step + lo)
-
-    idx0 = F.floor((v - lo) * (F.lit(float(bins)) / (hi - lo))).cast("int")
-    idx1 = F.when(idx0 >= bins, F.lit(bins - 1)).otherwise(idx0)
-    idx2 = F.when(v < edge(idx1), idx1 - 1).otherwise(idx1)
-    idx3 = F.when((v >= edge(idx2 + 1)) & (idx2 != bins - 1), idx2 + 1).otherwise(idx2)
-    binned = (long.join(F.broadcast(rng), "feature")  # one row per feature: bounded
-                  .where((v >= lo) & (v <= hi))
-                  .select("feature", idx3.alias("bin"), "is_ref"))
+    binned = (long.join(F.broadcast(with_edges(rng, bins)), "feature")  # one row per feature: bounded
+                  .where((F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi")))
+                  .select("feature", bin_of(F.col("value")).alias("bin"), "is_ref"))
     counts = binned.groupBy("feature", "bin").agg(F.sum("is_ref").alias("r"),
                                                   F.sum(1 - F.col("is_ref")).alias("c"))
-    grid = rng.select("feature", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    full = grid.join(counts, ["feature", "bin"], "left").fillna(0, ["r", "c"])
-    tot = full.groupBy("feature").agg(F.sum("r").alias("r_sum"), F.sum("c").alias("c_sum"))
-    j = full.join(F.broadcast(tot), "feature")
+    # bins empty on both sides add (eps - eps) * ln(1) = 0, so only observed bins are summed
+    fw = Window.partitionBy("feature")   # <= bins rows per feature
+    j = counts.withColumn("r_sum", F.sum("r").over(fw)).withColumn("c_sum", F.sum("c").over(fw))
     p_ref = F.col("r") / F.col("r_sum") + EPS_PSI
     p_cur = F.when(F.col("c_sum") > 0, F.col("c") / F.col("c_sum") + EPS_PSI)
     term = (p_cur - p_ref) * F.log(p_cur / p_ref)
@@ -192,6 +181,18 @@ def psi(ref: DataFrame, cur: DataFrame, cols: list[str], bins: int = PSI_BINS) -
                       interpret_psi(F.when(F.col("_c") > 0, F.col("psi"))).alias("interpretation"))
 
 
+def with_edges(rng: DataFrame, bins: int) -> DataFrame:
+    """Add the interior bin edges ``lo + i*step`` (i = 1..bins-1), numpy's linspace values."""
+    step = (F.col("hi") - F.col("lo")) / bins
+    return rng.withColumn("_edges", F.array(*[F.lit(float(i)) * step + F.col("lo") for i in range(1, bins)]))
+
+
+def bin_of(v) -> "F.Column":
+    """numpy.histogram bin of an in-range value: the number of interior edges <= v
+    (the last bin is closed because the top edge is not interior)."""
+    return F.size(F.filter("_edges", lambda e: e <= v))
+
+
 def distribution_drift(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
     """PSI, its interpretation and the Wasserstein distance per numeric feature."""
     w = ks_wasserstein(ref, cur, cols).where((F.col("n_ref") > 0) & (F.col("n_cur") > 0))

@@ -208,19 +208,6 @@ def nullity_distance(df: DataFrame, cols: list[str]) -> DataFrame:
 
 # -- A16-A18 histograms, box plots, medians ---------------------------------------------
 
-def _bin_index(v: Column, lo: Column, hi: Column, bins: int) -> Column:
-    """numpy.histogram bin of ``v`` in [lo, hi] (last bin closed), exact edge handling."""
-    step = (hi - lo) / bins
-
-    def edge(i):
-        return F.when(i >= bins, hi).otherwise(i * step + lo)
-
-    i0 = F.floor((v - lo) * (F.lit(float(bins)) / (hi - lo))).cast("int")
-    i1 = F.when(i0 >= bins, F.lit(bins - 1)).otherwise(i0)
-    i2 = F.when(v < edge(i1), i1 - 1).otherwise(i1)
-    return F.when((v >= edge(i2 + 1)) & (i2 != bins - 1), i2 + 1).otherwise(i2)
-
-
 def histogram(df: DataFrame, cols: list[str], bins: int = 30) -> DataFrame:
     """Equal-width histogram per column over its [min, max]:
     (feature, bin, lower, upper, count), empty bins included."""
@@ -228,8 +215,9 @@ def histogram(df: DataFrame, cols: list[str], bins: int = 30) -> DataFrame:
     rng = long.groupBy("feature").agg(F.min("value").alias("mn"), F.max("value").alias("mx")).select(
         "feature", F.when(F.col("mn") == F.col("mx"), F.col("mn") - 0.5).otherwise(F.col("mn")).alias("lo"),
         F.when(F.col("mn") == F.col("mx"), F.col("mx") + 0.5).otherwise(F.col("mx")).alias("hi"))
-    binned = long.join(F.broadcast(rng), "feature").select(
-        "feature", _bin_index(F.col("value"), F.col("lo"), F.col("hi"), bins).alias("bin"))
+    from tabsmith.operators.drift import bin_of, with_edges
+    binned = long.join(F.broadcast(with_edges(rng, bins)), "feature").select(   # one row per feature
+        "feature", bin_of(F.col("value")).alias("bin"))
     counts = binned.groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("count"))
     grid = rng.select("feature", "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     step = (F.col("hi") - F.col("lo")) / bins

@@ -94,19 +94,22 @@ def cumulative(long_df: DataFrame, group_cols: list[str], value_col: str,
         return out.drop("_g")
     agg = long_df.groupBy(*group_cols, value_col).agg(*[e.alias(n) for n, e in weights.items()])
     probs = [i / buckets for i in range(1, buckets)]
+    # one row per group (groups are features/columns): broadcasting it is size-safe
     bounds = agg.groupBy(*group_cols).agg(
         F.percentile_approx(value_col, probs, accuracy).alias("_bounds"))
-    with_b = null_safe_join(agg, bounds, list(group_cols))
+    with_b = null_safe_join(agg, F.broadcast(bounds), list(group_cols))
     v = F.col(value_col)
     with_b = with_b.withColumn("_b", F.size(F.filter("_bounds", lambda b: b < v))).drop("_bounds")
-    w = Window.partitionBy(*group_cols, "_b").orderBy(value_col)
+    part = Window.partitionBy(*group_cols, "_b")
+    w = part.orderBy(value_col)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = with_b
     for n in names:
-        local = local.withColumn(f"_{n}_loc", F.sum(n).over(run))
-    local = local.withColumn("_next_loc", F.lead(value_col).over(w))
-    per_b = with_b.groupBy(*group_cols, "_b").agg(
-        *[F.sum(n).alias(f"_{n}_bt") for n in names], F.min(value_col).alias("_first_v"))
+        local = local.withColumn(f"_{n}_loc", F.sum(n).over(run)).withColumn(f"_{n}_bt", F.sum(n).over(part))
+    local = local.withColumn("_next_loc", F.lead(value_col).over(w)).withColumn("_first_v", F.min(value_col).over(part))
+    # bucket totals come out of the window stage: same partitioning, no new scan
+    per_b = local.groupBy(*group_cols, "_b").agg(
+        *[F.first(f"_{n}_bt").alias(f"_{n}_bt") for n in names], F.first("_first_v").alias("_first_v"))
     gw = Window.partitionBy(*group_cols).orderBy("_b")
     prev = gw.rowsBetween(Window.unboundedPreceding, -1)
     for n in names:
@@ -115,7 +118,7 @@ def cumulative(long_df: DataFrame, group_cols: list[str], value_col: str,
     per_b = per_b.withColumn("_next_first", F.lead("_first_v").over(gw))
     per_b = per_b.drop("_first_v", *[f"_{n}_bt" for n in names])
     keys = list(group_cols) + ["_b"]
-    out = null_safe_join(local, per_b, keys)
+    out = null_safe_join(local.drop("_first_v", *[f"_{n}_bt" for n in names]), per_b, keys)
     for n in names:
         out = out.withColumn(f"{n}_cum", F.col(f"_{n}_off") + F.col(f"_{n}_loc"))
     out = out.withColumn("next_value", F.coalesce("_next_loc", "_next_first"))
