@@ -75,12 +75,15 @@ def moments(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
         F.stddev_samp(F.when(~is_ref, v)).alias("current_std"))
 
 
-def numeric_drift(ref: DataFrame, cur: DataFrame, cols: list[str], threshold: float = P_THRESHOLD) -> DataFrame:
+def numeric_drift(ref: DataFrame, cur: DataFrame, cols: list[str], threshold: float = P_THRESHOLD,
+                  ks: DataFrame | None = None) -> DataFrame:
     """R11 (numeric half): KS statistic/p-value, moments, drift magnitudes, severity.
 
-    Features with an empty side are left out (as the reference does).
+    Features with an empty side are left out (as the reference does).  ``ks``
+    may pass an already built ``ks_wasserstein`` table to share it.
     """
-    ks = ks_wasserstein(ref, cur, cols).where((F.col("n_ref") > 0) & (F.col("n_cur") > 0))
+    ks = (ks if ks is not None else ks_wasserstein(ref, cur, cols)).where(
+        (F.col("n_ref") > 0) & (F.col("n_cur") > 0))
     m = moments(ref, cur, cols)
     j = ks.join(m, "feature")
     p = ks_pvalue(F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur"))
@@ -193,9 +196,10 @@ def bin_of(v) -> "F.Column":
     return F.size(F.filter("_edges", lambda e: e <= v))
 
 
-def distribution_drift(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
+def distribution_drift(ref: DataFrame, cur: DataFrame, cols: list[str], ks: DataFrame | None = None) -> DataFrame:
     """PSI, its interpretation and the Wasserstein distance per numeric feature."""
-    w = ks_wasserstein(ref, cur, cols).where((F.col("n_ref") > 0) & (F.col("n_cur") > 0))
+    w = (ks if ks is not None else ks_wasserstein(ref, cur, cols)).where(
+        (F.col("n_ref") > 0) & (F.col("n_cur") > 0))
     return psi(ref, cur, cols).join(w.select("feature", "wasserstein"), "feature")
 
 
@@ -304,9 +308,10 @@ def drift_alerts(numeric: DataFrame, categorical: DataFrame, distribution: DataF
 def detect_drift(ref: DataFrame, cur: DataFrame, numerical_features: list[str],
                  categorical_features: list[str]) -> dict[str, DataFrame]:
     """All drift tables; nothing is collected."""
-    num = numeric_drift(ref, cur, numerical_features)
+    ks = ks_wasserstein(ref, cur, numerical_features)
+    num = numeric_drift(ref, cur, numerical_features, ks=ks)
     cat = categorical_drift(ref, cur, categorical_features)
-    dist = distribution_drift(ref, cur, numerical_features)
+    dist = distribution_drift(ref, cur, numerical_features, ks=ks)
     return {"numerical": num, "categorical": cat, "distribution": dist,
             "summary": drift_summary(num, cat, numerical_features, categorical_features),
             "alerts": drift_alerts(num, cat, dist, numerical_features, categorical_features),
@@ -316,9 +321,10 @@ def detect_drift(ref: DataFrame, cur: DataFrame, numerical_features: list[str],
 def drift_report(ref: DataFrame, cur: DataFrame, numerical_features: list[str],
                  categorical_features: list[str]) -> DataFrame:
     """R12 one-row report: shapes, summary, alerts and recommendations."""
-    num = numeric_drift(ref, cur, numerical_features)
+    ks = ks_wasserstein(ref, cur, numerical_features)
+    num = numeric_drift(ref, cur, numerical_features, ks=ks)
     cat = categorical_drift(ref, cur, categorical_features)
-    dist = distribution_drift(ref, cur, numerical_features)
+    dist = distribution_drift(ref, cur, numerical_features, ks=ks)
     row = _report_row(num, cat, dist, numerical_features, categorical_features, ref=ref.select(), cur=cur.select())
     return row.select("reference_rows", F.lit(len(ref.columns)).alias("reference_columns"),
                       "current_rows", F.lit(len(cur.columns)).alias("current_columns"),

@@ -110,3 +110,33 @@ def claim_features(df: DataFrame, wage: str, wage_median: float | None, age: str
     if dependents is not None:
         exprs["Financial Impact Category"] = impact_category(per_dependent(wage, dependents))
     return df.withColumns(exprs)
+
+
+def fit_fold_standard(df: DataFrame, cols: list[str], fold_col: str = "fold") -> DataFrame:
+    """S7/G5 per fold: (fold, feature, mean, std) of the rows *outside* each fold (the
+    training part of that fold), population std.
+
+    One aggregate gives (n, mean, M2) per (fold, feature); the complement of a
+    fold is the total minus that fold (exact parallel-variance algebra), so no
+    row is read more than once and no fold's data is copied.
+    """
+    from pyspark.sql import Window
+    stacked = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), col(c).cast("double").alias("x"))
+                                  for c in cols]))
+    long = df.select(col(fold_col).alias("fold"), stacked.alias("kv")).select("fold", "kv.feature", "kv.x") \
+             .where(F.col("x").isNotNull())
+    per = long.groupBy("fold", "feature").agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("m"),
+                                              (F.var_pop("x") * F.count(F.lit(1))).alias("m2"))
+    w = Window.partitionBy("feature")            # one row per fold: k rows per feature
+    n_t = F.sum("n").over(w)
+    m_t = F.sum(F.col("n") * F.col("m")).over(w) / n_t
+    # total M2 = sum of within-fold M2 + between-fold part
+    tot = per.withColumn("n_t", n_t).withColumn("m_t", m_t)
+    tot = tot.withColumn("m2_t", F.sum(F.col("m2") + F.col("n") * F.pow(F.col("m") - F.col("m_t"), 2)).over(w))
+    n_c = F.col("n_t") - F.col("n")
+    m_c = (F.col("n_t") * F.col("m_t") - F.col("n") * F.col("m")) / n_c
+    out = tot.withColumn("n_c", n_c).withColumn("m_c", m_c)
+    m2_c = (F.col("m2_t") - F.col("m2") - F.pow(F.col("m") - F.col("m_c"), 2) * F.col("n") * F.col("n_c")
+            / F.col("n_t"))
+    return out.select("fold", "feature", F.col("m_c").alias("mean"),
+                      F.sqrt(F.greatest(m2_c, F.lit(0.0)) / F.col("n_c")).alias("std"))

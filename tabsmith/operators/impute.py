@@ -66,7 +66,8 @@ def drop_after_use(df: DataFrame, column: str) -> DataFrame:
 
 
 def process_splits(df: DataFrame, split_col: str, median_cols: list[str], birth_year: str,
-                   date: str, age: str, wage: str | None = None, train_value: str = "train"):
+                   date: str, age: str, wage: str | None = None, train_value: str = "train",
+                   dependents: str | None = None):
     """Fit medians on the train split only, then the same transform for all splits:
     median fill -> birth-year derivation -> drop the date -> claim features."""
     from tabsmith.operators.features import claim_features
@@ -78,5 +79,5 @@ def process_splits(df: DataFrame, split_col: str, median_cols: list[str], birth_
     wage_median = None
     if wage is not None:
         wage_median = meds.get(wage) if wage in meds else fit_medians(train, [wage])[wage]
-        out = claim_features(out, wage=wage, wage_median=wage_median, age=age)
+        out = claim_features(out, wage=wage, wage_median=wage_median, age=age, dependents=dependents)
     return out, {"medians": meds, "wage_median": wage_median}

@@ -94,9 +94,11 @@ def cumulative(long_df: DataFrame, group_cols: list[str], value_col: str,
         return out.drop("_g")
     agg = long_df.groupBy(*group_cols, value_col).agg(*[e.alias(n) for n, e in weights.items()])
     probs = [i / buckets for i in range(1, buckets)]
-    # one row per group (groups are features/columns): broadcasting it is size-safe
+    # one row per group (groups are features/columns): broadcasting it is size-safe.  It
+    # reads every column of ``agg`` so both branches share one exchange (ReusedExchange).
     bounds = agg.groupBy(*group_cols).agg(
-        F.percentile_approx(value_col, probs, accuracy).alias("_bounds"))
+        F.percentile_approx(value_col, probs, accuracy).alias("_bounds"),
+        *[F.sum(n).alias(f"{n}_total") for n in names])
     with_b = null_safe_join(agg, F.broadcast(bounds), list(group_cols))
     v = F.col(value_col)
     with_b = with_b.withColumn("_b", F.size(F.filter("_bounds", lambda b: b < v))).drop("_bounds")
@@ -113,8 +115,7 @@ def cumulative(long_df: DataFrame, group_cols: list[str], value_col: str,
     gw = Window.partitionBy(*group_cols).orderBy("_b")
     prev = gw.rowsBetween(Window.unboundedPreceding, -1)
     for n in names:
-        per_b = (per_b.withColumn(f"_{n}_off", F.coalesce(F.sum(f"_{n}_bt").over(prev), F.lit(0)))
-                      .withColumn(f"{n}_total", F.sum(f"_{n}_bt").over(Window.partitionBy(*group_cols))))
+        per_b = per_b.withColumn(f"_{n}_off", F.coalesce(F.sum(f"_{n}_bt").over(prev), F.lit(0)))
     per_b = per_b.withColumn("_next_first", F.lead("_first_v").over(gw))
     per_b = per_b.drop("_first_v", *[f"_{n}_bt" for n in names])
     keys = list(group_cols) + ["_b"]

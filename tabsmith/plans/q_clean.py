@@ -179,11 +179,11 @@ def fd_check(spark, sf):
 
 @query("incoherent_ages", with_claims("""
 SELECT claim_identifier, age_at_injury, birth_year FROM claims
-WHERE abs((year(accident_date) - birth_year) - age_at_injury) > 1
+WHERE abs((year(c_2_date) - birth_year) - age_at_injury) > 1
 """))
 def incoherent_ages(spark, sf):
     c = claims(spark, sf)
-    computed = F.year("accident_date") - F.col("birth_year")
+    computed = F.year("c_2_date") - F.col("birth_year")
     return clean.incoherent_rows(c, computed, F.col("age_at_injury"), 1) \
                 .select("claim_identifier", "age_at_injury", "birth_year")
 
@@ -286,3 +286,15 @@ def derive_year_fields(spark, sf):
     c = impute.derive_birth_year(c, "birth_year", "accident_date", "age_at_injury", out="_by")
     return c.select("claim_identifier", F.col("_age").alias("age_at_injury"),
                     F.col("_by").alias("birth_year"))
+
+
+@query("cast_types", """
+SELECT o_orderkey, CAST(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS order_ts,
+       CAST(o_custkey AS VARCHAR) AS o_custkey, CAST(floor(o_totalprice) AS BIGINT) AS price_int
+FROM orders
+""")
+def cast_types(spark, sf):
+    o = load(spark, sf, "orders").select(
+        "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("order_ts"), "o_custkey",
+        F.floor("o_totalprice").cast("double").alias("price_int"))
+    return clean.cast_types(o, ["order_ts"], ["o_custkey"], ["price_int"])

@@ -247,3 +247,13 @@ FROM alerts
 def drift_report(spark, sf):
     ref, cur = samples(spark, sf)
     return rounded(drift.drift_report(ref, cur, NUM, CAT))
+
+
+@query("drift_dashboard_table", _with("""
+SELECT round(overall_drift_score, 6) AS overall_drift_score, total_features, drifted_features,
+       round(drift_percentage, 6) AS drift_percentage, recommendations[1] AS first_recommendation FROM alerts
+"""))
+def drift_dashboard_table(spark, sf):
+    from tabsmith.operators.reports import drift_table
+    ref, cur = samples(spark, sf)
+    return rounded(drift_table(drift.drift_report(ref, cur, NUM, CAT)))

@@ -374,3 +374,69 @@ def head_sample(spark, sf):
     c = claims(spark, sf).select("claim_identifier", "claim_injury_type")
     return split.head_sample(c, "claim_identifier", 100)
 
+
+
+@query("two_way_split", with_claims("""
+WITH r AS (SELECT claim_identifier, claim_injury_type,
+             row_number() OVER (PARTITION BY claim_injury_type
+                                ORDER BY md5('42' || CAST(claim_identifier AS VARCHAR)), claim_identifier) - 1 AS rk,
+             count(*) OVER (PARTITION BY claim_injury_type) AS n
+           FROM claims)
+SELECT claim_identifier, claim_injury_type, CASE WHEN rk < round(0.25 * n) THEN 'test' ELSE 'train' END AS split FROM r
+"""))
+def two_way_split(spark, sf):
+    c = claims(spark, sf).select("claim_identifier", "claim_injury_type")
+    return split.stratified_split(c, "claim_identifier", "claim_injury_type", 0.25, 0.0, 42)
+
+
+@query("fold_scaler_params", with_claims("""
+WITH f AS (SELECT claim_identifier, age_at_injury, average_weekly_wage,
+             CAST((row_number() OVER (PARTITION BY claim_injury_type
+                   ORDER BY md5('69' || CAST(claim_identifier AS VARCHAR)), claim_identifier) - 1) % 5 AS INTEGER) AS fold
+           FROM claims),
+k AS (SELECT CAST(range AS INTEGER) AS k FROM range(5))
+SELECT k.k AS fold, 'age_at_injury' AS feature, round(avg(age_at_injury), 6) AS mean,
+       round(stddev_pop(age_at_injury), 6) AS std FROM f JOIN k ON f.fold <> k.k GROUP BY k.k
+UNION ALL
+SELECT k.k, 'average_weekly_wage', round(avg(average_weekly_wage), 6), round(stddev_pop(average_weekly_wage), 6)
+FROM f JOIN k ON f.fold <> k.k GROUP BY k.k
+"""))
+def fold_scaler_params(spark, sf):
+    c = claims(spark, sf).select("claim_identifier", "claim_injury_type", "age_at_injury", "average_weekly_wage")
+    folded = split.kfold(c, "claim_identifier", "claim_injury_type", 5, 69)
+    return rounded(features.fit_fold_standard(folded, ["age_at_injury", "average_weekly_wage"]))
+
+
+@query("process_splits", with_claims(SPLIT_SQL + """,
+s AS (SELECT claim_identifier,
+             CASE WHEN rk < n_test THEN 'test' WHEN rk < n_test + n_val THEN 'val' ELSE 'train' END AS split FROM d),
+j AS (SELECT c.*, s.split FROM claims c JOIN s USING (claim_identifier)),
+m AS (SELECT median(age_at_injury) AS mage, median(average_weekly_wage) AS mwage FROM j WHERE split = 'train'),
+f AS (SELECT j.claim_identifier, j.split, coalesce(CAST(age_at_injury AS DOUBLE), m.mage) AS age_at_injury,
+             coalesce(average_weekly_wage, m.mwage) AS average_weekly_wage, number_of_dependents,
+             accident_date, birth_year, m.mwage FROM j, m)
+SELECT claim_identifier, split, age_at_injury,
+       coalesce(CAST(birth_year AS DOUBLE), year(accident_date) - age_at_injury) AS birth_year,
+       round(average_weekly_wage, 6) AS average_weekly_wage,
+       CASE WHEN average_weekly_wage > mwage THEN 1 ELSE 0 END AS Relative_Wage,
+       CASE WHEN age_at_injury >= 0 AND age_at_injury < 25 THEN 0 WHEN age_at_injury >= 25 AND age_at_injury < 40 THEN 1
+            WHEN age_at_injury >= 40 AND age_at_injury < 55 THEN 2 WHEN age_at_injury >= 55 AND age_at_injury < 70 THEN 3
+            WHEN age_at_injury >= 70 AND age_at_injury < 100 THEN 4 ELSE -1 END AS Age_Group,
+       CASE WHEN average_weekly_wage / CASE WHEN number_of_dependents = 0 THEN 1 ELSE number_of_dependents END > 50000
+            THEN 0
+            WHEN average_weekly_wage / CASE WHEN number_of_dependents = 0 THEN 1 ELSE number_of_dependents END >= 1000
+             AND average_weekly_wage / CASE WHEN number_of_dependents = 0 THEN 1 ELSE number_of_dependents END <= 50000
+            THEN 1 ELSE 2 END AS "Financial Impact Category"
+FROM f
+"""))
+def process_splits(spark, sf):
+    from tabsmith.operators.impute import process_splits as ps
+    c = claims(spark, sf).select("claim_identifier", "claim_injury_type", "accident_date",
+                                 F.col("age_at_injury").cast("double").alias("age_at_injury"),
+                                 F.col("birth_year").cast("double").alias("birth_year"),
+                                 "average_weekly_wage", "number_of_dependents")
+    s = split.stratified_split(c, "claim_identifier", "claim_injury_type", 0.1, 0.2, 42)
+    out, _ = ps(s, "split", ["age_at_injury", "average_weekly_wage"], "birth_year", "accident_date",
+                "age_at_injury", wage="average_weekly_wage", dependents="number_of_dependents")
+    return rounded(out.select("claim_identifier", "split", "age_at_injury", "birth_year", "average_weekly_wage",
+                              "Relative_Wage", "Age_Group", "Financial Impact Category"))
