@@ -58,7 +58,8 @@ def ks_wasserstein(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame
     long = stacked(ref, cur, cols)
     cum = cumulative(long, ["feature"], "value",
                      {"r": F.sum("is_ref"), "c": F.sum(1 - F.col("is_ref"))})
-    gap = F.abs(F.col("r_cum") / F.col("r_total") - F.col("c_cum") / F.col("c_total"))
+    # an empty side gives null gaps (the feature is then left out), not a division error
+    gap = F.abs(F.try_divide("r_cum", "r_total") - F.try_divide("c_cum", "c_total"))
     return cum.groupBy("feature").agg(
         F.first("r_total").cast("bigint").alias("n_ref"), F.first("c_total").cast("bigint").alias("n_cur"),
         F.max(gap).alias("ks_statistic"),
@@ -110,8 +111,8 @@ def category_proportions(ref: DataFrame, cur: DataFrame, cols: list[str]) -> Dat
     cnt = category_counts(ref, cur, cols)
     tot = cnt.groupBy("feature").agg(F.sum("ref_count").alias("R"), F.sum("cur_count").alias("C"))
     j = cnt.join(F.broadcast(tot), "feature")  # one row per feature
-    return j.select("feature", "value", (F.col("ref_count") / F.col("R")).alias("reference_proportion"),
-                    (F.col("cur_count") / F.col("C")).alias("current_proportion"))
+    return j.select("feature", "value", F.try_divide("ref_count", "R").alias("reference_proportion"),
+                    F.try_divide("cur_count", "C").alias("current_proportion"))
 
 
 def categorical_drift(ref: DataFrame, cur: DataFrame, cols: list[str], threshold: float = P_THRESHOLD) -> DataFrame:
@@ -132,11 +133,11 @@ def categorical_drift(ref: DataFrame, cur: DataFrame, cols: list[str], threshold
     def term(o, e):
         d = F.abs(F.col(o) - e)
         d = F.when(F.col("k") == 2, F.greatest(d - 0.5, F.lit(0.0))).otherwise(d)
-        return d * d / e
+        return F.try_divide(d * d, e)   # e = 0 only when a side is empty (reported as error)
 
     cell = j.select("feature", "R", "C", "k",
                     (term("ref_count", e_ref) + term("cur_count", e_cur)).alias("contrib"),
-                    F.abs(F.col("cur_count") / F.col("C") - F.col("ref_count") / F.col("R")).alias("diff"))
+                    F.abs(F.try_divide("cur_count", "C") - F.try_divide("ref_count", "R")).alias("diff"))
     per = cell.groupBy("feature").agg(
         F.first("R").alias("R"), F.first("C").alias("C"), F.first("k").alias("k"),
         F.sum("contrib").alias("chi2"), F.max("diff").alias("max_proportion_difference"))
