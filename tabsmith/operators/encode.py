@@ -91,21 +91,24 @@ def one_hot(df: DataFrame, categories: dict, drop_first: bool = True,
     ``on_unseen='zero'`` leaves all flags 0 for a value not seen in fit;
     ``'error'`` fails the job when such a value is met.
     """
-    sel = [col(c) for c in df.columns if keep_source or c not in categories]
+    out = [(c, col(c)) for c in df.columns if keep_source or c not in categories]
+    bad, msgs = None, []
     for c, cats in categories.items():
         use = cats[1:] if drop_first else cats
         for v in use:
-            name = f"{c}_{'nan' if v is None else v}"
             cond = col(c).isNull() if v is None else col(c).eqNullSafe(F.lit(v))
-            sel.append(cond.cast("int").alias(name))
+            out.append((f"{c}_{'nan' if v is None else v}", cond.cast("int")))
         if on_unseen == "error":
             seen = F.lit(False)
             for v in cats:
                 seen = seen | (col(c).isNull() if v is None else col(c).eqNullSafe(F.lit(v)))
-            sel.append(F.when(~seen, F.raise_error(F.lit(f"unseen category in {c}")))
-                       .alias(f"__check_{c}"))
-    out = df.select(*sel)
-    return out.drop(*[f"__check_{c}" for c in categories]) if on_unseen == "error" else out
+            bad = ~seen if bad is None else bad | ~seen
+            msgs.append(f"unseen category in {c}")
+    if bad is not None and out:
+        # the check rides on a kept output column so the optimizer cannot prune it away
+        name, expr = out[0]
+        out[0] = (name, F.when(bad, F.raise_error(F.lit("; ".join(msgs)))).otherwise(expr))
+    return df.select(*[e.alias(n) for n, e in out])
 
 
 # -- E3 / E4 frequency encoding -------------------------------------------------
