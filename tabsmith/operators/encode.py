@@ -70,11 +70,13 @@ def fit_one_hot(df: DataFrame, columns: list[str], max_categories: int = MAX_CAT
     One aggregate pass collects the distinct values of every column; the
     result size is checked against ``max_categories`` per column.
     """
-    counts = df.agg(*[F.count_distinct(col(c)).alias(c) for c in columns]).first()
-    for c in columns:
-        _check_cardinality(counts[c], c, max_categories)
+    # pass 1: cardinality and null presence; pass 2 collects only after the size check
+    first = df.agg(*[F.count_distinct(col(c)).alias(f"n{i}") for i, c in enumerate(columns)],
+                   *[F.max(col(c).isNull().cast("int")).alias(f"z{i}") for i, c in enumerate(columns)]).first()
+    for i, c in enumerate(columns):
+        _check_cardinality(first[f"n{i}"], c, max_categories)
     row = df.agg(*[F.array_sort(F.collect_set(col(c))).alias(c) for c in columns]).first()
-    nulls = df.agg(*[F.max(col(c).isNull().cast("int")).alias(c) for c in columns]).first()
+    nulls = {c: first[f"z{i}"] for i, c in enumerate(columns)}
     out = {}
     for c in columns:
         cats = list(row[c])

@@ -198,12 +198,19 @@ def nullity_correlation(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def nullity_distance(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Euclidean distance between null-indicator columns, all pairs in one aggregate."""
+    """Euclidean distance between null-indicator columns, all pairs in chunked aggregates."""
     pairs = list(combinations(cols, 2))
-    row = df.agg(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-                            F.sqrt(F.sum((col(a).isNull() != col(b).isNull()).cast("int"))).alias("distance"))
-                   .alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
-    return row.select(F.explode(F.array(*[f"p{i}" for i in range(len(pairs))])).alias("s")).select("s.*")
+    parts = []
+    for i in range(0, len(pairs), AGG_CHUNK):
+        chunk = pairs[i:i + AGG_CHUNK]
+        row = df.agg(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
+                                F.sqrt(F.sum((col(a).isNull() != col(b).isNull()).cast("int"))).alias("distance"))
+                       .alias(f"p{j}") for j, (a, b) in enumerate(chunk)])
+        parts.append(row.select(F.explode(F.array(*[f"p{j}" for j in range(len(chunk))])).alias("s")).select("s.*"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 # -- A16-A18 histograms, box plots, medians ---------------------------------------------
@@ -308,7 +315,7 @@ def density_curve(df: DataFrame, column: str, group_cols: list[str] | None = Non
                               F.min("x").alias("mn"), F.max("x").alias("mx"))
     stats = stats.withColumn("h", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
     pts = d.groupBy(*g, "x").agg(F.count(F.lit(1)).alias("w"))
-    joined = null_safe_join(pts, F.broadcast(stats), g)  # one row per group
+    joined = null_safe_join(pts, stats, g)  # one row per group: AQE picks broadcast when small
     step = (F.col("mx") - F.col("mn")) / (grid_size - 1)
     grid_x = F.col("mn") + F.col("i") * step
     z = (grid_x - F.col("x")) / F.col("h")

@@ -94,12 +94,13 @@ def cumulative(long_df: DataFrame, group_cols: list[str], value_col: str,
         return out.drop("_g")
     agg = long_df.groupBy(*group_cols, value_col).agg(*[e.alias(n) for n, e in weights.items()])
     probs = [i / buckets for i in range(1, buckets)]
-    # one row per group (groups are features/columns): broadcasting it is size-safe.  It
-    # reads every column of ``agg`` so both branches share one exchange (ReusedExchange).
+    # one row per group.  Groups may be user-chosen (unbounded), so the join strategy is
+    # left to AQE's runtime size check (broadcast when small, sort-merge otherwise).  The
+    # aggregate reads every column of ``agg`` so both branches share one exchange.
     bounds = agg.groupBy(*group_cols).agg(
         F.percentile_approx(value_col, probs, accuracy).alias("_bounds"),
         *[F.sum(n).alias(f"{n}_total") for n in names])
-    with_b = null_safe_join(agg, F.broadcast(bounds), list(group_cols))
+    with_b = null_safe_join(agg, bounds, list(group_cols))
     v = F.col(value_col)
     with_b = with_b.withColumn("_b", F.size(F.filter("_bounds", lambda b: b < v))).drop("_bounds")
     part = Window.partitionBy(*group_cols, "_b")
