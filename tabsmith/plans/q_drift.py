@@ -238,9 +238,9 @@ def drift_alerts(spark, sf):
 
 @query("drift_report", _with(f"""
 SELECT (SELECT count(*) FROM base WHERE is_ref = 1) AS reference_rows,
-       (SELECT count(*) FROM (DESCRIBE lineitem)) AS reference_columns,
+       CAST((SELECT count(*) FROM (DESCRIBE lineitem)) AS INTEGER) AS reference_columns,
        (SELECT count(*) FROM base WHERE is_ref = 0) AS current_rows,
-       (SELECT count(*) FROM (DESCRIBE lineitem)) AS current_columns,
+       CAST((SELECT count(*) FROM (DESCRIBE lineitem)) AS INTEGER) AS current_columns,
        {SUMM}, alerts, recommendations
 FROM alerts
 """))

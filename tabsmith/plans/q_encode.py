@@ -167,7 +167,7 @@ WITH f AS (SELECT 'county_of_injury' AS feature, county_of_injury AS v, count(*)
            UNION ALL SELECT 'carrier_type', carrier_type, count(*) FROM claims GROUP BY 2
            UNION ALL SELECT 'industry_code', industry_code, count(*) FROM claims GROUP BY 2),
 t AS (SELECT feature, n, count(*) AS n_values FROM f GROUP BY 1, 2 HAVING count(*) > 1)
-SELECT feature, sum(n_values) AS tied_values FROM t GROUP BY 1
+SELECT feature, CAST(sum(n_values) AS BIGINT) AS tied_values FROM t GROUP BY 1
 """))
 def frequency_ties(spark, sf):
     c = claims(spark, sf)
