@@ -46,6 +46,39 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: list[str],
     return out.drop(*renamed.values())
 
 
+def non_null_keys(df: DataFrame, group_cols: list[str]) -> tuple[DataFrame, list[str]]:
+    """Add non-null stand-ins ``(_gv<i>, _gn<i>)`` for each nullable group column.
+
+    Windows and joins keyed on these plain columns share one hash
+    partitioning; a null-safe join (``<=>``) would be keyed on rewritten
+    expressions and force another full shuffle of the big side.
+    """
+    from pyspark.sql import types as T
+    keys, out = [], df
+    for i, g in enumerate(group_cols):
+        f = df.schema[g]
+        if not f.nullable:
+            keys.append(g)
+            continue
+        t = f.dataType
+        if isinstance(t, T.StringType):
+            default = F.lit("")
+        elif isinstance(t, T.NumericType):
+            default = F.lit(0).cast(t)
+        elif isinstance(t, T.BooleanType):
+            default = F.lit(False)
+        elif isinstance(t, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            default = F.lit(0).cast("timestamp").cast(t)
+        else:
+            out = out.withColumn(f"_gv{i}", F.coalesce(F.to_json(F.struct(F.col(g))), F.lit("")))
+            out = out.withColumn(f"_gn{i}", F.col(g).isNull())
+            keys += [f"_gv{i}", f"_gn{i}"]
+            continue
+        out = out.withColumn(f"_gv{i}", F.coalesce(F.col(g), default)).withColumn(f"_gn{i}", F.col(g).isNull())
+        keys += [f"_gv{i}", f"_gn{i}"]
+    return out, keys
+
+
 def hash_order(key: Column, seed: int | str) -> Column:
     """Deterministic pseudo-random order: md5 hex of ``seed || key``."""
     return F.md5(F.concat_ws("", F.lit(str(seed)), key.cast("string")))
@@ -53,7 +86,7 @@ def hash_order(key: Column, seed: int | str) -> Column:
 
 def hashed_rank(df: DataFrame, group_cols: list[str], key_col: str, seed: int | str = 42,
                 rank_col: str = "_rank", size_col: str = "_group_n",
-                bucket_hex_digits: int = 3) -> DataFrame:
+                bucket_hex_digits: int = 4) -> DataFrame:
     """0-based rank of each row within ``group_cols`` ordered by md5(seed||key).
 
     The md5 prefix gives ``16**bucket_hex_digits`` equally likely buckets, so a
@@ -61,20 +94,22 @@ def hashed_rank(df: DataFrame, group_cols: list[str], key_col: str, seed: int |
     unique for the ranking to be deterministic.
     """
     h = hash_order(F.col(key_col), seed)
-    d = (df.withColumn("_h", h)
-           .withColumn("_b", F.conv(F.substring("_h", 1, bucket_hex_digits), 16, 10).cast("int")))
-    w = Window.partitionBy(*group_cols, "_b").orderBy("_h", key_col)
+    base, gk = non_null_keys(df, list(group_cols))
+    d = (base.withColumn("_h", h)
+             .withColumn("_b", F.conv(F.substring("_h", 1, bucket_hex_digits), 16, 10).cast("int")))
+    w = Window.partitionBy(*gk, "_b").orderBy("_h", key_col)
     local = d.withColumn("_local", F.row_number().over(w) - 1)
-    counts = d.groupBy(*group_cols, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
-    gw = Window.partitionBy(*group_cols).orderBy("_b")
+    counts = d.groupBy(*gk, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
+    gw = Window.partitionBy(*gk).orderBy("_b")
     offsets = (counts
                .withColumn("_off", F.coalesce(F.sum("_cnt").over(
                    gw.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-               .withColumn(size_col, F.sum("_cnt").over(Window.partitionBy(*group_cols)))
+               .withColumn(size_col, F.sum("_cnt").over(Window.partitionBy(*gk)))
                .drop("_cnt"))
-    joined = null_safe_join(local, offsets, list(group_cols) + ["_b"])
+    joined = local.join(offsets, gk + ["_b"])   # plain keys: reuses the window's partitioning
+    extra = [k for k in gk if k not in group_cols]
     return (joined.withColumn(rank_col, (F.col("_off") + F.col("_local")).cast("long"))
-                  .drop("_h", "_b", "_local", "_off"))
+                  .drop("_h", "_b", "_local", "_off", *extra))
 
 
 def cumulative(long_df: DataFrame, group_cols: list[str], value_col: str,
@@ -92,18 +127,22 @@ def cumulative(long_df: DataFrame, group_cols: list[str], value_col: str,
         out = cumulative(long_df.withColumn("_g", F.lit(0)), ["_g"], value_col, weights,
                          buckets, accuracy)
         return out.drop("_g")
-    agg = long_df.groupBy(*group_cols, value_col).agg(*[e.alias(n) for n, e in weights.items()])
+    base, gk = non_null_keys(long_df, list(group_cols))
+    extra = [k for k in gk if k not in group_cols]
+    # grouping by the stand-in keys *and* the originals is the same grouping; the
+    # originals ride along while every window/join below is keyed on ``gk`` only
+    agg = base.groupBy(*gk, *[g for g in group_cols if g not in gk], value_col).agg(
+        *[e.alias(n) for n, e in weights.items()])
     probs = [i / buckets for i in range(1, buckets)]
     # one row per group.  Groups may be user-chosen (unbounded), so the join strategy is
-    # left to AQE's runtime size check (broadcast when small, sort-merge otherwise).  The
-    # aggregate reads every column of ``agg`` so both branches share one exchange.
-    bounds = agg.groupBy(*group_cols).agg(
+    # left to AQE's runtime size check (broadcast when small, sort-merge otherwise).
+    bounds = agg.groupBy(*gk).agg(
         F.percentile_approx(value_col, probs, accuracy).alias("_bounds"),
         *[F.sum(n).alias(f"{n}_total") for n in names])
-    with_b = null_safe_join(agg, bounds, list(group_cols))
+    with_b = agg.join(bounds, gk)
     v = F.col(value_col)
     with_b = with_b.withColumn("_b", F.size(F.filter("_bounds", lambda b: b < v))).drop("_bounds")
-    part = Window.partitionBy(*group_cols, "_b")
+    part = Window.partitionBy(*gk, "_b")
     w = part.orderBy(value_col)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = with_b
@@ -111,21 +150,20 @@ def cumulative(long_df: DataFrame, group_cols: list[str], value_col: str,
         local = local.withColumn(f"_{n}_loc", F.sum(n).over(run)).withColumn(f"_{n}_bt", F.sum(n).over(part))
     local = local.withColumn("_next_loc", F.lead(value_col).over(w)).withColumn("_first_v", F.min(value_col).over(part))
     # bucket totals come out of the window stage: same partitioning, no new scan
-    per_b = local.groupBy(*group_cols, "_b").agg(
+    per_b = local.groupBy(*gk, "_b").agg(
         *[F.first(f"_{n}_bt").alias(f"_{n}_bt") for n in names], F.first("_first_v").alias("_first_v"))
-    gw = Window.partitionBy(*group_cols).orderBy("_b")
+    gw = Window.partitionBy(*gk).orderBy("_b")
     prev = gw.rowsBetween(Window.unboundedPreceding, -1)
     for n in names:
         per_b = per_b.withColumn(f"_{n}_off", F.coalesce(F.sum(f"_{n}_bt").over(prev), F.lit(0)))
     per_b = per_b.withColumn("_next_first", F.lead("_first_v").over(gw))
     per_b = per_b.drop("_first_v", *[f"_{n}_bt" for n in names])
-    keys = list(group_cols) + ["_b"]
-    out = null_safe_join(local.drop("_first_v", *[f"_{n}_bt" for n in names]), per_b, keys)
+    out = local.drop("_first_v", *[f"_{n}_bt" for n in names]).join(per_b, gk + ["_b"])
     for n in names:
         out = out.withColumn(f"{n}_cum", F.col(f"_{n}_off") + F.col(f"_{n}_loc"))
     out = out.withColumn("next_value", F.coalesce("_next_loc", "_next_first"))
     drop = ["_b", "_next_loc", "_next_first"] + [f"_{n}_loc" for n in names] + [f"_{n}_off" for n in names]
-    return out.drop(*drop)
+    return out.drop(*drop, *extra)
 
 
 def exact_quantiles(long_df: DataFrame, group_cols: list[str], value_col: str,

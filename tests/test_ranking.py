@@ -63,3 +63,9 @@ def test_null_safe_join_matches_nulls(spark):
     b = spark.createDataFrame([(None, 10), ("x", 20)], "k string, b int")
     got = sorted((r["a"], r["b"]) for r in null_safe_join(a, b, ["k"]).collect())
     assert got == [(1, 10), (2, 20)]
+
+
+def test_quantiles_with_null_group_key(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 10.0), ("a", 20.0), ("a", 40.0)], "g string, v double")
+    got = {r["g"]: r["m"] for r in exact_quantiles(df, ["g"], "v", [0.5], ["m"]).collect()}
+    assert got == {None: 2.0, "a": 20.0}
