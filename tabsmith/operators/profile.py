@@ -254,7 +254,9 @@ def box_stats(df: DataFrame, cols: list[str], whis: float = 1.5) -> DataFrame:
 def median_of(df: DataFrame, cols: list[str], group_cols: list[str] | None = None) -> DataFrame:
     """Exact medians per column (and group)."""
     long = unpivot_values(df, cols, group_cols)
-    return exact_quantiles(long, list(group_cols or []) + ["feature"], "value", [0.5], ["median"])
+    # with user groups the number of (group, feature) pairs is data-dependent: no forced broadcast
+    return exact_quantiles(long, list(group_cols or []) + ["feature"], "value", [0.5], ["median"],
+                           bounded_groups=not group_cols)
 
 
 # -- A19-A24 prediction / importance stats, ordering, sampling, density ----------------

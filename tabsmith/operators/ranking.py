@@ -114,18 +114,23 @@ def hashed_rank(df: DataFrame, group_cols: list[str], key_col: str, seed: int |
 
 def cumulative(long_df: DataFrame, group_cols: list[str], value_col: str,
                weights: dict[str, Column], buckets: int = DEFAULT_BUCKETS,
-               accuracy: int = 10000) -> DataFrame:
+               accuracy: int = 10000, bounded_groups: bool = True) -> DataFrame:
     """Running totals of ``weights`` over ``value_col`` inside each group.
 
     Returns one row per distinct (group, value) with, for every weight ``w``:
     ``w`` (total at this value), ``w_cum`` (total up to and including this
     value), ``w_total`` (group total); plus ``next_value`` (the next larger
     distinct value of the group, null for the largest).
+
+    ``bounded_groups`` says the groups are few (e.g. the unpivoted column names,
+    bounded by the schema width): the per-group bucket bounds are then broadcast
+    so the big side is never shuffled by group.  Otherwise the join strategy is
+    left to AQE (broadcast when small at runtime, sort-merge with skew splits).
     """
     names = list(weights)
     if not group_cols:
         out = cumulative(long_df.withColumn("_g", F.lit(0)), ["_g"], value_col, weights,
-                         buckets, accuracy)
+                         buckets, accuracy, True)
         return out.drop("_g")
     base, gk = non_null_keys(long_df, list(group_cols))
     extra = [k for k in gk if k not in group_cols]
@@ -134,14 +139,15 @@ def cumulative(long_df: DataFrame, group_cols: list[str], value_col: str,
     agg = base.groupBy(*gk, *[g for g in group_cols if g not in gk], value_col).agg(
         *[e.alias(n) for n, e in weights.items()])
     probs = [i / buckets for i in range(1, buckets)]
-    # one row per group.  Groups may be user-chosen (unbounded), so the join strategy is
-    # left to AQE's runtime size check (broadcast when small, sort-merge otherwise).
     bounds = agg.groupBy(*gk).agg(
         F.percentile_approx(value_col, probs, accuracy).alias("_bounds"),
         *[F.sum(n).alias(f"{n}_total") for n in names])
-    with_b = agg.join(bounds, gk)
+    with_b = agg.join(F.broadcast(bounds) if bounded_groups else bounds, gk)
     v = F.col(value_col)
-    with_b = with_b.withColumn("_b", F.size(F.filter("_bounds", lambda b: b < v))).drop("_bounds")
+    # explicit (group, bucket) distribution: a partitioning by group alone would also
+    # satisfy the window below and put a whole group in one task
+    with_b = (with_b.withColumn("_b", F.size(F.filter("_bounds", lambda b: b < v))).drop("_bounds")
+                    .repartition(*gk, "_b"))
     part = Window.partitionBy(*gk, "_b")
     w = part.orderBy(value_col)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -168,7 +174,7 @@ def cumulative(long_df: DataFrame, group_cols: list[str], value_col: str,
 
 def exact_quantiles(long_df: DataFrame, group_cols: list[str], value_col: str,
                     probs: list[float], names: list[str] | None = None,
-                    buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                    buckets: int = DEFAULT_BUCKETS, bounded_groups: bool = True) -> DataFrame:
     """Exact quantiles with linear interpolation (the pandas/numpy default).
 
     Nulls are ignored.  Position ``p*(n-1)`` is located in the running count
@@ -178,7 +184,8 @@ def exact_quantiles(long_df: DataFrame, group_cols: list[str], value_col: str,
     """
     names = names or [f"q{int(round(p * 100))}" for p in probs]
     d = long_df.where(F.col(value_col).isNotNull())
-    cum = cumulative(d, group_cols, value_col, {"_n": F.count(F.lit(1))}, buckets=buckets)
+    cum = cumulative(d, group_cols, value_col, {"_n": F.count(F.lit(1))}, buckets=buckets,
+                     bounded_groups=bounded_groups)
     n = F.col("_n_total")
     lo_rank = F.col("_n_cum") - F.col("_n")   # first 0-based rank held by this value
     hi_rank = F.col("_n_cum") - 1             # last rank held by this value
