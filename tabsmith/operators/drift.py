@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from tabsmith.functions.scalars import interpret_psi, severity
 from tabsmith.functions.stats import chi2_sf, ks_pvalue
-from tabsmith.operators.ranking import cumulative, unpivot_values
+from tabsmith.operators.ranking import cumulative
+from tabsmith.session import materialize
 
 EPS_STD = 1e-8
 EPS_PSI = 1e-8
@@ -45,19 +46,59 @@ def _present(ref: DataFrame, cur: DataFrame, cols: list[str]) -> list[str]:
     return [c for c in cols if c in ref.columns and c in cur.columns]
 
 
-def stacked(ref: DataFrame, cur: DataFrame, cols: list[str], cast: str = "double") -> DataFrame:
-    """Long form (feature, value, is_ref) of both samples, nulls dropped."""
-    r = unpivot_values(ref.withColumn("is_ref", F.lit(1)), cols, ["is_ref"], cast=cast)
-    c = unpivot_values(cur.withColumn("is_ref", F.lit(0)), cols, ["is_ref"], cast=cast)
-    return r.unionByName(c).where(F.col("value").isNotNull())
+ROWS = "__rows__"
 
 
-def ks_wasserstein(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
-    """R1 + R5: (feature, n_ref, n_cur, ks_statistic, wasserstein) in one pass."""
-    cols = _present(ref, cur, cols)
-    long = stacked(ref, cur, cols)
-    cum = cumulative(long, ["feature"], "value",
-                     {"r": F.sum("is_ref"), "c": F.sum(1 - F.col("is_ref"))})
+def drift_counts(ref: DataFrame, cur: DataFrame, numerical: list[str], categorical: list[str]) -> DataFrame:
+    """The one aggregate every drift statistic is computed from.
+
+    ``(feature, kind, x, s, r, c)``: for each numeric feature (kind 'num',
+    value ``x``), categorical feature (kind 'cat', value ``s``) and distinct
+    value - nulls included - the row counts in the reference (``r``) and the
+    current sample (``c``).  The pseudo feature ``__rows__`` counts all rows.
+    Each sample is scanned once (one explode per row); partial aggregation
+    map-side keeps the shuffle at distinct-value size.
+    """
+    num, cat = _present(ref, cur, numerical), _present(ref, cur, categorical)
+
+    def side(df, is_ref):
+        items = [F.struct(F.lit(ROWS).alias("feature"), F.lit("rows").alias("kind"),
+                          F.lit(None).cast("double").alias("x"), F.lit(None).cast("string").alias("s"))]
+        items += [F.struct(F.lit(c).alias("feature"), F.lit("num").alias("kind"),
+                           F.col(f"`{c}`").cast("double").alias("x"), F.lit(None).cast("string").alias("s"))
+                  for c in num]
+        items += [F.struct(F.lit(c).alias("feature"), F.lit("cat").alias("kind"),
+                           F.lit(None).cast("double").alias("x"), F.col(f"`{c}`").cast("string").alias("s"))
+                  for c in cat]
+        return df.select(F.explode(F.array(*items)).alias("kv"), F.lit(is_ref).alias("is_ref")) \
+                 .select("kv.*", "is_ref")
+
+    long = side(ref, 1).unionByName(side(cur, 0))
+    return long.groupBy("feature", "kind", "x", "s").agg(
+        F.sum("is_ref").cast("bigint").alias("r"), F.sum(1 - F.col("is_ref")).cast("bigint").alias("c"))
+
+
+def _num(counts: DataFrame) -> DataFrame:
+    return counts.where((F.col("kind") == "num") & F.col("x").isNotNull()) \
+                 .select("feature", F.col("x").alias("value"), "r", "c")
+
+
+def _cat(counts: DataFrame) -> DataFrame:
+    return counts.where((F.col("kind") == "cat") & F.col("s").isNotNull()) \
+                 .select("feature", F.col("s").alias("value"), F.col("r").alias("ref_count"),
+                         F.col("c").alias("cur_count"))
+
+
+def row_counts(counts: DataFrame) -> DataFrame:
+    """(reference_rows, current_rows) from the ``__rows__`` pseudo feature."""
+    return counts.where(F.col("feature") == ROWS).select(F.col("r").alias("reference_rows"),
+                                                         F.col("c").alias("current_rows"))
+
+
+def ks_wasserstein(ref: DataFrame, cur: DataFrame, cols: list[str], counts: DataFrame | None = None) -> DataFrame:
+    """R1 + R5: (feature, n_ref, n_cur, ks_statistic, wasserstein) from one running-count pass."""
+    g = counts if counts is not None else drift_counts(ref, cur, cols, [])
+    cum = cumulative(_num(g), ["feature"], "value", {"r": F.col("r"), "c": F.col("c")}, preaggregated=True)
     # an empty side gives null gaps (the feature is then left out), not a division error
     gap = F.abs(F.try_divide("r_cum", "r_total") - F.try_divide("c_cum", "c_total"))
     return cum.groupBy("feature").agg(
@@ -66,26 +107,35 @@ def ks_wasserstein(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame
         F.coalesce(F.sum(gap * (F.col("next_value") - F.col("value"))), F.lit(0.0)).alias("wasserstein"))
 
 
-def moments(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
-    """R2 inputs: mean and sample std of each side, one aggregate."""
-    long = stacked(ref, cur, _present(ref, cur, cols))
-    v, is_ref = F.col("value"), F.col("is_ref") == 1
-    return long.groupBy("feature").agg(
-        F.avg(F.when(is_ref, v)).alias("reference_mean"), F.avg(F.when(~is_ref, v)).alias("current_mean"),
-        F.stddev_samp(F.when(is_ref, v)).alias("reference_std"),
-        F.stddev_samp(F.when(~is_ref, v)).alias("current_std"))
+def moments(ref: DataFrame, cur: DataFrame, cols: list[str], counts: DataFrame | None = None) -> DataFrame:
+    """R2 inputs: mean and sample std of each side (exact two-pass over the value counts)."""
+    g = _num(counts if counts is not None else drift_counts(ref, cur, cols, []))
+    x = F.col("value")
+    m = g.groupBy("feature").agg(
+        F.try_divide(F.sum(x * F.col("r")), F.sum("r")).alias("reference_mean"),
+        F.try_divide(F.sum(x * F.col("c")), F.sum("c")).alias("current_mean"),
+        F.sum("r").alias("_nr"), F.sum("c").alias("_nc"))
+    j = g.join(F.broadcast(m), "feature")   # one row per feature
+    ss = j.groupBy("feature").agg(
+        F.first("reference_mean").alias("reference_mean"), F.first("current_mean").alias("current_mean"),
+        F.first("_nr").alias("_nr"), F.first("_nc").alias("_nc"),
+        F.sum(F.col("r") * F.pow(x - F.col("reference_mean"), 2)).alias("_ssr"),
+        F.sum(F.col("c") * F.pow(x - F.col("current_mean"), 2)).alias("_ssc"))
+    return ss.select("feature", "reference_mean", "current_mean",
+                     F.when(F.col("_nr") > 1, F.sqrt(F.col("_ssr") / (F.col("_nr") - 1))).alias("reference_std"),
+                     F.when(F.col("_nc") > 1, F.sqrt(F.col("_ssc") / (F.col("_nc") - 1))).alias("current_std"))
 
 
 def numeric_drift(ref: DataFrame, cur: DataFrame, cols: list[str], threshold: float = P_THRESHOLD,
-                  ks: DataFrame | None = None) -> DataFrame:
+                  ks: DataFrame | None = None, counts: DataFrame | None = None) -> DataFrame:
     """R11 (numeric half): KS statistic/p-value, moments, drift magnitudes, severity.
 
-    Features with an empty side are left out (as the reference does).  ``ks``
-    may pass an already built ``ks_wasserstein`` table to share it.
+    Features with an empty side are left out (as the reference does).
     """
-    ks = (ks if ks is not None else ks_wasserstein(ref, cur, cols)).where(
+    g = counts if counts is not None else drift_counts(ref, cur, cols, [])
+    ks = (ks if ks is not None else ks_wasserstein(ref, cur, cols, g)).where(
         (F.col("n_ref") > 0) & (F.col("n_cur") > 0))
-    m = moments(ref, cur, cols)
+    m = moments(ref, cur, cols, g)
     j = ks.join(m, "feature")
     p = ks_pvalue(F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur"))
     den = F.col("reference_std") + F.lit(EPS_STD)
@@ -98,31 +148,30 @@ def numeric_drift(ref: DataFrame, cur: DataFrame, cols: list[str], threshold: fl
         severity(p).alias("drift_severity"))
 
 
-def category_counts(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
+def category_counts(ref: DataFrame, cur: DataFrame, cols: list[str], counts: DataFrame | None = None) -> DataFrame:
     """Aligned counts per (feature, category): categories of either side, 0-filled."""
-    long = stacked(ref, cur, _present(ref, cur, cols), cast="string")
-    return long.groupBy("feature", "value").agg(
-        F.sum("is_ref").cast("bigint").alias("ref_count"),
-        F.sum(1 - F.col("is_ref")).cast("bigint").alias("cur_count"))
+    return _cat(counts if counts is not None else drift_counts(ref, cur, [], cols))
 
 
-def category_proportions(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
+def category_proportions(ref: DataFrame, cur: DataFrame, cols: list[str],
+                         counts: DataFrame | None = None) -> DataFrame:
     """Per (feature, category): reference and current proportions (long table)."""
-    cnt = category_counts(ref, cur, cols)
+    cnt = category_counts(ref, cur, cols, counts)
     tot = cnt.groupBy("feature").agg(F.sum("ref_count").alias("R"), F.sum("cur_count").alias("C"))
     j = cnt.join(F.broadcast(tot), "feature")  # one row per feature
     return j.select("feature", "value", F.try_divide("ref_count", "R").alias("reference_proportion"),
                     F.try_divide("cur_count", "C").alias("current_proportion"))
 
 
-def categorical_drift(ref: DataFrame, cur: DataFrame, cols: list[str], threshold: float = P_THRESHOLD) -> DataFrame:
+def categorical_drift(ref: DataFrame, cur: DataFrame, cols: list[str], threshold: float = P_THRESHOLD,
+                      counts: DataFrame | None = None) -> DataFrame:
     """Chi-square test of homogeneity on the 2 x k table of each feature.
 
     Yates' correction when dof = 1; dof = 0 gives chi2 = 0, p = 1.  A feature
     with an empty side cannot be tested: its statistics are null and
     ``status = 'error'``.
     """
-    cnt = category_counts(ref, cur, cols)
+    cnt = category_counts(ref, cur, cols, counts)
     tot = cnt.groupBy("feature").agg(F.sum("ref_count").alias("R"), F.sum("cur_count").alias("C"),
                                      F.count(F.lit(1)).alias("k"))
     j = cnt.join(F.broadcast(tot), "feature")  # one row per feature: bounded
@@ -155,28 +204,27 @@ def categorical_drift(ref: DataFrame, cur: DataFrame, cols: list[str], threshold
         F.when(p.isNotNull(), severity(p)).alias("drift_severity"), "status")
 
 
-def psi(ref: DataFrame, cur: DataFrame, cols: list[str], bins: int = PSI_BINS) -> DataFrame:
+def psi(ref: DataFrame, cur: DataFrame, cols: list[str], bins: int = PSI_BINS,
+        counts: DataFrame | None = None) -> DataFrame:
     """Population stability index on ``bins`` equal-width bins of the reference range.
 
     Bin edges follow numpy's ``histogram``: a constant reference uses
     [v - 0.5, v + 0.5]; the last bin is closed; current values outside the
     range are dropped; an empty in-range current sample gives null.
     """
-    cols = _present(ref, cur, cols)
-    long = stacked(ref, cur, cols)
-    rng = (long.where(F.col("is_ref") == 1).groupBy("feature")
-               .agg(F.min("value").alias("mn"), F.max("value").alias("mx"))
-               .select("feature",
-                       F.when(F.col("mn") == F.col("mx"), F.col("mn") - 0.5).otherwise(F.col("mn")).alias("lo"),
-                       F.when(F.col("mn") == F.col("mx"), F.col("mx") + 0.5).otherwise(F.col("mx")).alias("hi")))
-    binned = (long.join(F.broadcast(with_edges(rng, bins)), "feature")  # one row per feature: bounded
-                  .where((F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi")))
-                  .select("feature", bin_of(F.col("value")).alias("bin"), "is_ref"))
-    counts = binned.groupBy("feature", "bin").agg(F.sum("is_ref").alias("r"),
-                                                  F.sum(1 - F.col("is_ref")).alias("c"))
+    g = _num(counts if counts is not None else drift_counts(ref, cur, cols, []))
+    rng = (g.where(F.col("r") > 0).groupBy("feature")
+            .agg(F.min("value").alias("mn"), F.max("value").alias("mx"))
+            .select("feature",
+                    F.when(F.col("mn") == F.col("mx"), F.col("mn") - 0.5).otherwise(F.col("mn")).alias("lo"),
+                    F.when(F.col("mn") == F.col("mx"), F.col("mx") + 0.5).otherwise(F.col("mx")).alias("hi")))
+    binned = (g.join(F.broadcast(with_edges(rng, bins)), "feature")  # one row per feature: bounded
+               .where((F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi")))
+               .select("feature", bin_of(F.col("value")).alias("bin"), "r", "c"))
+    counts_b = binned.groupBy("feature", "bin").agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
     # bins empty on both sides add (eps - eps) * ln(1) = 0, so only observed bins are summed
     fw = Window.partitionBy("feature")   # <= bins rows per feature
-    j = counts.withColumn("r_sum", F.sum("r").over(fw)).withColumn("c_sum", F.sum("c").over(fw))
+    j = counts_b.withColumn("r_sum", F.sum("r").over(fw)).withColumn("c_sum", F.sum("c").over(fw))
     p_ref = F.col("r") / F.col("r_sum") + EPS_PSI
     p_cur = F.when(F.col("c_sum") > 0, F.col("c") / F.col("c_sum") + EPS_PSI)
     term = (p_cur - p_ref) * F.log(p_cur / p_ref)
@@ -197,19 +245,20 @@ def bin_of(v) -> "F.Column":
     return F.size(F.filter("_edges", lambda e: e <= v))
 
 
-def distribution_drift(ref: DataFrame, cur: DataFrame, cols: list[str], ks: DataFrame | None = None) -> DataFrame:
+def distribution_drift(ref: DataFrame, cur: DataFrame, cols: list[str], ks: DataFrame | None = None,
+                       counts: DataFrame | None = None) -> DataFrame:
     """PSI, its interpretation and the Wasserstein distance per numeric feature."""
-    w = (ks if ks is not None else ks_wasserstein(ref, cur, cols)).where(
+    g = counts if counts is not None else drift_counts(ref, cur, cols, [])
+    w = (ks if ks is not None else ks_wasserstein(ref, cur, cols, g)).where(
         (F.col("n_ref") > 0) & (F.col("n_cur") > 0))
-    return psi(ref, cur, cols).join(w.select("feature", "wasserstein"), "feature")
+    return psi(ref, cur, cols, counts=g).join(w.select("feature", "wasserstein"), "feature")
 
 
 def _report_row(numeric: DataFrame, categorical: DataFrame, distribution: DataFrame | None,
                 numerical_features: list[str], categorical_features: list[str],
-                ref: DataFrame | None = None, cur: DataFrame | None = None,
-                psi_alert: float = 0.5) -> DataFrame:
-    """One aggregate over a union of the per-feature tables (and row markers of
-    both samples when given): every report field comes out of a single row."""
+                rows_df: DataFrame | None = None, psi_alert: float = 0.5) -> DataFrame:
+    """One aggregate over a union of the per-feature tables (and the one-row
+    sample sizes when given): every report field comes out of a single row."""
     order = {f"numerical_{c}": i for i, c in enumerate(numerical_features)}
     order.update({f"categorical_{c}": len(numerical_features) + i for i, c in enumerate(categorical_features)})
     fpos = {c: i for i, c in enumerate(numerical_features + categorical_features)}
@@ -221,26 +270,25 @@ def _report_row(numeric: DataFrame, categorical: DataFrame, distribution: DataFr
         return lambda c: m[c]
 
     pos, ppos = posmap(order), posmap(fpos)
-    schema = "kind string, name string, pos int, drift_detected boolean, drift_severity string"
+    no_rows = [F.lit(None).cast("bigint").alias("ref_rows"), F.lit(None).cast("bigint").alias("cur_rows")]
     num = numeric.select(F.lit("feature").alias("kind"), F.concat(F.lit("numerical_"), "feature").alias("name"),
-                         "drift_detected", "drift_severity")
+                         "drift_detected", "drift_severity", *no_rows)
     cat = (categorical.where(F.col("status") == "ok")
            .select(F.lit("feature").alias("kind"), F.concat(F.lit("categorical_"), "feature").alias("name"),
-                   "drift_detected", "drift_severity"))
+                   "drift_detected", "drift_severity", *no_rows))
     rows = num.unionByName(cat).withColumn("pos", pos(F.col("name")).cast("int"))
     if distribution is not None:
         hp = distribution.where(F.col("psi") > psi_alert).select(
             F.lit("psi").alias("kind"), F.col("feature").alias("name"),
-            ppos(F.col("feature")).cast("int").alias("pos"),
-            F.lit(None).cast("boolean").alias("drift_detected"), F.lit(None).cast("string").alias("drift_severity"))
+            F.lit(None).cast("boolean").alias("drift_detected"), F.lit(None).cast("string").alias("drift_severity"),
+            *no_rows, ppos(F.col("feature")).cast("int").alias("pos"))
         rows = rows.unionByName(hp)
-    for side, frame in (("ref", ref), ("cur", cur)):
-        if frame is not None:
-            rows = rows.unionByName(frame.select(
-                F.lit(side).alias("kind"), F.lit(None).cast("string").alias("name"),
-                F.lit(None).cast("int").alias("pos"), F.lit(None).cast("boolean").alias("drift_detected"),
-                F.lit(None).cast("string").alias("drift_severity")))
-    del schema
+    if rows_df is not None:
+        rows = rows.unionByName(rows_df.select(
+            F.lit("rows").alias("kind"), F.lit(None).cast("string").alias("name"),
+            F.lit(None).cast("boolean").alias("drift_detected"), F.lit(None).cast("string").alias("drift_severity"),
+            F.col("reference_rows").cast("bigint").alias("ref_rows"),
+            F.col("current_rows").cast("bigint").alias("cur_rows"), F.lit(None).cast("int").alias("pos")))
     total = len(numerical_features) + len(categorical_features)
     is_feat = F.col("kind") == "feature"
 
@@ -254,8 +302,8 @@ def _report_row(numeric: DataFrame, categorical: DataFrame, distribution: DataFr
             ordered(is_feat & (F.col("drift_severity") == "medium"), "medium_drift_features"),
             ordered(is_feat & (F.col("drift_severity") == "low"), "low_drift_features"),
             ordered(F.col("kind") == "psi", "high_psi_features"),
-            F.count_if(F.col("kind") == "ref").alias("reference_rows"),
-            F.count_if(F.col("kind") == "cur").alias("current_rows")]
+            F.coalesce(F.max("ref_rows"), F.lit(0)).cast("bigint").alias("reference_rows"),
+            F.coalesce(F.max("cur_rows"), F.lit(0)).cast("bigint").alias("current_rows")]
     agg = rows.agg(*aggs)
     score = (F.col("drifted_features") / F.lit(total)) if total > 0 else F.lit(0.0)
     return agg.select(F.lit(total).alias("total_features"), "*",
@@ -306,27 +354,33 @@ def drift_alerts(numeric: DataFrame, categorical: DataFrame, distribution: DataF
     return row.select("overall_drift_score", *_alert_columns())
 
 
+def _shared(ref: DataFrame, cur: DataFrame, numerical_features: list[str], categorical_features: list[str]):
+    """Scan both samples once: the value-count aggregate is checkpointed and every
+    statistic reads it; the small KS table feeds both numeric and distribution drift."""
+    g = materialize(drift_counts(ref, cur, numerical_features, categorical_features))
+    ks = materialize(ks_wasserstein(ref, cur, numerical_features, counts=g))
+    num = numeric_drift(ref, cur, numerical_features, ks=ks, counts=g)
+    cat = categorical_drift(ref, cur, categorical_features, counts=g)
+    dist = distribution_drift(ref, cur, numerical_features, ks=ks, counts=g)
+    return g, num, cat, dist
+
+
 def detect_drift(ref: DataFrame, cur: DataFrame, numerical_features: list[str],
                  categorical_features: list[str]) -> dict[str, DataFrame]:
-    """All drift tables; nothing is collected."""
-    ks = ks_wasserstein(ref, cur, numerical_features)
-    num = numeric_drift(ref, cur, numerical_features, ks=ks)
-    cat = categorical_drift(ref, cur, categorical_features)
-    dist = distribution_drift(ref, cur, numerical_features, ks=ks)
+    """All drift tables from one scan of each sample; nothing is collected."""
+    g, num, cat, dist = _shared(ref, cur, numerical_features, categorical_features)
     return {"numerical": num, "categorical": cat, "distribution": dist,
             "summary": drift_summary(num, cat, numerical_features, categorical_features),
             "alerts": drift_alerts(num, cat, dist, numerical_features, categorical_features),
-            "proportions": category_proportions(ref, cur, categorical_features)}
+            "proportions": category_proportions(ref, cur, categorical_features, counts=g),
+            "rows": row_counts(g)}
 
 
 def drift_report(ref: DataFrame, cur: DataFrame, numerical_features: list[str],
                  categorical_features: list[str]) -> DataFrame:
     """R12 one-row report: shapes, summary, alerts and recommendations."""
-    ks = ks_wasserstein(ref, cur, numerical_features)
-    num = numeric_drift(ref, cur, numerical_features, ks=ks)
-    cat = categorical_drift(ref, cur, categorical_features)
-    dist = distribution_drift(ref, cur, numerical_features, ks=ks)
-    row = _report_row(num, cat, dist, numerical_features, categorical_features, ref=ref.select(), cur=cur.select())
+    g, num, cat, dist = _shared(ref, cur, numerical_features, categorical_features)
+    row = _report_row(num, cat, dist, numerical_features, categorical_features, rows_df=row_counts(g))
     return row.select("reference_rows", F.lit(len(ref.columns)).alias("reference_columns"),
                       "current_rows", F.lit(len(cur.columns)).alias("current_columns"),
                       *SUMMARY_COLS, *_alert_columns())

@@ -114,9 +114,13 @@ def hashed_rank(df: DataFrame, group_cols: list[str], key_col: str, seed: int |
 
 def cumulative(long_df: DataFrame, group_cols: list[str], value_col: str,
                weights: dict[str, Column], buckets: int = DEFAULT_BUCKETS,
-               accuracy: int = 10000, bounded_groups: bool = True) -> DataFrame:
+               accuracy: int = 10000, bounded_groups: bool = True,
+               preaggregated: bool = False) -> DataFrame:
     """Running totals of ``weights`` over ``value_col`` inside each group.
 
+    With ``preaggregated`` the input already has one row per (group, value) and
+    ``weights`` are row expressions (e.g. ``F.col("r")``), so no grouping is redone.
+
     Returns one row per distinct (group, value) with, for every weight ``w``:
     ``w`` (total at this value), ``w_cum`` (total up to and including this
     value), ``w_total`` (group total); plus ``next_value`` (the next larger
@@ -130,14 +134,17 @@ def cumulative(long_df: DataFrame, group_cols: list[str], value_col: str,
     names = list(weights)
     if not group_cols:
         out = cumulative(long_df.withColumn("_g", F.lit(0)), ["_g"], value_col, weights,
-                         buckets, accuracy, True)
+                         buckets, accuracy, True, preaggregated)
         return out.drop("_g")
     base, gk = non_null_keys(long_df, list(group_cols))
     extra = [k for k in gk if k not in group_cols]
     # grouping by the stand-in keys *and* the originals is the same grouping; the
     # originals ride along while every window/join below is keyed on ``gk`` only
-    agg = base.groupBy(*gk, *[g for g in group_cols if g not in gk], value_col).agg(
-        *[e.alias(n) for n, e in weights.items()])
+    carried = [g for g in group_cols if g not in gk]
+    if preaggregated:
+        agg = base.select(*gk, *carried, value_col, *[e.alias(n) for n, e in weights.items()])
+    else:
+        agg = base.groupBy(*gk, *carried, value_col).agg(*[e.alias(n) for n, e in weights.items()])
     probs = [i / buckets for i in range(1, buckets)]
     bounds = agg.groupBy(*gk).agg(
         F.percentile_approx(value_col, probs, accuracy).alias("_bounds"),

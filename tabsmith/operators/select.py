@@ -56,12 +56,17 @@ def combine_selection(a: DataFrame, b: DataFrame, method: str = "union",
 
 
 def _contingency(df: DataFrame, features: list[str], target: str) -> DataFrame:
-    """(feature, x, y, n) for every feature in one aggregation; nulls dropped."""
+    """(feature, x, y, n) for every feature in one aggregation; nulls dropped.
+
+    The table (features x categories x classes rows) is checkpointed: every
+    statistic below reads it several times and the input is scanned once.
+    """
     stacked = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), col(f).cast("string").alias("x"))
                                   for f in features]))
     long = df.select(col(target).cast("string").alias("y"), stacked.alias("kv")) \
              .select("kv.feature", "kv.x", "y").where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    return long.groupBy("feature", "x", "y").agg(F.count(F.lit(1)).alias("n"))
+    from tabsmith.session import materialize
+    return materialize(long.groupBy("feature", "x", "y").agg(F.count(F.lit(1)).alias("n")))
 
 
 def chi2_independence(df: DataFrame, features: list[str], target: str, alpha: float = 0.05) -> DataFrame:

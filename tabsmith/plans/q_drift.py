@@ -221,19 +221,14 @@ SUMM = ("total_features, evaluated_features, drifted_features, round(overall_dri
 @query("drift_summary", _with(f"SELECT {SUMM} FROM summ"))
 def drift_summary(spark, sf):
     ref, cur = samples(spark, sf)
-    num = drift.numeric_drift(ref, cur, NUM)
-    cat = drift.categorical_drift(ref, cur, CAT)
-    return rounded(drift.drift_summary(num, cat, NUM, CAT))
+    return rounded(drift.detect_drift(ref, cur, NUM, CAT)["summary"])
 
 
 @query("drift_alerts", _with("SELECT round(overall_drift_score, 6) AS overall_drift_score, alerts, recommendations "
                              "FROM alerts"))
 def drift_alerts(spark, sf):
     ref, cur = samples(spark, sf)
-    num = drift.numeric_drift(ref, cur, NUM)
-    cat = drift.categorical_drift(ref, cur, CAT)
-    dist = drift.distribution_drift(ref, cur, NUM)
-    return rounded(drift.drift_alerts(num, cat, dist, NUM, CAT))
+    return rounded(drift.detect_drift(ref, cur, NUM, CAT)["alerts"])
 
 
 @query("drift_report", _with(f"""

@@ -39,6 +39,22 @@ def get_spark(app: str = "tabsmith", cpus: int | str | None = None,
     return spark
 
 
+# Settings for the 100 TB / 1000-executor target (applied by the cluster operator, not by
+# the library): many initial shuffle partitions that AQE coalesces to ~256 MB each,
+# skew-join splitting, and a broadcast threshold the bounded dimension tables fit in.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -62,3 +78,14 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     """A fresh sub-folder of the shared checkpoint folder."""
     root = checkpoint_root(spark)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Cut lineage: reliable checkpoint into the shared checkpoint folder (eager).
+
+    Used for small intermediate aggregates that several statistics read, so
+    the raw data is scanned once.  Never ``localCheckpoint``: a reliable
+    checkpoint survives executor loss.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
