@@ -97,7 +97,7 @@ def row_counts(counts: DataFrame) -> DataFrame:
 
 def ks_wasserstein(ref: DataFrame, cur: DataFrame, cols: list[str], counts: DataFrame | None = None) -> DataFrame:
     """R1 + R5: (feature, n_ref, n_cur, ks_statistic, wasserstein) from one running-count pass."""
-    g = counts if counts is not None else drift_counts(ref, cur, cols, [])
+    g = counts if counts is not None else materialize(drift_counts(ref, cur, cols, []))
     cum = cumulative(_num(g), ["feature"], "value", {"r": F.col("r"), "c": F.col("c")}, preaggregated=True)
     # an empty side gives null gaps (the feature is then left out), not a division error
     gap = F.abs(F.try_divide("r_cum", "r_total") - F.try_divide("c_cum", "c_total"))
@@ -109,7 +109,7 @@ def ks_wasserstein(ref: DataFrame, cur: DataFrame, cols: list[str], counts: Data
 
 def moments(ref: DataFrame, cur: DataFrame, cols: list[str], counts: DataFrame | None = None) -> DataFrame:
     """R2 inputs: mean and sample std of each side (exact two-pass over the value counts)."""
-    g = _num(counts if counts is not None else drift_counts(ref, cur, cols, []))
+    g = _num(counts if counts is not None else materialize(drift_counts(ref, cur, cols, [])))
     x = F.col("value")
     m = g.groupBy("feature").agg(
         F.try_divide(F.sum(x * F.col("r")), F.sum("r")).alias("reference_mean"),
@@ -132,7 +132,7 @@ def numeric_drift(ref: DataFrame, cur: DataFrame, cols: list[str], threshold: fl
 
     Features with an empty side are left out (as the reference does).
     """
-    g = counts if counts is not None else drift_counts(ref, cur, cols, [])
+    g = counts if counts is not None else materialize(drift_counts(ref, cur, cols, []))
     ks = (ks if ks is not None else ks_wasserstein(ref, cur, cols, g)).where(
         (F.col("n_ref") > 0) & (F.col("n_cur") > 0))
     m = moments(ref, cur, cols, g)
@@ -212,7 +212,7 @@ def psi(ref: DataFrame, cur: DataFrame, cols: list[str], bins: int = PSI_BINS,
     [v - 0.5, v + 0.5]; the last bin is closed; current values outside the
     range are dropped; an empty in-range current sample gives null.
     """
-    g = _num(counts if counts is not None else drift_counts(ref, cur, cols, []))
+    g = _num(counts if counts is not None else materialize(drift_counts(ref, cur, cols, [])))
     rng = (g.where(F.col("r") > 0).groupBy("feature")
             .agg(F.min("value").alias("mn"), F.max("value").alias("mx"))
             .select("feature",
@@ -248,7 +248,7 @@ def bin_of(v) -> "F.Column":
 def distribution_drift(ref: DataFrame, cur: DataFrame, cols: list[str], ks: DataFrame | None = None,
                        counts: DataFrame | None = None) -> DataFrame:
     """PSI, its interpretation and the Wasserstein distance per numeric feature."""
-    g = counts if counts is not None else drift_counts(ref, cur, cols, [])
+    g = counts if counts is not None else materialize(drift_counts(ref, cur, cols, []))
     w = (ks if ks is not None else ks_wasserstein(ref, cur, cols, g)).where(
         (F.col("n_ref") > 0) & (F.col("n_cur") > 0))
     return psi(ref, cur, cols, counts=g).join(w.select("feature", "wasserstein"), "feature")

@@ -144,7 +144,10 @@ def cumulative(long_df: DataFrame, group_cols: list[str], value_col: str,
     if preaggregated:
         agg = base.select(*gk, *carried, value_col, *[e.alias(n) for n, e in weights.items()])
     else:
-        agg = base.groupBy(*gk, *carried, value_col).agg(*[e.alias(n) for n, e in weights.items()])
+        # the distinct-value table is read by the bounds, the window and the offsets:
+        # checkpoint it so the input is scanned once
+        from tabsmith.session import materialize
+        agg = materialize(base.groupBy(*gk, *carried, value_col).agg(*[e.alias(n) for n, e in weights.items()]))
     probs = [i / buckets for i in range(1, buckets)]
     bounds = agg.groupBy(*gk).agg(
         F.percentile_approx(value_col, probs, accuracy).alias("_bounds"),
