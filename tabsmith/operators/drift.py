@@ -218,9 +218,9 @@ def psi(ref: DataFrame, cur: DataFrame, cols: list[str], bins: int = PSI_BINS,
             .select("feature",
                     F.when(F.col("mn") == F.col("mx"), F.col("mn") - 0.5).otherwise(F.col("mn")).alias("lo"),
                     F.when(F.col("mn") == F.col("mx"), F.col("mx") + 0.5).otherwise(F.col("mx")).alias("hi")))
-    binned = (g.join(F.broadcast(with_edges(rng, bins)), "feature")  # one row per feature: bounded
-               .where((F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi")))
-               .select("feature", bin_of(F.col("value")).alias("bin"), "r", "c"))
+    inrange = (g.join(F.broadcast(with_edges(rng, bins)), "feature")  # one row per feature: bounded
+                .where((F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi"))))
+    binned = with_bin(inrange, F.col("value"), bins).select("feature", "bin", "r", "c")
     counts_b = binned.groupBy("feature", "bin").agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
     # bins empty on both sides add (eps - eps) * ln(1) = 0, so only observed bins are summed
     fw = Window.partitionBy("feature")   # <= bins rows per feature
@@ -239,10 +239,11 @@ def with_edges(rng: DataFrame, bins: int) -> DataFrame:
     return rng.withColumn("_edges", F.array(*[F.lit(float(i)) * step + F.col("lo") for i in range(1, bins)]))
 
 
-def bin_of(v) -> "F.Column":
+def with_bin(df: DataFrame, v, bins: int, out: str = "bin") -> DataFrame:
     """numpy.histogram bin of an in-range value: the number of interior edges <= v
     (the last bin is closed because the top edge is not interior)."""
-    return F.size(F.filter("_edges", lambda e: e <= v))
+    from tabsmith.operators.ranking import with_sorted_position
+    return with_sorted_position(df, "_edges", bins - 1, v, out, strict=False)
 
 
 def distribution_drift(ref: DataFrame, cur: DataFrame, cols: list[str], ks: DataFrame | None = None,

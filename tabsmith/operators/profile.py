@@ -222,9 +222,9 @@ def histogram(df: DataFrame, cols: list[str], bins: int = 30) -> DataFrame:
     rng = long.groupBy("feature").agg(F.min("value").alias("mn"), F.max("value").alias("mx")).select(
         "feature", F.when(F.col("mn") == F.col("mx"), F.col("mn") - 0.5).otherwise(F.col("mn")).alias("lo"),
         F.when(F.col("mn") == F.col("mx"), F.col("mx") + 0.5).otherwise(F.col("mx")).alias("hi"))
-    from tabsmith.operators.drift import bin_of, with_edges
-    binned = long.join(F.broadcast(with_edges(rng, bins)), "feature").select(   # one row per feature
-        "feature", bin_of(F.col("value")).alias("bin"))
+    from tabsmith.operators.drift import with_bin, with_edges
+    binned = with_bin(long.join(F.broadcast(with_edges(rng, bins)), "feature"),   # one row per feature
+                      F.col("value"), bins).select("feature", "bin")
     counts = binned.groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("count"))
     grid = rng.select("feature", "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     step = (F.col("hi") - F.col("lo")) / bins

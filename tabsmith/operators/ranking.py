@@ -79,6 +79,28 @@ def non_null_keys(df: DataFrame, group_cols: list[str]) -> tuple[DataFrame, list
     return out, keys
 
 
+def with_sorted_position(df: DataFrame, arr_col: str, length: int, value: Column, out: str,
+                         strict: bool = True) -> DataFrame:
+    """``out`` = number of elements of the ascending array ``arr_col`` (``length``
+    elements) that are ``< value`` (``<= value`` when not ``strict``).
+
+    A binary search of ``ceil(log2(length + 1))`` steps, one projection per step,
+    all built-in codegen expressions (a ``filter`` lambda over the array is
+    interpreted per element and costs ``length`` evaluations per row).
+    """
+    steps, p = [], 1
+    while p <= length:
+        steps.append(p)
+        p *= 2
+    d = df.withColumn(out, F.lit(0))
+    for step in reversed(steps):
+        nxt = F.col(out) + step
+        probe = F.element_at(F.col(arr_col), F.least(nxt, F.lit(length)).cast("int"))
+        hit = (probe < value) if strict else (probe <= value)
+        d = d.withColumn(out, F.when((nxt <= length) & hit, nxt).otherwise(F.col(out)))
+    return d
+
+
 def hash_order(key: Column, seed: int | str) -> Column:
     """Deterministic pseudo-random order: md5 hex of ``seed || key``."""
     return F.md5(F.concat_ws("", F.lit(str(seed)), key.cast("string")))
@@ -156,7 +178,7 @@ def cumulative(long_df: DataFrame, group_cols: list[str], value_col: str,
     v = F.col(value_col)
     # explicit (group, bucket) distribution: a partitioning by group alone would also
     # satisfy the window below and put a whole group in one task
-    with_b = (with_b.withColumn("_b", F.size(F.filter("_bounds", lambda b: b < v))).drop("_bounds")
+    with_b = (with_sorted_position(with_b, "_bounds", buckets - 1, v, "_b").drop("_bounds")
                     .repartition(*gk, "_b"))
     part = Window.partitionBy(*gk, "_b")
     w = part.orderBy(value_col)
