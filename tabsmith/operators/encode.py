@@ -127,7 +127,10 @@ def fit_frequency(df: DataFrame, columns: list[str], unknown: str = "Unknown") -
     long = df.select(stacked.alias("kv")).select("kv.feature", "kv.value")
     counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
     total = F.sum("n").over(Window.partitionBy("feature"))
-    return counts.select("feature", "value", (F.col("n") / total).alias("freq"))
+    # the fitted map is a parameter table: checkpoint it so every transform (one join per
+    # column) reads it instead of re-running the fit over the training data
+    from tabsmith.session import materialize
+    return materialize(counts.select("feature", "value", (F.col("n") / total).alias("freq")))
 
 
 def frequency(df: DataFrame, mapping: DataFrame, columns: list[str], prefix: str = "Enc ",

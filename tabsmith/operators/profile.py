@@ -163,20 +163,23 @@ def correlation(df: DataFrame, cols: list[str], lower_only: bool = False) -> Dat
     pairs = list(combinations(cols, 2))
     if not pairs:
         return df.sparkSession.createDataFrame([], "feature_a string, feature_b string, corr double")
-    exprs = [F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-                      F.corr(col(a).cast("double"), col(b).cast("double")).alias("corr")) for a, b in pairs]
     parts = []
-    for i in range(0, len(exprs), AGG_CHUNK):
-        chunk = exprs[i:i + AGG_CHUNK]
-        row = df.agg(*[e.alias(f"p{j}") for j, e in enumerate(chunk)])
-        parts.append(row.select(F.explode(F.array(*[f"p{j}" for j in range(len(chunk))])).alias("s")).select("s.*"))
+    for i in range(0, len(pairs), AGG_CHUNK):
+        chunk = pairs[i:i + AGG_CHUNK]
+        row = df.agg(*[F.corr(col(a).cast("double"), col(b).cast("double")).alias(f"p{j}")
+                       for j, (a, b) in enumerate(chunk)])
+        entries = []
+        for j, (a, b) in enumerate(chunk):
+            entries.append(F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
+                                    F.col(f"p{j}").alias("corr")))
+            if not lower_only:   # the symmetric entry comes from the same aggregate row
+                entries.append(F.struct(F.lit(b).alias("feature_a"), F.lit(a).alias("feature_b"),
+                                        F.col(f"p{j}").alias("corr")))
+        parts.append(row.select(F.explode(F.array(*entries)).alias("s")).select("s.*"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    if lower_only:
-        return out
-    mirrored = out.select(F.col("feature_b").alias("feature_a"), F.col("feature_a").alias("feature_b"), "corr")
-    return out.unionByName(mirrored)
+    return out
 
 
 def high_correlation(corr_long: DataFrame, threshold: float = 0.8) -> DataFrame:

@@ -119,15 +119,18 @@ def hashed_rank(df: DataFrame, group_cols: list[str], key_col: str, seed: int |
     base, gk = non_null_keys(df, list(group_cols))
     d = (base.withColumn("_h", h)
              .withColumn("_b", F.conv(F.substring("_h", 1, bucket_hex_digits), 16, 10).cast("int")))
-    w = Window.partitionBy(*gk, "_b").orderBy("_h", key_col)
-    local = d.withColumn("_local", F.row_number().over(w) - 1)
-    counts = d.groupBy(*gk, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
+    part = Window.partitionBy(*gk, "_b")
+    w = part.orderBy("_h", key_col)
+    # bucket sizes come out of the same window stage: the input is read once
+    local = d.withColumn("_local", F.row_number().over(w) - 1).withColumn("_cnt", F.count(F.lit(1)).over(part))
+    counts = local.groupBy(*gk, "_b").agg(F.first("_cnt").alias("_cnt"))
     gw = Window.partitionBy(*gk).orderBy("_b")
     offsets = (counts
                .withColumn("_off", F.coalesce(F.sum("_cnt").over(
                    gw.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
                .withColumn(size_col, F.sum("_cnt").over(Window.partitionBy(*gk)))
                .drop("_cnt"))
+    local = local.drop("_cnt")
     joined = local.join(offsets, gk + ["_b"])   # plain keys: reuses the window's partitioning
     extra = [k for k in gk if k not in group_cols]
     return (joined.withColumn(rank_col, (F.col("_off") + F.col("_local")).cast("long"))
