@@ -179,6 +179,23 @@ def encoder_registry(spark, encoders: dict[str, list[str]]) -> DataFrame:
     return spark.createDataFrame(rows, "encoder string, column string")
 
 
+def encoder_summary(df: DataFrame, encoders: dict[str, list[str]]) -> DataFrame:
+    """E7 with the fitted sizes: (encoder, column, n_categories, has_null) from one
+    long-form aggregation over every encoded column."""
+    cols = sorted({c for cs in encoders.values() for c in cs})
+    stacked = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), col(c).cast("string").alias("value"))
+                                  for c in cols]))
+    per = (df.select(stacked.alias("kv")).select("kv.column", "kv.value")
+             .groupBy("column", "value").agg(F.count(F.lit(1)).alias("_n"))
+             .groupBy("column").agg(F.count("value").alias("n_categories"),
+                                    F.max(F.col("value").isNull()).alias("has_null")))
+    reg = F.explode(F.array(*[F.struct(F.lit(e).alias("encoder"), F.lit(c).alias("column"))
+                              for e, cs in encoders.items() for c in cs]))
+    names = per.select("column", "n_categories", "has_null")
+    return names.select(reg.alias("r"), "*").where(F.col("r.column") == F.col("column")) \
+                .select("r.encoder", "column", "n_categories", "has_null")
+
+
 # -- E8 full pre-split encoding ---------------------------------------------------
 
 def encode_frame(df: DataFrame, target: str, date_columns: list[str] | None = None,

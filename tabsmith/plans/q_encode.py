@@ -440,3 +440,21 @@ def process_splits(spark, sf):
                 "age_at_injury", wage="average_weekly_wage", dependents="number_of_dependents")
     return rounded(out.select("claim_identifier", "split", "age_at_injury", "birth_year", "average_weekly_wage",
                               "Relative_Wage", "Age_Group", "Financial Impact Category"))
+
+
+@query("encoder_registry", with_claims("""
+WITH r(encoder, "column") AS (VALUES ('one_hot', 'gender'), ('one_hot', 'carrier_type'),
+                                      ('frequency', 'county_of_injury'), ('frequency', 'industry_code'),
+                                      ('label', 'claim_injury_type')),
+v AS (SELECT 'gender' AS "column", gender AS value FROM claims
+      UNION ALL SELECT 'carrier_type', carrier_type FROM claims
+      UNION ALL SELECT 'county_of_injury', county_of_injury FROM claims
+      UNION ALL SELECT 'industry_code', industry_code FROM claims
+      UNION ALL SELECT 'claim_injury_type', claim_injury_type FROM claims),
+s AS (SELECT "column", count(DISTINCT value) AS n_categories, bool_or(value IS NULL) AS has_null FROM v GROUP BY 1)
+SELECT r.encoder, s."column", s.n_categories, s.has_null FROM r JOIN s USING ("column")
+"""))
+def encoder_registry(spark, sf):
+    enc = {"one_hot": ["gender", "carrier_type"], "frequency": ["county_of_injury", "industry_code"],
+           "label": ["claim_injury_type"]}
+    return encode.encoder_summary(claims(spark, sf), enc)
