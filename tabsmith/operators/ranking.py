@@ -177,7 +177,20 @@ def cumulative(long_df: DataFrame, group_cols: list[str], value_col: str,
     bounds = agg.groupBy(*gk).agg(
         F.percentile_approx(value_col, probs, accuracy).alias("_bounds"),
         *[F.sum(n).alias(f"{n}_total") for n in names])
-    with_b = agg.join(F.broadcast(bounds) if bounded_groups else bounds, gk)
+    if bounded_groups and len(gk) == 1:
+        # few groups (e.g. the unpivoted column names): the bounds are a small fitted
+        # parameter (groups x buckets doubles).  Looked up from a constant-folded literal
+        # map, they are never copied into the rows (a join would attach the whole array
+        # to every row).
+        b_rows = bounds.collect()
+        key = gk[0]
+        bmap = F.create_map(*[x for r in b_rows for x in (F.lit(r[key]), F.array(*[F.lit(float(b)) for b in r["_bounds"]]))])
+        with_b = agg.withColumn("_bounds", bmap[F.col(key)])
+        for n in names:
+            tmap = F.create_map(*[x for r in b_rows for x in (F.lit(r[key]), F.lit(r[f"{n}_total"]))])
+            with_b = with_b.withColumn(f"{n}_total", tmap[F.col(key)])
+    else:
+        with_b = agg.join(F.broadcast(bounds) if bounded_groups else bounds, gk)
     v = F.col(value_col)
     # explicit (group, bucket) distribution: a partitioning by group alone would also
     # satisfy the window below and put a whole group in one task
