@@ -125,3 +125,16 @@ def test_permutation_of_constant_feature_is_zero(spark):
     pi = {r["feature"]: r for r in models.permutation_importance(m, df, ["x", "const"], "y", "k", 3).collect()}
     assert pi["const"]["importance_mean"] == 0.0 and pi["const"]["importance_std"] == 0.0
     assert pi["x"]["importance_mean"] > 0.1
+
+
+def test_schema_difference_and_profile_bundle(spark):
+    from tabsmith.operators.columns import schema_difference
+    a = spark.createDataFrame([(1, 2.0)], "k int, x double")
+    b = spark.createDataFrame([(1, "s")], "k int, y string")
+    got = sorted(tuple(r) for r in schema_difference(spark, a, b).collect())
+    assert got == [("x", "left"), ("y", "right")]
+    bundle = profile.profile(spark.createDataFrame([(i, float(i) if i % 3 else None) for i in range(20)],
+                                                   "k int, x double"), "k", ["x"], n_head=5)
+    assert set(bundle) == {"describe", "missing", "shape", "head"}
+    assert bundle["shape"].first()["rows"] == 20 and bundle["head"].count() == 5
+    assert bundle["missing"].first()["missing"] == 7
