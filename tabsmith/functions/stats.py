@@ -6,13 +6,19 @@ Both run on tables of one row per feature, after the distributed work.
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+# The chi-square UDF below runs in Python workers.  Pickling this module by value
+# makes the UDF self-contained, so workers need no copy of the package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def ks_pvalue(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
     """Asymptotic two-sample KS p-value (Kolmogorov limit law).

@@ -53,3 +53,17 @@ def test_validate_and_drift_stream(spark):
     rep = spark.read.parquet(f"{out}/drift").collect()
     assert len(rep) == 2 and all(r["drifted_features"] == 0 for r in rep)
     assert glob.glob(f"{out}/drift/batch_id=*")
+
+
+def test_entry_from_foreign_cwd():
+    """The driver loads the entry file from elsewhere: Python workers must not need the package."""
+    import subprocess
+    import sys
+    code = ("import importlib.util\n"
+            "spec = importlib.util.spec_from_file_location('e', '/root/repo/__spark_entry__.py')\n"
+            "m = importlib.util.module_from_spec(spec); spec.loader.exec_module(m)\n"
+            "from pyspark.sql import SparkSession\n"
+            "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+            "print('rows', m.queries()['chi2_drift'](s, '/root/testdata/sf0.001').count())\n")
+    out = subprocess.run([sys.executable, "-c", code], cwd="/tmp", capture_output=True, text=True, timeout=600)
+    assert "rows 2" in out.stdout, out.stderr[-2000:]
