@@ -62,13 +62,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting points at shared storage and is always read
-    from the session.  Only when it is unset (tests, local runs) a private
-    folder is created and registered.
+    from the session.  Only when it is unset on a ``local[...]`` master a
+    private folder is created and registered; any other master raises.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         if not path:
+            if not sc.master.split("[")[0] == "local":
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             path = tempfile.mkdtemp(prefix="tabsmith-ckpt-")
             try:
                 spark.conf.set("spark.checkpoint.dir", path)
