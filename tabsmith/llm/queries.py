@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 from tabsmith.llm.bpe import op6_byte_bpe
+from tabsmith.llm.decontam import op3_decontamination
+from tabsmith.llm.pii import op7_pii
+from tabsmith.llm.quality_crf import op9_quality_crf
 from tabsmith.llm.simhash import op1_simhash
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op3_decontamination": op3_decontamination,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_pii": op7_pii,
+    "op9_quality_crf": op9_quality_crf,
 }
 
 ORACLE = {}
