@@ -7,6 +7,7 @@ from tabsmith.llm.decontam import op3_decontamination
 from tabsmith.llm.pii import op7_pii
 from tabsmith.llm.quality_crf import op9_quality_crf
 from tabsmith.llm.simhash import op1_simhash
+from tabsmith.llm.suffix_dedup import op10_suffix_array
 
 QUERIES = {
     "op1_simhash": op1_simhash,
@@ -14,6 +15,7 @@ QUERIES = {
     "op6_byte_bpe": op6_byte_bpe,
     "op7_pii": op7_pii,
     "op9_quality_crf": op9_quality_crf,
+    "op10_suffix_array": op10_suffix_array,
 }
 
 ORACLE = {}
