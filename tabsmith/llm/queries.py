@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tabsmith.llm.bpe import op6_byte_bpe
 from tabsmith.llm.decontam import op3_decontamination
+from tabsmith.llm.embed_dedup import op5_ego_join
 from tabsmith.llm.pii import op7_pii
 from tabsmith.llm.quality_crf import op9_quality_crf
 from tabsmith.llm.simhash import op1_simhash
@@ -12,6 +13,7 @@ from tabsmith.llm.suffix_dedup import op10_suffix_array
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op3_decontamination": op3_decontamination,
+    "op5_ego_join": op5_ego_join,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_pii": op7_pii,
     "op9_quality_crf": op9_quality_crf,
