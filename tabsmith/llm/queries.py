@@ -5,6 +5,7 @@ from __future__ import annotations
 from tabsmith.llm.bpe import op6_byte_bpe
 from tabsmith.llm.decontam import op3_decontamination
 from tabsmith.llm.embed_dedup import op5_ego_join
+from tabsmith.llm.lang_id import op8_language_id
 from tabsmith.llm.pii import op7_pii
 from tabsmith.llm.quality_crf import op9_quality_crf
 from tabsmith.llm.simhash import op1_simhash
@@ -16,6 +17,7 @@ QUERIES = {
     "op5_ego_join": op5_ego_join,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_pii": op7_pii,
+    "op8_language_id": op8_language_id,
     "op9_quality_crf": op9_quality_crf,
     "op10_suffix_array": op10_suffix_array,
 }
