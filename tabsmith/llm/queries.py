@@ -10,10 +10,13 @@ from tabsmith.llm.pii import op7_pii
 from tabsmith.llm.quality_crf import op9_quality_crf
 from tabsmith.llm.simhash import op1_simhash
 from tabsmith.llm.suffix_dedup import op10_suffix_array
+from tabsmith.llm.warc import ORACLE_SQL as WARC_SQL
+from tabsmith.llm.warc import op4_warc_index
 
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op3_decontamination": op3_decontamination,
+    "op4_warc_index": op4_warc_index,
     "op5_ego_join": op5_ego_join,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_pii": op7_pii,
@@ -22,4 +25,6 @@ QUERIES = {
     "op10_suffix_array": op10_suffix_array,
 }
 
-ORACLE = {}
+ORACLE = {
+    "op4_warc_index": WARC_SQL,
+}
