@@ -8,6 +8,7 @@ from tabsmith.llm.embed_dedup import op5_ego_join
 from tabsmith.llm.lang_id import op8_language_id
 from tabsmith.llm.pii import op7_pii
 from tabsmith.llm.quality_crf import op9_quality_crf
+from tabsmith.llm.secret_scan import op2_secret_scan
 from tabsmith.llm.simhash import op1_simhash
 from tabsmith.llm.suffix_dedup import op10_suffix_array
 from tabsmith.llm.warc import ORACLE_SQL as WARC_SQL
@@ -15,6 +16,7 @@ from tabsmith.llm.warc import op4_warc_index
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_secret_scan": op2_secret_scan,
     "op3_decontamination": op3_decontamination,
     "op4_warc_index": op4_warc_index,
     "op5_ego_join": op5_ego_join,
