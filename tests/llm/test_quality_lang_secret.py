@@ -1,0 +1,143 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tabsmith.llm import lang_id, quality_crf, secret_scan
+from tests.conftest import SF01
+
+
+def test_line_features_do_not_depend_on_the_batch():
+    table = quality_crf.char_table()
+    texts = ["One two.\n\nSEE see see see!\n", "", "a | b | ### | c", "  x\ty", "same\nsame\nother", "é" * 50, "\n", "𝒳 𝒴"]
+    every, per_text, length = quality_crf.line_features(texts, table)
+    at = 0
+    for t, n in zip(texts, per_text, strict=True):
+        one, per_one, len_one = quality_crf.line_features([t], table)
+        assert per_one.tolist() == [n] == [t.count("\n") + 1]
+        assert np.allclose(one, every[at:at + n]) and (len_one == length[at:at + n]).all()
+        at += n
+    seen = quality_crf.line_features(["same\nsame\nother"], table)[0][:, quality_crf.NAMES.index("seen_line")]
+    assert seen.tolist() == [0, 1, 0]
+
+
+def test_forward_backward_equals_enumeration():
+    rng = np.random.default_rng(0)
+    for n in (1, 2, 5):
+        u, trans = rng.normal(size=n), rng.normal(size=(2, 2))
+        paths = np.array(np.meshgrid(*[[0, 1]] * n, indexing="ij")).reshape(n, -1).T
+        w = np.exp([sum(u[t] * p[t] for t in range(n)) + sum(trans[a, b] for a, b in zip(p, p[1:], strict=False)) for p in paths])
+        pair = np.zeros((2, 2))
+        for p, x in zip(paths, w, strict=True):
+            for a, b in zip(p, p[1:], strict=False):
+                pair[a, b] += x / w.sum()
+        values, mask = quality_crf.pad(np.concatenate([u, rng.normal(size=7)]), np.array([n, 7]))
+        z, good, both = quality_crf.forward_backward(values[:1, :], mask[:1], trans)
+        assert np.isclose(z[0], np.log(w.sum())) and np.allclose(good[0, :n], (paths * w[:, None]).sum(axis=0) / w.sum())
+        assert np.allclose(both, pair)
+
+
+def test_quality_on_held_out_documents(spark):
+    from tabsmith.llm.quality_crf import op9_quality_crf
+    got = {r.doc_id: r for r in op9_quality_crf(spark, SF01).collect()}
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF01}/labels.parquet").collect()}
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 3 == 1) and 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5)
+               for i, r in got.items())
+    held = [i for i in labels if i in got and got[i].held_out]
+    assert len(held) > 80 and np.mean([got[i].predicted == labels[i] for i in held]) > 0.97
+
+
+def test_quality_edge_cases(spark):
+    good, bad = "A plain line of prose.\nAnd another one, quite ordinary.", "x### ### ###\n### | ### | ###"
+    rows = [(i, good if i % 2 else bad, "s", 0.5) for i in range(40)] + [(None, None, "s", None), (90, "", None, None), (90, "", None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, score double")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(None, 1), (1, 1), (91, None), (92, 7)], "doc_id long, quality int")
+    model = quality_crf.train(df, labels)
+    got = quality_crf.classify(df, model)
+    assert got.columns == ["doc_id", "text", "source", "score", "predicted"] and got.count() == len(rows)
+    assert all(r.predicted == r.doc_id % 2 for r in got.where("doc_id < 40").collect())
+    assert quality_crf.keep_good(df, model).columns == df.columns
+    assert quality_crf.train(df, labels.limit(0)) == {"prior": 0.5}
+    assert quality_crf.train(df.limit(0), labels) == {"prior": 0.5}
+    assert {r.score for r in quality_crf.classify(df, {"prior": 1.0}).collect()} == {1.0}
+    assert quality_crf.classify(df.limit(0), model).count() == 0
+    long = "\n".join([good] * 3000)
+    assert quality_crf.score([long, good], model, quality_crf.char_table()).min() > 0.5
+
+
+def test_language_on_held_out_documents(spark):
+    got = lang_id.op8_language_id(spark, SF01)
+    truth = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "lang")
+    rows = got.join(truth, "doc_id").collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
+    held = [r for r in rows if r.held_out]
+    assert len(held) > 100 and np.mean([r.lang_pred == r.lang for r in held]) > 0.98
+
+
+def test_language_edge_cases(spark):
+    rows = [(i, t, x, 1.0) for i, (t, x) in enumerate([("the cat and the dog", "en"), ("der Hund und die Katze", "de")] * 10)]
+    rows += [(50, None, "en", None), (51, "12 !?", "de", None), (52, "", None, None), (53, "the " * 400_000, None, None), (None, "und der", None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, score double")
+    model = lang_id.train(df)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in lang_id.identify(df, model).collect()}
+    assert model["langs"] == ["de", "en"] and got[50] == got[51] == got[52] == ("und", 0.0)
+    assert got[53][0] == "en" and got[None][0] == "de" and all(0 <= s <= 1 for _, s in got.values())
+    none = lang_id.train(df.where("lang IS NULL"))
+    assert {r.lang_pred for r in lang_id.identify(df, none).collect()} == {"und"}
+    assert lang_id.identify(df.limit(0), model).count() == 0
+
+
+def test_naive_bayes_equals_counting(spark):
+    texts = [("Abab, c", "x"), ("cab ba", "y"), ("bbb", "y")]
+    model = lang_id.train(spark.createDataFrame([(i, t, x) for i, (t, x) in enumerate(texts)], "doc_id long, text string, lang string"))
+    table, size = lang_id.letter_table(), lang_id.BUCKETS
+    counts = {x: np.full(size, lang_id.ALPHA) for x in "xy"}
+    for t, x in texts:
+        np.add.at(counts[x], lang_id.grams(t, table, size), 1)
+    total = [np.log(n / 3) + np.log(counts[x] / counts[x].sum())[lang_id.grams("abc", table, size)].sum() for x, n in (("x", 1), ("y", 2))]
+    pred, score = lang_id.Scorer(model).predict(["abc"])
+    assert pred == ["xy"[int(np.argmax(total))]] and np.isclose(score[0], 1 / np.exp(np.array(total) - max(total)).sum())
+
+
+@pytest.fixture(scope="module")
+def secret_docs(spark):
+    rng = random.Random(6)
+    hexa = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    prose = "the quick brown fox jumps over lazy dogs while sleeping "
+    rows = []
+    for i in range(120):
+        kind = i % 4
+        s = [f'token = "{hexa(40)}"', "AKIA" + "".join(rng.choice("ABCDEFGH234567") for _ in range(16)),
+             f"order 2021-03-04T{rng.randrange(10, 24)} {rng.randrange(10 ** 15, 10 ** 16)}", f"password={hexa(18)}"][kind]
+        rows.append((i, prose * 3 + s + " " + prose, "x"))
+    rows += [(500, None, None), (501, "", None), (502, prose, "x"), (503, "a\u0001b " + 'api_key: "' + hexa(32) + '"', "x"), (0, *rows[0][1:]),
+             (504, "x" * 100_000 + "1", None)]
+    return spark.createDataFrame(rows, "doc_id long, text string, kind string")
+
+
+def test_secret_candidates_and_forest(spark, secret_docs):
+    got = secret_scan.scan(secret_docs).cache()
+    texts = {r.doc_id: r.text for r in secret_docs.collect()}
+    rows = got.collect()
+    assert all(texts[r.doc_id][r.start:r.end] == r.candidate for r in rows)
+    assert {r.doc_id for r in rows} == set(range(120)) | {503, 504}
+    for r in rows:
+        if r.doc_id < 120:
+            assert r.kept == (r.doc_id % 4 != 2), r
+    assert [r.kept for r in rows if r.doc_id == 503] == [True]
+    assert sum(r.doc_id == 0 for r in rows) == 2
+    plan = got._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_secret_labels_of_the_caller_and_edge_cases(spark, secret_docs):
+    empty = secret_scan.scan(secret_docs.limit(0))
+    assert empty.columns == ["doc_id", "start", "end", "kind", "candidate", "score", "kept"] and empty.count() == 0
+    one_class = secret_scan.scan(secret_docs.where("doc_id % 4 = 0 AND doc_id < 100"))
+    assert {(r.score, r.kept) for r in one_class.collect()} == {(None, True)}
+    known = secret_scan.features(secret_scan.candidates(secret_docs), secret_scan.lexicon(secret_docs))
+    mine = known.withColumn("label", F.col("candidate").startswith("AKIA").cast("double"))
+    got = secret_scan.scan(secret_docs, labelled=mine).where("doc_id < 120").collect()
+    assert all(r.kept == (r.doc_id % 4 == 1) for r in got)
