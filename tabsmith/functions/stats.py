@@ -35,28 +35,35 @@ def ks_pvalue(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
     return F.when(lam < 0.2, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), series)))
 
 
+#: From here on the uniform expansion is exact to double precision.
+LARGE_SHAPE = 1e4
+
+
 def _gammaincc(a: float, x: float) -> float:
-    """Regularised upper incomplete gamma Q(a, x) (series / continued fraction)."""
+    """Regularised upper incomplete gamma Q(a, x): uniform expansion for large ``a``,
+    else series or continued fraction until they stop changing."""
     if x is None or a is None or math.isnan(x) or math.isnan(a):
         return float("nan")
     if x <= 0:
         return 1.0
+    if a >= LARGE_SHAPE:
+        return _gammaincc_large(a, x)
     gln = math.lgamma(a)
     if x < a + 1.0:
         ap, s, delta = a, 1.0 / a, 1.0 / a
-        for _ in range(10000):
+        while abs(delta) >= abs(s) * 1e-16:
             ap += 1.0
             delta *= x / ap
             s += delta
-            if abs(delta) < abs(s) * 1e-16:
-                break
         return max(0.0, 1.0 - s * math.exp(-x + a * math.log(x) - gln))
     tiny = 1e-300
     b = x + 1.0 - a
     c = 1.0 / tiny
     d = 1.0 / b
     h = d
-    for i in range(1, 10000):
+    i, change = 0, 1.0
+    while abs(change - 1.0) >= 4e-16:
+        i += 1
         an = -i * (i - a)
         b += 2.0
         d = an * d + b
@@ -66,13 +73,27 @@ def _gammaincc(a: float, x: float) -> float:
         if abs(c) < tiny:
             c = tiny
         d = 1.0 / d
-        dl = d * c
-        h *= dl
-        if abs(dl - 1.0) < 1e-16:
-            break
+        change = d * c
+        h *= change
     return math.exp(-x + a * math.log(x) - gln) * h
 
 
+def _gammaincc_large(a: float, x: float) -> float:
+    """Temme's expansion: erfc of the scaled distance from the mean, and two correction terms."""
+    mu = x / a - 1.0
+    half = mu - math.log1p(mu) if abs(mu) > 1e-3 else mu * mu * (0.5 - mu * (1 / 3 - mu * (0.25 - mu * (0.2 - mu / 6))))
+    eta = math.copysign(math.sqrt(2.0 * half), mu)
+    if abs(eta) > 0.02:
+        c0 = 1.0 / mu - 1.0 / eta
+        c1 = 1.0 / eta ** 3 - 1.0 / mu ** 3 - 1.0 / mu ** 2 - 1.0 / (12.0 * mu)
+    else:   # the same by their power series, where the quotients cancel
+        c0 = -1 / 3 + eta * (1 / 12 + eta * (-2 / 135 + eta * (1 / 864 + eta / 2835)))
+        c1 = -1 / 540 + eta * (-1 / 288 + eta / 378)
+    power = -0.5 * a * eta * eta
+    tail = math.exp(power) / math.sqrt(2.0 * math.pi * a) * (c0 + c1 / a) if power > -745 else 0.0
+    return min(1.0, max(0.0, 0.5 * math.erfc(eta * math.sqrt(a / 2.0)) + tail))
+
+
 @F.pandas_udf(DoubleType())
 def chi2_sf(stat: pd.Series, dof: pd.Series) -> pd.Series:
     """Chi-square survival function Q(dof/2, stat/2); dof 0 gives p = 1."""
@@ -85,15 +106,3 @@ def chi2_sf(stat: pd.Series, dof: pd.Series) -> pd.Series:
         else:
             out[i] = _gammaincc(k / 2.0, x / 2.0)
     return pd.Series(out)
-
-
-def chi2_sf_even_dof(stat: Column, dof: Column, max_terms: int = 64) -> Column:
-    """Closed form for even dof (JVM-side): exp(-x/2) * sum_{i<dof/2} (x/2)^i / i!."""
-    y = stat / 2.0
-    m = (dof / 2).cast("int")
-    terms = F.aggregate(
-        F.sequence(F.lit(0), F.greatest(m - 1, F.lit(0))),
-        F.struct(F.lit(0.0).alias("s"), F.lit(1.0).alias("t")),
-        lambda acc, i: F.struct((acc["s"] + acc["t"]).alias("s"), (acc["t"] * y / (i + 1)).alias("t")),
-        lambda acc: acc["s"])
-    return F.when(dof <= 0, F.lit(1.0)).otherwise(F.exp(-y) * terms)

@@ -118,8 +118,8 @@ def remove_outliers(df: DataFrame, rules=CLAIM_OUTLIER_RULES) -> DataFrame:
 def reduction_report(df: DataFrame, keep: Column) -> DataFrame:
     """C10 in one pass: rows before, rows kept by ``keep``, percent removed."""
     return (df.agg(F.count(F.lit(1)).alias("rows_before"), F.count_if(keep).alias("rows_after"))
-              .withColumn("reduction_pct", F.round((F.col("rows_before") - F.col("rows_after")) * 100.0
-                                                   / F.col("rows_before"), 6)))
+              .withColumn("reduction_pct", F.coalesce(F.round(F.try_divide(
+                  (F.col("rows_before") - F.col("rows_after")) * 100.0, F.col("rows_before")), 6), F.lit(0.0))))
 
 
 def reduction_pct(before: int, after: int) -> float:

@@ -81,14 +81,15 @@ def holiday_dimension(spark: SparkSession, first_year: int, last_year: int,
     """D4 dimension: (holiday_date, holiday) for every year in [first_year, last_year].
 
     Fixed-date holidays falling on Saturday are also observed the Friday
-    before, on Sunday the Monday after.
+    before, on Sunday the Monday after; so 31 December may belong to the next
+    year's first holiday, and a year more is generated on each side and clipped.
     """
     rules = _rule_rows(state)
     rule_arr = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(k).alias("kind"), F.lit(m).alias("m"),
                                   F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(af).alias("after"),
                                   F.lit(fy).alias("first"))
                          for n, k, m, a, b, af, fy in rules])
-    years = spark.range(first_year, last_year + 1).select(F.col("id").cast("int").alias("y"))
+    years = spark.range(first_year - 1, last_year + 2).select(F.col("id").cast("int").alias("y"))
     r = years.select("y", F.explode(rule_arr).alias("r")).where(F.col("y") >= F.col("r.first"))
     first_of = F.make_date("y", "r.m", F.lit(1))
     # n-th weekday: first day of month + offset to the weekday + 7*(n-1)
@@ -107,7 +108,7 @@ def holiday_dimension(spark: SparkSession, first_year: int, last_year: int,
                     .select(F.when(wd == 5, F.date_sub("holiday_date", 1))
                              .otherwise(F.date_add("holiday_date", 1)).alias("holiday_date"),
                             F.concat(F.col("holiday"), F.lit(" (observed)")).alias("holiday")))
-    return base.drop("kind").unionByName(observed)
+    return base.drop("kind").unionByName(observed).where(F.year("holiday_date").between(first_year, last_year))
 
 
 def year_bounds(df: DataFrame, column: str) -> tuple[int | None, int | None]:

@@ -1,49 +1,35 @@
 """Encoders (E1-E8, K27): fit on one frame, transform any frame.
 
-Fitted parameters are DataFrames.  Encoders whose output *columns* depend
-on the categories (one-hot) must know the categories on the driver; they
-check the category count first (``max_categories``) and point to the hash
-encoder above it.  Frequency maps are never collected: they are joined, and
+Fitted parameters are DataFrames of any size.  Only wide one-hot columns need
+their categories on the driver, since they are columns of the plan; the long
+form does not.  Frequency maps are never collected: they are joined, and
 AQE picks a broadcast join when the runtime size of the map is under the
 broadcast threshold (a sort-merge join with skew splitting otherwise).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabsmith.functions.scalars import col, cyclic_pair
-from tabsmith.operators.ranking import null_safe_join
-
-MAX_CATEGORIES = 10_000
-
-
-def _check_cardinality(n: int, column: str, max_categories: int):
-    if n > max_categories:
-        raise ValueError(f"{column!r} has {n} categories (> {max_categories}); "
-                         "use hash_buckets() for high-cardinality columns")
-
+from tabsmith.operators.ranking import rank_distinct
 
 # -- E1 / K27 label encoder --------------------------------------------------
 
-def fit_labels(df: DataFrame, column: str, max_categories: int = MAX_CATEGORIES) -> DataFrame:
+def fit_labels(df: DataFrame, column: str, ranges: int | None = None) -> DataFrame:
     """Sorted distinct values -> 0..k-1; null (if present) -> k.
 
-    Returns the mapping (value, label).  The category count is checked before
-    the single ordered window over the (bounded) distinct values.
+    Returns the mapping (value, label), of any size: see ``ranking.rank_distinct``.
     """
-    distinct = df.select(col(column).alias("value")).distinct()
-    n = distinct.count()
-    _check_cardinality(n, column, max_categories)
-    w = Window.orderBy(F.col("value").asc_nulls_last())
-    return distinct.withColumn("label", (F.row_number().over(w) - 1).cast("int"))
+    ranked = rank_distinct(df, column, "__rank", ranges)
+    return ranked.select(col(column).alias("value"), F.col("__rank").cast("int").alias("label"))
 
 
 def encode_labels(df: DataFrame, mapping: DataFrame, column: str, out: str | None = None) -> DataFrame:
     """Replace ``column`` (or add ``out``) with its label; unseen values -> null."""
     out = out or column
-    m = F.broadcast(mapping.withColumnRenamed("value", "__v").withColumnRenamed("label", "__label"))
+    m = mapping.withColumnRenamed("value", "__v").withColumnRenamed("label", "__label")   # AQE sees its size
     j = df.join(m, col(column).eqNullSafe(F.col("__v")), "left")
     cols = [F.col("__label").alias(out) if c == out else col(c) for c in df.columns]
     if out not in df.columns:
@@ -54,7 +40,7 @@ def encode_labels(df: DataFrame, mapping: DataFrame, column: str, out: str | Non
 def decode_labels(df: DataFrame, mapping: DataFrame, column: str, out: str | None = None) -> DataFrame:
     """Label -> original value."""
     out = out or column
-    m = F.broadcast(mapping.withColumnRenamed("value", "__v").withColumnRenamed("label", "__label"))
+    m = mapping.withColumnRenamed("value", "__v").withColumnRenamed("label", "__label")   # AQE sees its size
     j = df.join(m, col(column) == F.col("__label"), "left")
     cols = [F.col("__v").alias(out) if c == out else col(c) for c in df.columns]
     if out not in df.columns:
@@ -64,28 +50,43 @@ def decode_labels(df: DataFrame, mapping: DataFrame, column: str, out: str | Non
 
 # -- E2 one-hot, drop first ----------------------------------------------------
 
-def fit_one_hot(df: DataFrame, columns: list[str], max_categories: int = MAX_CATEGORIES) -> dict:
-    """E2 fit: sorted categories per column (null is its own, last, category).
-
-    One aggregate pass collects the distinct values of every column; the
-    result size is checked against ``max_categories`` per column.
-    """
-    # pass 1: cardinality and null presence; pass 2 collects only after the size check
-    first = df.agg(*[F.count_distinct(col(c)).alias(f"n{i}") for i, c in enumerate(columns)],
-                   *[F.max(col(c).isNull().cast("int")).alias(f"z{i}") for i, c in enumerate(columns)]).first()
-    for i, c in enumerate(columns):
-        _check_cardinality(first[f"n{i}"], c, max_categories)
-    row = df.agg(*[F.array_sort(F.collect_set(col(c))).alias(c) for c in columns]).first()
-    nulls = {c: first[f"z{i}"] for i, c in enumerate(columns)}
-    out = {}
+def one_hot_categories(df: DataFrame, columns: list[str]) -> DataFrame:
+    """E2 fit as a table ``(feature, value, position)``: sorted categories per column as
+    strings, null last.  Any number of categories; ``one_hot_long`` applies it and S3/S5
+    writers keep it."""
+    out = None
     for c in columns:
-        cats = list(row[c])
-        if nulls[c]:
-            cats.append(None)
-        out[c] = cats
+        one = rank_distinct(df.select(col(c).cast("string").alias("value")), "value", "position")
+        one = one.select(F.lit(c).alias("feature"), "value", F.col("position").cast("int").alias("position"))
+        out = one if out is None else out.unionByName(one)
     return out
 
 
+def one_hot_long(df: DataFrame, key: str, categories: DataFrame, drop_first: bool = True) -> DataFrame:
+    """E2 transform in long form: ``(key, feature, position)`` of every flag that is 1.
+
+    The form for many categories: it has a row per row and feature, not a column per value.
+    """
+    features = [r[0] for r in categories.select("feature").distinct().collect()]   # column names
+    long = df.select(col(key), F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), col(c).cast("string").alias("value"))
+                                                   for c in sorted(features)])).alias("x")).select(key, "x.*")
+    c = categories.select(F.col("feature").alias("__f"), F.col("value").alias("__v"), "position")
+    hit = long.join(c, (F.col("feature") == F.col("__f")) & F.col("value").eqNullSafe(F.col("__v")))
+    return hit.where(F.col("position") > 0 if drop_first else F.lit(True)).select(key, "feature", "position")
+
+
+def fit_one_hot(df: DataFrame, columns: list[str]) -> dict:
+    """E2 fit for wide columns: sorted categories per column (null is its own, last, category).
+
+    Wide columns are the caller's choice: their number is the number of
+    categories, which the plan must hold.  For many categories take
+    ``one_hot_categories`` and ``one_hot_long``.
+    """
+    row = df.agg(*[F.array_sort(F.collect_set(col(c))).alias(f"s{i}") for i, c in enumerate(columns)],
+                 *[F.max(col(c).isNull()).alias(f"z{i}") for i, c in enumerate(columns)]).first()
+    return {c: list(row[f"s{i}"]) + [None] * bool(row[f"z{i}"]) for i, c in enumerate(columns)}
+
+
 def one_hot(df: DataFrame, categories: dict, drop_first: bool = True,
             on_unseen: str = "zero", keep_source: bool = False) -> DataFrame:
     """E2 transform: ``<feature>_<value>`` 0/1 columns, the first category dropped.
@@ -126,11 +127,12 @@ def fit_frequency(df: DataFrame, columns: list[str], unknown: str = "Unknown") -
         for c in columns]))
     long = df.select(stacked.alias("kv")).select("kv.feature", "kv.value")
     counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy("feature"))
     # the fitted map is a parameter table: checkpoint it so every transform (one join per
     # column) reads it instead of re-running the fit over the training data
     from tabsmith.session import materialize
-    return materialize(counts.select("feature", "value", (F.col("n") / total).alias("freq")))
+    counts = materialize(counts)
+    totals = counts.groupBy(F.col("feature").alias("__f")).agg(F.sum("n").alias("__total"))   # one row per feature
+    return counts.join(totals, F.col("feature") == F.col("__f")).select("feature", "value", (F.col("n") / F.col("__total")).alias("freq"))
 
 
 def frequency(df: DataFrame, mapping: DataFrame, columns: list[str], prefix: str = "Enc ",
@@ -228,10 +230,9 @@ def encode_frame(df: DataFrame, target: str, date_columns: list[str] | None = No
 
 # -- M11 category codes -------------------------------------------------------------
 
-def category_codes(df: DataFrame, column: str, out: str | None = None,
-                   max_categories: int = MAX_CATEGORIES) -> DataFrame:
+def category_codes(df: DataFrame, column: str, out: str | None = None) -> DataFrame:
     """Pandas ``cat.codes``: sorted distinct non-null values -> 0..k-1, null -> -1."""
-    m = fit_labels(df.where(col(column).isNotNull()), column, max_categories)
+    m = fit_labels(df.where(col(column).isNotNull()), column)
     coded = encode_labels(df, m, column, out or column)
     o = out or column
     return coded.withColumn(o, F.coalesce(F.col(o), F.lit(-1)))

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabsmith.functions.scalars import col
 from tabsmith.operators.ranking import exact_quantiles, unpivot_values
@@ -29,11 +30,17 @@ def medians_frame(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def fill_from(df: DataFrame, params: dict) -> DataFrame:
-    """I1 transform / I2: fill nulls with fitted or constant values."""
+    """I1 transform / I2: fill nulls with fitted or constant values.
+
+    A fraction (a median of 2.5) makes an integer column a double column, as in pandas.
+    """
     vals = {k: v for k, v in params.items() if v is not None and k in df.columns}
     out = df
     for k, v in vals.items():
-        out = out.withColumn(k, F.coalesce(col(k), F.lit(v).cast(df.schema[k].dataType)))
+        t = df.schema[k].dataType
+        if isinstance(t, T.IntegralType) and isinstance(v, float) and not v.is_integer():
+            t = T.DoubleType()
+        out = out.withColumn(k, F.coalesce(col(k).cast(t), F.lit(v).cast(t)))
     return out
 
 

@@ -18,17 +18,6 @@ from pyspark.sql import functions as F
 from tabsmith.functions.scalars import col
 from tabsmith.operators.ranking import exact_quantiles, null_safe_join, unpivot_values
 
-AGG_CHUNK = 400   # expressions per aggregate (stays under the codegen method size)
-
-
-def _chunked_agg(df: DataFrame, exprs: list[Column]) -> list:
-    """Evaluate many aggregate expressions in as few passes as the codegen limit allows."""
-    out = []
-    for i in range(0, len(exprs), AGG_CHUNK):
-        out.extend(list(df.agg(*exprs[i:i + AGG_CHUNK]).first()))
-    return out
-
-
 # -- A1-A4 counts -------------------------------------------------------------------
 
 def value_counts(df: DataFrame, column: str, ascending_by_value: bool = False) -> DataFrame:
@@ -159,27 +148,30 @@ def variance_rank(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def correlation(df: DataFrame, cols: list[str], lower_only: bool = False) -> DataFrame:
     """Pearson r for every pair, pairwise-complete (pandas ``corr``), long form
-    (feature_a, feature_b, corr); all pairs in one chunked aggregate."""
+    (feature_a, feature_b, corr); all pairs in one aggregate over one scan.
+
+    A column that is constant (or has fewer than two common values with the
+    other) gives a null.  NaN counts as null.
+    """
     pairs = list(combinations(cols, 2))
     if not pairs:
         return df.sparkSession.createDataFrame([], "feature_a string, feature_b string, corr double")
-    parts = []
-    for i in range(0, len(pairs), AGG_CHUNK):
-        chunk = pairs[i:i + AGG_CHUNK]
-        row = df.agg(*[F.corr(col(a).cast("double"), col(b).cast("double")).alias(f"p{j}")
-                       for j, (a, b) in enumerate(chunk)])
-        entries = []
-        for j, (a, b) in enumerate(chunk):
-            entries.append(F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-                                    F.col(f"p{j}").alias("corr")))
-            if not lower_only:   # the symmetric entry comes from the same aggregate row
-                entries.append(F.struct(F.lit(b).alias("feature_a"), F.lit(a).alias("feature_b"),
-                                        F.col(f"p{j}").alias("corr")))
-        parts.append(row.select(F.explode(F.array(*entries)).alias("s")).select("s.*"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    x = df.select(*[F.when(~F.isnan(col(c).cast("double")), col(c).cast("double")).alias(f"x{i}") for i, c in enumerate(cols)])
+    at = {c: i for i, c in enumerate(cols)}
+
+    def one(a, b):
+        u, v = F.col(f"x{at[a]}"), F.col(f"x{at[b]}")
+        both = u.isNotNull() & v.isNotNull()
+        flat = ((F.max(F.when(both, u)) == F.min(F.when(both, u))) | (F.max(F.when(both, v)) == F.min(F.when(both, v))))
+        # the constant is kept from the aggregate's division: it gets nulls only
+        return F.when(flat, F.lit(None)).otherwise(F.try_divide(
+            F.covar_samp(u, v), F.stddev_samp(F.when(both, u)) * F.stddev_samp(F.when(both, v))))
+    row = x.agg(*[one(a, b).alias(f"p{j}") for j, (a, b) in enumerate(pairs)])
+    entries = []
+    for j, (a, b) in enumerate(pairs):
+        for s, t in [(a, b)] if lower_only else [(a, b), (b, a)]:   # the symmetric entry comes from the same row
+            entries.append(F.struct(F.lit(s).alias("feature_a"), F.lit(t).alias("feature_b"), F.col(f"p{j}").alias("corr")))
+    return row.select(F.explode(F.array(*entries)).alias("s")).select("s.*")
 
 
 def high_correlation(corr_long: DataFrame, threshold: float = 0.8) -> DataFrame:
@@ -201,19 +193,14 @@ def nullity_correlation(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def nullity_distance(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Euclidean distance between null-indicator columns, all pairs in chunked aggregates."""
+    """Euclidean distance between null-indicator columns, all pairs in one aggregate over one scan."""
     pairs = list(combinations(cols, 2))
-    parts = []
-    for i in range(0, len(pairs), AGG_CHUNK):
-        chunk = pairs[i:i + AGG_CHUNK]
-        row = df.agg(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-                                F.sqrt(F.sum((col(a).isNull() != col(b).isNull()).cast("int"))).alias("distance"))
-                       .alias(f"p{j}") for j, (a, b) in enumerate(chunk)])
-        parts.append(row.select(F.explode(F.array(*[f"p{j}" for j in range(len(chunk))])).alias("s")).select("s.*"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    ind = df.select(*[col(c).isNull().alias(f"x{i}") for i, c in enumerate(cols)])
+    at = {c: i for i, c in enumerate(cols)}
+    row = ind.agg(*[F.sum((F.col(f"x{at[a]}") != F.col(f"x{at[b]}")).cast("int")).alias(f"p{j}") for j, (a, b) in enumerate(pairs)])
+    entries = [F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.sqrt(F.col(f"p{j}")).alias("distance"))
+               for j, (a, b) in enumerate(pairs)]
+    return row.select(F.explode(F.array(*entries)).alias("s")).select("s.*")
 
 
 # -- A16-A18 histograms, box plots, medians ---------------------------------------------
@@ -258,8 +245,7 @@ def median_of(df: DataFrame, cols: list[str], group_cols: list[str] | None = Non
     """Exact medians per column (and group)."""
     long = unpivot_values(df, cols, group_cols)
     # with user groups the number of (group, feature) pairs is data-dependent: no forced broadcast
-    return exact_quantiles(long, list(group_cols or []) + ["feature"], "value", [0.5], ["median"],
-                           bounded_groups=not group_cols)
+    return exact_quantiles(long, list(group_cols or []) + ["feature"], "value", [0.5], ["median"])
 
 
 # -- A19-A24 prediction / importance stats, ordering, sampling, density ----------------
@@ -323,12 +309,12 @@ def density_curve(df: DataFrame, column: str, group_cols: list[str] | None = Non
     joined = null_safe_join(pts, stats, g)  # one row per group: AQE picks broadcast when small
     step = (F.col("mx") - F.col("mn")) / (grid_size - 1)
     grid_x = F.col("mn") + F.col("i") * step
-    z = (grid_x - F.col("x")) / F.col("h")
+    z = F.try_divide(grid_x - F.col("x"), F.col("h"))   # a constant group has no bandwidth: null density
     contrib = joined.select(*g, "n", "h", "mn", "mx", "x", "w",
                             F.explode(F.sequence(F.lit(0), F.lit(grid_size - 1))).alias("i")) \
         .select(*g, "i", grid_x.alias("grid_x"), (F.col("w") * F.exp(-0.5 * z * z)).alias("k"), "n", "h")
     norm = F.first("n") * F.first("h") * F.lit(math.sqrt(2 * math.pi))
-    return contrib.groupBy(*g, "i").agg(F.first("grid_x").alias("grid_x"), (F.sum("k") / norm).alias("density"))
+    return contrib.groupBy(*g, "i").agg(F.first("grid_x").alias("grid_x"), F.try_divide(F.sum("k"), norm).alias("density"))
 
 
 # -- joins, set operations, cross tabs ----------------------------------------------------

@@ -122,7 +122,9 @@ def run_suite(df: DataFrame, rules: list[dict], on_fail: str = "warn") -> tuple[
         if failed:
             raise ValueError(f"data validation failed: {failed}")
     elif on_fail == "warn":
-        pass  # callers log ``results``; evaluating it here would run the aggregate twice
+        failed = [r["rule"] for r in results.where(~F.col("success")).collect()]   # one row for each rule
+        if failed:
+            log.warning("data validation failed: %s", failed)
     return df, results
 
 

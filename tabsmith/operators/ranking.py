@@ -6,14 +6,14 @@ empirical CDFs behind Kolmogorov-Smirnov and Wasserstein, and exact
 medians/quartiles.  A plain ``Window.partitionBy(group).orderBy(x)`` sends a
 whole group to one task; with one class or one feature holding a third of
 the rows that task becomes the job.  Everything here splits each group into
-``buckets`` ordered sub-ranges first:
+ordered sub-ranges first:
 
 1. pre-aggregate equal values (a hot value becomes one row),
-2. cut every group into ordered buckets (hash prefix for uniformly
-   distributed keys, approximate quantiles of the distinct values otherwise),
-3. run the window per (group, bucket) - balanced tasks,
-4. add the cumulative total of the earlier buckets, taken from a table of
-   one row per (group, bucket) whose size is bounded by groups x buckets.
+2. cut the order of (group, value) into ranges (a hash prefix for seeded
+   random orders, Spark's range partitions otherwise),
+3. run the window per (group, range) - balanced tasks,
+4. add the total of the earlier ranges, taken from a table of one row per
+   (group, range).
 """
 
 from __future__ import annotations
@@ -21,9 +21,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 256
-
-
 def null_safe_join(left: DataFrame, right: DataFrame, on: list[str],
                    how: str = "inner") -> DataFrame:
     """Equi-join on ``on`` where null keys match each other (as in groupBy)."""
@@ -121,139 +118,138 @@ def hashed_rank(df: DataFrame, group_cols: list[str], key_col: str, seed: int |
              .withColumn("_b", F.conv(F.substring("_h", 1, bucket_hex_digits), 16, 10).cast("int")))
     part = Window.partitionBy(*gk, "_b")
     w = part.orderBy("_h", key_col)
-    # bucket sizes come out of the same window stage: the input is read once
-    local = d.withColumn("_local", F.row_number().over(w) - 1).withColumn("_cnt", F.count(F.lit(1)).over(part))
-    counts = local.groupBy(*gk, "_b").agg(F.first("_cnt").alias("_cnt"))
+    local = d.withColumn("_local", F.row_number().over(w) - 1)
+    # bucket sizes are a partial aggregate of the key columns: a second, narrow read
+    counts = d.groupBy(*gk, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
     gw = Window.partitionBy(*gk).orderBy("_b")
     offsets = (counts
                .withColumn("_off", F.coalesce(F.sum("_cnt").over(
                    gw.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
                .withColumn(size_col, F.sum("_cnt").over(Window.partitionBy(*gk)))
                .drop("_cnt"))
-    local = local.drop("_cnt")
     joined = local.join(offsets, gk + ["_b"])   # plain keys: reuses the window's partitioning
     extra = [k for k in gk if k not in group_cols]
     return (joined.withColumn(rank_col, (F.col("_off") + F.col("_local")).cast("long"))
                   .drop("_h", "_b", "_local", "_off", *extra))
 
 
-def cumulative(long_df: DataFrame, group_cols: list[str], value_col: str,
-               weights: dict[str, Column], buckets: int = DEFAULT_BUCKETS,
-               accuracy: int = 10000, bounded_groups: bool = True,
-               preaggregated: bool = False) -> DataFrame:
-    """Running totals of ``weights`` over ``value_col`` inside each group.
+def rank_distinct(df: DataFrame, column: str, rank_col: str = "rank", ranges: int | None = None) -> DataFrame:
+    """``(column, rank)``: the distinct values, nulls last, with their 0-based rank.
 
-    With ``preaggregated`` the input already has one row per (group, value) and
-    ``weights`` are row expressions (e.g. ``F.col("r")``), so no grouping is redone.
+    Ranks are counted inside Spark's range partitions and offset by the sizes
+    of the earlier ones (one row for each range), so no task sorts all values.
+    """
+    from tabsmith.session import materialize
+    values = df.select(F.col(f"`{column}`").alias("_v")).distinct()
+    order = [F.col("_v").asc_nulls_last()]
+    dealt = values.repartitionByRange(ranges, *order) if ranges else values.repartitionByRange(*order)
+    rows = materialize(dealt.withColumn("_p", F.spark_partition_id()))
+    sizes = rows.groupBy("_p").agg(F.count(F.lit(1)).alias("_here"))
+    offsets = sizes.select("_p", F.coalesce(F.sum("_here").over(   # as many rows as ranges
+        Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    here = F.row_number().over(Window.partitionBy("_p").orderBy(*order)) - 1
+    return rows.withColumn("_here", here).join(offsets, "_p").select(
+        F.col("_v").alias(column), (F.col("_off") + F.col("_here")).alias(rank_col))
 
-    Returns one row per distinct (group, value) with, for every weight ``w``:
-    ``w`` (total at this value), ``w_cum`` (total up to and including this
-    value), ``w_total`` (group total); plus ``next_value`` (the next larger
-    distinct value of the group, null for the largest).
 
-    ``bounded_groups`` says the groups are few (e.g. the unpivoted column names,
-    bounded by the schema width): the per-group bucket bounds are then broadcast
-    so the big side is never shuffled by group.  Otherwise the join strategy is
-    left to AQE (broadcast when small at runtime, sort-merge with skew splits).
+def _ranged(long_df: DataFrame, group_cols: list[str], value_col: str, weights: dict[str, Column],
+            ranges: int | None, preaggregated: bool) -> tuple[DataFrame, DataFrame, list[str], list[str]]:
+    """Distinct (group, value) rows with the number ``_p`` of their range in the
+    order of (group, value), and the running totals before each (group, range).
+
+    The ranges are Spark's range partitions: as many as the session has
+    shuffle partitions (AQE merges small ones), so each task sorts about
+    ``rows / partitions`` values at any size.  The rows are checkpointed
+    because the ranges are sampled: two readers must see the same ones.
     """
-    names = list(weights)
-    if not group_cols:
-        out = cumulative(long_df.withColumn("_g", F.lit(0)), ["_g"], value_col, weights,
-                         buckets, accuracy, True, preaggregated)
-        return out.drop("_g")
+    from tabsmith.session import materialize
     base, gk = non_null_keys(long_df, list(group_cols))
-    extra = [k for k in gk if k not in group_cols]
-    # grouping by the stand-in keys *and* the originals is the same grouping; the
-    # originals ride along while every window/join below is keyed on ``gk`` only
     carried = [g for g in group_cols if g not in gk]
     if preaggregated:
         agg = base.select(*gk, *carried, value_col, *[e.alias(n) for n, e in weights.items()])
     else:
-        # the distinct-value table is read by the bounds, the window and the offsets:
-        # checkpoint it so the input is scanned once
-        from tabsmith.session import materialize
-        agg = materialize(base.groupBy(*gk, *carried, value_col).agg(*[e.alias(n) for n, e in weights.items()]))
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = agg.groupBy(*gk).agg(
-        F.percentile_approx(value_col, probs, accuracy).alias("_bounds"),
-        *[F.sum(n).alias(f"{n}_total") for n in names])
-    if bounded_groups and len(gk) == 1:
-        # few groups (e.g. the unpivoted column names): the bounds are a small fitted
-        # parameter (groups x buckets doubles).  Looked up from a constant-folded literal
-        # map, they are never copied into the rows (a join would attach the whole array
-        # to every row).
-        b_rows = bounds.collect()
-        key = gk[0]
-        bmap = F.create_map(*[x for r in b_rows for x in (F.lit(r[key]), F.array(*[F.lit(float(b)) for b in r["_bounds"]]))])
-        with_b = agg.withColumn("_bounds", bmap[F.col(key)])
-        for n in names:
-            tmap = F.create_map(*[x for r in b_rows for x in (F.lit(r[key]), F.lit(r[f"{n}_total"]))])
-            with_b = with_b.withColumn(f"{n}_total", tmap[F.col(key)])
-    else:
-        with_b = agg.join(F.broadcast(bounds) if bounded_groups else bounds, gk)
-    v = F.col(value_col)
-    # explicit (group, bucket) distribution: a partitioning by group alone would also
-    # satisfy the window below and put a whole group in one task
-    with_b = (with_sorted_position(with_b, "_bounds", buckets - 1, v, "_b").drop("_bounds")
-                    .repartition(*gk, "_b"))
-    part = Window.partitionBy(*gk, "_b")
-    w = part.orderBy(value_col)
+        agg = base.groupBy(*gk, *carried, value_col).agg(*[e.alias(n) for n, e in weights.items()])
+    order = [*gk, value_col]
+    dealt = agg.repartitionByRange(ranges, *order) if ranges else agg.repartitionByRange(*order)
+    rows = materialize(dealt.withColumn("_p", F.spark_partition_id()))
+    totals = rows.groupBy(*gk, "_p").agg(*[F.sum(n).alias(f"_{n}_here") for n in weights], F.min(value_col).alias("_first"))
+    # one row for each range and each group beginning inside one: bounded by ranges + groups
+    gw = Window.partitionBy(*gk).orderBy("_p")
+    before = gw.rowsBetween(Window.unboundedPreceding, -1)
+    for n in weights:
+        totals = (totals.withColumn(f"_{n}_off", F.coalesce(F.sum(f"_{n}_here").over(before), F.lit(0)))
+                  .withColumn(f"{n}_total", F.sum(f"_{n}_here").over(Window.partitionBy(*gk))))
+    return rows, totals.withColumn("_next_first", F.lead("_first").over(gw)).drop("_first"), gk, carried
+
+
+def _run(rows: DataFrame, totals: DataFrame, gk: list[str], value_col: str, names: list[str]) -> DataFrame:
+    """Running totals inside each (group, range), plus those before it."""
+    w = Window.partitionBy(*gk, "_p").orderBy(value_col)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = with_b
+    out = rows.withColumn("_next_here", F.lead(value_col).over(w))
     for n in names:
-        local = local.withColumn(f"_{n}_loc", F.sum(n).over(run)).withColumn(f"_{n}_bt", F.sum(n).over(part))
-    local = local.withColumn("_next_loc", F.lead(value_col).over(w)).withColumn("_first_v", F.min(value_col).over(part))
-    # bucket totals come out of the window stage: same partitioning, no new scan
-    per_b = local.groupBy(*gk, "_b").agg(
-        *[F.first(f"_{n}_bt").alias(f"_{n}_bt") for n in names], F.first("_first_v").alias("_first_v"))
-    gw = Window.partitionBy(*gk).orderBy("_b")
-    prev = gw.rowsBetween(Window.unboundedPreceding, -1)
+        out = out.withColumn(f"_{n}_run", F.sum(n).over(run))
+    out = out.join(totals.drop(*[f"_{n}_here" for n in names]), gk + ["_p"])
     for n in names:
-        per_b = per_b.withColumn(f"_{n}_off", F.coalesce(F.sum(f"_{n}_bt").over(prev), F.lit(0)))
-    per_b = per_b.withColumn("_next_first", F.lead("_first_v").over(gw))
-    per_b = per_b.drop("_first_v", *[f"_{n}_bt" for n in names])
-    out = local.drop("_first_v", *[f"_{n}_bt" for n in names]).join(per_b, gk + ["_b"])
-    for n in names:
-        out = out.withColumn(f"{n}_cum", F.col(f"_{n}_off") + F.col(f"_{n}_loc"))
-    out = out.withColumn("next_value", F.coalesce("_next_loc", "_next_first"))
-    drop = ["_b", "_next_loc", "_next_first"] + [f"_{n}_loc" for n in names] + [f"_{n}_off" for n in names]
-    return out.drop(*drop, *extra)
+        out = out.withColumn(f"{n}_cum", F.col(f"_{n}_off") + F.col(f"_{n}_run"))
+    return out.withColumn("next_value", F.coalesce("_next_here", "_next_first")).drop(
+        "_p", "_next_here", "_next_first", *[f"_{n}_run" for n in names], *[f"_{n}_off" for n in names])
+
+
+def cumulative(long_df: DataFrame, group_cols: list[str], value_col: str, weights: dict[str, Column],
+               buckets: int | None = None, preaggregated: bool = False) -> DataFrame:
+    """Running totals of ``weights`` over ``value_col`` inside each group.
+
+    With ``preaggregated`` the input already has one row per (group, value) and
+    ``weights`` are row expressions (e.g. ``F.col("r")``), so no grouping is redone.
+
+    Returns one row per distinct (group, value) with, for every weight ``w``:
+    ``w`` (total at this value), ``w_cum`` (total up to and including this
+    value), ``w_total`` (group total); plus ``next_value`` (the next larger
+    distinct value of the group, null for the largest).  ``buckets`` asks for
+    that many ranges instead of the session's number of shuffle partitions.
+    """
+    if not group_cols:
+        out = cumulative(long_df.withColumn("_g", F.lit(0)), ["_g"], value_col, weights, buckets, preaggregated)
+        return out.drop("_g")
+    rows, totals, gk, _ = _ranged(long_df, group_cols, value_col, weights, buckets, preaggregated)
+    return _run(rows, totals, gk, value_col, list(weights)).drop(*[k for k in gk if k not in group_cols])
 
 
 def exact_quantiles(long_df: DataFrame, group_cols: list[str], value_col: str,
-                    probs: list[float], names: list[str] | None = None,
-                    buckets: int = DEFAULT_BUCKETS, bounded_groups: bool = True) -> DataFrame:
+                    probs: list[float], names: list[str] | None = None, buckets: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (the pandas/numpy default).
 
-    Nulls are ignored.  Position ``p*(n-1)`` is located in the running count
-    of distinct values; only the (at most 2 per quantile) rows holding the
-    neighbouring ranks survive to the final per-group aggregate, so no task
-    ever holds a whole group.
+    Nulls are ignored; a group without values has no row (without groups: one
+    row of nulls).  Position ``p*(n-1)`` is located in the totals of the ranges
+    first; only the at most two ranges per quantile that hold the neighbouring
+    ranks are sorted, and at most two rows per quantile reach the last aggregate.
     """
     names = names or [f"q{int(round(p * 100))}" for p in probs]
+    if not group_cols:
+        one = exact_quantiles(long_df.withColumn("_g", F.lit(0)), ["_g"], value_col, probs, names, buckets)
+        return one.agg(*[F.max(n).alias(n) for n in names])
     d = long_df.where(F.col(value_col).isNotNull())
-    cum = cumulative(d, group_cols, value_col, {"_n": F.count(F.lit(1))}, buckets=buckets,
-                     bounded_groups=bounded_groups)
-    n = F.col("_n_total")
-    lo_rank = F.col("_n_cum") - F.col("_n")   # first 0-based rank held by this value
-    hi_rank = F.col("_n_cum") - 1             # last rank held by this value
+    rows, totals, gk, carried = _ranged(d, group_cols, value_col, {"_n": F.count(F.lit(1))}, buckets, False)
+    last = F.col("_n_total") - 1
+    ranks = [(F.floor(F.lit(float(p)) * last), F.ceil(F.lit(float(p)) * last), F.lit(float(p)) * last) for p in probs]
+
+    def holds(first, size, r):
+        return (first <= r) & (r < first + size)
+    wanted = None
+    for lo, hi, _ in ranks:
+        here = holds(F.col("__n_off"), F.col("__n_here"), lo) | holds(F.col("__n_off"), F.col("__n_here"), hi)
+        wanted = here if wanted is None else wanted | here
+    cum = _run(rows.join(totals.where(wanted).select(*gk, "_p"), gk + ["_p"], "left_semi"), totals, gk, value_col, ["_n"])
+    first = F.col("_n_cum") - F.col("_n")   # first 0-based rank held by this value
     aggs, keep = [], None
-    for p, nm in zip(probs, names):
-        pos = F.lit(float(p)) * (n - 1)
-        r_lo, r_hi = F.floor(pos), F.ceil(pos)
-        has_lo = (lo_rank <= r_lo) & (r_lo <= hi_rank)
-        has_hi = (lo_rank <= r_hi) & (r_hi <= hi_rank)
-        cum = cum.withColumn(f"_{nm}_lo", F.when(has_lo, F.col(value_col))) \
-                 .withColumn(f"_{nm}_hi", F.when(has_hi, F.col(value_col))) \
-                 .withColumn(f"_{nm}_frac", pos - r_lo)
-        cond = has_lo | has_hi
+    for (lo, hi, pos), nm in zip(ranks, names):
+        cond = holds(first, F.col("_n"), lo) | holds(first, F.col("_n"), hi)
         keep = cond if keep is None else keep | cond
-        lo_v, hi_v = F.max(f"_{nm}_lo"), F.max(f"_{nm}_hi")
-        aggs.append((lo_v + (hi_v - lo_v) * F.max(f"_{nm}_frac")).alias(nm))
-    sel = cum.where(keep)
-    if group_cols:
-        return sel.groupBy(*group_cols).agg(*aggs)
-    return sel.agg(*aggs)
+        lo_v = F.max(F.when(holds(first, F.col("_n"), lo), F.col(value_col)))
+        hi_v = F.max(F.when(holds(first, F.col("_n"), hi), F.col(value_col)))
+        aggs.append((lo_v + (hi_v - lo_v) * F.max(pos - lo)).alias(nm))
+    return cum.where(keep).groupBy(*group_cols).agg(*aggs)
 
 
 def unpivot_values(df: DataFrame, cols: list[str], group_cols: list[str] | None = None,
@@ -263,8 +259,12 @@ def unpivot_values(df: DataFrame, cols: list[str], group_cols: list[str] | None
     group_cols = list(group_cols or [])
     if not cols:
         raise ValueError("no columns to unpivot")
+
+    def as_value(c):
+        v = F.col(f"`{c}`").cast(cast)
+        return F.when(~F.isnan(v), v) if cast in ("double", "float") else v   # NaN is a missing number
     stacked = F.explode(F.array(*[
-        F.struct(F.lit(c).alias(feature_col), F.col(f"`{c}`").cast(cast).alias(value_col))
+        F.struct(F.lit(c).alias(feature_col), as_value(c).alias(value_col))
         for c in cols]))
     return df.select(*[F.col(f"`{g}`") for g in group_cols], stacked.alias("_kv")) \
              .select(*group_cols, f"_kv.{feature_col}", f"_kv.{value_col}")

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import logging
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,11 +25,14 @@ STATUS_SCHEMA = ("group_name string, version int, status string, n_features int,
 
 
 def table_exists(spark, path: str) -> bool:
+    """False only where the path does not exist; an unreadable table raises."""
     try:
         spark.read.parquet(path).schema  # noqa: B018 - schema read touches only the footer
         return True
-    except Exception:  # noqa: BLE001
-        return False
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
 
 
 def describe_features(df: DataFrame, descriptions: dict[str, str]) -> DataFrame:

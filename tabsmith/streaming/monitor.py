@@ -12,19 +12,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from tabsmith.operators import drift, quality
-from tabsmith.session import scratch_dir
 
 
-def _start(stream_df: DataFrame, handler, checkpoint: str | None, available_now: bool):
-    spark = stream_df.sparkSession
-    w = (stream_df.writeStream.foreachBatch(handler)
-         .option("checkpointLocation", checkpoint or scratch_dir(spark, "stream-ckpt")))
+def _start(stream_df: DataFrame, handler, checkpoint: str, available_now: bool):
+    if not checkpoint:
+        raise ValueError("a stream needs a checkpoint folder: without it a restart would begin at batch 0 and overwrite results")
+    w = stream_df.writeStream.foreachBatch(handler).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
 
 def validate_stream(stream_df: DataFrame, rules: list[dict], results_path: str,
-                    checkpoint: str | None = None, available_now: bool = True):
+                    checkpoint: str, available_now: bool = True):
     """Q7 per micro-batch: rule results with the batch id appended to ``results_path``."""
     def handle(batch: DataFrame, batch_id: int):
         _, res = quality.run_suite(batch, rules, on_fail="none")
@@ -34,7 +33,7 @@ def validate_stream(stream_df: DataFrame, rules: list[dict], results_path: str,
 
 
 def drift_stream(stream_df: DataFrame, reference: DataFrame, numerical: list[str], categorical: list[str],
-                 results_path: str, checkpoint: str | None = None, available_now: bool = True):
+                 results_path: str, checkpoint: str, available_now: bool = True):
     """R12 per micro-batch: the one-row drift report of the batch against ``reference``."""
     def handle(batch: DataFrame, batch_id: int):
         drift.drift_report(reference, batch, numerical, categorical) \
