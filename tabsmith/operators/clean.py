@@ -146,12 +146,16 @@ def dependency_violations(df: DataFrame, determinant: str, dependent: str) -> Da
 
 def class_balance(df: DataFrame, target: str, split: str | None = None) -> DataFrame:
     """C14: class counts (per split) with share and min/max ratio within the split."""
-    from pyspark.sql import Window
     keys = [split] if split else []
     g = df.groupBy(*[col(k) for k in keys], col(target).alias(target)).agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    return g.select("*", (F.col("n") / F.sum("n").over(w)).alias("share"),
-                    (F.min("n").over(w) / F.max("n").over(w)).alias("min_max_ratio"))
+    totals = g.groupBy(*[col(k).alias(f"__{k}") for k in keys], F.lit(0).alias("__all")).agg(
+        F.sum("n").alias("__sum"), F.min("n").alias("__min"), F.max("n").alias("__max"))   # one row per split
+    same = F.col("__all") == F.lit(0)
+    for k in keys:
+        same = same & col(k).eqNullSafe(F.col(f"__{k}"))
+    j = g.withColumn("__one", F.lit(0)).join(totals, same & (F.col("__one") == F.col("__all")))
+    return j.select(*keys, target, "n", (F.col("n") / F.col("__sum")).alias("share"),
+                    (F.col("__min") / F.col("__max")).alias("min_max_ratio"))
 
 
 # -- type coercion --------------------------------------------------------------

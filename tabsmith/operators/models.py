@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tabsmith.functions.scalars import col
 from tabsmith.operators.ranking import hashed_rank
+from tabsmith.session import materialize
 
 # Default hyper-parameters of the two model families.
 BOOSTED_PARAMS = {"n_estimators": 100, "max_depth": 6, "learning_rate": 0.1, "subsample": 0.8,
@@ -111,13 +112,18 @@ def confusion(pred: DataFrame, true: str = "true_label", predicted: str = "predi
 
 
 def per_class(pred: DataFrame, true: str = "true_label", predicted: str = "predicted_label") -> DataFrame:
-    """Per class: support, predicted, true positives, precision, recall, f1 (0 when undefined)."""
-    t = pred.select(col(true).alias("c"), (col(true) == col(predicted)).cast("int").alias("hit"),
-                    F.lit(1).alias("is_true"), F.lit(0).alias("is_pred"))
-    p = pred.select(col(predicted).alias("c"), F.lit(0).alias("hit"), F.lit(0).alias("is_true"),
-                    F.lit(1).alias("is_pred"))
-    g = t.unionByName(p).groupBy("c").agg(F.sum("is_true").alias("support"), F.sum("is_pred").alias("predicted"),
-                                          F.sum("hit").alias("tp"))
+    """Per class: support, predicted, true positives, precision, recall, f1 (0 when undefined).
+
+    The predictions are read once, into a (true, predicted) count table.
+    """
+    cells = pred.groupBy(col(true).alias("t"), col(predicted).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    zero = F.lit(0).cast("bigint")
+    sides = F.explode(F.array(
+        F.struct(F.col("t").cast("int").alias("c"), F.when(F.col("t") == F.col("p"), F.col("n")).otherwise(zero).alias("hit"),
+                 F.col("n").alias("is_true"), zero.alias("is_pred")),
+        F.struct(F.col("p").cast("int").alias("c"), zero.alias("hit"), zero.alias("is_true"), F.col("n").alias("is_pred"))))
+    g = cells.select(sides.alias("s")).select("s.*").groupBy("c").agg(
+        F.sum("is_true").alias("support"), F.sum("is_pred").alias("predicted"), F.sum("hit").alias("tp"))
     prec = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(F.lit(0.0))
     rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(F.lit(0.0))
     f1 = F.when(prec + rec > 0, 2 * prec * rec / (prec + rec)).otherwise(F.lit(0.0))
@@ -127,8 +133,11 @@ def per_class(pred: DataFrame, true: str = "true_label", predicted: str = "predi
 
 def macro_metrics(pred: DataFrame, true: str = "true_label", predicted: str = "predicted_label") -> DataFrame:
     """K8: one row: accuracy and macro precision / recall / F1 over the union of labels."""
-    pc = per_class(pred, true, predicted)
-    return pc.agg((F.sum("tp") / F.sum("support")).alias("accuracy"),
+    return _macro(per_class(pred, true, predicted))
+
+
+def _macro(pc: DataFrame) -> DataFrame:
+    return pc.agg(F.try_divide(F.sum("tp"), F.sum("support")).alias("accuracy"),
                   F.avg("precision").alias("precision_macro"), F.avg("recall").alias("recall_macro"),
                   F.avg("f1").alias("f1_macro"))
 
@@ -136,16 +145,21 @@ def macro_metrics(pred: DataFrame, true: str = "true_label", predicted: str = "p
 def classification_report(pred: DataFrame, true: str = "true_label",
                           predicted: str = "predicted_label") -> DataFrame:
     """K9: per class rows plus 'macro avg' and 'weighted avg' rows."""
-    pc = per_class(pred, true, predicted)
-    rows = pc.select(F.col("class").cast("string").alias("label"), "precision", "recall", "f1", "support")
-    macro = pc.agg(F.lit("macro avg").alias("label"), F.avg("precision").alias("precision"),
-                   F.avg("recall").alias("recall"), F.avg("f1").alias("f1"), F.sum("support").alias("support"))
-    s = F.sum("support")
-    weighted = pc.agg(F.lit("weighted avg").alias("label"),
-                      (F.sum(F.col("precision") * F.col("support")) / s).alias("precision"),
-                      (F.sum(F.col("recall") * F.col("support")) / s).alias("recall"),
-                      (F.sum(F.col("f1") * F.col("support")) / s).alias("f1"), s.alias("support"))
-    return rows.unionByName(macro).unionByName(weighted)
+    return _report(per_class(pred, true, predicted))
+
+
+def _report(pc: DataFrame) -> DataFrame:
+    """Class rows and both averages from one rollup of the per-class table."""
+    names = ("precision", "recall", "f1")
+    r = pc.rollup("class").agg(F.grouping("class").alias("g"), F.sum("support").alias("support"),
+                               *[F.avg(m).alias(m) for m in names],
+                               *[F.try_divide(F.sum(F.col(m) * F.col("support")), F.sum("support")).alias(f"w_{m}") for m in names])
+
+    def line(label, prefix=""):
+        return F.struct(label.alias("label"), *[F.col(prefix + m).alias(m) for m in names], F.col("support").alias("support"))
+    lines = F.when(F.col("g") == 0, F.array(line(F.col("class").cast("string")))).otherwise(
+        F.array(line(F.lit("macro avg")), line(F.lit("weighted avg"), "w_")))
+    return r.select(F.explode(lines).alias("s")).select("s.*")
 
 
 def pick_best(metrics: DataFrame, score: str = "f1_macro", order: str = "position") -> DataFrame:
@@ -155,8 +169,8 @@ def pick_best(metrics: DataFrame, score: str = "f1_macro", order: str = "positio
 
 def evaluate(model, df: DataFrame, label: str, n_classes: int) -> tuple[DataFrame, DataFrame]:
     """(macro metrics row, classification report)."""
-    pred = predictions(model, df, label, n_classes).cache()
-    return macro_metrics(pred), classification_report(pred)
+    pc = materialize(per_class(predictions(model, df, label, n_classes)))   # one row per class; scored once
+    return _macro(pc), _report(pc)
 
 
 def train_and_evaluate(df: DataFrame, features: list[str], label: str, n_classes: int,
@@ -176,6 +190,12 @@ def train_and_evaluate(df: DataFrame, features: list[str], label: str, n_classes
     return models, metrics, pick_best(metrics)
 
 
+def model_features(model, default: list[str]) -> list[str]:
+    """Input columns of a pipeline's assembler."""
+    stages = [s for s in getattr(model, "stages", []) if isinstance(s, VectorAssembler)]
+    return stages[0].getInputCols() if stages else list(default)
+
+
 def permutation_importance(model, df: DataFrame, features: list[str], label: str, key: str,
                            n_repeats: int = 5, seed: int = 42) -> DataFrame:
     """mean/std (ddof 0) drop of accuracy when one feature's values are permuted.
@@ -187,18 +207,18 @@ def permutation_importance(model, df: DataFrame, features: list[str], label: str
     are scored in one job.
     """
     ided = hashed_rank(df.withColumn("_all", F.lit(0)), ["_all"], key, seed, rank_col="_id").drop("_all", "_group_n")
-    ided = ided.cache()
+    ided = materialize(ided.select("_id", *[col(f) for f in dict.fromkeys([*model_features(model, features), *features])], col(label)))
     baseline = model.transform(ided).agg(F.avg((F.col("prediction") == col(label)).cast("double")).alias("a")).first()["a"]
     parts = []
     for f in features:
-        rep = ided.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_repeats - 1))).alias("_rep"))
+        # only (id, value) pairs are shuffled; the other columns are joined by the id
+        rep = ided.select("_id", F.explode(F.sequence(F.lit(0), F.lit(n_repeats - 1))).alias("_rep"))
         rep = rep.withColumn("_pk", F.concat_ws("|", F.lit(str(seed)), F.col("_rep").cast("string"), F.lit(f),
                                                 F.col("_id").cast("string")))
-        ranked = hashed_rank(rep, ["_rep"], "_pk", seed, rank_col="_perm").drop("_group_n", "_pk")
+        ranked = hashed_rank(rep, ["_rep"], "_pk", seed, rank_col="_perm").select("_id", "_rep", "_perm")
         donor = ided.select(F.col("_id").alias("_src"), col(f).alias("_val"))
-        shuffled = (ranked.join(donor, F.col("_perm") == F.col("_src"))
-                          .withColumn(f, F.col("_val")).drop("_val", "_src", "_perm")
-                          .select(*[col(c) for c in ided.columns], "_rep"))
+        given = ranked.join(donor, F.col("_perm") == F.col("_src")).select("_id", "_rep", "_val")
+        shuffled = ided.join(given, "_id").withColumn(f, F.col("_val")).select(*[col(c) for c in ided.columns], "_rep")
         parts.append(shuffled.withColumn("_feature", F.lit(f)))
     stacked = parts[0]
     for p in parts[1:]:
@@ -212,39 +232,66 @@ def permutation_importance(model, df: DataFrame, features: list[str], label: str
     return out.orderBy(F.desc("importance_mean"), "feature")
 
 
-def cv_performance(df: DataFrame, features: list[str], label: str, key: str, n_folds: int = 5,
-                   seed: int = 69, scale: list[str] | None = None, trainer=None) -> DataFrame:
-    """Stratified K-fold; scaler fitted on the training folds only; macro F1 per fold."""
+def fold_preprocessing(train: DataFrame, others: list[DataFrame], outliers=None, frequency: list[str] = (),
+                       medians: list[str] = (), features=None, scale: list[str] = ()) -> list[DataFrame]:
+    """Preprocess one fold: everything is fitted on its training part alone.
+
+    ``outliers``: a keep condition for the training rows; ``frequency`` columns
+    get ``Enc <col>``; ``medians`` fill nulls; ``features(df)`` derives
+    columns; ``scale`` standardises.  Returns the training part and ``others``.
+    """
+    from tabsmith.operators import encode, impute
     from tabsmith.operators.features import fit_standard, standard_params, standardize
+    parts = [train.where(outliers) if outliers is not None else train, *others]
+    if frequency:
+        m = encode.fit_frequency(parts[0], list(frequency))
+        parts = [encode.frequency(p, m, list(frequency)) for p in parts]
+    if medians:
+        fitted = impute.fit_medians(parts[0], list(medians))
+        parts = [impute.fill_from(p, fitted) for p in parts]
+    if features is not None:
+        parts = [features(p) for p in parts]
+    if scale:
+        params = standard_params(fit_standard(parts[0], list(scale)))
+        parts = [standardize(p, params) for p in parts]
+    return parts
+
+
+def cv_performance(df: DataFrame, features: list[str], label: str, key: str, n_folds: int = 5,
+                   seed: int = 69, scale: list[str] | None = None, trainer=None, **preprocessing) -> DataFrame:
+    """Stratified K-fold; preprocessing (see ``fold_preprocessing``) fitted on the training
+    folds only; macro F1 of both parts per fold."""
     from tabsmith.operators.split import kfold
-    trainer = trainer or (lambda d: train_forest(d, features, label, {"n_estimators": 20, "max_depth": 5}))
+    trainer = trainer or (lambda d: train_forest(d, features, label))
     folded = kfold(df, key, label, n_folds, seed).cache()
     spark = df.sparkSession
     rows = []
     for k in range(n_folds):
-        tr, te = folded.where(F.col("fold") != k), folded.where(F.col("fold") == k)
-        if scale:
-            params = standard_params(fit_standard(tr, scale))
-            tr, te = standardize(tr, params), standardize(te, params)
+        tr, te = fold_preprocessing(folded.where(F.col("fold") != k), [folded.where(F.col("fold") == k)],
+                                    scale=scale or (), **preprocessing)
         m = trainer(tr)
-        pred = m.transform(te).select(col(label).cast("int").alias("true_label"),
-                                      F.col("prediction").cast("int").alias("predicted_label"))
-        mm = macro_metrics(pred).first()
-        rows.append((k, float(mm["f1_macro"]), float(mm["accuracy"])))
+        scores = []
+        for part in (tr, te):
+            pred = m.transform(part).select(col(label).cast("int").alias("true_label"),
+                                            F.col("prediction").cast("int").alias("predicted_label"))
+            scores.append(macro_metrics(pred).first())
+        rows.append((k, float(scores[0]["f1_macro"]), float(scores[1]["f1_macro"]), float(scores[1]["accuracy"])))
     folded.unpersist()
-    return spark.createDataFrame(rows, "fold int, f1_macro double, accuracy double")
+    return spark.createDataFrame(rows, "fold int, f1_train double, f1_macro double, accuracy double")
 
 
 def fold_ensemble(df: DataFrame, test: DataFrame, features: list[str], label: str, key: str,
-                  n_classes: int, n_folds: int = 6, seed: int = 69, trainer=None) -> DataFrame:
-    """One model per fold; class probabilities summed over folds on ``test`` -> argmax."""
+                  n_classes: int, n_folds: int = 6, seed: int = 69, trainer=None, **preprocessing) -> DataFrame:
+    """One model per fold; class probabilities summed over folds on ``test`` -> argmax.
+    Preprocessing (see ``fold_preprocessing``) is fitted on each fold's training part."""
     from tabsmith.operators.split import kfold
-    trainer = trainer or (lambda d: train_forest(d, features, label, {"n_estimators": 20, "max_depth": 5}))
+    trainer = trainer or (lambda d: train_forest(d, features, label))
     folded = kfold(df, key, label, n_folds, seed)
     scores = None
     for k in range(n_folds):
-        m = trainer(folded.where(F.col("fold") != k))
-        p = predictions(m, test, label, n_classes, key=key).select(
+        part, scored = fold_preprocessing(folded.where(F.col("fold") != k), [test], **preprocessing)
+        m = trainer(part)
+        p = predictions(m, scored, label, n_classes, key=key).select(
             key, *[f"prob_class_{i}" for i in range(n_classes)])
         scores = p if scores is None else scores.unionByName(p)
     summed = scores.groupBy(key).agg(*[F.sum(f"prob_class_{i}").alias(f"prob_class_{i}") for i in range(n_classes)])

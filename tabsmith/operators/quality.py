@@ -22,15 +22,30 @@ RESULT_SCHEMA = "rule string, column string, success boolean, observed double, u
 # ---------------------------------------------------------------------------
 # The raw and processed claims suites.
 RAW_CLAIM_COLUMNS = [
-    "Accident Date", "Age at Injury", "Alternative Dispute Resolution", "Assembly Date",
-    "Attorney/Representative", "Average Weekly Wage", "Birth Year", "C-2 Date", "C-3 Date",
-    "Carrier Name", "Carrier Type", "Claim Identifier", "Claim Injury Type", "County of Injury",
-    "COVID-19 Indicator", "District Name", "First Hearing Date", "Gender", "IME-4 Count",
-    "Industry Code", "Industry Code Description", "Medical Fee Region",
-    "OIICS Nature of Injury Description", "WCIO Cause of Injury Code",
-    "WCIO Cause of Injury Description", "WCIO Nature of Injury Code",
-    "WCIO Nature of Injury Description", "WCIO Part Of Body Code", "WCIO Part Of Body Description",
-    "Zip Code", "Agreement Reached", "WCB Decision", "Number of Dependents",
+    "C-2 Date", "Medical Fee Region", "WCIO Nature of Injury Code", "WCB Decision", "Number of Dependents",
+    "Claim Identifier", "Birth Year", "WCIO Cause of Injury Code", "Age at Injury", "First Hearing Date",
+    "Attorney/Representative", "Alternative Dispute Resolution", "County of Injury", "WCIO Part Of Body Code",
+    "WCIO Nature of Injury Description", "Industry Code Description", "Accident Date",
+    "OIICS Nature of Injury Description", "Gender", "WCIO Cause of Injury Description", "Carrier Name",
+    "Claim Injury Type", "Agreement Reached", "WCIO Part Of Body Description", "Average Weekly Wage", "Zip Code",
+    "IME-4 Count", "C-3 Date", "District Name", "COVID-19 Indicator", "Assembly Date", "Industry Code", "Carrier Type",
+]
+PROCESSED_CLAIM_COLUMNS = [
+    "Age at Injury", "Average Weekly Wage", "Birth Year", "IME-4 Count", "Number of Dependents", "Days_to_C2",
+    "Days_to_C3", "Days_to_First_Hearing", "C-2 Date_Day", "C-2 Date_Month", "C-2 Date_Year", "C-2 Date_DayOfWeek",
+    "C-3 Date_Month", "C-3 Date_Day", "C-3 Date_Year", "C-3 Date_DayOfWeek", "First Hearing Date_Day",
+    "First Hearing Date_Month", "First Hearing Date_Year", "First Hearing Date_DayOfWeek", "Accident Date_Day",
+    "Accident Date_Month", "Accident Date_Year", "Accident Date_DayOfWeek", "Assembly Date_Day",
+    "Assembly Date_Month", "Assembly Date_Year", "Assembly Date_DayOfWeek", "Alternative Dispute Resolution_U",
+    "Alternative Dispute Resolution_Y", "Enc County of Injury", "Enc District Name", "Enc Industry Code",
+    "Known Accident Date", "Known Assembly Date", "Known C-2 Date", "Known C-3 Date", "Enc WCIO Cause of Injury Code",
+    "Enc WCIO Nature of Injury Code", "Enc WCIO Part Of Body Code", "Enc Zip Code", "Attorney/Representative_Y",
+    "Carrier Type_2A. SIF", "Carrier Type_3A. SELF PUBLIC", "Carrier Type_4A. SELF PRIVATE",
+    "Carrier Type_5D. SPECIAL FUND - UNKNOWN", "Carrier Type_UNKNOWN", "COVID-19 Indicator_Y",
+    "Medical Fee Region_II", "Medical Fee Region_III", "Medical Fee Region_IV", "Medical Fee Region_UK",
+    "Known First Hearing Date", "Known Age at Injury", "Known Birth Year", "Holiday_Accident", "Weekend_Accident",
+    "Risk_Level", "Gender_M", "Gender_Unknown", "Accident_Season_Sin", "Accident_Season_Cos", "Relative_Wage",
+    "Financial Impact Category", "Age_Group", "Claim Injury Type",
 ]
 SUITES = {
     "raw_data_suite": [
@@ -39,6 +54,7 @@ SUITES = {
     ],
     "processed_data_suite": [
         {"type": "expect_table_row_count_to_be_between", "min": 100000, "max": 593471},
+        {"type": "expect_table_columns_to_match_set", "columns": PROCESSED_CLAIM_COLUMNS, "exact": None},
         {"type": "expect_column_values_to_not_be_null", "column": "Claim Injury Type"},
         {"type": "expect_column_values_to_be_between", "column": "Age at Injury", "min": 16, "max": 100},
     ],

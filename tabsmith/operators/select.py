@@ -9,16 +9,24 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabsmith.functions.scalars import col
 from tabsmith.functions.stats import chi2_sf
 
-# The notebook's essential / reduced feature subsets (sanitised names).
+# The two named feature subsets, in order; the second holds the first.
+ESSENTIAL_FEATURES = [
+    "IME-4 Count", "Days_to_First_Hearing", "C-2 Date_Year", "Accident Date_Year", "Assembly Date_Year",
+    "Attorney/Representative_Y", "Enc WCIO Nature of Injury Code", "Relative_Wage",
+]
 FEATURE_SUBSETS = {
-    "essential": ["age_at_injury", "average_weekly_wage", "ime_4_count", "number_of_dependents"],
-    "reduced": ["age_at_injury", "average_weekly_wage", "ime_4_count"],
+    "essential": ESSENTIAL_FEATURES,
+    "reduced": ESSENTIAL_FEATURES + [
+        "Age at Injury", "Days_to_C2", "Days_to_C3", "C-2 Date_Day", "C-2 Date_DayOfWeek", "C-3 Date_Day", "C-3 Date_Month",
+        "C-3 Date_Year", "First Hearing Date_Day", "First Hearing Date_Month", "First Hearing Date_Year",
+        "First Hearing Date_DayOfWeek", "Accident Date_Month",
+    ],
 }
 # Vote bands: (upper bound inclusive, label) for numeric and categorical features.
 VOTE_BANDS_NUMERIC = ((2, "drop"), (4, "try"), (6, "keep"))
@@ -114,23 +122,52 @@ def mutual_information(df: DataFrame, features: list[str], target: str, keep: fl
 def class_weights(df: DataFrame, target: str, out: str = "class_weight") -> DataFrame:
     """K22: 'balanced' weights n / (k * n_c) as a (class, weight) table."""
     g = df.groupBy(col(target).alias(target)).agg(F.count(F.lit(1)).alias("n_c"))
-    w = Window.partitionBy(F.lit(0))
-    return g.select(target, (F.sum("n_c").over(w) / (F.count(F.lit(1)).over(w) * F.col("n_c"))).alias(out))
+    n, k = g.agg(F.sum("n_c"), F.count(F.lit(1))).first()   # two numbers
+    return g.select(target, (F.lit(n) / (F.lit(k) * F.col("n_c"))).alias(out))
 
 
 def with_class_weights(df: DataFrame, target: str, out: str = "class_weight") -> DataFrame:
-    """Attach K22 weights; the weight table has one row per class (broadcast-safe)."""
-    return df.join(F.broadcast(class_weights(df, target, out)), target)
+    """Attach K22 weights (one row per class: AQE broadcasts it by its size)."""
+    return df.join(class_weights(df, target, out), target)
 
 
-def lasso_coefficients(df: DataFrame, features: list[str], label: str, reg: float = 0.01,
-                       keep: float = 0.01) -> DataFrame:
-    """L1-regularised linear regression coefficients, |coef| > keep selected."""
+def selection_reduction(before: list[str], selected: DataFrame) -> DataFrame:
+    """K7: features before and after a selection and the percentage removed."""
+    n = len(before)
+    kept = F.count(F.lit(1))
+    pct = (n - kept) * F.lit(100.0 / n) if n else F.lit(0.0)
+    return selected.agg(F.lit(n).cast("bigint").alias("n_before"), kept.alias("n_after"), pct.alias("reduction_pct"))
+
+
+def lasso_path(df: DataFrame, features: list[str], label: str, n_alphas: int = 100, span: float = 1e-3) -> list[float]:
+    """Penalties from the smallest that zeroes all coefficients down to ``span`` of it, evenly in logarithm."""
+    y = col(label).cast("double")
+    means = df.agg(F.avg(y).alias("y"), *[F.avg(col(f).cast("double")).alias(f"x{i}") for i, f in enumerate(features)]).first()
+    row = df.agg(*[F.abs(F.avg((col(f).cast("double") - F.lit(means[f"x{i}"])) * (y - F.lit(means["y"]))))
+                   for i, f in enumerate(features)]).first()
+    top = max((float(v) for v in row if v is not None), default=0.0) or 1e-6
+    return [top * span ** (k / max(1, n_alphas - 1)) for k in range(n_alphas)]
+
+
+def lasso_coefficients(df: DataFrame, features: list[str], label: str, reg: float | None = None, keep: float = 0.01,
+                       n_folds: int = 5, n_alphas: int = 100, seed: int = 42) -> DataFrame:
+    """L1-regularised linear regression coefficients, |coef| > keep selected.
+
+    Without ``reg`` the penalty is the one of ``n_alphas`` on the path with the
+    smallest mean squared error over ``n_folds`` folds.
+    """
+    from pyspark.ml.evaluation import RegressionEvaluator
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import LinearRegression
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
     v = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="skip").transform(df)
-    m = LinearRegression(featuresCol="features", labelCol=label, elasticNetParam=1.0, regParam=reg,
-                         standardization=False).fit(v)
+    lr = LinearRegression(featuresCol="features", labelCol=label, elasticNetParam=1.0, standardization=False)
+    if reg is None:
+        grid = ParamGridBuilder().addGrid(lr.regParam, lasso_path(df, features, label, n_alphas)).build()
+        m = CrossValidator(estimator=lr, estimatorParamMaps=grid, numFolds=n_folds, seed=seed, parallelism=4,
+                           evaluator=RegressionEvaluator(labelCol=label, metricName="mse")).fit(v).bestModel
+    else:
+        m = lr.copy({lr.regParam: reg}).fit(v)
     spark = df.sparkSession
     rows = [(f, float(c)) for f, c in zip(features, m.coefficients.toArray())]
     return spark.createDataFrame(rows, "feature string, coefficient double") \
@@ -139,7 +176,11 @@ def lasso_coefficients(df: DataFrame, features: list[str], label: str, reg: floa
 
 def recursive_elimination(df: DataFrame, features: list[str], label: str, min_features: int = 1) -> DataFrame:
     """Logistic-regression RFE: drop the weakest |coef| (summed over classes) one at a
-    time; every size on the path is scored by training macro F1."""
+    time; every size from all features down to ``min_features`` is scored by training macro F1.
+
+    ``best`` marks the subset that the selection returns: the best score among the
+    sizes below all features, the smallest size on a tie.
+    """
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
     from tabsmith.operators.models import macro_metrics
@@ -149,7 +190,7 @@ def recursive_elimination(df: DataFrame, features: list[str], label: str, min_fe
     d = df.select(*features, col(label).cast("double").alias("_y")).cache()
     while len(cur) >= min_features:
         v = VectorAssembler(inputCols=cur, outputCol="features", handleInvalid="skip").transform(d)
-        m = LogisticRegression(featuresCol="features", labelCol="_y", maxIter=50).fit(v)
+        m = LogisticRegression(featuresCol="features", labelCol="_y").fit(v)
         pred = m.transform(v).select(F.col("_y").cast("int").alias("true_label"),
                                      F.col("prediction").cast("int").alias("predicted_label"))
         f1 = macro_metrics(pred).first()["f1_macro"]
@@ -160,7 +201,10 @@ def recursive_elimination(df: DataFrame, features: list[str], label: str, min_fe
         weight = [float(sum(abs(coef[r][i]) for r in range(coef.shape[0]))) for i in range(len(cur))]
         cur.pop(min(range(len(cur)), key=lambda i: (weight[i], cur[i])))
     d.unpersist()
-    return spark.createDataFrame(rows, "n_features int, features array<string>, f1_macro double")
+    smaller = [r for r in rows if r[0] < len(features)] or rows
+    best = max(smaller, key=lambda r: (r[2], -r[0]))[0]
+    return spark.createDataFrame([(*r, r[0] == best) for r in rows],
+                                 "n_features int, features array<string>, f1_macro double, best boolean")
 
 
 def tree_importance(df: DataFrame, features: list[str], label: str, max_depth: int = 5,

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabsmith.operators import encode, models, profile, reports, select
+from tabsmith.operators import dates, encode, models, profile, reports, select
 from tabsmith.plans.claims import claims, with_claims
 from tabsmith.plans.model_input import KEY, model_frame
 from tabsmith.plans.registry import query, rounded
@@ -283,19 +283,57 @@ def top_features(spark, sf):
     return rounded(reports.top_features(select.combine_selection(a, b, "union"), 5))
 
 
-@query("fixed_subset", with_claims("""
-SELECT age_at_injury, average_weekly_wage, ime_4_count, number_of_dependents, claim_identifier FROM claims
-"""))
+def _named_claims(spark, sf):
+    """The claims under the names of the model table, with the date parts of the feature subsets."""
+    c = claims(spark, sf)
+    names = {"ime_4_count": "IME-4 Count", "age_at_injury": "Age at Injury", "c_2_date": "C-2 Date", "c_3_date": "C-3 Date",
+             "accident_date": "Accident Date", "assembly_date": "Assembly Date"}
+    c = c.withColumnsRenamed(names)
+    c = dates.elapsed_days(c, "Accident Date", {"Days_to_C2": "C-2 Date", "Days_to_C3": "C-3 Date"})
+    return dates.date_components(c, ["C-2 Date", "C-3 Date", "Accident Date", "Assembly Date"])
+
+
+def _part(kind: str, c: str, name: str) -> str:
+    e = {"Year": f"year({c})", "Month": f"month({c})", "Day": f"day({c})", "DayOfWeek": f"isodow({c}) - 1"}[kind]
+    return f'coalesce(CAST({e} AS INTEGER), -1) AS "{name}_{kind}"'
+
+
+def _elapsed(c: str, name: str) -> str:
+    return f'coalesce(CAST(floor(date_diff(\'microsecond\', accident_date, {c}) / 86400000000.0) AS BIGINT), -1) AS "{name}"'
+
+
+ESSENTIAL_SQL = f"""ime_4_count AS "IME-4 Count", {_part('Year', 'c_2_date', 'C-2 Date')},
+{_part('Year', 'accident_date', 'Accident Date')}, {_part('Year', 'assembly_date', 'Assembly Date')}"""
+
+
+@query("fixed_subset", with_claims(f"SELECT claim_identifier, {ESSENTIAL_SQL} FROM claims"))
 def fixed_subset(spark, sf):
-    return select.fixed_subset(claims(spark, sf), "essential", keep=["claim_identifier"])
+    return select.fixed_subset(_named_claims(spark, sf), "essential", keep=["claim_identifier"])
 
 
-# -- model training (rows-only checks) -------------------------------------------------
+@query("fixed_subset_reduced", with_claims(f"""
+SELECT claim_identifier, {ESSENTIAL_SQL}, age_at_injury AS "Age at Injury", {_elapsed('c_2_date', 'Days_to_C2')},
+{_elapsed('c_3_date', 'Days_to_C3')}, {_part('Day', 'c_2_date', 'C-2 Date')}, {_part('DayOfWeek', 'c_2_date', 'C-2 Date')},
+{_part('Day', 'c_3_date', 'C-3 Date')}, {_part('Month', 'c_3_date', 'C-3 Date')}, {_part('Year', 'c_3_date', 'C-3 Date')},
+{_part('Month', 'accident_date', 'Accident Date')}
+FROM claims
+"""))
+def fixed_subset_reduced(spark, sf):
+    return select.fixed_subset(_named_claims(spark, sf), "reduced", keep=["claim_identifier"])
+
 
-SMALL_RF = {"n_estimators": 20, "max_depth": 5}
-SMALL_GBT = {"n_estimators": 5, "max_depth": 3}
+@query("selection_reduction", with_claims(f"""
+WITH {CORR_IMP_SQL}, s AS (SELECT feature FROM ci WHERE importance >= (SELECT median(importance) FROM ci))
+SELECT CAST({len(SEL_NUM)} AS BIGINT) AS n_before, count(*) AS n_after,
+       round(100.0 * ({len(SEL_NUM)} - count(*)) / {len(SEL_NUM)}, 6) AS reduction_pct FROM s
+"""))
+def selection_reduction(spark, sf):
+    imp = select.correlation_importance(_labelled(spark, sf), SEL_NUM, "label")
+    return rounded(select.selection_reduction(SEL_NUM, select.select_by_importance(imp, "median")))
 
 
+# -- model training (rows-only checks) -------------------------------------------------
+
 def _train_frame(spark, sf):
     d, feats, label, k = model_frame(spark, sf)
     return d.where(F.col("split") == "train"), d, feats, label, k
@@ -304,35 +342,35 @@ def _train_frame(spark, sf):
 @query("rf_predict")
 def rf_predict(spark, sf):
     train, d, feats, label, k = _train_frame(spark, sf)
-    m = models.train_forest(train, feats, label, SMALL_RF)
+    m = models.train_forest(train, feats, label)
     return models.predictions(m, d.where(F.col("split") == "test"), label, k, key=KEY)
 
 
 @query("gbt_ovr_predict")
 def gbt_ovr_predict(spark, sf):
     train, d, feats, label, k = _train_frame(spark, sf)
-    m = models.train_boosted(train, feats, label, SMALL_GBT)
+    m = models.train_boosted(train, feats, label)
     return models.predictions(m, d.where(F.col("split") == "test"), label, k, key=KEY)
 
 
 @query("rf_importances")
 def rf_importances(spark, sf):
     train, _, feats, label, _ = _train_frame(spark, sf)
-    imp = models.importances(models.train_forest(train, feats, label, SMALL_RF), feats)
+    imp = models.importances(models.train_forest(train, feats, label), feats)
     return select.select_by_importance(imp, "mean")
 
 
 @query("train_and_evaluate")
 def train_and_evaluate(spark, sf):
     d, feats, label, k = model_frame(spark, sf)
-    _, metrics, best = models.train_and_evaluate(d, feats, label, k, boosted=SMALL_GBT, forest=SMALL_RF)
+    _, metrics, best = models.train_and_evaluate(d, feats, label, k)
     return metrics
 
 
 @query("model_report")
 def model_report(spark, sf):
     train, d, feats, label, k = _train_frame(spark, sf)
-    m = models.train_forest(train, feats, label, SMALL_RF)
+    m = models.train_forest(train, feats, label)
     _, report = models.evaluate(m, d.where(F.col("split") == "test"), label, k)
     return report
 
@@ -340,15 +378,15 @@ def model_report(spark, sf):
 @query("permutation_importance")
 def permutation_importance(spark, sf):
     train, d, feats, label, _ = _train_frame(spark, sf)
-    m = models.train_forest(train, feats, label, SMALL_RF)
-    return models.permutation_importance(m, d.where(F.col("split") == "val"), feats[:5], label, KEY, 3, 42)
+    m = models.train_forest(train, feats, label)
+    return models.permutation_importance(m, d.where(F.col("split") == "val"), feats, label, KEY, 5, 42)
 
 
 @query("top_permutation")
 def top_permutation(spark, sf):
     train, d, feats, label, _ = _train_frame(spark, sf)
-    m = models.train_forest(train, feats, label, SMALL_RF)
-    pi = models.permutation_importance(m, d.where(F.col("split") == "val"), feats[:4], label, KEY, 2, 42)
+    m = models.train_forest(train, feats, label)
+    pi = models.permutation_importance(m, d.where(F.col("split") == "val"), feats, label, KEY, 5, 42)
     return reports.top_permutation(pi, 15)
 
 
@@ -361,7 +399,7 @@ def lasso(spark, sf):
 @query("rfe")
 def rfe(spark, sf):
     train, _, feats, label, _ = _train_frame(spark, sf)
-    return select.recursive_elimination(train, feats[:5], label, min_features=2)
+    return select.recursive_elimination(train, feats, label)
 
 
 @query("tree_importance")
@@ -373,18 +411,16 @@ def tree_importance(spark, sf):
 @query("boosted_importance")
 def boosted_importance(spark, sf):
     train, _, feats, label, _ = _train_frame(spark, sf)
-    return select.boosted_importance(train, feats, label, SMALL_GBT)
+    return select.boosted_importance(train, feats, label)
 
 
 @query("cv_scores")
 def cv_scores(spark, sf):
     train, _, feats, label, _ = _train_frame(spark, sf)
-    return models.cv_performance(train, feats, label, KEY, n_folds=3, scale=["average_weekly_wage"],
-                                 trainer=lambda x: models.train_forest(x, feats, label, SMALL_RF))
+    return models.cv_performance(train, feats, label, KEY, scale=["average_weekly_wage"])
 
 
 @query("fold_ensemble")
 def fold_ensemble(spark, sf):
     train, d, feats, label, k = _train_frame(spark, sf)
-    return models.fold_ensemble(train, d.where(F.col("split") == "test"), feats, label, KEY, k, n_folds=3,
-                                trainer=lambda x: models.train_forest(x, feats, label, SMALL_RF))
+    return models.fold_ensemble(train, d.where(F.col("split") == "test"), feats, label, KEY, k)
