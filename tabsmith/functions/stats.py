@@ -61,7 +61,7 @@ def _gammaincc(a: float, x: float) -> float:
     c = 1.0 / tiny
     d = 1.0 / b
     h = d
-    i, change = 0, 1.0
+    i, change = 0, 0.0
     while abs(change - 1.0) >= 4e-16:
         i += 1
         an = -i * (i - a)
