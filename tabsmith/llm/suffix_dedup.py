@@ -31,6 +31,7 @@ other.  Texts under ``LENGTH`` bytes lose nothing.  Other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,9 +45,11 @@ from tabsmith.llm.common import bounded_batches, map_texts, read, table
 LENGTH = 400
 ANCHOR = 48
 #: Bytes whose anchors are computed at once (a longer text in overlapping pieces).
-PIECE = 1 << 22
+PIECE = 1 << 20
 #: Bytes of contexts in a suffix array.
-SHARD_BYTES = 1 << 21
+SHARD_BYTES = 1 << 19
+#: Places that one lane of the common-prefix scan goes through.
+LANE = 128
 #: Distinct contexts of an anchor hash in one shard.
 HOT = 1024
 
@@ -121,20 +124,23 @@ def suffix_array(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     eight = np.zeros(n, np.uint64)
     for k in range(8):
         eight |= wide[k:n + k] << np.uint64(56 - 8 * k)
-    sa = np.argsort(eight, kind="stable")
+    sa = np.argsort(eight)
     ordered = eight[sa]
     new = np.append(True, ordered[1:] != ordered[:-1])
     head = np.maximum.accumulate(np.where(new, np.arange(n), 0))  # first index of each group
-    rank = np.empty(n, np.int64)
+    rank = np.empty(n, np.int32)
     rank[sa] = head
     todo = np.flatnonzero(~(new & np.append(new[1:], True)))  # indices of the array in groups of several
     h = 8
     while len(todo):
         at = sa[todo]
-        after = np.where(at + h < n, rank[np.minimum(at + h, n - 1)] + 1, n - at - h)  # past the end: shorter is smaller
-        after = np.where(at + h < n, after + h, np.maximum(after + h, 0))
+        to = at + h
+        if to.max() < n:
+            after = rank[to] + np.int64(h)
+        else:  # past the end: below all others, and shorter is smaller
+            after = np.where(to < n, rank[np.minimum(to, n - 1)] + np.int64(h), n - at - 1)
         key = rank[at].astype(np.uint64) << np.uint64(32) | after.astype(np.uint64)
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         at, key = at[order], key[order]
         sa[todo] = at
         new = np.append(True, key[1:] != key[:-1])
@@ -145,44 +151,44 @@ def suffix_array(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return sa, rank, eight
 
 
-def common_prefixes(sa: np.ndarray, rank: np.ndarray, eight: np.ndarray, heads: np.ndarray, most: int) -> np.ndarray:
-    """Kasai: common prefix of every suffix with the one before it in order, up to ``most``.
+def common_prefixes(sa: np.ndarray, rank: np.ndarray, eight: np.ndarray, most: int) -> np.ndarray:
+    """Kasai: common prefix of every suffix with the one before it in order, up to ``most``, by place.
 
-    Runs along all contexts (starting at ``heads``) at once; each step starts
-    from the last prefix less one and compares eight bytes at a time.
+    Lanes of ``LANE`` places advance together; in a lane each step starts from
+    the last prefix less one and compares eight bytes at a time.
     """
     n = len(sa)
-    out = np.zeros(n, np.int64)  # by place
-    stops = np.append(heads[1:], n)
-    order = np.argsort(heads - stops, kind="stable")  # longest first: the lanes that end drop off the end
-    here, stops = heads[order].copy(), stops[order]
-    length = np.zeros(len(here), np.int64)
+    lanes = -(-n // LANE)
+    out = np.zeros((lanes, LANE), np.int32)
+    before = np.empty(n, np.int64)  # the suffix before, -1 for the first
+    before[sa[1:]] = sa[:-1]
+    before[sa[0]] = -1
     padded = np.append(eight, np.zeros(most + 8, np.uint64))
-    steps = np.array([(np.uint64(1) << np.uint64(64 - 8 * k)) for k in range(1, 8)], np.uint64)
-    live = len(here)
-    while live:
-        i = here[:live]
-        r = rank[i]
-        j = sa[np.maximum(r - 1, 0)]
-        got = np.maximum(length[:live] - 1, 0)
-        run = np.flatnonzero(r > 0)
-        got[r == 0] = 0
+    steps = np.array([np.uint64(1) << np.uint64(64 - 8 * k) for k in range(1, 8)], np.uint64)
+    here = np.arange(lanes) * LANE
+    length = np.zeros(lanes, np.int64)
+    for t in range(LANE):
+        if here[-1] >= n:
+            here, length = here[:-1], length[:-1]
+            if not len(here):
+                break
+        j = before[here]
+        got = np.maximum(length - 1, 0)
+        got[j < 0] = 0
+        run = np.flatnonzero(j >= 0)
         while len(run):
-            diff = padded[i[run] + got[run]] ^ padded[j[run] + got[run]]
+            diff = padded[here[run] + got[run]] ^ padded[j[run] + got[run]]
             same = diff == 0
-            part = ~same
-            if part.any():
-                got[run[part]] += (diff[part][:, None] < steps).sum(axis=1)
+            part = run[~same]
+            if len(part):
+                got[part] += (diff[~same][:, None] < steps).sum(axis=1)
             run = run[same]
             got[run] += 8
             run = run[got[run] < most]
-        got = np.minimum(got, np.minimum(n - i, n - j))
-        out[i] = got
-        length[:live] = got
-        here[:live] += 1
-        while live and here[live - 1] >= stops[live - 1]:
-            live -= 1
-    return np.minimum(out, most)
+        length = np.minimum(got, n - np.maximum(here, j))
+        out[:len(here), t] = length
+        here = here + 1
+    return np.minimum(out.ravel()[:n], most)
 
 
 def repeated_starts(bodies: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -194,7 +200,7 @@ def repeated_starts(bodies: list[bytes], length: int = LENGTH) -> tuple[np.ndarr
     sizes = np.array([len(b) for b in bodies], np.int64)
     heads = np.cumsum(sizes) - sizes
     sa, rank, eight = suffix_array(data)
-    lcp = common_prefixes(sa, rank, eight, heads, length)
+    lcp = common_prefixes(sa, rank, eight, length)
     group = np.cumsum(lcp[sa] < length)  # by order
     body = np.repeat(np.arange(len(bodies)), sizes)
     offset = np.arange(len(data)) - heads[body]
@@ -205,11 +211,12 @@ def repeated_starts(bodies: list[bytes], length: int = LENGTH) -> tuple[np.ndarr
 # ---- Spark --------------------------------------------------------------------------------------
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(doc_id, text, key)``; the key is a digest of id and text, the same in every scan."""
+    """``(doc_id, text, k1, k2)``; the key is a digest of id and text, the same in every scan."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     name = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
+    digest = F.md5(F.concat(name, F.lit("\n"), text).cast("binary"))
     return docs.select(F.col(id_col).alias("doc_id"), text.alias("text"),
-                       F.unhex(F.md5(F.concat(name, F.lit("\n"), text).cast("binary"))).alias("key"))
+                       *[F.conv(F.substring(digest, at, 15), 16, 10).cast("long").alias(k) for at, k in ((1, "k1"), (17, "k2"))])
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -233,8 +240,9 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 def _contexts(keyed: DataFrame, length: int) -> DataFrame:
-    """Distinct contexts: ``(h, c, n, key, lo, hi)`` with their number and one place."""
-    schema = pa.schema([("h", pa.int64()), ("c", pa.binary()), ("key", pa.binary()), ("lo", pa.int32()), ("hi", pa.int32())])
+    """Distinct contexts: ``(h, c1, c2, n, k1, k2, lo, hi)`` with their number and one place."""
+    schema = pa.schema([("h", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()),
+                        ("lo", pa.int32()), ("hi", pa.int32())])
 
     def run(batches):
         anchors = Anchors(length)
@@ -242,35 +250,35 @@ def _contexts(keyed: DataFrame, length: int) -> DataFrame:
         def rows():
             for r in _rows(batches):
                 for lo, hi, h, c in anchors.contexts(r["text"].encode("utf-8", "surrogatepass")):
-                    yield h - (1 << 64) if h >> 63 else h, c, r["key"], lo, hi
+                    yield h - (1 << 64) if h >> 63 else h, *struct.unpack("<qq", c), r["k1"], r["k2"], lo, hi
         yield from _batches(rows(), schema, 8192)
 
-    found = keyed.select("key", "text").mapInArrow(run, "h long, c binary, key binary, lo int, hi int")
-    return found.groupBy("h", "c").agg(F.count("*").alias("n"), F.min(F.struct("key", "lo", "hi")).alias("at")).select(
-        "h", "c", "n", "at.*")
+    found = keyed.select("k1", "k2", "text").mapInArrow(run, "h long, c1 long, c2 long, k1 long, k2 long, lo int, hi int")
+    # any one place will do; all four values are those of the same row
+    return found.groupBy("h", "c1", "c2").agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("k1", "k2", "lo", "hi")])
 
 
 def _bodies(keyed: DataFrame, contexts: DataFrame, length: int, hot: int) -> DataFrame:
-    """Bytes of the contexts whose anchor hash has others: ``(h, sub, parts, single, key, lo, body)``."""
+    """Bytes of the contexts whose anchor hash has others: ``(h, sub, parts, single, k1, k2, lo, body)``."""
     shared = table(contexts.groupBy("h").agg(F.count("*").alias("n_contexts")).where("n_contexts > 1"), "sa-shared")
     parts = F.ceil(F.col("n_contexts") / hot)
     wants = (contexts.join(shared, "h")
-             .select("key", F.struct("h", F.pmod(F.xxhash64("c"), parts).cast("int").alias("sub"), parts.cast("int").alias("parts"),
+             .select("k1", "k2", F.struct("h", F.pmod(F.xxhash64("c1"), parts).cast("int").alias("sub"), parts.cast("int").alias("parts"),
                                      (F.col("n") == 1).alias("single"), "lo", "hi").alias("want"))
-             .groupBy("key").agg(F.collect_list("want").alias("wants")))  # a text's own contexts
-    out = pa.schema([("h", pa.int64()), ("sub", pa.int32()), ("parts", pa.int32()), ("single", pa.bool_()), ("key", pa.binary()),
-                     ("lo", pa.int32()), ("body", pa.binary())])
+             .groupBy("k1", "k2").agg(F.collect_list("want").alias("wants")))  # a text's own contexts
+    out = pa.schema([("h", pa.int64()), ("sub", pa.int32()), ("parts", pa.int32()), ("single", pa.bool_()), ("k1", pa.int64()),
+                     ("k2", pa.int64()), ("lo", pa.int32()), ("body", pa.binary())])
 
     def run(batches):
         def rows():
             for r in _rows(batches):
                 text = r["text"].encode("utf-8", "surrogatepass")
                 for w in r["wants"]:
-                    yield (w["h"], w["sub"], w["parts"], w["single"], r["key"], w["lo"], text[w["lo"]:w["hi"] + length])
+                    yield (w["h"], w["sub"], w["parts"], w["single"], r["k1"], r["k2"], w["lo"], text[w["lo"]:w["hi"] + length])
         yield from _batches(rows(), out, 512)
 
-    return (keyed.select("key", "text").join(table(wants, "sa-wants"), "key")
-            .mapInArrow(run, "h long, sub int, parts int, single boolean, key binary, lo int, body binary"))
+    return (keyed.select("k1", "k2", "text").join(table(wants, "sa-wants"), ["k1", "k2"])
+            .mapInArrow(run, "h long, sub int, parts int, single boolean, k1 long, k2 long, lo int, body binary"))
 
 
 def _digests(value: bytes) -> tuple[int, int]:
@@ -292,7 +300,7 @@ def _shard(rows: list[dict], length: int) -> Iterator[tuple]:
         last = np.append(first[1:], len(hits)) - 1
         for a, z in zip(hits[first].tolist(), hits[last].tolist(), strict=True):
             r = rows[body[a]]
-            yield r["key"], r["lo"] + int(offset[a]), r["lo"] + int(offset[z]), None, None, None, None, None, None
+            yield r["k1"], r["k2"], r["lo"] + int(offset[a]), r["lo"] + int(offset[z]), None, None, None, None, None, None
     split = np.array([r["parts"] > 1 for r in rows])[body]
     one = np.flatnonzero(split)
     one = one[np.unique(group[one], return_index=True)[1]] if len(one) else one
@@ -301,13 +309,13 @@ def _shard(rows: list[dict], length: int) -> Iterator[tuple]:
         at = int(offset[k])
         d1, d2 = _digests(r["body"][at:at + length])
         # 64 buckets for each shard of a split anchor
-        yield (r["key"], r["lo"] + at, r["lo"] + at, r["h"], r["sub"], (d1 & 0x7FFFFFFF) % (64 * r["parts"]), d1, d2,
+        yield (r["k1"], r["k2"], r["lo"] + at, r["lo"] + at, r["h"], r["sub"], (d1 & 0x7FFFFFFF) % (64 * r["parts"]), d1, d2,
                bool(single[k] and not again[k]))
 
 
 def _search(bodies: DataFrame, length: int, shard_bytes: int) -> DataFrame:
-    kinds = "key binary, lo int, hi int, h long, sub int, bucket int, d1 long, d2 long, open boolean"
-    out = pa.schema([("key", pa.binary()), ("lo", pa.int32()), ("hi", pa.int32()), ("h", pa.int64()), ("sub", pa.int32()),
+    kinds = "k1 long, k2 long, lo int, hi int, h long, sub int, bucket int, d1 long, d2 long, open boolean"
+    out = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("h", pa.int64()), ("sub", pa.int32()),
                      ("bucket", pa.int32()), ("d1", pa.int64()), ("d2", pa.int64()), ("open", pa.bool_())])
 
     def run(batches):
@@ -316,7 +324,7 @@ def _search(bodies: DataFrame, length: int, shard_bytes: int) -> DataFrame:
             size, group = 0, None
             for r in _rows(batches):
                 now = r["h"], r["sub"]
-                if shard and now == group and (r["key"], r["lo"]) == (shard[-1]["key"], shard[-1]["lo"]):
+                if shard and now == group and all(r[c] == shard[-1][c] for c in ("k1", "k2", "lo")):
                     continue  # the same place of an equal row
                 if shard and now != group and (size >= shard_bytes or now[0] == group[0]):
                     yield from _shard(shard, length)
@@ -328,11 +336,11 @@ def _search(bodies: DataFrame, length: int, shard_bytes: int) -> DataFrame:
                 yield from _shard(shard, length)
         yield from _batches(rows(), out, 8192)
 
-    return bodies.repartition("h", "sub").sortWithinPartitions("h", "sub", "key", "lo").mapInArrow(run, kinds)
+    return bodies.repartition("h", "sub").sortWithinPartitions("h", "sub", "k1", "k2", "lo").mapInArrow(run, kinds)
 
 
 def _merge(found: DataFrame) -> DataFrame:
-    """Starts of split anchors whose string is in another shard too: ``(key, lo, hi)``."""
+    """Starts of split anchors whose string is in another shard too: ``(k1, k2, lo, hi)``."""
     def run(part):
         import pandas as pd
         d1, d2 = part["d1"].to_numpy(), part["d2"].to_numpy()
@@ -349,9 +357,9 @@ def _merge(found: DataFrame) -> DataFrame:
                 return np.searchsorted(x, values, "right") - np.searchsorted(x, values, "left")
             hit[own] = among(every, number[own]) > among(mine, number[own])
         keep = part[hit & part["open"].to_numpy(bool)]
-        return pd.DataFrame({"key": keep["key"], "lo": keep["lo"], "hi": keep["hi"]})
+        return pd.DataFrame({c: keep[c] for c in ("k1", "k2", "lo", "hi")})
 
-    return found.where("d1 IS NOT NULL").groupBy("h", "bucket").applyInPandas(run, "key binary, lo int, hi int")
+    return found.where("d1 IS NOT NULL").groupBy("h", "bucket").applyInPandas(run, "k1 long, k2 long, lo int, hi int")
 
 
 def _removed(n: int, marks: list[dict] | None, length: int) -> list[tuple[int, int]]:
@@ -377,41 +385,48 @@ SPANS = T.StructType([T.StructField("spans", T.ArrayType(T.StructType([
     T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])))])
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text",
-                   shard_bytes: int = SHARD_BYTES, hot: int = HOT) -> DataFrame:
-    """``(doc_id, text, spans)``: the byte ranges of every text that repeat, maximal and in order."""
+def _apply(docs: DataFrame, schema: T.StructType, fn, length: int, id_col: str, text_col: str, shard_bytes: int, hot: int) -> DataFrame:
+    """``(doc_id, text)`` and the columns that ``fn(texts, spans)`` gives."""
     bounded_batches(docs.sparkSession)
     keyed = _keyed(docs, id_col, text_col)
     contexts = table(_contexts(keyed, length), "sa-contexts")
     found = table(_search(_bodies(keyed, contexts, length, hot), length, shard_bytes), "sa-found")
-    runs = found.where("d1 IS NULL").select("key", "lo", "hi").unionByName(_merge(found))
-    marks = (contexts.where("n = 1").select("key", "lo", "hi", F.lit(False).alias("found"))
+    runs = found.where("d1 IS NULL").select("k1", "k2", "lo", "hi").unionByName(_merge(found))
+    marks = (contexts.where("n = 1").select("k1", "k2", "lo", "hi", F.lit(False).alias("found"))
              .unionByName(runs.withColumn("found", F.lit(True)))
-             .groupBy("key").agg(F.collect_list(F.struct("lo", "hi", "found")).alias("marks")))  # a text's own contexts
+             .groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi", "found")).alias("marks")))  # a text's own contexts
 
     def task():
         def run(cols):
-            return {"spans": [[{"start": s, "end": e} for s, e in _removed(len(t.encode("utf-8", "surrogatepass")), m, length)]
-                              for t, m in zip(*cols, strict=True)]}
+            spans = [_removed(len(t.encode("utf-8", "surrogatepass")), m, length) for t, m in zip(*cols, strict=True)]
+            return fn(cols[0], spans)
         return run
-    joined = keyed.join(table(marks, "sa-marks"), "key", "left")
-    return map_texts(joined, ["text", "marks"], SPANS, task).select("doc_id", "text", "spans")
+    joined = keyed.join(table(marks, "sa-marks"), ["k1", "k2"], "left")
+    return map_texts(joined, ["text", "marks"], schema, task).drop("k1", "k2", "marks")
 
 
-def _kept(text: str, spans: list[dict]) -> bytes:
+def _kept(text: str, spans: list[tuple[int, int]]) -> bytes:
     data, at, out = text.encode("utf-8", "surrogatepass"), 0, []
-    for s in spans:
-        out.append(data[at:s["start"]])
-        at = s["end"]
+    for s, e in spans:
+        out.append(data[at:s])
+        at = e
     return b"".join([*out, data[at:]])
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text",
+                   shard_bytes: int = SHARD_BYTES, hot: int = HOT) -> DataFrame:
+    """``(doc_id, text, spans)``: the byte ranges of every text that repeat, maximal and in order."""
+    def fn(texts, spans):
+        return {"spans": [[{"start": s, "end": e} for s, e in x] for x in spans]}
+    return _apply(docs, SPANS, fn, length, id_col, text_col, shard_bytes, hot)
+
+
+def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, text)`` without the repeated bytes; a character that loses some of its bytes goes whole."""
-    def task():
-        return lambda cols: {"text": [_kept(t, s).decode("utf-8", "ignore") for t, s in zip(*cols, strict=True)]}
-    found = repeated_spans(docs, length)
-    return map_texts(found, ["text", "spans"], T.StructType([T.StructField("text", T.StringType())]), task).select("doc_id", "text")
+    def fn(texts, spans):
+        return {"text": [_kept(t, s).decode("utf-8", "ignore") for t, s in zip(texts, spans, strict=True)]}
+    schema = T.StructType([T.StructField("text", T.StringType())])
+    return _apply(docs, schema, fn, length, id_col, text_col, SHARD_BYTES, HOT).select("doc_id", "text")
 
 
 DIGEST = T.StructType([T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
@@ -419,12 +434,10 @@ DIGEST = T.StructType([T.StructField("n_bytes", T.LongType()), T.StructField("n_
 
 
 def op10_suffix_array(spark, sf_dir: str) -> DataFrame:
-    def task():
-        def run(cols):
-            kept = [_kept(t, s) for t, s in zip(*cols, strict=True)]
-            gone = [sum(x["end"] - x["start"] for x in s) for s in cols[1]]
-            return {"n_bytes": [len(k) + g for k, g in zip(kept, gone, strict=True)], "n_removed": gone,
-                    "n_spans": [len(s) for s in cols[1]], "kept_sha256": [hashlib.sha256(k).hexdigest() for k in kept]}
-        return run
-    found = repeated_spans(read(spark, sf_dir, "documents"))
-    return map_texts(found, ["text", "spans"], DIGEST, task).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    def fn(texts, spans):
+        kept = [_kept(t, s) for t, s in zip(texts, spans, strict=True)]
+        gone = [sum(e - s for s, e in x) for x in spans]
+        return {"n_bytes": [len(k) + g for k, g in zip(kept, gone, strict=True)], "n_removed": gone,
+                "n_spans": [len(x) for x in spans], "kept_sha256": [hashlib.sha256(k).hexdigest() for k in kept]}
+    docs = read(spark, sf_dir, "documents")
+    return _apply(docs, DIGEST, fn, LENGTH, "doc_id", "text", SHARD_BYTES, HOT).drop("text")
