@@ -19,8 +19,9 @@ its strings cover, is a context.
    prefixes, and marks owned starts in runs of common prefixes of ``LENGTH``.
 4. An anchor hash with more than ``HOT`` contexts is split over several shards.
    A shard then also gives one start of each of its distinct owned strings with
-   the string's digest; digests given by several shards are gathered, and each
-   shard finds these in its sorted digests by binary search.
+   the string's digest, unless the bytes around the anchor already differ from
+   all other shards'; the digests of all shards are sorted, and each shard's are
+   sought among the others' by binary search.
 
 Documents then lose all starts but those of contexts that stayed single.
 
@@ -50,6 +51,8 @@ PIECE = 1 << 20
 SHARD_BYTES = 1 << 19
 #: Places that one lane of the common-prefix scan goes through.
 LANE = 128
+#: Starts of a cell, the unit in which shards of one anchor hash are compared before digests are given.
+CELL = 32
 #: Distinct contexts of an anchor hash in one shard.
 HOT = 1024
 
@@ -108,13 +111,13 @@ class Anchors:
         return first, last, place[first], h[place[first]]
 
     def contexts(self, text: bytes) -> Iterator[tuple[int, int, int, bytes]]:
-        """``(first start, last start, anchor hash, digest of offset and bytes)`` of every owned run."""
+        """``(first start, last start, anchor's place, its hash, digest of offset and bytes)`` of every owned run."""
         data = np.frombuffer(text, np.uint8)
         for at in range(0, max(1, len(text) - self.length + 1), PIECE):
             piece = data[at:at + PIECE + self.length - 1]
             for lo, hi, place, h in zip(*(x.tolist() for x in self.runs(piece)), strict=True):
                 body = text[at + lo:at + hi + self.length]
-                yield at + lo, at + hi, h, hashlib.blake2b(body, digest_size=16, salt=(place - lo).to_bytes(8, "little")).digest()
+                yield at + lo, at + hi, at + place, h, hashlib.blake2b(body, digest_size=16, salt=(place - lo).to_bytes(8, "little")).digest()
 
 
 def suffix_array(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -240,45 +243,72 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 def _contexts(keyed: DataFrame, length: int) -> DataFrame:
-    """Distinct contexts: ``(h, c1, c2, n, k1, k2, lo, hi)`` with their number and one place."""
+    """Distinct contexts: ``(h, c1, c2, n, k1, k2, lo, hi, anchor)`` with their number and one place."""
     schema = pa.schema([("h", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()),
-                        ("lo", pa.int32()), ("hi", pa.int32())])
+                        ("lo", pa.int32()), ("hi", pa.int32()), ("anchor", pa.int32())])
 
     def run(batches):
         anchors = Anchors(length)
 
         def rows():
             for r in _rows(batches):
-                for lo, hi, h, c in anchors.contexts(r["text"].encode("utf-8", "surrogatepass")):
-                    yield h - (1 << 64) if h >> 63 else h, *struct.unpack("<qq", c), r["k1"], r["k2"], lo, hi
+                for lo, hi, anchor, h, c in anchors.contexts(r["text"].encode("utf-8", "surrogatepass")):
+                    yield h - (1 << 64) if h >> 63 else h, *struct.unpack("<qq", c), r["k1"], r["k2"], lo, hi, anchor
         yield from _batches(rows(), schema, 8192)
 
-    found = keyed.select("k1", "k2", "text").mapInArrow(run, "h long, c1 long, c2 long, k1 long, k2 long, lo int, hi int")
-    # any one place will do; all four values are those of the same row
-    return found.groupBy("h", "c1", "c2").agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("k1", "k2", "lo", "hi")])
+    found = keyed.select("k1", "k2", "text").mapInArrow(run, "h long, c1 long, c2 long, k1 long, k2 long, lo int, hi int, anchor int")
+    # any one place will do; all five values are those of the same row
+    return found.groupBy("h", "c1", "c2").agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("k1", "k2", "lo", "hi", "anchor")])
 
 
 def _bodies(keyed: DataFrame, contexts: DataFrame, length: int, hot: int) -> DataFrame:
-    """Bytes of the contexts whose anchor hash has others: ``(h, sub, parts, single, k1, k2, lo, body)``."""
+    """Bytes of the contexts whose anchor hash has others: ``(h, sub, parts, single, k1, k2, lo, anchor, body)``."""
     shared = table(contexts.groupBy("h").agg(F.count("*").alias("n_contexts")).where("n_contexts > 1"), "sa-shared")
     parts = F.ceil(F.col("n_contexts") / hot)
     wants = (contexts.join(shared, "h")
              .select("k1", "k2", F.struct("h", F.pmod(F.xxhash64("c1"), parts).cast("int").alias("sub"), parts.cast("int").alias("parts"),
-                                     (F.col("n") == 1).alias("single"), "lo", "hi").alias("want"))
+                                     (F.col("n") == 1).alias("single"), "lo", "hi", "anchor").alias("want"))
              .groupBy("k1", "k2").agg(F.collect_list("want").alias("wants")))  # a text's own contexts
     out = pa.schema([("h", pa.int64()), ("sub", pa.int32()), ("parts", pa.int32()), ("single", pa.bool_()), ("k1", pa.int64()),
-                     ("k2", pa.int64()), ("lo", pa.int32()), ("body", pa.binary())])
+                     ("k2", pa.int64()), ("lo", pa.int32()), ("anchor", pa.int32()), ("body", pa.binary())])
 
     def run(batches):
         def rows():
             for r in _rows(batches):
                 text = r["text"].encode("utf-8", "surrogatepass")
                 for w in r["wants"]:
-                    yield (w["h"], w["sub"], w["parts"], w["single"], r["k1"], r["k2"], w["lo"], text[w["lo"]:w["hi"] + length])
+                    yield (w["h"], w["sub"], w["parts"], w["single"], r["k1"], r["k2"], w["lo"], w["anchor"], text[w["lo"]:w["hi"] + length])
         yield from _batches(rows(), out, 512)
 
     return (keyed.select("k1", "k2", "text").join(table(wants, "sa-wants"), ["k1", "k2"])
-            .mapInArrow(run, "h long, sub int, parts int, single boolean, k1 long, k2 long, lo int, body binary"))
+            .mapInArrow(run, "h long, sub int, parts int, single boolean, k1 long, k2 long, lo int, anchor int, body binary"))
+
+
+def _shared_cells(split: DataFrame, length: int) -> DataFrame:
+    """``(k1, k2, lo, cells)``: of the contexts of split anchors the cells whose core another shard has too.
+
+    A cell holds the starts that lie ``CELL`` * k to ``CELL`` * (k + 1) - 1
+    bytes before the anchor, its core the bytes that all their strings share.
+    Equal strings lie in equal cells with equal cores, so a string whose core
+    is in one shard only needs no digest.
+    """
+    out = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("lo", pa.int32()), ("h", pa.int64()), ("sub", pa.int32()),
+                     ("cell", pa.int32()), ("d1", pa.int64()), ("d2", pa.int64())])
+
+    def run(batches):
+        def rows():
+            for r in _rows(batches):
+                near, far = r["anchor"] - (r["lo"] + len(r["body"]) - length), r["anchor"] - r["lo"]
+                for cell in range(near // CELL, far // CELL + 1):
+                    core = r["anchor"] - CELL * cell - r["lo"]
+                    yield (r["k1"], r["k2"], r["lo"], r["h"], r["sub"], cell,
+                           *_digests(r["body"][max(core, 0):core - CELL + 1 + length]))
+        yield from _batches(rows(), out, 8192)
+
+    cells = table(split.mapInArrow(run, "k1 long, k2 long, lo int, h long, sub int, cell int, d1 long, d2 long"), "sa-cells")
+    shared = cells.groupBy("h", "cell", "d1", "d2").agg(F.min("sub").alias("a"), F.max("sub").alias("b")).where("a < b").drop("a", "b")
+    return (cells.join(table(shared, "sa-cores"), ["h", "cell", "d1", "d2"])
+            .groupBy("k1", "k2", "lo").agg(F.collect_set("cell").alias("cells")))
 
 
 def _digests(value: bytes) -> tuple[int, int]:
@@ -301,8 +331,11 @@ def _shard(rows: list[dict], length: int) -> Iterator[tuple]:
         for a, z in zip(hits[first].tolist(), hits[last].tolist(), strict=True):
             r = rows[body[a]]
             yield r["k1"], r["k2"], r["lo"] + int(offset[a]), r["lo"] + int(offset[z]), None, None, None, None, None, None
-    split = np.array([r["parts"] > 1 for r in rows])[body]
-    one = np.flatnonzero(split)
+    # a start's cell is its distance before the anchor; only cells that other shards share are given
+    ahead = np.array([r["anchor"] - r["lo"] for r in rows])[body] - offset
+    wanted = {(i, c) for i, r in enumerate(rows) for c in r["cells"] or ()}
+    one = np.flatnonzero(np.array([bool(r["cells"]) for r in rows])[body]) if wanted else np.zeros(0, np.int64)
+    one = one[[(b, c) in wanted for b, c in zip(body[one].tolist(), (ahead[one] // CELL).tolist(), strict=True)]] if len(one) else one
     one = one[np.unique(group[one], return_index=True)[1]] if len(one) else one
     for k in one.tolist():
         r = rows[body[k]]
@@ -336,6 +369,8 @@ def _search(bodies: DataFrame, length: int, shard_bytes: int) -> DataFrame:
                 yield from _shard(shard, length)
         yield from _batches(rows(), out, 8192)
 
+    cells = table(_shared_cells(bodies.where("parts > 1"), length), "sa-shared-cells")
+    bodies = bodies.join(cells, ["k1", "k2", "lo"], "left")
     return bodies.repartition("h", "sub").sortWithinPartitions("h", "sub", "k1", "k2", "lo").mapInArrow(run, kinds)
 
 
@@ -390,7 +425,8 @@ def _apply(docs: DataFrame, schema: T.StructType, fn, length: int, id_col: str,
     bounded_batches(docs.sparkSession)
     keyed = _keyed(docs, id_col, text_col)
     contexts = table(_contexts(keyed, length), "sa-contexts")
-    found = table(_search(_bodies(keyed, contexts, length, hot), length, shard_bytes), "sa-found")
+    bodies = table(_bodies(keyed, contexts, length, hot), "sa-bodies")
+    found = table(_search(bodies, length, shard_bytes), "sa-found")
     runs = found.where("d1 IS NULL").select("k1", "k2", "lo", "hi").unionByName(_merge(found))
     marks = (contexts.where("n = 1").select("k1", "k2", "lo", "hi", F.lit(False).alias("found"))
              .unionByName(runs.withColumn("found", F.lit(True)))

@@ -123,7 +123,7 @@ def test_anchors_own_every_start_once_and_alike():
     text = bytes(rng.choice(b"abcd") for _ in range(3000)) + b"z" * 900
     anchors = suffix_dedup.Anchors(50, 12)
     owned, by_string = [], {}
-    for lo, hi, h, _ in anchors.contexts(text):
+    for lo, hi, _, h, _ in anchors.contexts(text):
         owned += range(lo, hi + 1)
         for s in range(lo, hi + 1):
             assert by_string.setdefault(text[s:s + 50], h) == h
@@ -175,7 +175,7 @@ def test_no_repeats_and_empty(spark):
 def test_long_text_in_pieces(monkeypatch):
     rng = random.Random(3)
     text = bytes(rng.choice(b"ab") for _ in range(5000))
-    whole = {s: h for lo, hi, h, _ in suffix_dedup.Anchors(40, 10).contexts(text) for s in range(lo, hi + 1)}
+    whole = {s: h for lo, hi, _, h, _ in suffix_dedup.Anchors(40, 10).contexts(text) for s in range(lo, hi + 1)}
     monkeypatch.setattr(suffix_dedup, "PIECE", 700)
-    parts = {s: h for lo, hi, h, _ in suffix_dedup.Anchors(40, 10).contexts(text) for s in range(lo, hi + 1)}
+    parts = {s: h for lo, hi, _, h, _ in suffix_dedup.Anchors(40, 10).contexts(text) for s in range(lo, hi + 1)}
     assert parts == whole
