@@ -32,8 +32,8 @@ TRAIN_DOCS = 3000
 BUCKETS = 1 << 16
 CELLS = 1 << 22
 ALPHA = 0.1
-#: Characters scored at once; bounds memory on very long texts.
-CHUNK = 1 << 20
+#: Numbers gathered at once (n-grams x languages); bounds memory on very long texts and many languages.
+GATHERED = 1 << 22
 
 
 def letter_table() -> np.ndarray:
@@ -63,9 +63,10 @@ def grams(text: str, table: np.ndarray, buckets: int) -> np.ndarray:
     return np.concatenate(out).astype(np.int64) if out else np.zeros(0, np.int64)
 
 
-def pieces(text: str) -> list[str]:
+def pieces(text: str, langs: int) -> list[str]:
     """The whole text in pieces that overlap so that no n-gram is lost (the few doubled ones at the seams do not matter)."""
-    return [text[at:at + CHUNK + ORDERS - 1] for at in range(0, max(1, len(text)), CHUNK)]
+    size = max(1 << 10, GATHERED // (ORDERS * max(1, langs)))
+    return [text[at:at + size + ORDERS - 1] for at in range(0, max(1, len(text)), size)]
 
 
 def train(docs: DataFrame, fold=None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -74,7 +75,7 @@ def train(docs: DataFrame, fold=None, id_col: str = "doc_id", text_col: str = "t
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     rows = rows.where("lang IS NOT NULL AND text IS NOT NULL")
     rows = rows.where(fold) if fold is not None else rows
-    sizes = {r[0]: r[1] for r in rows.groupBy("lang").count().orderBy("lang").limit(CELLS).collect()}
+    sizes = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}  # one row for each language
     if not sizes:
         return {"langs": []}
     langs = sorted(sizes)
@@ -91,7 +92,7 @@ def train(docs: DataFrame, fold=None, id_col: str = "doc_id", text_col: str = "t
         total = np.zeros((len(langs), buckets), np.int64)
         for batch in batches:
             for lang, text in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("lang", "text")), strict=True):
-                for piece in pieces(text):
+                for piece in pieces(text, len(langs)):
                     total[number[lang]] += np.bincount(grams(piece, table, buckets), minlength=buckets)
         k, b = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(b.astype(np.int32)), pa.array(total[k, b])],
@@ -131,13 +132,13 @@ class Scorer:
             np.add.at(total, owners, np.add.reduceat(matrix[rows], at, axis=0))
             held, owners, size = [], [], 0
         for j, k in enumerate(which):
-            for piece in pieces(texts[k]):
+            for piece in pieces(texts[k], len(langs)):
                 g = grams(piece, self.table, len(matrix))
                 if len(g):
                     held.append(g)
                     owners.append(j)
-                    size += len(g)
-                if size > CHUNK:
+                    size += len(g) * len(langs)
+                if size > GATHERED:
                     flush()
         flush()
         best = total.argmax(axis=1)

@@ -124,6 +124,25 @@ def line_features(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.n
     return feats, per_text, length
 
 
+def long_text_features(text: str, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``line_features`` of one very long text, a run of lines at a time; repeated lines are known by their digest."""
+    lines, feats, lengths, known, at = text.split("\n"), [], [], set(), 0
+    while at < len(lines):
+        to, size = at, 0
+        while to < len(lines) and (to == at or size + len(lines[to]) <= CHUNK_CHARS):
+            size += len(lines[to])
+            to += 1
+        f, _, n = line_features(["\n".join(lines[at:to])], table)
+        for k in range(at, to):
+            words = hash(tuple(lines[k].split()))
+            f[k - at, NAMES.index("seen_line")] = bool(lines[k]) and words in known
+            known.add(words)
+        feats.append(f)
+        lengths.append(n)
+        at = to
+    return np.concatenate(feats), np.array([len(lines)]), np.concatenate(lengths)
+
+
 def with_neighbours(feats: np.ndarray, per_text: np.ndarray) -> np.ndarray:
     """Line features beside those of the line before and after (zeros and a flag at the ends), and a constant."""
     n = len(feats)
@@ -258,7 +277,7 @@ def score(texts: list[str], model: dict, table: np.ndarray) -> np.ndarray:
         while to < len(texts) and (to == at or size + len(texts[to]) <= CHUNK_CHARS):
             size += len(texts[to])
             to += 1
-        feats, per_text, length = line_features(texts[at:to], table)
+        feats, per_text, length = line_features(texts[at:to], table) if size <= CHUNK_CHARS else long_text_features(texts[at], table)
         x = with_neighbours((feats - model["mean"]) / model["std"], per_text)
         unary = x @ model["w"]
         good = np.zeros(len(unary))

@@ -166,6 +166,22 @@ def test_repeated_spans_equal_brute_force(spark, hot, shard):
     assert kept.columns == ["doc_id", "text"] and kept.count() == len(rows)
 
 
+def test_split_anchors_with_cells(spark, monkeypatch):
+    """Near copies of one long text: nearly all contexts of an anchor differ, and cores prune most digests."""
+    monkeypatch.setattr(suffix_dedup, "CELL", 8)
+    rng = random.Random(11)
+    base, rows = "".join(rng.choice("abcdefgh ") for _ in range(260)), []
+    for i in range(60):
+        t = list(base)
+        for _ in range(rng.randrange(4)):
+            t[rng.randrange(len(t))] = rng.choice("XYZ")
+        rows.append((i, "".join(t)[rng.randrange(20):]))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for hot in (2, 7, 1000):
+        got = suffix_dedup.repeated_spans(df, 60, hot=hot).collect()
+        assert sorted(((r.doc_id, [tuple(s) for s in r.spans]) for r in got), key=str) == brute_spans(rows, 60)
+
+
 def test_no_repeats_and_empty(spark):
     df = spark.createDataFrame([(1, "short"), (2, None)], "doc_id long, text string")
     assert [r.spans for r in suffix_dedup.repeated_spans(df).collect()] == [[], []]

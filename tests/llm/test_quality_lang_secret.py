@@ -23,6 +23,15 @@ def test_line_features_do_not_depend_on_the_batch():
     assert seen.tolist() == [0, 1, 0]
 
 
+def test_long_texts_in_runs_of_lines(monkeypatch):
+    table, rng = quality_crf.char_table(), random.Random(1)
+    text = "\n".join(rng.choice(["", "One line.", "Another one | x", " ".join(rng.choices("abc", k=20))]) for _ in range(400))
+    whole = quality_crf.line_features([text], table)
+    monkeypatch.setattr(quality_crf, "CHUNK_CHARS", 100)
+    parts = quality_crf.long_text_features(text, table)
+    assert all(np.allclose(a, b) for a, b in zip(whole, parts, strict=True))
+
+
 def test_forward_backward_equals_enumeration():
     rng = np.random.default_rng(0)
     for n in (1, 2, 5):
