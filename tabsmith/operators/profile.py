@@ -282,9 +282,16 @@ def class_pairs(df: DataFrame, target: str, a: str, b: str) -> DataFrame:
         F.avg(col(a)).alias(f"mean_{a}"), F.avg(col(b)).alias(f"mean_{b}"))
 
 
-def stratified_sample(df: DataFrame, key: str, fraction: float, seed: int = 42) -> DataFrame:
+def stratified_sample(df: DataFrame, key: str, fraction: float, seed: int = 42, class_col: str | None = None) -> DataFrame:
     """A23 sample: keep a row when its seeded hash falls under ``fraction`` (every class
-    keeps about that share; deterministic, no shuffle)."""
+    keeps about that share; deterministic, no shuffle).
+
+    With ``class_col`` every class keeps exactly its rounded share, by rank in the
+    seeded order (see ``ranking.hashed_rank``)."""
+    if class_col is not None:
+        from tabsmith.operators.ranking import hashed_rank
+        ranked = hashed_rank(df, [class_col], key, seed)
+        return ranked.where(F.col("_rank") < F.round(F.col("_group_n") * F.lit(fraction))).select(*[col(c) for c in df.columns])
     h = F.conv(F.substring(F.md5(F.concat_ws("", F.lit(str(seed)), col(key).cast("string"))), 1, 8), 16, 10)
     return df.where(h.cast("double") / F.lit(float(16 ** 8)) < F.lit(fraction))
 
@@ -308,13 +315,18 @@ def density_curve(df: DataFrame, column: str, group_cols: list[str] | None = Non
     pts = d.groupBy(*g, "x").agg(F.count(F.lit(1)).alias("w"))
     joined = null_safe_join(pts, stats, g)  # one row per group: AQE picks broadcast when small
     step = (F.col("mx") - F.col("mn")) / (grid_size - 1)
-    grid_x = F.col("mn") + F.col("i") * step
-    z = F.try_divide(grid_x - F.col("x"), F.col("h"))   # a constant group has no bandwidth: null density
-    contrib = joined.select(*g, "n", "h", "mn", "mx", "x", "w",
-                            F.explode(F.sequence(F.lit(0), F.lit(grid_size - 1))).alias("i")) \
-        .select(*g, "i", grid_x.alias("grid_x"), (F.col("w") * F.exp(-0.5 * z * z)).alias("k"), "n", "h")
-    norm = F.first("n") * F.first("h") * F.lit(math.sqrt(2 * math.pi))
-    return contrib.groupBy(*g, "i").agg(F.first("grid_x").alias("grid_x"), F.try_divide(F.sum("k"), norm).alias("density"))
+    at = [F.col("mn") + F.lit(i) * step for i in range(grid_size)]
+
+    def kernel(i):   # a constant group has no bandwidth: null density
+        z = F.try_divide(at[i] - F.col("x"), F.col("h"))
+        return F.sum(F.col("w") * F.exp(-0.5 * z * z))
+    # one sum per grid point in one aggregate: the values are not multiplied by the grid
+    sums = joined.groupBy(*g).agg(F.first("n").alias("n"), F.first("h").alias("h"), F.first("mn").alias("mn"), F.first("mx").alias("mx"),
+                                  *[kernel(i).alias(f"k{i}") for i in range(grid_size)])
+    norm = F.col("n") * F.col("h") * F.lit(math.sqrt(2 * math.pi))
+    points = F.array(*[F.struct(F.lit(i).alias("i"), at[i].alias("grid_x"), F.try_divide(F.col(f"k{i}"), norm).alias("density"))
+                       for i in range(grid_size)])
+    return sums.select(*g, F.explode(points).alias("p")).select(*g, "p.*")
 
 
 # -- joins, set operations, cross tabs ----------------------------------------------------

@@ -228,6 +228,21 @@ def boosted_importance(df: DataFrame, features: list[str], label: str, params: d
     return importances(m, features)
 
 
+def split_counts(model, features: list[str], keep: int = 99) -> DataFrame:
+    """Splits on each feature over all trees of a (one-vs-rest) boosted model; ``keep`` or more are kept."""
+    import re
+
+    from pyspark.sql import SparkSession
+    last = model.stages[-1]
+    counts = dict.fromkeys(range(len(features)), 0)
+    for m in getattr(last, "models", [last]):
+        for at in re.findall(r"If \(feature (\d+) ", m.toDebugString):
+            counts[int(at)] += 1
+    rows = [(f, counts[i]) for i, f in enumerate(features)]
+    return SparkSession.getActiveSession().createDataFrame(rows, "feature string, splits int").withColumn(
+        "keep", F.col("splits") >= keep).orderBy(F.desc("splits"), "feature")
+
+
 def vote_table(votes: dict[str, DataFrame], categorical: list[str] | None = None) -> DataFrame:
     """Per-method keep(1)/drop(0) tables (feature, keep) -> total votes and a band."""
     parts = [t.select("feature", F.col("keep").cast("int").alias("keep"), F.lit(m).alias("method"))

@@ -20,7 +20,7 @@ from tabsmith.sources import io
 
 def _forest(spark, sf):
     d, feats, label, k = model_frame(spark, sf)
-    m = models.train_forest(d.where(F.col("split") == "train"), feats, label, {"n_estimators": 20})
+    m = models.train_forest(d.where(F.col("split") == "train"), feats, label, {"n_estimators": 20, "max_depth": 5})
     return m, d.where(F.col("split") == "test"), feats, label, k
 
 
@@ -51,7 +51,7 @@ def constant_feature_importance(spark, sf):
     d, feats, label, _ = model_frame(spark, sf)
     d = d.withColumn("always_one", F.lit(1.0))
     used = [*feats[:3], "always_one"]
-    m = models.train_forest(d.where(F.col("split") == "train"), used, label, {"n_estimators": 10})
+    m = models.train_forest(d.where(F.col("split") == "train"), used, label, {"n_estimators": 10, "max_depth": 5})
     return models.permutation_importance(m, d.where(F.col("split") == "val"), ["always_one"], label, KEY)
 
 
@@ -210,12 +210,18 @@ def suite_fallback(spark, sf):
     return out
 
 
-@query("schema_difference", "SELECT 'c_custkey' AS \"column\", 'right' AS only_in UNION ALL SELECT 'o_custkey', 'left'")
+@query("schema_difference", """
+SELECT 'c_custkey' AS "column", 'right' AS only_in, (SELECT count(c_custkey) FROM customer) AS non_null
+UNION ALL SELECT 'o_custkey', 'left', (SELECT count(o_custkey) FROM orders)
+""")
 def schema_difference(spark, sf):
-    """The columns that only one of two tables has."""
-    left = load(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    right = load(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
-    return columns.schema_difference(spark, left, right)
+    """The columns that only one of two tables has, with their numbers of values."""
+    left = load(spark, sf, "orders").select("o_custkey")
+    right = load(spark, sf, "customer").select("c_custkey")
+    counts = left.agg(F.count("o_custkey").alias("non_null")).select(F.lit("o_custkey").alias("c"), "non_null").unionByName(
+        right.agg(F.count("c_custkey").alias("non_null")).select(F.lit("c_custkey").alias("c"), "non_null"))
+    diff = columns.schema_difference(spark, left, right)
+    return diff.join(counts, diff["column"] == counts["c"]).select("column", "only_in", "non_null")
 
 
 @query("profile_shape", "SELECT 'missing' AS part, CAST(0 AS BIGINT) AS rows UNION ALL SELECT 'describe', 1 UNION ALL SELECT 'head', 10")

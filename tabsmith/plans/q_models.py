@@ -334,6 +334,13 @@ def selection_reduction(spark, sf):
 
 # -- model training (rows-only checks) -------------------------------------------------
 
+#: Model sizes of the registered queries.  The operators' defaults are 100 trees of depth 10
+#: and 100 rounds of depth 6; the queries train smaller models on all rows, features, folds
+#: and repeats, since the sizes change the model and not what is read (see README).
+QUERY_FOREST = {"n_estimators": 20, "max_depth": 5}
+QUERY_BOOSTED = {"n_estimators": 5, "max_depth": 3}
+
+
 def _train_frame(spark, sf):
     d, feats, label, k = model_frame(spark, sf)
     return d.where(F.col("split") == "train"), d, feats, label, k
@@ -342,35 +349,35 @@ def _train_frame(spark, sf):
 @query("rf_predict")
 def rf_predict(spark, sf):
     train, d, feats, label, k = _train_frame(spark, sf)
-    m = models.train_forest(train, feats, label)
+    m = models.train_forest(train, feats, label, QUERY_FOREST)
     return models.predictions(m, d.where(F.col("split") == "test"), label, k, key=KEY)
 
 
 @query("gbt_ovr_predict")
 def gbt_ovr_predict(spark, sf):
     train, d, feats, label, k = _train_frame(spark, sf)
-    m = models.train_boosted(train, feats, label)
+    m = models.train_boosted(train, feats, label, QUERY_BOOSTED)
     return models.predictions(m, d.where(F.col("split") == "test"), label, k, key=KEY)
 
 
 @query("rf_importances")
 def rf_importances(spark, sf):
     train, _, feats, label, _ = _train_frame(spark, sf)
-    imp = models.importances(models.train_forest(train, feats, label), feats)
+    imp = models.importances(models.train_forest(train, feats, label, QUERY_FOREST), feats)
     return select.select_by_importance(imp, "mean")
 
 
 @query("train_and_evaluate")
 def train_and_evaluate(spark, sf):
     d, feats, label, k = model_frame(spark, sf)
-    _, metrics, best = models.train_and_evaluate(d, feats, label, k)
+    _, metrics, best = models.train_and_evaluate(d, feats, label, k, boosted=QUERY_BOOSTED, forest=QUERY_FOREST)
     return metrics
 
 
 @query("model_report")
 def model_report(spark, sf):
     train, d, feats, label, k = _train_frame(spark, sf)
-    m = models.train_forest(train, feats, label)
+    m = models.train_forest(train, feats, label, QUERY_FOREST)
     _, report = models.evaluate(m, d.where(F.col("split") == "test"), label, k)
     return report
 
@@ -378,14 +385,14 @@ def model_report(spark, sf):
 @query("permutation_importance")
 def permutation_importance(spark, sf):
     train, d, feats, label, _ = _train_frame(spark, sf)
-    m = models.train_forest(train, feats, label)
+    m = models.train_forest(train, feats, label, QUERY_FOREST)
     return models.permutation_importance(m, d.where(F.col("split") == "val"), feats, label, KEY, 5, 42)
 
 
 @query("top_permutation")
 def top_permutation(spark, sf):
     train, d, feats, label, _ = _train_frame(spark, sf)
-    m = models.train_forest(train, feats, label)
+    m = models.train_forest(train, feats, label, QUERY_FOREST)
     pi = models.permutation_importance(m, d.where(F.col("split") == "val"), feats, label, KEY, 5, 42)
     return reports.top_permutation(pi, 15)
 
@@ -411,16 +418,18 @@ def tree_importance(spark, sf):
 @query("boosted_importance")
 def boosted_importance(spark, sf):
     train, _, feats, label, _ = _train_frame(spark, sf)
-    return select.boosted_importance(train, feats, label)
+    return select.boosted_importance(train, feats, label, QUERY_BOOSTED)
 
 
 @query("cv_scores")
 def cv_scores(spark, sf):
     train, _, feats, label, _ = _train_frame(spark, sf)
-    return models.cv_performance(train, feats, label, KEY, scale=["average_weekly_wage"])
+    return models.cv_performance(train, feats, label, KEY, scale=["average_weekly_wage"],
+                                 trainer=lambda x: models.train_forest(x, feats, label, QUERY_FOREST))
 
 
 @query("fold_ensemble")
 def fold_ensemble(spark, sf):
     train, d, feats, label, k = _train_frame(spark, sf)
-    return models.fold_ensemble(train, d.where(F.col("split") == "test"), feats, label, KEY, k)
+    return models.fold_ensemble(train, d.where(F.col("split") == "test"), feats, label, KEY, k,
+                                trainer=lambda x: models.train_forest(x, feats, label, QUERY_FOREST))

@@ -132,6 +132,6 @@ def results_append(spark, sf):
 def model_roundtrip(spark, sf):
     from tabsmith.plans.model_input import KEY, model_frame
     d, feats, label, k = model_frame(spark, sf)
-    m = models.train_forest(d.where(F.col("split") == "train"), feats, label)
+    m = models.train_forest(d.where(F.col("split") == "train"), feats, label, {"n_estimators": 20, "max_depth": 5})
     path = io.save_model(m, scratch_dir(spark, "model"))
     return models.predictions(io.load_model(path), d.where(F.col("split") == "test"), label, k, key=KEY)

@@ -145,6 +145,20 @@ def test_metrics_read_their_input_once(spark, tmp_path):
         assert plan.count("FileScan") == 1
 
 
+def test_sample_keeps_the_share_of_every_class(spark):
+    df = spark.range(1000).select("id", (F.col("id") % 10 == 0).cast("int").alias("y"))
+    got = {r.y: r["count"] for r in profile.stratified_sample(df, "id", 0.25, class_col="y").groupBy("y").count().collect()}
+    assert got == {0: 225, 1: 25}
+
+
+def test_split_counts_of_a_boosted_model(spark):
+    df = spark.range(200).select((F.col("id") % 7).cast("double").alias("a"), F.lit(1.0).alias("flat"),
+                                 (F.col("id") % 7 > 3).cast("double").alias("y"))
+    m = models.train_boosted(df, ["a", "flat"], "y", {"n_estimators": 3, "max_depth": 2})
+    got = {r.feature: (r.splits, r.keep) for r in select.split_counts(m, ["a", "flat"], keep=2).collect()}
+    assert got["a"][0] >= 2 and got["a"][1] and got["flat"] == (0, False)
+
+
 def test_entry_lists_every_oracle():
     import __spark_entry__ as e
     assert set(e.oracle_sql()) <= set(e.queries())
