@@ -1,16 +1,15 @@
 """Drift statistics between a reference and a current frame.
 
-Everything runs on one long table ``(feature, value, is_ref)`` built by
-unpivoting both frames, so a single job serves all features:
-
-* KS (R1) and Wasserstein (R5) share the running counts of both samples
-  over the distinct values of each feature (``ranking.cumulative``: pre-
-  aggregated, bucketed by approximate quantiles, no per-feature window over
-  raw rows);
-* moments (R2) are one conditional aggregate;
+Only what needs an order sorts anything:
+
+* moments (R2), ranges and row counts are one wide aggregate of each sample;
+* PSI (R4) bins the raw values against the reference range of their feature:
+  a partial aggregate of at most bins x features rows for each task;
 * chi-square (R3) aggregates (feature, category) counts and joins the
   per-feature totals (one row per feature);
-* PSI (R4) buckets every value against the reference range of its feature.
+* KS (R1) and Wasserstein (R5) share the running counts of both samples over
+  the distinct values of each feature (``ranking.cumulative``: pre-aggregated,
+  range-partitioned, no per-feature window over raw rows).
 
 Test-statistic tails run on the one-row-per-feature tables.
 """
@@ -46,59 +45,60 @@ def _present(ref: DataFrame, cur: DataFrame, cols: list[str]) -> list[str]:
     return [c for c in cols if c in ref.columns and c in cur.columns]
 
 
-ROWS = "__rows__"
-
+def _value(c: str):
+    """The column as a double, NaN as null."""
+    v = F.col(f"`{c}`").cast("double")
+    return F.when(~F.isnan(v), v)
 
-def drift_counts(ref: DataFrame, cur: DataFrame, numerical: list[str], categorical: list[str]) -> DataFrame:
-    """The one aggregate every drift statistic is computed from.
 
-    ``(feature, kind, x, s, r, c)``: for each numeric feature (kind 'num',
-    value ``x``), categorical feature (kind 'cat', value ``s``) and distinct
-    value - nulls included - the row counts in the reference (``r``) and the
-    current sample (``c``).  The pseudo feature ``__rows__`` counts all rows.
-    Each sample is scanned once (one explode per row); partial aggregation
-    map-side keeps the shuffle at distinct-value size.
-    """
-    num, cat = _present(ref, cur, numerical), _present(ref, cur, categorical)
+def side_stats(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
+    """``(is_ref, feature, n_rows, n, mean, sd, mn, mx)``: a row for each sample and numeric
+    feature of both, plus one without a feature that counts the rows.  One wide
+    aggregate of each sample: the rows are neither exploded nor shuffled."""
+    cols = _present(ref, cur, cols)
 
     def side(df, is_ref):
-        items = [F.struct(F.lit(ROWS).alias("feature"), F.lit("rows").alias("kind"),
-                          F.lit(None).cast("double").alias("x"), F.lit(None).cast("string").alias("s"))]
-        items += [F.struct(F.lit(c).alias("feature"), F.lit("num").alias("kind"),
-                           F.col(f"`{c}`").cast("double").alias("x"), F.lit(None).cast("string").alias("s"))
-                  for c in num]
-        items += [F.struct(F.lit(c).alias("feature"), F.lit("cat").alias("kind"),
-                           F.lit(None).cast("double").alias("x"), F.col(f"`{c}`").cast("string").alias("s"))
-                  for c in cat]
-        return df.select(F.explode(F.array(*items)).alias("kv"), F.lit(is_ref).alias("is_ref")) \
-                 .select("kv.*", "is_ref")
-
-    long = side(ref, 1).unionByName(side(cur, 0))
-    return long.groupBy("feature", "kind", "x", "s").agg(
-        F.sum("is_ref").cast("bigint").alias("r"), F.sum(1 - F.col("is_ref")).cast("bigint").alias("c"))
-
-
-def _num(counts: DataFrame) -> DataFrame:
-    return counts.where((F.col("kind") == "num") & F.col("x").isNotNull()) \
-                 .select("feature", F.col("x").alias("value"), "r", "c")
+        x = df.select(*[_value(c).alias(f"x{i}") for i, c in enumerate(cols)])
+        row = x.agg(F.count(F.lit(1)).alias("n_rows"), *[e for i in range(len(cols)) for e in (
+            F.count(f"x{i}").alias(f"n{i}"), F.avg(f"x{i}").alias(f"a{i}"), F.stddev_samp(f"x{i}").alias(f"s{i}"),
+            F.min(f"x{i}").alias(f"l{i}"), F.max(f"x{i}").alias(f"h{i}"))])
+        lines = [F.struct(F.lit(c).alias("feature"), F.col(f"n{i}").alias("n"), F.col(f"a{i}").alias("mean"), F.col(f"s{i}").alias("sd"),
+                          F.col(f"l{i}").alias("mn"), F.col(f"h{i}").alias("mx")) for i, c in enumerate(cols)]
+        none = F.lit(None).cast("double")
+        lines.append(F.struct(F.lit(None).cast("string").alias("feature"), F.col("n_rows").alias("n"), none.alias("mean"),
+                              none.alias("sd"), none.alias("mn"), none.alias("mx")))
+        return row.select(F.lit(is_ref).alias("is_ref"), "n_rows", F.explode(F.array(*lines)).alias("f")).select("is_ref", "n_rows", "f.*")
+
+    return side(ref, True).unionByName(side(cur, False))
+
+
+def _long(ref: DataFrame, cur: DataFrame, items) -> DataFrame:
+    """``(items..., is_ref)``: one row for each struct of ``items`` of both samples."""
+    def side(df, is_ref):
+        return df.select(F.explode(F.array(*items)).alias("kv"), F.lit(is_ref).alias("is_ref")).select("kv.*", "is_ref")
+    return side(ref, 1).unionByName(side(cur, 0))
 
 
-def _cat(counts: DataFrame) -> DataFrame:
-    return counts.where((F.col("kind") == "cat") & F.col("s").isNotNull()) \
-                 .select("feature", F.col("s").alias("value"), F.col("r").alias("ref_count"),
-                         F.col("c").alias("cur_count"))
+def value_counts(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
+    """``(feature, value, r, c)``: the distinct numbers of each feature with their counts in both samples."""
+    cols = _present(ref, cur, cols)
+    if not cols:
+        return ref.sparkSession.createDataFrame([], "feature string, value double, r bigint, c bigint")
+    items = [F.struct(F.lit(c).alias("feature"), _value(c).alias("value")) for c in cols]
+    return (_long(ref, cur, items).where(F.col("value").isNotNull()).groupBy("feature", "value")
+            .agg(F.sum("is_ref").cast("bigint").alias("r"), F.sum(1 - F.col("is_ref")).cast("bigint").alias("c")))
 
 
-def row_counts(counts: DataFrame) -> DataFrame:
-    """(reference_rows, current_rows) from the ``__rows__`` pseudo feature."""
-    return counts.where(F.col("feature") == ROWS).select(F.col("r").alias("reference_rows"),
-                                                         F.col("c").alias("current_rows"))
+def row_counts(stats: DataFrame) -> DataFrame:
+    """(reference_rows, current_rows) from ``side_stats``."""
+    rows = stats.where(F.col("feature").isNull())
+    return rows.agg(F.max(F.when(F.col("is_ref"), F.col("n_rows"))).alias("reference_rows"),
+                    F.max(F.when(~F.col("is_ref"), F.col("n_rows"))).alias("current_rows"))
 
 
-def ks_wasserstein(ref: DataFrame, cur: DataFrame, cols: list[str], counts: DataFrame | None = None) -> DataFrame:
+def ks_wasserstein(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
     """R1 + R5: (feature, n_ref, n_cur, ks_statistic, wasserstein) from one running-count pass."""
-    g = counts if counts is not None else materialize(drift_counts(ref, cur, cols, []))
-    cum = cumulative(_num(g), ["feature"], "value", {"r": F.col("r"), "c": F.col("c")}, preaggregated=True)
+    cum = cumulative(value_counts(ref, cur, cols), ["feature"], "value", {"r": F.col("r"), "c": F.col("c")}, preaggregated=True)
     # an empty side gives null gaps (the feature is then left out), not a division error
     gap = F.abs(F.try_divide("r_cum", "r_total") - F.try_divide("c_cum", "c_total"))
     return cum.groupBy("feature").agg(
@@ -107,35 +107,25 @@ def ks_wasserstein(ref: DataFrame, cur: DataFrame, cols: list[str], counts: Data
         F.coalesce(F.sum(gap * (F.col("next_value") - F.col("value"))), F.lit(0.0)).alias("wasserstein"))
 
 
-def moments(ref: DataFrame, cur: DataFrame, cols: list[str], counts: DataFrame | None = None) -> DataFrame:
-    """R2 inputs: mean and sample std of each side (exact two-pass over the value counts)."""
-    g = _num(counts if counts is not None else materialize(drift_counts(ref, cur, cols, [])))
-    x = F.col("value")
-    m = g.groupBy("feature").agg(
-        F.try_divide(F.sum(x * F.col("r")), F.sum("r")).alias("reference_mean"),
-        F.try_divide(F.sum(x * F.col("c")), F.sum("c")).alias("current_mean"),
-        F.sum("r").alias("_nr"), F.sum("c").alias("_nc"))
-    j = g.join(F.broadcast(m), "feature")   # one row per feature
-    ss = j.groupBy("feature").agg(
-        F.first("reference_mean").alias("reference_mean"), F.first("current_mean").alias("current_mean"),
-        F.first("_nr").alias("_nr"), F.first("_nc").alias("_nc"),
-        F.sum(F.col("r") * F.pow(x - F.col("reference_mean"), 2)).alias("_ssr"),
-        F.sum(F.col("c") * F.pow(x - F.col("current_mean"), 2)).alias("_ssc"))
-    return ss.select("feature", "reference_mean", "current_mean",
-                     F.when(F.col("_nr") > 1, F.sqrt(F.col("_ssr") / (F.col("_nr") - 1))).alias("reference_std"),
-                     F.when(F.col("_nc") > 1, F.sqrt(F.col("_ssc") / (F.col("_nc") - 1))).alias("current_std"))
+def moments(ref: DataFrame, cur: DataFrame, cols: list[str], stats: DataFrame | None = None) -> DataFrame:
+    """R2 inputs: mean and sample std of each side, per feature."""
+    st = (stats if stats is not None else side_stats(ref, cur, cols)).where(F.col("feature").isNotNull())
+
+    def of(c, is_ref):
+        return F.max(F.when(F.col("is_ref") == is_ref, F.col(c)))   # one row for each side
+    return st.groupBy("feature").agg(of("mean", True).alias("reference_mean"), of("mean", False).alias("current_mean"),
+                                     of("sd", True).alias("reference_std"), of("sd", False).alias("current_std"))
 
 
 def numeric_drift(ref: DataFrame, cur: DataFrame, cols: list[str], threshold: float = P_THRESHOLD,
-                  ks: DataFrame | None = None, counts: DataFrame | None = None) -> DataFrame:
+                  ks: DataFrame | None = None, stats: DataFrame | None = None) -> DataFrame:
     """R11 (numeric half): KS statistic/p-value, moments, drift magnitudes, severity.
 
     Features with an empty side are left out (as the reference does).
     """
-    g = counts if counts is not None else materialize(drift_counts(ref, cur, cols, []))
-    ks = (ks if ks is not None else ks_wasserstein(ref, cur, cols, g)).where(
+    ks = (ks if ks is not None else ks_wasserstein(ref, cur, cols)).where(
         (F.col("n_ref") > 0) & (F.col("n_cur") > 0))
-    m = moments(ref, cur, cols, g)
+    m = moments(ref, cur, cols, stats)
     j = ks.join(m, "feature")
     p = ks_pvalue(F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur"))
     den = F.col("reference_std") + F.lit(EPS_STD)
@@ -150,7 +140,14 @@ def numeric_drift(ref: DataFrame, cur: DataFrame, cols: list[str], threshold: fl
 
 def category_counts(ref: DataFrame, cur: DataFrame, cols: list[str], counts: DataFrame | None = None) -> DataFrame:
     """Aligned counts per (feature, category): categories of either side, 0-filled."""
-    return _cat(counts if counts is not None else drift_counts(ref, cur, [], cols))
+    if counts is not None:
+        return counts
+    cols = _present(ref, cur, cols)
+    if not cols:
+        return ref.sparkSession.createDataFrame([], "feature string, value string, ref_count bigint, cur_count bigint")
+    items = [F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").cast("string").alias("value")) for c in cols]
+    return (_long(ref, cur, items).where(F.col("value").isNotNull()).groupBy("feature", "value")
+            .agg(F.sum("is_ref").cast("bigint").alias("ref_count"), F.sum(1 - F.col("is_ref")).cast("bigint").alias("cur_count")))
 
 
 def category_proportions(ref: DataFrame, cur: DataFrame, cols: list[str],
@@ -205,23 +202,26 @@ def categorical_drift(ref: DataFrame, cur: DataFrame, cols: list[str], threshold
 
 
 def psi(ref: DataFrame, cur: DataFrame, cols: list[str], bins: int = PSI_BINS,
-        counts: DataFrame | None = None) -> DataFrame:
+        stats: DataFrame | None = None) -> DataFrame:
     """Population stability index on ``bins`` equal-width bins of the reference range.
 
     Bin edges follow numpy's ``histogram``: a constant reference uses
     [v - 0.5, v + 0.5]; the last bin is closed; current values outside the
     range are dropped; an empty in-range current sample gives null.
     """
-    g = _num(counts if counts is not None else materialize(drift_counts(ref, cur, cols, [])))
-    rng = (g.where(F.col("r") > 0).groupBy("feature")
-            .agg(F.min("value").alias("mn"), F.max("value").alias("mx"))
-            .select("feature",
-                    F.when(F.col("mn") == F.col("mx"), F.col("mn") - 0.5).otherwise(F.col("mn")).alias("lo"),
-                    F.when(F.col("mn") == F.col("mx"), F.col("mx") + 0.5).otherwise(F.col("mx")).alias("hi")))
-    inrange = (g.join(F.broadcast(with_edges(rng, bins)), "feature")  # one row per feature: bounded
+    cols = _present(ref, cur, cols)
+    if not cols:
+        return ref.sparkSession.createDataFrame([], "feature string, psi double, interpretation string")
+    st = stats if stats is not None else side_stats(ref, cur, cols)
+    rng = (st.where(F.col("is_ref") & F.col("feature").isNotNull() & F.col("mn").isNotNull())
+             .select("feature",
+                     F.when(F.col("mn") == F.col("mx"), F.col("mn") - 0.5).otherwise(F.col("mn")).alias("lo"),
+                     F.when(F.col("mn") == F.col("mx"), F.col("mx") + 0.5).otherwise(F.col("mx")).alias("hi")))
+    items = [F.struct(F.lit(c).alias("feature"), _value(c).alias("value")) for c in cols]
+    inrange = (_long(ref, cur, items).join(F.broadcast(with_edges(rng, bins)), "feature")  # one row per feature: bounded
                 .where((F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi"))))
-    binned = with_bin(inrange, F.col("value"), bins).select("feature", "bin", "r", "c")
-    counts_b = binned.groupBy("feature", "bin").agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
+    binned = with_bin(inrange, F.col("value"), bins).select("feature", "bin", "is_ref")
+    counts_b = binned.groupBy("feature", "bin").agg(F.sum("is_ref").alias("r"), F.sum(1 - F.col("is_ref")).alias("c"))
     # bins empty on both sides add (eps - eps) * ln(1) = 0, so only observed bins are summed
     fw = Window.partitionBy("feature")   # <= bins rows per feature
     j = counts_b.withColumn("r_sum", F.sum("r").over(fw)).withColumn("c_sum", F.sum("c").over(fw))
@@ -247,12 +247,11 @@ def with_bin(df: DataFrame, v, bins: int, out: str = "bin") -> DataFrame:
 
 
 def distribution_drift(ref: DataFrame, cur: DataFrame, cols: list[str], ks: DataFrame | None = None,
-                       counts: DataFrame | None = None) -> DataFrame:
+                       stats: DataFrame | None = None) -> DataFrame:
     """PSI, its interpretation and the Wasserstein distance per numeric feature."""
-    g = counts if counts is not None else materialize(drift_counts(ref, cur, cols, []))
-    w = (ks if ks is not None else ks_wasserstein(ref, cur, cols, g)).where(
+    w = (ks if ks is not None else ks_wasserstein(ref, cur, cols)).where(
         (F.col("n_ref") > 0) & (F.col("n_cur") > 0))
-    return psi(ref, cur, cols, counts=g).join(w.select("feature", "wasserstein"), "feature")
+    return psi(ref, cur, cols, stats=stats).join(w.select("feature", "wasserstein"), "feature")
 
 
 def _report_row(numeric: DataFrame, categorical: DataFrame, distribution: DataFrame | None,
@@ -356,32 +355,33 @@ def drift_alerts(numeric: DataFrame, categorical: DataFrame, distribution: DataF
 
 
 def _shared(ref: DataFrame, cur: DataFrame, numerical_features: list[str], categorical_features: list[str]):
-    """Scan both samples once: the value-count aggregate is checkpointed and every
-    statistic reads it; the small KS table feeds both numeric and distribution drift."""
-    g = materialize(drift_counts(ref, cur, numerical_features, categorical_features))
-    ks = materialize(ks_wasserstein(ref, cur, numerical_features, counts=g))
-    num = numeric_drift(ref, cur, numerical_features, ks=ks, counts=g)
-    cat = categorical_drift(ref, cur, categorical_features, counts=g)
-    dist = distribution_drift(ref, cur, numerical_features, ks=ks, counts=g)
-    return g, num, cat, dist
+    """What several tables read is computed once: the aggregates of each sample, the
+    category counts and the KS table, all checkpointed and small beside the samples."""
+    stats = materialize(side_stats(ref, cur, numerical_features))
+    cats = materialize(category_counts(ref, cur, categorical_features))
+    ks = materialize(ks_wasserstein(ref, cur, numerical_features))
+    num = numeric_drift(ref, cur, numerical_features, ks=ks, stats=stats)
+    cat = categorical_drift(ref, cur, categorical_features, counts=cats)
+    dist = distribution_drift(ref, cur, numerical_features, ks=ks, stats=stats)
+    return stats, cats, num, cat, dist
 
 
 def detect_drift(ref: DataFrame, cur: DataFrame, numerical_features: list[str],
                  categorical_features: list[str]) -> dict[str, DataFrame]:
-    """All drift tables from one scan of each sample; nothing is collected."""
-    g, num, cat, dist = _shared(ref, cur, numerical_features, categorical_features)
+    """All drift tables; nothing is collected."""
+    stats, cats, num, cat, dist = _shared(ref, cur, numerical_features, categorical_features)
     return {"numerical": num, "categorical": cat, "distribution": dist,
             "summary": drift_summary(num, cat, numerical_features, categorical_features),
             "alerts": drift_alerts(num, cat, dist, numerical_features, categorical_features),
-            "proportions": category_proportions(ref, cur, categorical_features, counts=g),
-            "rows": row_counts(g)}
+            "proportions": category_proportions(ref, cur, categorical_features, counts=cats),
+            "rows": row_counts(stats)}
 
 
 def drift_report(ref: DataFrame, cur: DataFrame, numerical_features: list[str],
                  categorical_features: list[str]) -> DataFrame:
     """R12 one-row report: shapes, summary, alerts and recommendations."""
-    g, num, cat, dist = _shared(ref, cur, numerical_features, categorical_features)
-    row = _report_row(num, cat, dist, numerical_features, categorical_features, rows_df=row_counts(g))
+    stats, _, num, cat, dist = _shared(ref, cur, numerical_features, categorical_features)
+    row = _report_row(num, cat, dist, numerical_features, categorical_features, rows_df=row_counts(stats))
     return row.select("reference_rows", F.lit(len(ref.columns)).alias("reference_columns"),
                       "current_rows", F.lit(len(cur.columns)).alias("current_columns"),
                       *SUMMARY_COLS, *_alert_columns())
