@@ -103,7 +103,9 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
     """``found`` with the columns of ``FEATURES`` as doubles; ``words``: a lexicon."""
     low = F.lower("candidate")
     runs = F.regexp_extract_all(low, F.lit("([a-z]{3,20})"), 1)
-    pairs = F.transform(F.sequence(F.lit(1), F.length("candidate") - 1), lambda i: F.substring(low, i, 2))
+    chars = F.split(low, "")   # one pass; a substring for each place would go through a long candidate again and again
+    n = F.length("candidate") - 1
+    pairs = F.zip_with(F.slice(chars, F.lit(1), n), F.slice(chars, F.lit(2), n), lambda a, b: F.concat(a, b))
     items = F.concat(F.transform(runs, lambda x: F.struct(F.lit("word").alias("kind"), x.alias("item"))),
                      F.transform(pairs, lambda x: F.struct(F.lit("pair").alias("kind"), x.alias("item"))))
     looked = (found.select("finding", F.explode(items).alias("x")).select("finding", "x.*")
