@@ -26,10 +26,20 @@ def fit_labels(df: DataFrame, column: str, ranges: int | None = None) -> DataFra
     return ranked.select(col(column).alias("value"), F.col("__rank").cast("int").alias("label"))
 
 
+#: A label map of at most this many rows is broadcast; a larger one is joined by shuffle.
+BROADCAST_ROWS = 100_000
+
+
+def _label_map(mapping: DataFrame) -> DataFrame:
+    """The map under join names, broadcast behind a check of its size."""
+    m = mapping.select(F.col("value").alias("__v"), F.col("label").alias("__label"))
+    return F.broadcast(m) if mapping.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else m
+
+
 def encode_labels(df: DataFrame, mapping: DataFrame, column: str, out: str | None = None) -> DataFrame:
     """Replace ``column`` (or add ``out``) with its label; unseen values -> null."""
     out = out or column
-    m = mapping.withColumnRenamed("value", "__v").withColumnRenamed("label", "__label")   # AQE sees its size
+    m = _label_map(mapping)
     j = df.join(m, col(column).eqNullSafe(F.col("__v")), "left")
     cols = [F.col("__label").alias(out) if c == out else col(c) for c in df.columns]
     if out not in df.columns:
@@ -40,7 +50,7 @@ def encode_labels(df: DataFrame, mapping: DataFrame, column: str, out: str | Non
 def decode_labels(df: DataFrame, mapping: DataFrame, column: str, out: str | None = None) -> DataFrame:
     """Label -> original value."""
     out = out or column
-    m = mapping.withColumnRenamed("value", "__v").withColumnRenamed("label", "__label")   # AQE sees its size
+    m = _label_map(mapping)
     j = df.join(m, col(column) == F.col("__label"), "left")
     cols = [F.col("__v").alias(out) if c == out else col(c) for c in df.columns]
     if out not in df.columns:
