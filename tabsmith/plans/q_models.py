@@ -400,7 +400,7 @@ def top_permutation(spark, sf):
 @query("lasso")
 def lasso(spark, sf):
     train, _, feats, label, _ = _train_frame(spark, sf)
-    return select.lasso_coefficients(train, feats, label)
+    return select.lasso_coefficients(train, feats, label, n_alphas=30)   # the default path has 100
 
 
 @query("rfe")
