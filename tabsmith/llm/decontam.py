@@ -6,15 +6,21 @@ but its last sentence, its answer the last one (a unit of one sentence is all
 question).
 
 Index: BM25 impacts of each (word, unit), divided by the unit's own total, so
-a passage that holds all words of a unit scores 1.  Posting lists are cut into
-blocks of ``BLOCK`` units with the block's largest impact.
+a passage that holds all words of a unit scores 1.  The question of a unit that
+has an answer is an entry of its own beside question plus answer, with its own
+total.  Posting lists are cut into blocks of ``BLOCK`` entries with the block's
+largest impact.
+
+Threshold: of each entry the least score that ``OVERLAP`` of its words leave,
+whichever words are missing, and ``THRESHOLD`` at most; so no pair that the
+check would find is lost before it.
 
 Query, as in block-max WAND: words whose impacts may be added up to ``SLACK``
-in any unit are non-essential; a passage that reaches the threshold in a unit
-must get the rest from essential words.  The block bounds of a passage's
+(half the threshold where that is less) in any entry are non-essential; a
+passage that reaches the threshold in an entry must get the rest from essential words.  The block bounds of a passage's
 essential words are summed; only (passage, block) pairs whose bound plus slack
 reaches the threshold have their postings opened, which gives a closer bound
-by unit, and the pairs that still reach it get exact scores.  The bounds never
+by entry, and the pairs that still reach it get exact scores.  The bounds never
 lose a pair.
 
 Passages: windows of twice the step, one every step, where a step is 1.25
@@ -91,8 +97,10 @@ def build_index(items: DataFrame, id_col: str = "item_id", text_col: str = "text
     cut = map_texts(items.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).alias("text")), ["text"], UNITS, task)
     cut = table(cut.select("item_id", F.posexplode("units").alias("part", "u")).select("item_id", "part", "u.*"), "bench-units")
     df = table(cut.select(F.explode(F.array_distinct("words")).alias("w")).groupBy("w").count(), "bench-df")
+    asked = F.when((F.col("question") >= SHINGLE) & (F.col("question") < F.size("words")),
+                   F.size(F.array_distinct(F.slice("words", F.lit(1), F.greatest("question", F.lit(1)))))).otherwise(0)
     n, total, largest, postings = cut.agg(F.count("*"), F.sum(F.size("words")), F.max(F.size("words")),
-                                          F.sum(F.size(F.array_distinct("words")))).first()
+                                          F.sum(F.size(F.array_distinct("words")) + asked)).first()
     if not n:
         return []
     shards = -(-postings // (SHARD_POSTINGS // 2))
@@ -100,6 +108,8 @@ def build_index(items: DataFrame, id_col: str = "item_id", text_col: str = "text
     for s in range(shards):
         mine = cut.where(F.pmod(F.xxhash64("item_id", "part"), F.lit(shards)) == s)
         rows = mine.orderBy("item_id", "part").collect()  # about half of SHARD_POSTINGS words
+        if not rows:
+            continue
         freq = dict(mine.select(F.explode("words").alias("w")).distinct().join(df, "w").select("w", "count").collect())
         out.append(Index([(r[0], [w.encode() for w in r[2]], r[3]) for r in rows], {w.encode(): c for w, c in freq.items()},
                          n, total / n, largest))
@@ -120,8 +130,20 @@ def _sums(key: np.ndarray, value: np.ndarray, size: int) -> np.ndarray:
     return np.bincount(at, value)[at]
 
 
+def least_score(impacts: list[float], n: int, missing: int | None = None) -> float:
+    """The least score of a passage that covers ``OVERLAP`` of ``n`` words, or all but ``missing``; ``THRESHOLD`` at most.
+
+    ``impacts``: of every word its term's impact, shared among the term's places.
+    """
+    missing = int(n * (1 - OVERLAP) + 1e-9) if missing is None else missing
+    return min(THRESHOLD, 1 - sum(sorted(impacts, reverse=True)[:missing]) - 1e-9)
+
+
 class Index:
-    """Impacts in posting lists with block maxima, for units ``(item id, words, question words)``."""
+    """Impacts in posting lists with block maxima, for units ``(item id, words, question words)``.
+
+    Entries of the lists: every unit whole, under its own number, then the questions; ``of``: an entry's unit.
+    """
 
     def __init__(self, rows: list[tuple[int, list[bytes], int]], freq: dict[bytes, int], n: int, mean: float, largest: int):
         self.items = [r[0] for r in rows]
@@ -129,53 +151,62 @@ class Index:
         self.question = [r[2] for r in rows]
         self.step = max(8, -(-largest * 5 // 4))
         self.terms = {w: k for k, w in enumerate(sorted({w for r in rows for w in r[1]}))}
-        post = []
-        for unit, ws in enumerate(self.words):
+        asked = [u for u, (_, ws, q) in enumerate(rows) if SHINGLE <= q < len(ws)]
+        self.of = [*range(len(rows)), *asked]
+        entries = self.words + [self.words[u][:self.question[u]] for u in asked]
+        names = list(self.terms)
+        idf = np.array([np.log1p((n - freq[w] + 0.5) / (freq[w] + 0.5)) for w in names])
+        trip, self.least = [], np.zeros(len(entries))
+        for entry, ws in enumerate(entries):
             tf: dict[int, int] = {}
             for w in ws:
                 tf[self.terms[w]] = tf.get(self.terms[w], 0) + 1
-            full = {}
-            for t, f in tf.items():
-                full[t] = f * (K1 + 1) / (f + K1 * (1 - B + B * len(ws) / mean))
-            post.append((unit, full))
-        names = list(self.terms)
-        idf = np.array([np.log1p((n - freq[w] + 0.5) / (freq[w] + 0.5)) for w in names])
-        trip = []
-        for unit, full in post:
-            own = sum(idf[t] * x for t, x in full.items())
-            trip += [(t, unit, idf[t] * x / own) for t, x in full.items()]
+            full = {t: idf[t] * f * (K1 + 1) / (f + K1 * (1 - B + B * len(ws) / mean)) for t, f in tf.items()}
+            own = sum(full.values())
+            trip += [(t, entry, x / own) for t, x in full.items()]
+            self.least[entry] = least_score([full[t] / own / f for t, f in tf.items() for _ in range(f)], len(ws))
         trip.sort()
         self.post_unit = np.array([x[1] for x in trip])
         self.post_impact = np.array([x[2] for x in trip])
         term = np.array([x[0] for x in trip])
-        self.impact: list[dict[int, float]] = [{} for _ in rows]
+        self.impact: list[dict[int, float]] = [{} for _ in entries]
         for t, unit, x in trip:
             self.impact[unit][t] = x
         post_at = np.searchsorted(term, np.arange(len(names) + 1))
         # block maxima, in order of (term, block)
-        self.blocks = -(-len(rows) // BLOCK)
+        self.blocks = -(-len(entries) // BLOCK)
         key = term * self.blocks + self.post_unit // BLOCK
         first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         self.bm_post = np.append(first, len(term))
         self.bm_block = self.post_unit[first] // BLOCK
         self.bm_max = np.maximum.reduceat(self.post_impact, first)
         self.bm_at = np.searchsorted(term[first], np.arange(len(names) + 1))
-        # non-essential words: smallest maxima first, while no unit gets more than SLACK from them
+        # non-essential words: smallest maxima first, while no entry gets more than SLACK, or half its threshold, from them
         top = np.maximum.reduceat(self.post_impact, post_at[:-1])
-        self.given = given = np.zeros(len(rows))
+        self.given = given = np.zeros(len(entries))
+        most = np.minimum(SLACK, self.least / 2)
         self.essential = np.ones(len(names), bool)
         for t in np.argsort(top, kind="stable"):
-            mine = slice(post_at[t], post_at[t + 1])
-            if (given[self.post_unit[mine]] + self.post_impact[mine]).max() > SLACK:
+            if top[t] > SLACK:
                 break
-            given[self.post_unit[mine]] += self.post_impact[mine]
+            mine = slice(post_at[t], post_at[t + 1])
+            at = self.post_unit[mine]
+            if (given[at] + self.post_impact[mine] > most[at]).any():
+                continue
+            given[at] += self.post_impact[mine]
             self.essential[t] = False
         self.slack = np.zeros(self.blocks)
-        np.maximum.at(self.slack, np.arange(len(rows)) // BLOCK, given)
+        np.maximum.at(self.slack, np.arange(len(entries)) // BLOCK, given)
         self.slack += 1e-9
 
-    def search(self, texts: list[str | None], threshold: float = THRESHOLD) -> list[list[dict]]:
-        """For every text its units with some passage at the threshold: the passage of most overlap, then score."""
+    def search(self, texts: list[str | None], threshold: float | None = None) -> list[list[dict]]:
+        """For every text its units with some passage at the threshold, whole or in their question.
+
+        Of a unit's passages the one that is a leak, then of most overlap, then score; the score is the
+        whole unit's.  ``threshold`` above ``SLACK`` replaces the entries' own thresholds.
+        """
+        least = self.least if threshold is None else np.full(len(self.of), threshold)
+        block_least = np.minimum.reduceat(least, np.arange(0, len(least), BLOCK))
         tokens = [words(t) for t in texts]
         get, missing = self.terms.get, -1
         ids = [np.array([get(w, missing) for w in ws], np.int64) for ws in tokens]
@@ -200,32 +231,41 @@ class Index:
         src = _ranges(self.bm_at[t], self.bm_at[t + 1])
         cell = np.repeat(win, self.bm_at[t + 1] - self.bm_at[t]) * self.blocks + self.bm_block[src]
         bound = _sums(cell, self.bm_max[src], int(wins.sum()) * self.blocks)
-        open_ = (bound + self.slack[cell % self.blocks]) >= threshold
-        # open the postings of the blocks left: sums by unit, and the rest bounded by what the unit's other words give
+        open_ = (bound + self.slack[cell % self.blocks]) >= block_least[cell % self.blocks]
+        # open the postings of the blocks left: sums by entry, and the rest bounded by what the entry's other words give
         src, win = src[open_], cell[open_] // self.blocks
         post = _ranges(self.bm_post[src], self.bm_post[src + 1])
-        cell = np.repeat(win, self.bm_post[src + 1] - self.bm_post[src]) * len(self.items) + self.post_unit[post]
-        got = _sums(cell, self.post_impact[post], int(wins.sum()) * len(self.items))
-        left = np.unique(cell[got + self.given[cell % len(self.items)] + 1e-9 >= threshold])
+        size = len(self.of)
+        cell = np.repeat(win, self.bm_post[src + 1] - self.bm_post[src]) * size + self.post_unit[post]
+        got = _sums(cell, self.post_impact[post], int(wins.sum()) * size)
+        left = np.unique(cell[got + self.given[cell % size] + 1e-9 >= least[cell % size]])
+        done = set()
         for c in left.tolist():
-            w, unit = divmod(c, len(self.items))
+            w, entry = divmod(c, size)
+            unit = self.of[entry]
+            if (w, unit) in done:
+                continue
             d = int(np.searchsorted(first_win, w, "right") - 1)
             at = (w - int(first_win[d])) * self.step
             stop = min(at + 2 * self.step, int(lens[d]))
-            impact = self.impact[unit]
-            score = sum(impact[term] for term in impact.keys() & set(ids[d][at:stop].tolist()))
-            if score >= threshold:
-                found[d].append({"item_id": self.items[unit], "unit": unit, "passage": at, "score": float(score),
+            here = set(ids[d][at:stop].tolist())
+            score = self.score(entry, here)
+            if score >= least[entry]:
+                done.add((w, unit))
+                found[d].append({"item_id": self.items[unit], "unit": unit, "passage": at,
+                                 "score": score if entry == unit else self.score(unit, here),
                                  **self.overlap(unit, tokens[d], at, stop)})
         for d, matches in enumerate(found):
             best: dict[int, dict] = {}
-            for m in matches:
-                old = best.get(m["unit"])
-                if old is None or (m["overlap"], m["score"], -m["passage"]) > (old["overlap"], old["score"], -old["passage"]):
-                    best[m["unit"]] = m
+            for m in sorted(matches, key=lambda m: (is_leak(m), m["overlap"], m["score"], -m["passage"])):
+                best[m["unit"]] = m
             found[d] = [best[u] for u in sorted(best)]
         return found
 
+    def score(self, entry: int, there: set[int]) -> float:
+        impact = self.impact[entry]
+        return float(sum(impact[term] for term in impact.keys() & there))
+
     def overlap(self, unit: int, tokens: list[bytes], at: int, stop: int) -> dict:
         """Shares of the question's, answer's and all words in shingles that the passage holds."""
         ws, q = self.words[unit], self.question[unit]

@@ -78,6 +78,46 @@ def test_index_shards_give_the_same(spark, monkeypatch):
     assert sorted((r.doc_id, r.item_id, round(r.score, 9)) for r in decontam.retrieve(df, bench).collect()) == want
 
 
+def test_short_question_with_a_long_answer_is_a_leak(spark):
+    """The question carries less than THRESHOLD of question plus answer, or its common words less than that of the question."""
+    items = ["Which old river runs through the city? " + "Rare " + " ".join(f"answer{i}" for i in range(30)) + ".",
+             "the of and to in is was that zyx qwv. Because.",
+             *["the of and to in is was that for with"] * 40]
+    ix = index(items)
+    docs = ["chapter one begins " * 20 + t + " and so it goes on" * 20 for t in (
+        "Which old river runs through the city?", "the of and to in is was that", "which river runs through this city, answer3?")]
+    leaks = [{m["item_id"] for m in ms if decontam.is_leak(m)} for ms in ix.search(docs)]
+    assert 0 in leaks[0] and 1 in leaks[1] and 0 not in leaks[2]
+    whole = sum(x for t, x in ix.impact[0].items() if t in {ix.terms[w] for w in ix.words[0][:7]})
+    assert whole < decontam.THRESHOLD
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items[:1])), "item_id long, text string")
+    assert [r.doc_id for r in decontam.decontaminate(df, bench).orderBy("doc_id").collect()] == [1, 2]
+
+
+def test_every_covered_question_is_retrieved():
+    """The thresholds lose no pair of the check: against all windows of all items."""
+    rng = random.Random(8)
+    vocabulary = [f"w{int(rng.paretovariate(0.5))}" for _ in range(3000)]
+    items = [" ".join(rng.choices(vocabulary, k=rng.randrange(5, 30))) + ". " + " ".join(rng.choices(vocabulary, k=rng.randrange(1, 40)))
+             for _ in range(60)]
+    ix = index(items)
+    texts = []
+    for _ in range(150):
+        t, leak = rng.choices(vocabulary, k=rng.randrange(20, 200)), decontam.words(rng.choice(items).split(".")[0])
+        drop = rng.randrange(1 + len(leak) // 5) if leak else 0
+        t[5:5] = [w.decode() for w in leak[drop:]]
+        texts.append(" ".join(t))
+    seen = 0
+    for t, found in zip(texts, ix.search(texts), strict=True):
+        ws, want = decontam.words(t), set()
+        for at in range(0, max(1, len(ws) - ix.step), ix.step):
+            want |= {u for u in range(len(items)) if decontam.is_leak(ix.overlap(u, ws, at, min(at + 2 * ix.step, len(ws))))}
+        assert want == {m["unit"] for m in found if decontam.is_leak(m)}
+        seen += len(want)
+    assert seen > 50
+
+
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
