@@ -9,15 +9,22 @@ for; so a match on the last text maps back to source characters:
 
 * homoglyphs: fullwidth forms, Cyrillic and Greek look-alikes and other
   scripts' digits become ASCII, one character for one;
-* spelled digits: a run of ``MIN_SPELLED`` or more digit words (English,
-  German, French, Spanish), parted by spaces, hyphens or commas, becomes its digits;
+* spelled digits: in a chain of digit words (English, German, French, Spanish)
+  and figures, parted by spaces, hyphens, commas, brackets or dot signs, every
+  word becomes its digit; words in a row become one number.  A chain of fewer
+  than ``MIN_DIGITS`` digits, which no kind can have, stays;
 * at/dot disguises: ``[at]``, ``(at)``, `` at `` and the like become ``@``,
   ``[dot]`` and `` dot `` become ``.``; the bare words count only where the
-  whole disguised address follows (``name at host dot com``).
+  whole disguised address follows (``name at host dot com``).  Before real dots
+  (``name at host.com``) the last label must be letters, and the name none of
+  the words ``PLACED`` that prose puts before a place.
 
-Spans found only in the deobfuscated text are added; base spans stay, and an
-added span that overlaps a base span of its kind is dropped.  Only texts with
-such a trigger are transduced, so plain texts cost the base detectors alone.
+The detectors decide (octets, Luhn, 10 to 15 digits after a plus): spans found
+only in the deobfuscated text are added; base spans stay, and an added span
+that overlaps a base span of its kind is dropped.  A chain that mixes words and
+figures is read twice, the gaps between the two kept, then closed; the second
+reading adds what the first leaves.  Only texts with such a trigger are
+transduced, so plain texts cost the base detectors alone.
 
 All scans are linear in the text, which is never cut.  Null text counts as
 empty.  Positions are code points, ends exclusive.
@@ -128,31 +135,45 @@ DIGIT_WORDS = {w: str(d) for words in (
     "cero uno dos tres cuatro cinco seis siete ocho nueve") for d, w in enumerate(words.split())}
 DIGIT_WORDS |= {"oh": "0"}
 _WORD = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
-#: A run of fewer digit words is prose.
-MIN_SPELLED = 7
+#: An IP has four digits at least, a card and a phone more.
+MIN_DIGITS = 4
+#: With so many digits, ``plus`` before a chain is the sign of a phone.
+PLUS_DIGITS = 10
 _GAP = r"[\x20,\-]{1,3}"
-SPELLED = re.compile(rf"(?<!\w)(?:{_WORD})(?:{_GAP}(?:{_WORD}))+(?!\w)", re.IGNORECASE)
-ONE_DIGIT = re.compile(_WORD, re.IGNORECASE)
-#: Cheap triggers on the lower-cased text: without a match the exact patterns cannot match either.
-MAYBE_SPELLED = re.compile(rf"(?:{_WORD}){_GAP}(?:{_WORD}){_GAP}(?:{_WORD})")
-MAYBE_SIGN = re.compile(r"[\[({<]\x20?(?:at|arroba|dot|punkt|point|punto|[@.])|\x20dot\x20")
-
 #: Only in brackets do the words of other languages count: bare ones are common prose.
-_AT, _DOT = r"(?:at|arroba)", r"(?:dot|punkt|point|punto)"
+_AT, _DOT = r"(?:at|arroba|arobase)", r"(?:dot|punkt|point|punto)"
 _BR_AT = rf"[\x20]?[\[({{<][\x20]?(?:{_AT}|@)[\x20]?[\])}}>][\x20]?"
 _BR_DOT = rf"[\x20]?[\[({{<][\x20]?(?:{_DOT}|\.)[\x20]?[\])}}>][\x20]?"
 _NAME = r"[A-Za-z0-9_%+-]{1,64}"
 _LABEL = r"[A-Za-z0-9-]{1,63}"
 _ANY_AT = rf"(?:{_BR_AT}|[\x20]at[\x20]|@)"
 _ANY_DOT = rf"(?:{_BR_DOT}|[\x20]dot[\x20]|\.)"
-_SURE = rf"(?:{_BR_AT}|{_BR_DOT}|[\x20]dot[\x20])"
-#: A bracketed or spelled sign must occur; then the address around it is looked at.
+_SURE = rf"(?:{_BR_AT}|{_BR_DOT}|[\x20]dot[\x20]|[\x20]at[\x20](?={_LABEL}\.[A-Za-z0-9]))"
+#: A bracketed or spelled sign, or a bare at before a host, must occur; then the address around it is looked at.
 SIGN = re.compile(_SURE, re.IGNORECASE)
 ADDRESS = re.compile(rf"(?<![A-Za-z0-9_%+-]){_NAME}(?:{_ANY_DOT}{_NAME}){{0,4}}?{_ANY_AT}{_LABEL}(?:{_ANY_DOT}{_LABEL}){{1,5}}",
                      re.IGNORECASE)
 AT_SIGN = re.compile(rf"{_BR_AT}|[\x20]at[\x20]", re.IGNORECASE)
 DOT_SIGN = re.compile(rf"{_BR_DOT}|[\x20]dot[\x20]", re.IGNORECASE)
-ADDRESS_IP = re.compile(rf"(?<![0-9])[0-9]{{1,3}}(?:{_ANY_DOT}[0-9]{{1,3}}){{3}}(?![0-9])", re.IGNORECASE)
+#: A bare dot word of any language counts between numbers.
+_NUMBER_DOT = rf"(?:{_BR_DOT}|[\x20]{_DOT}[\x20]|\.)"
+_DIGITS = rf"(?:(?:{_WORD})|[0-9]++)"
+CHAIN = re.compile(rf"(?<!\w)(?P<plus>plus[\x20])?(?<!\w){_DIGITS}(?!\w)(?:(?:{_NUMBER_DOT}|[\x20,.()\-]{{1,3}}){_DIGITS}(?!\w))+",
+                   re.IGNORECASE)
+DIGITS = re.compile(rf"(?<!\w){_DIGITS}(?!\w)", re.IGNORECASE)
+GAP = re.compile(_GAP)
+#: Cheap triggers on the lower-cased text: without a match the exact patterns cannot match either.
+_PART = rf"(?:{_GAP}|[\x20,.()\-]{{1,3}}|[\x20\[({{<]{{1,3}}(?:{_DOT}|\.)[\x20\])}}>]{{1,3}})"
+MAYBE_SPELLED = re.compile(rf"(?:{_WORD}){_PART}(?:{_WORD}|[0-9])|[0-9]{_PART}(?:{_WORD})")
+MAYBE_SIGN = re.compile(r"[\[({<]\x20?(?:at|arroba|arobase|dot|punkt|point|punto|[@.])|\x20(?:dot|punkt|point|punto)\x20"
+                        r"|\x20at\x20[a-z0-9-]{1,63}\.[a-z0-9]")
+ADDRESS_IP = re.compile(rf"(?<![0-9])[0-9]{{1,3}}(?:{_NUMBER_DOT}[0-9]{{1,3}}){{3}}(?![0-9])", re.IGNORECASE)
+NUMBER_DOT = re.compile(_NUMBER_DOT, re.IGNORECASE)
+#: A plain address but for its bare at; fixed words that stand before "at" and a host in prose.
+BARE_AT = re.compile(rf"({_NAME}(?:\.{_NAME})*)[\x20]at[\x20]{_LABEL}(?:\.{_LABEL})*?\.[A-Za-z]{{2,63}}", re.IGNORECASE)
+SURE_SIGN = re.compile(rf"{_BR_AT}|{_BR_DOT}|[\x20]dot[\x20]", re.IGNORECASE)
+PLACED = frozenset("""a an and are available be been but find found go he her here him hosted i is it live look looked looking looks me
+    meet more not of online or page see she shop site that them they this us visit was we were work working works you""".split())
 #: Characters on each side of a sign that an address may take.
 REACH = 400
 
@@ -162,6 +183,7 @@ class Mapped:
 
     def __init__(self, text: str):
         self.text = text
+        self.mixed = False  # whether closing the gaps between words and figures gives another text
         self.steps: list[list[tuple[int, int, int, int]]] = []  # of a step: (new start, new end, old start, old end)
 
     def replace(self, edits: list[tuple[int, int, str]]) -> None:
@@ -196,27 +218,42 @@ def _back(step: list[tuple[int, int, int, int]], x: int, is_end: bool) -> int:
     return x + old_e - new_e
 
 
-def deobfuscate(text: str) -> Mapped:
+def spelled(text: str, close: bool) -> list[tuple[int, int, str]]:
+    """Edits that turn the digit words of chains into digits; ``close``: gaps between a word and figures go, too."""
+    edits = []
+    for m in CHAIN.finditer(text):
+        parts = [(x.start(), x.end(), DIGIT_WORDS.get(x.group().lower())) for x in DIGITS.finditer(text, m.start(), m.end())]
+        digits = sum(e - s if new is None else 1 for s, e, new in parts)
+        if digits < MIN_DIGITS or all(new is None for _, _, new in parts):
+            continue
+        runs: list[list] = []  # start, end, digits, whether words are in it, whether its last is a word
+        for s, e, new in parts:
+            last = runs[-1] if runs else None
+            words = last is not None and (last[4] and new is not None or close and (last[4] or new is not None))
+            if words and GAP.fullmatch(text, last[1], s):
+                runs[-1] = [last[0], e, last[2] + (new or text[s:e]), True, new is not None]
+            else:
+                runs.append([s, e, new or text[s:e], new is not None, new is not None])
+        if m["plus"] and digits >= PLUS_DIGITS:
+            runs[0] = [m.start(), runs[0][1], "+" + runs[0][2], True, False]
+        edits += [(s, e, new) for s, e, new, words, _ in runs if words]
+    return edits
+
+
+def deobfuscate(text: str, close: bool = False) -> Mapped:
     out = Mapped(text)
     if not text.isascii():
         out.text = HOMOGLYPH.sub(lambda m: _TABLE[ord(m.group())], text)  # one for one: no offsets move
     low = out.text.lower()
-    spelled = []
-    for m in SPELLED.finditer(out.text) if MAYBE_SPELLED.search(low) else ():
-        words = ONE_DIGIT.findall(m.group())
-        if len(words) >= MIN_SPELLED:
-            s = m.start()
-            edge = out.text[max(0, s - 5):s].lower()
-            if edge.endswith("plus "):
-                spelled.append((s - 5, m.end(), "+" + "".join(DIGIT_WORDS[w.lower()] for w in words)))
-            else:
-                spelled.append((s, m.end(), "".join(DIGIT_WORDS[w.lower()] for w in words)))
-    out.replace(spelled)
+    if MAYBE_SPELLED.search(low):
+        edits, closed = spelled(out.text, False), spelled(out.text, True)
+        out.mixed = edits != closed
+        out.replace(closed if close else edits)
     if not MAYBE_SIGN.search(low):
         return out
     signs, last = {}, 0
     for m in ADDRESS_IP.finditer(out.text):
-        signs.update({x.span(): "." for x in DOT_SIGN.finditer(out.text, m.start(), m.end())})
+        signs.update({x.span(): "." for x in NUMBER_DOT.finditer(out.text, m.start(), m.end()) if x.group() != "."})
     for sign in SIGN.finditer(out.text):
         if sign.start() < last or sign.span() in signs:
             continue
@@ -225,6 +262,9 @@ def deobfuscate(text: str) -> Mapped:
             if m.end() <= sign.start():
                 continue
             if m.start() < sign.end():
+                bare = BARE_AT.match(out.text, m.start(), m.end())
+                if not SURE_SIGN.search(m.group()) and (bare is None or bare[1].lower() in PLACED):
+                    break
                 signs.update({x.span(): "." for x in DOT_SIGN.finditer(out.text, m.start(), m.end())})
                 signs.update({x.span(): "@" for x in AT_SIGN.finditer(out.text, m.start(), m.end())})
                 last = m.end()
@@ -242,6 +282,13 @@ def added_spans(text: str, base: list[Span]) -> list[Span]:
     seen = deobfuscate(text)
     if seen.text == text:
         return []
+    out = _new_spans(seen, base)
+    if seen.mixed:
+        out += _new_spans(deobfuscate(text, close=True), sorted(base + out, key=_order))
+    return out
+
+
+def _new_spans(seen: Mapped, base: list[Span]) -> list[Span]:
     taken = {k: [] for k in KINDS}
     for k, s, e in base:
         taken[k].append((s, e))

@@ -169,6 +169,31 @@ def test_deobfuscation_maps_back(text, spans):
         assert text[s:e] not in pii.redact(text, every)
 
 
+@pytest.mark.parametrize(("text", "spans"), [
+    ("host one nine two dot one six eight dot zero dot one is up", ["ip one nine two dot one six eight dot zero dot one"]),
+    ("eins null punkt null punkt null punkt sieben", ["ip eins null punkt null punkt null punkt sieben"]),
+    ("at one 92 [dot] 168 [dot] zero [dot] one", ["ip 92 [dot] 168 [dot] zero [dot] one"]),
+    ("two 192 dot 168 dot 0 dot 1", ["ip 192 dot 168 dot 0 dot 1"]), ("one nine nine nine dot one dot two dot three", []),
+    ("call +1 five five five 867 5309 now", ["phone +1 five five five 867 5309"]),
+    ("call plus 49 one five one (two three four) 5678", ["phone plus 49 one five one (two three four) 5678"]),
+    ("call +1, five five five, 867, five three oh nine", ["phone +1, five five five, 867, five three oh nine"]),
+    ("card four one one one 1111 1111 one one one one", ["card four one one one 1111 1111 one one one one"]),
+    ("card four one one one 1111 1111 one one one two", []), ("555 one two three four five six", []),
+    ("7, four one one one one one one one one one one one one one one one", ["card four" + " one" * 15]),
+    ("john.doe at example.com wrote", ["email john.doe at example.com"]), ("mail jane at mail.example.org.", ["email jane at mail.example.org"]),
+    ("jean (arobase) exemple (point) fr", ["email jean (arobase) exemple (point) fr"]),
+    ("visit us at example.com or at 10.30, arrive at 11.45", []), ("one two, three. Four 5 plus six", [])])
+def test_detectors_decide_on_chains(text, spans):
+    _, every = pii.find(text)
+    assert [f"{k} {text[s:e]}" for k, s, e in every] == spans
+    assert not pii.find(pii.redact(text, every))[1]
+
+
+def test_long_chains_are_linear():
+    for t in ("one 2 " * 50_000, "1 dot " * 50_000, "one dot " * 50_000, "a at b.c" * 40_000, "one (" * 50_000, "name at host.com " * 20_000):
+        pii.find(t)
+
+
 def test_pii_frames(spark):
     rows = [(1, "a@b.co and 10.0.0.1", 19, "z"), (2, None, None, None), (3, "", 0, ""), (1, "a@b.co and 10.0.0.1", 19, "z"), (None, "plain", 5, "q")]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, kind string")
