@@ -1,7 +1,10 @@
 """Secrets: candidates by pattern, false positives removed by a random forest.  DataFrame functions only.
 
 Candidates are maximal runs of at least 12 of the characters A-Z a-z 0-9 + / _
-~ - (and up to two = behind) that hold a digit.  Each gets features:
+~ - (and up to two = behind) that hold a digit, every match of a published key
+format, and every value assigned to a credential word, whatever its length and
+characters: between quotes all of it, else up to a space, quote, comma,
+semicolon or the next parameter of a query string.  Each gets features:
 
 * length, shares of digits, capitals, small letters, signs, hexadecimal
   characters and distinct characters;
@@ -17,7 +20,8 @@ Candidates are maximal runs of at least 12 of the characters A-Z a-z 0-9 + / _
 Training.  The forest learns from labelled findings.  Where the caller has
 none, findings are labelled by format: published key formats and assigned
 credentials are positive, valid card numbers, plain numbers, dates, UUIDs and
-words with numbers are negative, all others stay unlabelled.  The forest sees
+words with numbers are negative, all others stay unlabelled; so do assigned
+values that are neither runs as above nor quoted.  The forest sees
 the features, not the rules, and a bounded sample: at most ``TRAIN_ROWS`` of
 each class by the hash of the finding.  Without both classes there is no
 forest: the score is null and every finding is kept.
@@ -34,7 +38,7 @@ from pyspark.sql import functions as F
 from tabsmith.llm.common import read, table
 
 _C = r"A-Za-z0-9+/_~\-"
-CANDIDATE = rf"(?<![{_C}])(?=[A-Za-z+/_~\-]*+[0-9])[{_C}]{{12,}}+={{0,2}}"
+RUN = rf"(?<![{_C}])(?=[A-Za-z+/_~\-]*+[0-9])[{_C}]{{12,}}+={{0,2}}"
 LEFT, RIGHT = 60, 20
 DICTIONARY = 20_000
 TRAIN_ROWS = 10_000
@@ -50,6 +54,14 @@ ASSIGNED = r"[=:]\s*[\"']?$"
 KEY_FORMATS = [("aws_access_key", r"^(AKIA|ASIA)[0-9A-Z]{16}$"), ("github_token", r"^gh[pousr]_[A-Za-z0-9]{36,}$"),
                ("google_api_key", r"^AIza[0-9A-Za-z_\-]{35}$"), ("stripe_key", r"^[sr]k_(live|test)_[0-9a-zA-Z]{16,}$"),
                ("slack_token", r"^xox[abprs]-[0-9A-Za-z\-]{10,}$")]
+_KEY = "|".join(p.strip("^$") for _, p in KEY_FORMATS)
+#: The place behind an assignment to a credential word; a cheap look at the sign before comes first.
+_BEHIND = rf"{CREDENTIAL.replace('(?i)', '(?i:', 1)})[\"']?[ \t]{{0,2}}[=:][ \t]{{0,2}}"
+_QUOTED = "|".join(rf"(?<={q})(?<={_BEHIND}{q})[^{q}\r\n]++(?={q})" for q in "\"'")
+_BARE = rf"(?<=[=: \t])(?<=[=:][ \t]{{0,2}})(?<={_BEHIND})(?![=:])[^\s\"'`,;<>]*[^\s\"'`,;<>.:)\]}}]"
+#: A run that ends its value, a longer value, a key, any other run.
+CANDIDATE = (rf"{_QUOTED}|{RUN}(?=&\w{{1,40}}=|[\s\"'`,;<>.:)\]}}]|$)|{_BARE}"
+             rf"|(?<![{_C}])(?:{_KEY})(?![{_C}])|{RUN}")
 NOT_SECRET = [r"^[0-9+/_~\-]+=*$", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}", r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
               r"^[A-Za-z]+[_/~\-]?[0-9]{1,4}$"]
 
@@ -150,9 +162,12 @@ def label_by_format(found: DataFrame) -> DataFrame:
     for pattern in NOT_SECRET:
         other = other | F.col("candidate").rlike(pattern)
     credential = F.col("before").rlike(CREDENTIAL + r"\s{0,2}[=:]\s{0,2}[\"']?$")
+    run = F.col("candidate").rlike(f"^{RUN}$")
+    quoted = F.col("before").rlike(CREDENTIAL + r"[\"']?[ \t]{0,2}[=:][ \t]{0,2}[\"']$")
     kind = (F.when(kind.isNotNull(), kind)
             .when(F.col("candidate").rlike(r"^[0-9]{13,19}$") & _luhn(F.when(number, F.col("candidate"))), "card_number")
-            .when(other, "number_or_identifier").when(credential, "assigned_credential").otherwise("unknown"))
+            .when(run & other, "number_or_identifier").when(run & credential | ~run & quoted, "assigned_credential")
+            .otherwise("unknown"))
     label = F.when(F.col("kind").isin("card_number", "number_or_identifier"), 0).when(F.col("kind") != "unknown", 1)
     return found.withColumn("kind", kind).withColumn("label", label.cast("double"))
 
