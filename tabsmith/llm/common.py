@@ -41,11 +41,11 @@ def map_texts(df: DataFrame, columns: list[str], schema: T.StructType,
 
     ``make()`` runs once per task and returns a function from a batch's
     columns (lists) to the new columns (lists).  An existing column with the
-    name of a new one is replaced.
+    name of a new one, in any case, is replaced.
     """
     bounded_batches(df.sparkSession)
     new = [f.name for f in schema.fields]
-    kept = [f for f in df.schema.fields if f.name not in new]
+    kept = [f for f in df.schema.fields if f.name.lower() not in {n.lower() for n in new}]
     out = T.StructType(kept + list(schema.fields))
     keep = [f.name for f in kept]
     arrow = [_arrow_type(f.dataType) for f in schema.fields]
