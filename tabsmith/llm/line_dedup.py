@@ -190,7 +190,7 @@ def _sent_probes(docs: DataFrame, index: DataFrame, shards: int, min_chars: int)
         held, arrays = None, None
         for b in batches:
             cols = {n: b.column(i) for i, n in enumerate(b.schema.names)}
-            shard, doc, hi, lo = (cols[c].to_numpy(zero_copy_only=False) for c in ("shard", "doc", "hi", "lo"))
+            shard, doc, hi, lo = (cols[c].fill_null(0).to_numpy() for c in ("shard", "doc", "hi", "lo"))
             first = cols["prints"].is_valid().to_numpy(zero_copy_only=False)
             starts = np.flatnonzero(first | np.concatenate([[True], shard[1:] != shard[:-1]]))
             for s, e in zip(starts, [*starts[1:], len(shard)], strict=True):
