@@ -191,7 +191,7 @@ def test_repair_of_nulls_and_nothing(spark):
     schema = "conv_id long, turn long, role string, text string"
     assert conv_repair.repair(spark.createDataFrame([], schema)).count() == 0
     got = conv_repair.repair(spark.createDataFrame([(1, None, None, None), (1, None, None, "Ok."), (1, 4, "user", "Ok.")], schema)).first()
-    assert (got["gaps"], got["blank"], got["illegal"], got["cost"], got["audit"]) == (0, 1, 2, 10, "DRR")
+    assert (got["gaps"], got["blank"], got["illegal"], got["cost"], got["audit"]) == (0, 1, 2, 10, "RDR")
     gone = spark.createDataFrame([(9, 1, "user", "Hi.", 0)], schema + ", copies int")
     assert tuple(conv_repair.repair(gone).first()) == (9, 0, 0, 0, 0, 0, 0, "", sha(""))
 
