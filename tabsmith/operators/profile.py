@@ -10,12 +10,13 @@ group is two-stage (per hash bucket, then per group over at most
 from __future__ import annotations
 
 import math
-from itertools import combinations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabsmith.functions.scalars import col
+from tabsmith.operators.blocks import correlations, pair_rows
 from tabsmith.operators.ranking import exact_quantiles, null_safe_join, unpivot_values
 
 # -- A1-A4 counts -------------------------------------------------------------------
@@ -148,30 +149,15 @@ def variance_rank(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def correlation(df: DataFrame, cols: list[str], lower_only: bool = False) -> DataFrame:
     """Pearson r for every pair, pairwise-complete (pandas ``corr``), long form
-    (feature_a, feature_b, corr); all pairs in one aggregate over one scan.
+    (feature_a, feature_b, corr); any number of columns from one scan (``operators.blocks``).
 
     A column that is constant (or has fewer than two common values with the
-    other) gives a null.  NaN counts as null.
+    other, or an infinite one) gives a null.  NaN counts as null.
     """
-    pairs = list(combinations(cols, 2))
-    if not pairs:
+    if len(cols) < 2:
         return df.sparkSession.createDataFrame([], "feature_a string, feature_b string, corr double")
-    x = df.select(*[F.when(~F.isnan(col(c).cast("double")), col(c).cast("double")).alias(f"x{i}") for i, c in enumerate(cols)])
-    at = {c: i for i, c in enumerate(cols)}
-
-    def one(a, b):
-        u, v = F.col(f"x{at[a]}"), F.col(f"x{at[b]}")
-        both = u.isNotNull() & v.isNotNull()
-        flat = ((F.max(F.when(both, u)) == F.min(F.when(both, u))) | (F.max(F.when(both, v)) == F.min(F.when(both, v))))
-        # the constant is kept from the aggregate's division: it gets nulls only
-        return F.when(flat, F.lit(None)).otherwise(F.try_divide(
-            F.covar_samp(u, v), F.stddev_samp(F.when(both, u)) * F.stddev_samp(F.when(both, v))))
-    row = x.agg(*[one(a, b).alias(f"p{j}") for j, (a, b) in enumerate(pairs)])
-    entries = []
-    for j, (a, b) in enumerate(pairs):
-        for s, t in [(a, b)] if lower_only else [(a, b), (b, a)]:   # the symmetric entry comes from the same row
-            entries.append(F.struct(F.lit(s).alias("feature_a"), F.lit(t).alias("feature_b"), F.col(f"p{j}").alias("corr")))
-    return row.select(F.explode(F.array(*entries)).alias("s")).select("s.*")
+    x = df.select(*[col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+    return pair_rows(x, cols, lower_only, "corr", lambda block: (correlations(block), [True] * len(block["n"])))
 
 
 def high_correlation(corr_long: DataFrame, threshold: float = 0.8) -> DataFrame:
@@ -180,27 +166,23 @@ def high_correlation(corr_long: DataFrame, threshold: float = 0.8) -> DataFrame:
 
 
 def _indicators(df: DataFrame, cols: list[str]) -> DataFrame:
-    return df.select(*[col(c).isNull().cast("double").alias(c) for c in cols])
+    return df.select(*[col(c).isNull().cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
 
 
 def nullity_correlation(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Correlation of null indicators; columns that are never or always null are left out."""
-    ind = _indicators(df, cols)
-    row = ind.agg(*[F.min(c).alias(f"mn{i}") for i, c in enumerate(cols)],
-                  *[F.max(c).alias(f"mx{i}") for i, c in enumerate(cols)]).first()
-    keep = [c for i, c in enumerate(cols) if row[f"mn{i}"] != row[f"mx{i}"]]
-    return correlation(ind, keep, lower_only=True)
+    """Correlation of null indicators; columns that are never or always null are left out.  One scan."""
+    return pair_rows(_indicators(df, cols), cols, True, "corr",
+                     lambda block: (correlations(block), ~np.diagonal(block["constant"])))
 
 
 def nullity_distance(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Euclidean distance between null-indicator columns, all pairs in one aggregate over one scan."""
-    pairs = list(combinations(cols, 2))
-    ind = df.select(*[col(c).isNull().alias(f"x{i}") for i, c in enumerate(cols)])
-    at = {c: i for i, c in enumerate(cols)}
-    row = ind.agg(*[F.sum((F.col(f"x{at[a]}") != F.col(f"x{at[b]}")).cast("int")).alias(f"p{j}") for j, (a, b) in enumerate(pairs)])
-    entries = [F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.sqrt(F.col(f"p{j}")).alias("distance"))
-               for j, (a, b) in enumerate(pairs)]
-    return row.select(F.explode(F.array(*entries)).alias("s")).select("s.*")
+    """Euclidean distance between null-indicator columns, all pairs from one scan."""
+    def distance(block):
+        # of 0/1 columns the mean times n counts the ones, and product plus n times both means the common ones
+        n, mean = block["n"], block["mean"]
+        common = block["product"] + n * mean * mean.T
+        return np.sqrt(np.round(n * mean + n * mean.T - 2 * common)), [True] * len(n)
+    return pair_rows(_indicators(df, cols), cols, True, "distance", distance)
 
 
 # -- A16-A18 histograms, box plots, medians ---------------------------------------------

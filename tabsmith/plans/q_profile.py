@@ -139,6 +139,32 @@ def corr_matrix(spark, sf):
     return rounded(profile.correlation(load(spark, sf, "lineitem"), LI4))
 
 
+#: 66 columns as wide as the processed claims table: numbers, parts of dates, indicators, with missing values.
+WIDE = {**{c: c for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber", "l_orderkey", "l_partkey", "l_suppkey")},
+        **{f"late_{d}": f"CASE WHEN l_linenumber = {d} THEN NULL ELSE l_extendedprice * {d} - l_quantity * l_quantity END" for d in range(1, 8)},
+        **{f"qty_mod_{m}": f"CAST(l_quantity AS INT) % {m}" for m in range(2, 20)},
+        **{f"part_mod_{m}": f"CASE WHEN l_suppkey % {m} = 0 THEN NULL ELSE l_partkey % {m} END" for m in range(2, 20)},
+        **{f"is_flag_{f}": f"CASE WHEN l_returnflag = '{f}' THEN 1 ELSE 0 END" for f in "ANR"},
+        **{f"is_status_{f}": f"CASE WHEN l_linestatus = '{f}' THEN 1 ELSE 0 END" for f in "FO"},
+        **{f"price_over_{k}": f"CASE WHEN l_extendedprice > {k}000 THEN l_tax ELSE NULL END" for k in range(10, 60, 10)},
+        "rate": "l_extendedprice / l_quantity", "net": "l_extendedprice * (1 - l_discount)", "gross": "l_extendedprice * (1 + l_tax)",
+        "fixed": "CAST(7 AS DOUBLE)", "hollow": "CAST(NULL AS DOUBLE)"}
+WIDE_SQL = ", ".join(f"CAST({e} AS DOUBLE) AS {n}" for n, e in WIDE.items())
+WIDE_CORR = ", ".join(f"corr({a}, {b})" for a, b in combinations(WIDE, 2))
+
+
+@query("corr_matrix_wide", f"""
+WITH wide AS (SELECT {WIDE_SQL} FROM lineitem),
+one AS (SELECT [{WIDE_CORR}] AS rs, [{', '.join(repr(a) for a, _ in combinations(WIDE, 2))}] AS fa,
+               [{', '.join(repr(b) for _, b in combinations(WIDE, 2))}] AS fb FROM wide),
+pairs AS (SELECT unnest(fa) AS feature_a, unnest(fb) AS feature_b, unnest(rs) AS r FROM one)
+SELECT feature_a, feature_b, round(CASE WHEN isnan(r) THEN NULL ELSE r END, 6) AS corr FROM pairs
+""")
+def corr_matrix_wide(spark, sf):
+    wide = load(spark, sf, "lineitem").selectExpr(*[f"CAST({e} AS DOUBLE) AS {n}" for n, e in WIDE.items()])
+    return rounded(profile.correlation(wide, list(WIDE), lower_only=True))
+
+
 @query("high_correlation", with_claims(
     f"SELECT * FROM ({_corr_sql('claims', NULLABLE, 'CAST({c} IS NULL AS DOUBLE)', both=False)}) WHERE abs(corr) > 0.2"))
 def high_correlation(spark, sf):
