@@ -43,9 +43,10 @@ def block_of(x: np.ndarray, varied: np.ndarray | None = None) -> dict[str, np.nd
         there = ~np.isnan(x)
         endless = np.isinf(x)
         w = there.astype(float)
-        shift = np.nanmean(np.where(endless, np.nan, x), axis=0) if len(x) else np.zeros(x.shape[1])
+        plain = there & ~endless
+        shift = np.where(plain, x, 0.0).sum(axis=0) / np.maximum(plain.sum(axis=0), 1)
         shift = np.where(np.isfinite(shift), shift, 0.0)
-        y = np.where(there & ~endless, x - shift, 0.0)
+        y = np.where(plain, x - shift, 0.0)
         n = w.T @ w
         total = y.T @ w
         m = np.divide(total, n, out=np.zeros_like(n), where=n > 0)

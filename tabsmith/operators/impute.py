@@ -3,7 +3,7 @@
 ``fit_*`` returns parameters (one value per column: bounded, so they are
 collected as a dict); ``fill_*`` applies them lazily to any split.
 Medians are exact (pandas semantics) and computed distributed, see
-``ranking.exact_quantiles``.
+``quantiles.exact_quantiles``.
 """
 
 from __future__ import annotations
@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabsmith.functions.scalars import col
-from tabsmith.operators.ranking import exact_quantiles, unpivot_values
+from tabsmith.operators.quantiles import exact_quantiles
+from tabsmith.operators.ranking import unpivot_values
 
 
 def fit_medians(df: DataFrame, columns: list[str]) -> dict[str, float | None]:

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from tabsmith.functions.scalars import col
 from tabsmith.operators.blocks import correlations, pair_rows
-from tabsmith.operators.ranking import exact_quantiles, null_safe_join, unpivot_values
+from tabsmith.operators.quantiles import exact_quantiles
+from tabsmith.operators.ranking import null_safe_join, unpivot_values
 
 # -- A1-A4 counts -------------------------------------------------------------------
 

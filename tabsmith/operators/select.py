@@ -37,7 +37,7 @@ def select_by_importance(imp: DataFrame, threshold="median", max_features: int |
     """K5/K6: keep features with importance >= threshold ('median', 'mean' or a number);
     ``max_features`` keeps the top n of those instead."""
     if isinstance(threshold, str):
-        from tabsmith.operators.ranking import exact_quantiles
+        from tabsmith.operators.quantiles import exact_quantiles
         if threshold == "median":
             t = exact_quantiles(imp, [], "importance", [0.5], ["t"]).first()["t"]
         elif threshold == "mean":

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tabsmith.functions.dates import components
 from tabsmith.functions.scalars import above
 from tabsmith.operators import clean, columns, encode, impute
-from tabsmith.operators.ranking import exact_quantiles
+from tabsmith.operators.quantiles import exact_quantiles
 from tabsmith.plans.claims import claims, load, with_claims
 from tabsmith.plans.registry import query, rounded
 
