@@ -7,21 +7,23 @@ Only what needs an order sorts anything:
   a partial aggregate of at most bins x features rows for each task;
 * chi-square (R3) aggregates (feature, category) counts and joins the
   per-feature totals (one row per feature);
-* KS (R1) and Wasserstein (R5) share the running counts of both samples over
-  the distinct values of each feature (``ranking.cumulative``: pre-aggregated,
-  range-partitioned, no per-feature window over raw rows).
+* KS (R1) and Wasserstein (R5) share bucket totals of both samples and order
+  only the values of the buckets that these leave open (``operators.ecdf``).
 
 Test-statistic tails run on the one-row-per-feature tables.
 """
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabsmith.functions.scalars import interpret_psi, severity
 from tabsmith.functions.stats import chi2_sf, ks_pvalue
-from tabsmith.operators.ranking import cumulative
+from tabsmith.operators import ecdf
 from tabsmith.session import materialize
 
 EPS_STD = 1e-8
@@ -51,22 +53,26 @@ def _value(c: str):
     return F.when(~F.isnan(v), v)
 
 
-def side_stats(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
+def side_stats(ref: DataFrame, cur: DataFrame, cols: list[str], sketched: bool = False) -> DataFrame:
     """``(is_ref, feature, n_rows, n, mean, sd, mn, mx)``: a row for each sample and numeric
     feature of both, plus one without a feature that counts the rows.  One wide
-    aggregate of each sample: the rows are neither exploded nor shuffled."""
+    aggregate of each sample: the rows are neither exploded nor shuffled.
+    ``sketched`` adds ``q``, the quantiles that ``ecdf.splitters`` takes."""
     cols = _present(ref, cur, cols)
 
     def side(df, is_ref):
         x = df.select(*[_value(c).alias(f"x{i}") for i, c in enumerate(cols)])
         row = x.agg(F.count(F.lit(1)).alias("n_rows"), *[e for i in range(len(cols)) for e in (
             F.count(f"x{i}").alias(f"n{i}"), F.avg(f"x{i}").alias(f"a{i}"), F.stddev_samp(f"x{i}").alias(f"s{i}"),
-            F.min(f"x{i}").alias(f"l{i}"), F.max(f"x{i}").alias(f"h{i}"))])
+            F.min(f"x{i}").alias(f"l{i}"), F.max(f"x{i}").alias(f"h{i}"),
+            *([ecdf.sketch_columns(f"x{i}")[-1].alias(f"q{i}")] if sketched else []))])
         lines = [F.struct(F.lit(c).alias("feature"), F.col(f"n{i}").alias("n"), F.col(f"a{i}").alias("mean"), F.col(f"s{i}").alias("sd"),
-                          F.col(f"l{i}").alias("mn"), F.col(f"h{i}").alias("mx")) for i, c in enumerate(cols)]
+                          F.col(f"l{i}").alias("mn"), F.col(f"h{i}").alias("mx"),
+                          *([F.col(f"q{i}").alias("q")] if sketched else [])) for i, c in enumerate(cols)]
         none = F.lit(None).cast("double")
         lines.append(F.struct(F.lit(None).cast("string").alias("feature"), F.col("n_rows").alias("n"), none.alias("mean"),
-                              none.alias("sd"), none.alias("mn"), none.alias("mx")))
+                              none.alias("sd"), none.alias("mn"), none.alias("mx"),
+                              *([F.lit(None).cast("array<double>").alias("q")] if sketched else [])))
         return row.select(F.lit(is_ref).alias("is_ref"), "n_rows", F.explode(F.array(*lines)).alias("f")).select("is_ref", "n_rows", "f.*")
 
     return side(ref, True).unionByName(side(cur, False))
@@ -96,15 +102,38 @@ def row_counts(stats: DataFrame) -> DataFrame:
                     F.max(F.when(~F.col("is_ref"), F.col("n_rows"))).alias("current_rows"))
 
 
-def ks_wasserstein(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
-    """R1 + R5: (feature, n_ref, n_cur, ks_statistic, wasserstein) from one running-count pass."""
-    cum = cumulative(value_counts(ref, cur, cols), ["feature"], "value", {"r": F.col("r"), "c": F.col("c")}, preaggregated=True)
-    # an empty side gives null gaps (the feature is then left out), not a division error
-    gap = F.abs(F.try_divide("r_cum", "r_total") - F.try_divide("c_cum", "c_total"))
-    return cum.groupBy("feature").agg(
-        F.first("r_total").cast("bigint").alias("n_ref"), F.first("c_total").cast("bigint").alias("n_cur"),
-        F.max(gap).alias("ks_statistic"),
-        F.coalesce(F.sum(gap * (F.col("next_value") - F.col("value"))), F.lit(0.0)).alias("wasserstein"))
+def sample_totals(ref: DataFrame, cur: DataFrame, cols: list[str], stats: DataFrame, bins: int = PSI_BINS) -> ecdf.Totals:
+    """Bucket totals that KS, Wasserstein and PSI share: the PSI edges are splitters.  ``stats``: sketched side statistics."""
+    cols = _present(ref, cur, cols)
+    rows = stats.where(F.col("feature").isNotNull()).collect()   # two for each feature
+    found = [[{"n": r["n"], "mx": r["mx"], "q": r["q"]} for r in rows if r["feature"] == c and r["q"]] for c in cols]
+    low = {r["feature"]: (r["mn"], r["mx"]) for r in rows if r["is_ref"] and r["mn"] is not None}
+    return ecdf.Totals(ref, cur, cols, found, edges=[_psi_edges(*low[c], bins) if c in low else [] for c in cols])
+
+
+def _psi_edges(mn: float, mx: float, bins: int) -> list[float]:
+    """Bin edges of numpy's ``histogram``; the last is the next double, as the top bin is closed."""
+    lo, hi = (mn - 0.5, mx + 0.5) if mn == mx else (mn, mx)
+    step = (hi - lo) / bins
+    return [lo, *[i * step + lo for i in range(1, bins)], math.nextafter(hi, math.inf)]
+
+
+def psi_of_totals(totals: ecdf.Totals, stats: DataFrame, bins: int = PSI_BINS) -> DataFrame:
+    """R4 from the bucket totals of ``sample_totals``."""
+    rows = []
+    for r in stats.where(F.col("is_ref") & F.col("mn").isNotNull()).collect():
+        ref, cur = totals.between(totals.cols.index(r["feature"]), np.array(_psi_edges(r["mn"], r["mx"], bins)))
+        seen, value = (ref > 0) | (cur > 0), None
+        if cur.sum():
+            a, b = ref[seen] / ref.sum() + EPS_PSI, cur[seen] / cur.sum() + EPS_PSI
+            value = float(((b - a) * np.log(b / a)).sum())
+        rows.append((r["feature"], value))
+    return totals.spark.createDataFrame(rows, "feature string, psi double").withColumn("interpretation", interpret_psi(F.col("psi")))
+
+
+def ks_wasserstein(ref: DataFrame, cur: DataFrame, cols: list[str], totals: ecdf.Totals | None = None) -> DataFrame:
+    """R1 + R5: (feature, n_ref, n_cur, ks_statistic, wasserstein), exact, from bucket totals (``operators.ecdf``)."""
+    return ecdf.ks_wasserstein(ref, cur, _present(ref, cur, cols), totals=totals)
 
 
 def moments(ref: DataFrame, cur: DataFrame, cols: list[str], stats: DataFrame | None = None) -> DataFrame:
@@ -247,11 +276,12 @@ def with_bin(df: DataFrame, v, bins: int, out: str = "bin") -> DataFrame:
 
 
 def distribution_drift(ref: DataFrame, cur: DataFrame, cols: list[str], ks: DataFrame | None = None,
-                       stats: DataFrame | None = None) -> DataFrame:
+                       stats: DataFrame | None = None, index: DataFrame | None = None) -> DataFrame:
     """PSI, its interpretation and the Wasserstein distance per numeric feature."""
     w = (ks if ks is not None else ks_wasserstein(ref, cur, cols)).where(
         (F.col("n_ref") > 0) & (F.col("n_cur") > 0))
-    return psi(ref, cur, cols, stats=stats).join(w.select("feature", "wasserstein"), "feature")
+    index = index if index is not None else psi(ref, cur, cols, stats=stats)
+    return index.join(w.select("feature", "wasserstein"), "feature")
 
 
 def _report_row(numeric: DataFrame, categorical: DataFrame, distribution: DataFrame | None,
@@ -355,14 +385,15 @@ def drift_alerts(numeric: DataFrame, categorical: DataFrame, distribution: DataF
 
 
 def _shared(ref: DataFrame, cur: DataFrame, numerical_features: list[str], categorical_features: list[str]):
-    """What several tables read is computed once: the aggregates of each sample, the
-    category counts and the KS table, all checkpointed and small beside the samples."""
-    stats = materialize(side_stats(ref, cur, numerical_features))
+    """What several tables read is computed once: the aggregates and sketches of each sample, the
+    category counts, and from one scan the bucket totals that KS, Wasserstein and PSI share."""
+    stats = materialize(side_stats(ref, cur, numerical_features, sketched=True))
     cats = materialize(category_counts(ref, cur, categorical_features))
-    ks = materialize(ks_wasserstein(ref, cur, numerical_features))
+    totals = sample_totals(ref, cur, numerical_features, stats)
+    ks = materialize(ks_wasserstein(ref, cur, numerical_features, totals))
     num = numeric_drift(ref, cur, numerical_features, ks=ks, stats=stats)
     cat = categorical_drift(ref, cur, categorical_features, counts=cats)
-    dist = distribution_drift(ref, cur, numerical_features, ks=ks, stats=stats)
+    dist = distribution_drift(ref, cur, numerical_features, ks=ks, stats=stats, index=psi_of_totals(totals, stats))
     return stats, cats, num, cat, dist
 
 
