@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabsmith.functions.scalars import col
+from tabsmith.operators import boosting
+from tabsmith.operators.boosting import BoostedModel
 from tabsmith.operators.ranking import hashed_rank
 from tabsmith.session import materialize
 
@@ -34,8 +36,17 @@ def _subset_strategy(frac: float) -> str:
 
 
 def train_boosted(df: DataFrame, features: list[str], label: str, params: dict | None = None,
-                  weight_col: str | None = None):
-    """K1: one-vs-rest gradient-boosted trees (Spark's GBT is binary only)."""
+                  weight_col: str | None = None, n_classes: int | None = None) -> BoostedModel:
+    """K1: gradient-boosted trees with a softmax over all classes (``operators.boosting``)."""
+    p = {**BOOSTED_PARAMS, **(params or {})}
+    return boosting.train(df, features, label, n_classes, weight_col, rounds=int(p["n_estimators"]), max_depth=int(p["max_depth"]),
+                          learning_rate=float(p["learning_rate"]), subsample=float(p["subsample"]),
+                          colsample=float(p["colsample_bytree"]), seed=int(p["random_state"]))
+
+
+def train_boosted_ovr(df: DataFrame, features: list[str], label: str, params: dict | None = None,
+                      weight_col: str | None = None):
+    """One-vs-rest of Spark's binary gradient-boosted trees, the classes fitted apart."""
     p = {**BOOSTED_PARAMS, **(params or {})}
     gbt = GBTClassifier(maxIter=int(p["n_estimators"]), maxDepth=int(p["max_depth"]),
                         stepSize=float(p["learning_rate"]), subsamplingRate=float(p["subsample"]),
@@ -73,8 +84,10 @@ def train_all(df: DataFrame, features: list[str], label: str, boosted: dict | No
 
 def importances(model, features: list[str]) -> DataFrame:
     """K4: (feature, importance) sorted desc; OvR averages its binary models."""
-    last = model.stages[-1]
-    if hasattr(last, "models"):
+    last = model.stages[-1] if hasattr(model, "stages") else model
+    if isinstance(last, BoostedModel):
+        vals = last.gains().tolist()
+    elif hasattr(last, "models"):
         vecs = [m.featureImportances.toArray() for m in last.models]
         vals = [float(sum(v[i] for v in vecs) / len(vecs)) for i in range(len(features))]
     else:
@@ -86,6 +99,8 @@ def importances(model, features: list[str]) -> DataFrame:
 
 def _probabilities(out: DataFrame) -> DataFrame:
     """Probability array per row; OvR margins become normalised sigmoids (GBT: 1/(1+e^-2m))."""
+    if dict(out.dtypes).get("probability") == "array<double>":
+        return out.withColumn("_p", F.col("probability"))
     if "probability" in out.columns:
         return out.withColumn("_p", vector_to_array("probability"))
     raw = vector_to_array("rawPrediction")
@@ -191,7 +206,9 @@ def train_and_evaluate(df: DataFrame, features: list[str], label: str, n_classes
 
 
 def model_features(model, default: list[str]) -> list[str]:
-    """Input columns of a pipeline's assembler."""
+    """Input columns of a boosted model or of a pipeline's assembler."""
+    if isinstance(model, BoostedModel):
+        return model.features
     stages = [s for s in getattr(model, "stages", []) if isinstance(s, VectorAssembler)]
     return stages[0].getInputCols() if stages else list(default)
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tabsmith.functions.scalars import col
 from tabsmith.functions.stats import chi2_sf
+from tabsmith.operators import boosting, lasso
 
 # The two named feature subsets, in order; the second holds the first.
 ESSENTIAL_FEATURES = [
@@ -139,39 +140,19 @@ def selection_reduction(before: list[str], selected: DataFrame) -> DataFrame:
     return selected.agg(F.lit(n).cast("bigint").alias("n_before"), kept.alias("n_after"), pct.alias("reduction_pct"))
 
 
-def lasso_path(df: DataFrame, features: list[str], label: str, n_alphas: int = 100, span: float = 1e-3) -> list[float]:
-    """Penalties from the smallest that zeroes all coefficients down to ``span`` of it, evenly in logarithm."""
-    y = col(label).cast("double")
-    means = df.agg(F.avg(y).alias("y"), *[F.avg(col(f).cast("double")).alias(f"x{i}") for i, f in enumerate(features)]).first()
-    row = df.agg(*[F.abs(F.avg((col(f).cast("double") - F.lit(means[f"x{i}"])) * (y - F.lit(means["y"]))))
-                   for i, f in enumerate(features)]).first()
-    top = max((float(v) for v in row if v is not None), default=0.0) or 1e-6
-    return [top * span ** (k / max(1, n_alphas - 1)) for k in range(n_alphas)]
-
-
 def lasso_coefficients(df: DataFrame, features: list[str], label: str, reg: float | None = None, keep: float = 0.01,
                        n_folds: int = 5, n_alphas: int = 100, seed: int = 42) -> DataFrame:
     """L1-regularised linear regression coefficients, |coef| > keep selected.
 
     Without ``reg`` the penalty is the one of ``n_alphas`` on the path with the
-    smallest mean squared error over ``n_folds`` folds.
+    smallest mean squared error over ``n_folds`` folds.  One scan (``operators.lasso``);
+    rows with a null are left out.
     """
-    from pyspark.ml.evaluation import RegressionEvaluator
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-    v = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="skip").transform(df)
-    lr = LinearRegression(featuresCol="features", labelCol=label, elasticNetParam=1.0, standardization=False)
-    if reg is None:
-        grid = ParamGridBuilder().addGrid(lr.regParam, lasso_path(df, features, label, n_alphas)).build()
-        m = CrossValidator(estimator=lr, estimatorParamMaps=grid, numFolds=n_folds, seed=seed, parallelism=4,
-                           evaluator=RegressionEvaluator(labelCol=label, metricName="mse")).fit(v).bestModel
-    else:
-        m = lr.copy({lr.regParam: reg}).fit(v)
-    spark = df.sparkSession
-    rows = [(f, float(c)) for f, c in zip(features, m.coefficients.toArray())]
-    return spark.createDataFrame(rows, "feature string, coefficient double") \
-                .withColumn("selected", F.abs("coefficient") > keep)
+    folds = lasso.fold_moments(df, features, label, 1 if reg is not None else n_folds, seed)
+    coef, _ = lasso.solve(lasso.total(folds), reg) if reg is not None else lasso.cross_validated(folds, n_alphas)[:2]
+    rows = [(f, float(c)) for f, c in zip(features, coef, strict=True)]
+    return df.sparkSession.createDataFrame(rows, "feature string, coefficient double") \
+        .withColumn("selected", F.abs("coefficient") > keep)
 
 
 def recursive_elimination(df: DataFrame, features: list[str], label: str, min_features: int = 1) -> DataFrame:
@@ -221,23 +202,29 @@ def tree_importance(df: DataFrame, features: list[str], label: str, max_depth: i
     return importances(m, features)
 
 
-def boosted_importance(df: DataFrame, features: list[str], label: str, params: dict | None = None) -> DataFrame:
-    """Class-weighted one-vs-rest boosting importances."""
-    from tabsmith.operators.models import importances, train_boosted
-    m = train_boosted(with_class_weights(df, label), features, label, params, weight_col="class_weight")
-    return importances(m, features)
+def boosted_importance(df: DataFrame, features: list[str], label: str, params: dict | None = None, keep: int = 99) -> DataFrame:
+    """Class-weighted boosting of trees grown leaf by leaf: (feature, importance, splits, keep) by share of
+    the gain; ``keep`` or more splits are kept.  ``params`` as of ``boosting.train``."""
+    p = {"rounds": 100, "max_leaves": 31, "max_depth": 64, "learning_rate": 0.1, "leaf_wise": True, **(params or {})}
+    m = boosting.train(with_class_weights(df, label), features, label, weight_col="class_weight", **p)
+    rows = [(f, float(g), int(n)) for f, g, n in zip(features, m.gains(), m.split_counts(), strict=True)]
+    return (df.sparkSession.createDataFrame(rows, "feature string, importance double, splits int")
+            .withColumn("keep", F.col("splits") >= keep).orderBy(F.desc("importance"), "feature"))
 
 
 def split_counts(model, features: list[str], keep: int = 99) -> DataFrame:
-    """Splits on each feature over all trees of a (one-vs-rest) boosted model; ``keep`` or more are kept."""
+    """Splits on each feature over all trees of a boosted model; ``keep`` or more are kept."""
     import re
 
     from pyspark.sql import SparkSession
-    last = model.stages[-1]
+    last = model.stages[-1] if hasattr(model, "stages") else model
     counts = dict.fromkeys(range(len(features)), 0)
-    for m in getattr(last, "models", [last]):
-        for at in re.findall(r"If \(feature (\d+) ", m.toDebugString):
-            counts[int(at)] += 1
+    if isinstance(last, boosting.BoostedModel):
+        counts = dict(enumerate(last.split_counts().tolist()))
+    else:
+        for m in getattr(last, "models", [last]):
+            for at in re.findall(r"If \(feature (\d+) ", m.toDebugString):
+                counts[int(at)] += 1
     rows = [(f, counts[i]) for i, f in enumerate(features)]
     return SparkSession.getActiveSession().createDataFrame(rows, "feature string, splits int").withColumn(
         "keep", F.col("splits") >= keep).orderBy(F.desc("splits"), "feature")

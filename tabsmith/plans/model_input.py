@@ -14,6 +14,7 @@ from tabsmith.functions.dates import elapsed_days, weekend
 from tabsmith.operators import encode, impute, split
 from tabsmith.operators.features import claim_features
 from tabsmith.plans.claims import claims
+from tabsmith.session import stored
 
 TARGET = "claim_injury_type"
 KEY = "claim_identifier"
@@ -44,4 +45,5 @@ def model_frame(spark, sf) -> tuple[DataFrame, list[str], str, int]:
     d = claim_features(d, "average_weekly_wage", meds["average_weekly_wage"], "age_at_injury",
                        dependents="number_of_dependents")
     d = d.withColumns({f: F.col(f"`{f}`").cast("double") for f in FEATURES})
-    return d.select(KEY, "split", TARGET, *[F.col(f"`{f}`") for f in FEATURES]), FEATURES, TARGET, n_classes
+    # fits read their input many times: written once, joins and fitted maps are not redone
+    return stored(d.select(KEY, "split", TARGET, *[F.col(f"`{f}`") for f in FEATURES]), "model-frame"), FEATURES, TARGET, n_classes

@@ -86,11 +86,19 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def stored(df, name: str = "stored"):
+    """``df`` written as Parquet below the shared folder and read back: for rows that are read many times."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialize(df):
     """Cut lineage: reliable checkpoint into the shared checkpoint folder (eager).
 
-    Used for small intermediate aggregates that several statistics read, so
-    the raw data is scanned once.  Never ``localCheckpoint``: a reliable
+    Used for intermediate results that several statistics read, so the raw
+    data is scanned once: aggregates, and distinct values where all of them
+    are to be ranked (``ranking``).  Never ``localCheckpoint``: a reliable
     checkpoint survives executor loss.
     """
     checkpoint_root(df.sparkSession)

@@ -84,7 +84,10 @@ def load_params(spark: SparkSession, path: str) -> DataFrame:
 
 
 def save_model(model, path: str) -> str:
-    """Persist a fitted ``pyspark.ml`` model or pipeline."""
+    """Persist a fitted ``pyspark.ml`` model or pipeline, or a boosted model (``load_boosted`` reads it)."""
+    from tabsmith.operators.boosting import BoostedModel
+    if isinstance(model, BoostedModel):
+        return model.save(SparkSession.getActiveSession(), path)
     model.write().overwrite().save(path)
     return path
 
@@ -92,3 +95,9 @@ def save_model(model, path: str) -> str:
 def load_model(path: str):
     from pyspark.ml import PipelineModel
     return PipelineModel.load(path)
+
+
+def load_boosted(spark: SparkSession, path: str):
+    """A boosted model as ``save_model`` wrote it."""
+    from tabsmith.operators.boosting import BoostedModel
+    return BoostedModel.load(spark, path)
