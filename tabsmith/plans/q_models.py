@@ -334,11 +334,9 @@ def selection_reduction(spark, sf):
 
 # -- model training (rows-only checks) -------------------------------------------------
 
-#: Model sizes of the registered queries.  The operators' defaults are 100 trees of depth 10
-#: and 100 rounds of depth 6; the queries train smaller models on all rows, features, folds
-#: and repeats, since the sizes change the model and not what is read (see README).
-QUERY_FOREST = {"n_estimators": 20, "max_depth": 5}
-QUERY_BOOSTED = {"n_estimators": 5, "max_depth": 3}
+#: The reference's sizes are the operators' defaults: 100 trees of depth 10, 100 rounds of depth 6.
+#: One-vs-rest boosting, which K1 no longer uses, fits every class apart and keeps a small size.
+QUERY_OVR = {"n_estimators": 5, "max_depth": 3}
 
 
 def _train_frame(spark, sf):
@@ -349,35 +347,73 @@ def _train_frame(spark, sf):
 @query("rf_predict")
 def rf_predict(spark, sf):
     train, d, feats, label, k = _train_frame(spark, sf)
-    m = models.train_forest(train, feats, label, QUERY_FOREST)
+    m = models.train_forest(train, feats, label)
     return models.predictions(m, d.where(F.col("split") == "test"), label, k, key=KEY)
 
 
 @query("gbt_ovr_predict")
 def gbt_ovr_predict(spark, sf):
     train, d, feats, label, k = _train_frame(spark, sf)
-    m = models.train_boosted(train, feats, label, QUERY_BOOSTED)
+    m = models.train_boosted_ovr(train, feats, label, QUERY_OVR)
     return models.predictions(m, d.where(F.col("split") == "test"), label, k, key=KEY)
 
 
+@query("boosted_predict")
+def boosted_predict(spark, sf):
+    """Softmax boosting at the reference's size."""
+    train, d, feats, label, k = _train_frame(spark, sf)
+    m = models.train_boosted(train, feats, label)
+    return models.predictions(m, d.where(F.col("split") == "test"), label, k, key=KEY)
+
+
+#: Features of the one-split model: few values each, one of them with missing ones.
+SPLIT_ON = {"number_of_dependents": "number_of_dependents", "ime_4_count": "ime_4_count", "decade": "age_at_injury // 10"}
+
+
+@query("boosted_first_split", with_claims(f"""
+WITH rows AS (SELECT dense_rank() OVER (ORDER BY claim_injury_type) - 1 AS y,
+              {', '.join(f'CAST({e} AS DOUBLE) AS {n}' for n, e in SPLIT_ON.items())} FROM claims),
+k AS (SELECT max(y) + 1 AS k FROM rows),
+long AS ({' UNION ALL '.join(f"SELECT y, {i} AS f, '{n}' AS feature, {n} AS v FROM rows" for i, n in enumerate(SPLIT_ON))}),
+cells AS (SELECT c.class, f, feature, v, sum(1.0 / k - CAST(y = c.class AS INTEGER)) AS g, sum(1.0 / k * (1 - 1.0 / k)) AS h
+          FROM long, k, (SELECT DISTINCT y AS class FROM rows) c GROUP BY ALL),
+cuts AS (SELECT *, sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(g) OVER a AS gt, sum(h) OVER a AS ht FROM cells
+         WINDOW w AS (PARTITION BY class, f ORDER BY v NULLS FIRST), a AS (PARTITION BY class, f)),
+gains AS (SELECT *, 0.5 * (gl * gl / (hl + 1) + (gt - gl) * (gt - gl) / (ht - hl + 1) - gt * gt / (ht + 1)) AS gain FROM cuts
+          WHERE hl >= 1 AND ht - hl >= 1 AND gl IS NOT NULL)
+SELECT CAST(class AS INTEGER) AS class, feature, v AS cut, round(gain, 6) AS gain,
+       round(-0.1 * gl / (hl + 1), 6) AS left_value, round(-0.1 * (gt - gl) / (ht - hl + 1), 6) AS right_value
+FROM gains WHERE gain > 1e-10
+QUALIFY row_number() OVER (PARTITION BY class ORDER BY round(gain, 9) DESC, f, v NULLS FIRST) = 1
+"""))
+def boosted_first_split(spark, sf):
+    """K1: the first split of every class on all claims is the one of the largest second-order gain."""
+    from tabsmith.operators import boosting
+    c = claims(spark, sf)
+    c = encode.encode_labels(c, encode.fit_labels(c.select("claim_injury_type"), "claim_injury_type"), "claim_injury_type", out="y")
+    c = c.select("y", *[F.expr(e.replace(" // ", " div ")).cast("double").alias(n) for n, e in SPLIT_ON.items()])
+    m = boosting.train(c, list(SPLIT_ON), "y", rounds=1, max_depth=1)
+    return rounded(m.split_table(spark).drop("round", "node"))
+
+
 @query("rf_importances")
 def rf_importances(spark, sf):
     train, _, feats, label, _ = _train_frame(spark, sf)
-    imp = models.importances(models.train_forest(train, feats, label, QUERY_FOREST), feats)
+    imp = models.importances(models.train_forest(train, feats, label), feats)
     return select.select_by_importance(imp, "mean")
 
 
 @query("train_and_evaluate")
 def train_and_evaluate(spark, sf):
     d, feats, label, k = model_frame(spark, sf)
-    _, metrics, best = models.train_and_evaluate(d, feats, label, k, boosted=QUERY_BOOSTED, forest=QUERY_FOREST)
+    _, metrics, best = models.train_and_evaluate(d, feats, label, k)
     return metrics
 
 
 @query("model_report")
 def model_report(spark, sf):
     train, d, feats, label, k = _train_frame(spark, sf)
-    m = models.train_forest(train, feats, label, QUERY_FOREST)
+    m = models.train_forest(train, feats, label)
     _, report = models.evaluate(m, d.where(F.col("split") == "test"), label, k)
     return report
 
@@ -385,14 +421,14 @@ def model_report(spark, sf):
 @query("permutation_importance")
 def permutation_importance(spark, sf):
     train, d, feats, label, _ = _train_frame(spark, sf)
-    m = models.train_forest(train, feats, label, QUERY_FOREST)
+    m = models.train_forest(train, feats, label)
     return models.permutation_importance(m, d.where(F.col("split") == "val"), feats, label, KEY, 5, 42)
 
 
 @query("top_permutation")
 def top_permutation(spark, sf):
     train, d, feats, label, _ = _train_frame(spark, sf)
-    m = models.train_forest(train, feats, label, QUERY_FOREST)
+    m = models.train_forest(train, feats, label)
     pi = models.permutation_importance(m, d.where(F.col("split") == "val"), feats, label, KEY, 5, 42)
     return reports.top_permutation(pi, 15)
 
@@ -400,7 +436,41 @@ def top_permutation(spark, sf):
 @query("lasso")
 def lasso(spark, sf):
     train, _, feats, label, _ = _train_frame(spark, sf)
-    return select.lasso_coefficients(train, feats, label, n_alphas=30)   # the default path has 100
+    return select.lasso_coefficients(train, feats, label)
+
+
+LASSO_SQL = "average_weekly_wage IS NOT NULL AND number_of_dependents IS NOT NULL"
+
+
+@query("lasso_one_feature", with_claims(f"""
+WITH m AS (SELECT covar_pop(number_of_dependents, average_weekly_wage) AS c, var_pop(number_of_dependents) AS v FROM claims WHERE {LASSO_SQL})
+SELECT 'number_of_dependents' AS feature, round(sign(c) * greatest(abs(c) - 5.0, 0) / v, 6) AS coefficient FROM m
+"""))
+def lasso_one_feature(spark, sf):
+    """With one feature the solution is the soft-thresholded covariance."""
+    got = select.lasso_coefficients(claims(spark, sf), ["number_of_dependents"], "average_weekly_wage", reg=5.0)
+    return rounded(got.select("feature", "coefficient"))
+
+
+LASSO_ON = ["age_at_injury", "number_of_dependents", "ime_4_count", "claim_identifier"]
+
+
+@query("lasso_optimal", " UNION ALL ".join(f"SELECT '{c}' AS feature, true AS optimal" for c in LASSO_ON))
+def lasso_optimal(spark, sf):
+    """At the solution no coefficient can move: the residual's covariance with a feature is the penalty
+    where its coefficient is not 0, and no more elsewhere."""
+    reg = 20.0
+    c = claims(spark, sf).select(*[F.col(x).cast("double") for x in LASSO_ON], F.col("average_weekly_wage").alias("y")).dropna()
+    coef = {r["feature"]: r["coefficient"] for r in select.lasso_coefficients(c, LASSO_ON, "y", reg=reg).collect()}
+    rest = F.col("y") - sum((F.col(x) * coef[x] for x in LASSO_ON), F.lit(0.0))
+    row = c.select(*LASSO_ON, rest.alias("rest"), "y").agg(*[F.covar_pop(x, "rest").alias(x) for x in LASSO_ON], F.stddev_pop("y").alias("sd"),
+                                                          *[F.stddev_pop(x).alias(f"sd_{x}") for x in LASSO_ON])
+    lines = []
+    for x in LASSO_ON:
+        room = 1e-8 * F.col("sd") * F.col(f"sd_{x}")
+        ok = (F.abs(F.col(x) - (reg if coef[x] > 0 else -reg)) <= room) if coef[x] else (F.abs(F.col(x)) <= reg + room)
+        lines.append(F.struct(F.lit(x).alias("feature"), ok.alias("optimal")))
+    return row.select(F.explode(F.array(*lines)).alias("s")).select("s.*")
 
 
 @query("rfe")
@@ -418,18 +488,16 @@ def tree_importance(spark, sf):
 @query("boosted_importance")
 def boosted_importance(spark, sf):
     train, _, feats, label, _ = _train_frame(spark, sf)
-    return select.boosted_importance(train, feats, label, QUERY_BOOSTED)
+    return select.boosted_importance(train, feats, label)
 
 
 @query("cv_scores")
 def cv_scores(spark, sf):
     train, _, feats, label, _ = _train_frame(spark, sf)
-    return models.cv_performance(train, feats, label, KEY, scale=["average_weekly_wage"],
-                                 trainer=lambda x: models.train_forest(x, feats, label, QUERY_FOREST))
+    return models.cv_performance(train, feats, label, KEY, scale=["average_weekly_wage"])
 
 
 @query("fold_ensemble")
 def fold_ensemble(spark, sf):
     train, d, feats, label, k = _train_frame(spark, sf)
-    return models.fold_ensemble(train, d.where(F.col("split") == "test"), feats, label, KEY, k,
-                                trainer=lambda x: models.train_forest(x, feats, label, QUERY_FOREST))
+    return models.fold_ensemble(train, d.where(F.col("split") == "test"), feats, label, KEY, k)
