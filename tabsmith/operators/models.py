@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from tabsmith.functions.scalars import col
 from tabsmith.operators import boosting
 from tabsmith.operators.boosting import BoostedModel
-from tabsmith.operators.ranking import hashed_rank
 from tabsmith.session import materialize
 
 # Default hyper-parameters of the two model families.
@@ -217,34 +216,29 @@ def permutation_importance(model, df: DataFrame, features: list[str], label: str
                            n_repeats: int = 5, seed: int = 42) -> DataFrame:
     """mean/std (ddof 0) drop of accuracy when one feature's values are permuted.
 
-    For each feature, ``n_repeats`` shuffled copies are stacked: row i of
-    repeat r takes the feature value of the row whose dense id equals the
-    rank of i under md5(seed, r, feature, id).  Ids and ranks come from
-    ``hashed_rank`` (no single-partition window); all features and repeats
-    are scored in one job.
+    Row i of repeat r takes a feature's value from its partner in a seeded
+    permutation (``operators.permute``), so values are sent, not ranked: one
+    exchange by row number brings every row its values of all features and
+    repeats, and all of them are scored in one job.  Values are compared as doubles.
     """
-    ided = hashed_rank(df.withColumn("_all", F.lit(0)), ["_all"], key, seed, rank_col="_id").drop("_all", "_group_n")
-    ided = materialize(ided.select("_id", *[col(f) for f in dict.fromkeys([*model_features(model, features), *features])], col(label)))
-    baseline = model.transform(ided).agg(F.avg((F.col("prediction") == col(label)).cast("double")).alias("a")).first()["a"]
-    parts = []
-    for f in features:
-        # only (id, value) pairs are shuffled; the other columns are joined by the id
-        rep = ided.select("_id", F.explode(F.sequence(F.lit(0), F.lit(n_repeats - 1))).alias("_rep"))
-        rep = rep.withColumn("_pk", F.concat_ws("|", F.lit(str(seed)), F.col("_rep").cast("string"), F.lit(f),
-                                                F.col("_id").cast("string")))
-        ranked = hashed_rank(rep, ["_rep"], "_pk", seed, rank_col="_perm").select("_id", "_rep", "_perm")
-        donor = ided.select(F.col("_id").alias("_src"), col(f).alias("_val"))
-        given = ranked.join(donor, F.col("_perm") == F.col("_src")).select("_id", "_rep", "_val")
-        shuffled = ided.join(given, "_id").withColumn(f, F.col("_val")).select(*[col(c) for c in ided.columns], "_rep")
-        parts.append(shuffled.withColumn("_feature", F.lit(f)))
-    stacked = parts[0]
-    for p in parts[1:]:
-        stacked = stacked.unionByName(p)
-    scored = model.transform(stacked)
-    acc = scored.groupBy("_feature", "_rep").agg(
-        F.avg((F.col("prediction") == col(label)).cast("double")).alias("acc"))
+    from tabsmith.operators.permute import dealt_values, numbered
+    used = list(dict.fromkeys([*model_features(model, features), *features]))
+    rows, n = numbered(df.select(*[col(f).cast("double").alias(f) for f in used], col(label).alias("_label")), "_id")
+    baseline = model.transform(rows).agg(F.avg((F.col("prediction") == F.col("_label")).cast("double")).alias("a")).first()["a"]
+    if not n:
+        return df.sparkSession.createDataFrame([], "feature string, importance_mean double, importance_std double")
+    # a row's own values are one more message to its number: a single exchange
+    sent = dealt_values(rows, n, "_id", features, n_repeats, seed).select("id", F.struct("slot", "value").alias("got"), F.lit(None).alias("own"))
+    own = rows.select(F.col("_id").alias("id"), F.lit(None).alias("got"), F.struct("_label", *[col(f) for f in used]).alias("own"))
+    met = sent.unionByName(own).groupBy("id").agg(F.first("own", ignorenulls=True).alias("own"), F.collect_list("got").alias("got"))
+    each = met.select("own.*", F.explode("got").alias("got"))
+    which = F.floor(F.col("got.slot") / n_repeats)
+    tried = each.select("_label", "got.slot", *[
+        (F.when(which == features.index(f), F.col("got.value")).otherwise(col(f)) if f in features else col(f)).alias(f) for f in used])
+    acc = model.transform(tried).groupBy("slot").agg(F.avg((F.col("prediction") == F.col("_label")).cast("double")).alias("acc"))
     drop = F.lit(baseline) - F.col("acc")
-    out = acc.groupBy(F.col("_feature").alias("feature")).agg(
+    names = F.array(*[F.lit(f) for f in features])
+    out = acc.groupBy(F.element_at(names, (F.floor(F.col("slot") / n_repeats) + 1).cast("int")).alias("feature")).agg(
         F.avg(drop).alias("importance_mean"), F.stddev_pop(drop).alias("importance_std"))
     return out.orderBy(F.desc("importance_mean"), "feature")
 
