@@ -279,13 +279,33 @@ def stratified_sample(df: DataFrame, key: str, fraction: float, seed: int = 42,
     return df.where(h.cast("double") / F.lit(float(16 ** 8)) < F.lit(fraction))
 
 
+#: Half the width of a density bin in units of sqrt(2) bandwidths, and the terms of its expansion.  By Cramer's bound on
+#: Hermite functions what is left out is below 1.09 * sum over m >= TERMS of (sqrt(2) * HALF)^m / sqrt(m!) of a kernel: 3e-10.
+HALF, TERMS = 0.25, 12
+#: Beyond so many sqrt(2) bandwidths from a bin's centre its kernels are below exp(-45).
+FAR = 7.0
+
+
+def _hermite(terms: int) -> list[list[int]]:
+    """Coefficients of the first Hermite polynomials, by power."""
+    h = [[1], [0, 2]]
+    for m in range(1, terms - 1):
+        nxt = [0] + [2 * c for c in h[m]]
+        for j, c in enumerate(h[m - 1]):
+            nxt[j] -= 2 * m * c
+        h.append(nxt)
+    return h[:terms]
+
+
 def density_curve(df: DataFrame, column: str, group_cols: list[str] | None = None,
                   grid_size: int = 50) -> DataFrame:
     """Gaussian kernel density (Scott bandwidth ``std * n^(-1/5)``) on ``grid_size``
     equally spaced points from min to max, per group.
 
-    Exact sum over every value: values are pre-aggregated to (group, value,
-    count) and each distinct value adds its kernel to the grid points.
+    A fast Gauss transform: values fall into bins of ``2 * HALF * sqrt(2)`` bandwidths and
+    only add to the bin's first ``TERMS`` moments, a partial aggregate without an
+    exponential; a bin gives a grid point its kernels' sum by their Hermite
+    expansion about its centre, within 3e-10 of a kernel for each value.
     """
     if not group_cols:
         out = density_curve(df.withColumn("_g", F.lit(0)), column, ["_g"], grid_size)
@@ -295,21 +315,32 @@ def density_curve(df: DataFrame, column: str, group_cols: list[str] | None = Non
     stats = d.groupBy(*g).agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("sd"),
                               F.min("x").alias("mn"), F.max("x").alias("mx"))
     stats = stats.withColumn("h", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
-    pts = d.groupBy(*g, "x").agg(F.count(F.lit(1)).alias("w"))
-    joined = null_safe_join(pts, stats, g)  # one row per group: AQE picks broadcast when small
+    stats = stats.withColumn("unit", F.when(F.col("h") > 0, F.col("h") * math.sqrt(2)))   # a constant group has no bandwidth: null density
+    near = null_safe_join(d, stats.select(*g, F.col("mn").alias("lo"), "unit"), g)        # one row per group: AQE picks broadcast when small
+    at = (F.col("x") - F.col("lo")) / F.col("unit")
+    near = near.select(*g, at.alias("at"), F.floor(at / (2 * HALF)).alias("bin"))
+    u = F.col("at") - (F.col("bin") + 0.5) * (2 * HALF)
+    power = [F.lit(1.0), u]
+    for m in range(2, TERMS):
+        power.append(power[m // 2] * power[m - m // 2])
+    bins = near.groupBy(*g, "bin").agg(*[F.sum(p).alias(f"m{m}") for m, p in enumerate(power)])
+    # the expansion as exp(-s^2) times a polynomial of s, the distance from the centre
+    h = _hermite(TERMS)
+    coefs = [sum((F.col(f"m{m}") * (h[m][j] / math.factorial(m)) for m in range(j, TERMS) if h[m][j]), F.lit(0.0)).alias(f"c{j}") for j in range(TERMS)]
+    shapes = null_safe_join(bins.select(*g, "bin", *coefs), stats.select(*g, "mn", "mx", "unit"), g)
+    point = F.explode(F.sequence(F.lit(0), F.lit(grid_size - 1))).alias("i")
     step = (F.col("mx") - F.col("mn")) / (grid_size - 1)
-    at = [F.col("mn") + F.lit(i) * step for i in range(grid_size)]
-
-    def kernel(i):   # a constant group has no bandwidth: null density
-        z = F.try_divide(at[i] - F.col("x"), F.col("h"))
-        return F.sum(F.col("w") * F.exp(-0.5 * z * z))
-    # one sum per grid point in one aggregate: the values are not multiplied by the grid
-    sums = joined.groupBy(*g).agg(F.first("n").alias("n"), F.first("h").alias("h"), F.first("mn").alias("mn"), F.first("mx").alias("mx"),
-                                  *[kernel(i).alias(f"k{i}") for i in range(grid_size)])
-    norm = F.col("n") * F.col("h") * F.lit(math.sqrt(2 * math.pi))
-    points = F.array(*[F.struct(F.lit(i).alias("i"), at[i].alias("grid_x"), F.try_divide(F.col(f"k{i}"), norm).alias("density"))
-                       for i in range(grid_size)])
-    return sums.select(*g, F.explode(points).alias("p")).select(*g, "p.*")
+    away = (F.col("i") * step) / F.col("unit") - (F.col("bin") + 0.5) * (2 * HALF)
+    terms = shapes.select(*g, *[f"c{j}" for j in range(TERMS)], "mn", "mx", "unit", "bin", point).select(
+        *g, "i", away.alias("s"), *[f"c{j}" for j in range(TERMS)]).where(F.abs("s") <= FAR)
+    poly = F.col(f"c{TERMS - 1}")
+    for j in range(TERMS - 2, -1, -1):
+        poly = poly * F.col("s") + F.col(f"c{j}")
+    sums = terms.groupBy(*g, "i").agg(F.sum(F.exp(-F.col("s") * F.col("s")) * poly).alias("k"))
+    grid = stats.select(*g, "n", "h", "mn", "mx", point)
+    norm = F.col("n") * F.when(F.col("h") > 0, F.col("h")) * F.lit(math.sqrt(2 * math.pi))
+    full = null_safe_join(grid, sums, [*g, "i"], "left")
+    return full.select(*g, "i", (F.col("mn") + F.col("i") * step).alias("grid_x"), (F.coalesce("k", F.lit(0.0)) / norm).alias("density"))
 
 
 # -- joins, set operations, cross tabs ----------------------------------------------------
