@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabsmith.functions.scalars import col
-from tabsmith.operators import quality
+from tabsmith.operators import quality, table_stats
 from tabsmith.operators.columns import add_event_time
 
 log = logging.getLogger(__name__)
@@ -70,7 +70,11 @@ def create_feature_group(df: DataFrame, key: str, group: dict, root: str, versio
             log.warning("validation of %s failed to run: %s", name, e)
             passed = False
     frame.write.mode("overwrite").parquet(path)
-    rows = spark.read.parquet(path).count()
+    written = spark.read.parquet(path)
+    numbers = table_stats.numeric_columns(written, key)
+    if numbers:
+        table_stats.append_statistics(written, root, name, version, numbers, mode="overwrite")
+    rows = written.count()
     return (name, version, "created", len(available), missing, rows, passed, path)
 
 
@@ -89,9 +93,15 @@ def create_feature_tables(df: DataFrame, key: str, config: list[dict], root: str
 
 
 def insert_rows(df: DataFrame, root: str, name: str, version: int = 1) -> str:
-    """append rows to an existing group version."""
+    """append rows to an existing group version, and their statistics to the group's."""
+    spark = df.sparkSession
     path = f"{root.rstrip('/')}/{name}/version={version}"
+    known = f"{table_stats.stats_path(root, name, version)}/pairs"
     df.write.mode("append").parquet(path)
+    if table_exists(spark, known):
+        columns = spark.read.parquet(known).select("columns").first()["columns"]
+        given = df.select(*[(col(c) if c in df.columns else F.lit(None)).cast("double").alias(c) for c in columns])
+        table_stats.append_statistics(given, root, name, version, columns)
     return path
 
 
@@ -102,7 +112,10 @@ def read_group(spark, root: str, name: str, version: int | None = None) -> DataF
 
 
 def table_statistics(df: DataFrame, numeric: list[str], bins: int = 10) -> dict[str, DataFrame]:
-    """describe, histograms and correlations of a group's numeric columns."""
+    """describe (exact quartiles), histograms and correlations of numeric columns, from the rows.
+
+    ``table_stats.read_statistics`` gives those of a written group without reading its rows.
+    """
     from tabsmith.operators.profile import correlation, describe_numeric, histogram
     return {"describe": describe_numeric(df, numeric), "histogram": histogram(df, numeric, bins),
             "correlation": correlation(df, numeric, lower_only=True)}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabsmith.operators import encode, models, profile, select, tables
+from tabsmith.operators import encode, models, profile, select, table_stats, tables
 from tabsmith.plans.claims import claims, load, with_claims
 from tabsmith.plans.registry import query, rounded
 from tabsmith.session import scratch_dir
@@ -24,7 +24,9 @@ GROUP_SUITES = {"personal_information_expectations": [
 
 @query("feature_group_tables", with_claims("""
 SELECT group_name, version, status, n_features, n_missing,
-       CASE WHEN status = 'created' THEN (SELECT count(*) FROM claims) END AS rows
+       CASE WHEN status = 'created' THEN (SELECT count(*) FROM claims) END AS rows,
+       CASE group_name WHEN 'personal_information' THEN (SELECT count(*) FILTER (WHERE age_at_injury < 16 OR age_at_injury > 100) = 0 FROM claims)
+       END AS validation_passed
 FROM (VALUES ('personal_information', 1, 'created', 3, 0),
              ('financial_features', 1, 'created', 3, 0),
              ('dates', 1, 'created', 3, 1),
@@ -35,7 +37,7 @@ def feature_group_tables(spark, sf):
     status = tables.create_feature_tables(c, "claim_identifier", GROUPS, scratch_dir(spark, "feature-store"),
                                           suites=GROUP_SUITES)
     return status.select("group_name", "version", "status", "n_features",
-                         F.size("missing_columns").alias("n_missing"), "rows")
+                         F.size("missing_columns").alias("n_missing"), "rows", "validation_passed")
 
 
 @query("feature_group_append", with_claims("""
@@ -69,6 +71,59 @@ def feature_group_stats(spark, sf):
     return rounded(stats["describe"])
 
 
+STATS = ["average_weekly_wage", "number_of_dependents", "ime_4_count"]
+
+
+@query("feature_group_merged_stats", with_claims(f"""
+WITH l AS ({' UNION ALL '.join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS v FROM claims WHERE {c} IS NOT NULL" for c in STATS)}),
+s AS (SELECT feature, count(*) AS n, avg(v) AS mean, stddev_samp(v) AS std, min(v) AS mn, max(v) AS mx, count(DISTINCT v) AS d FROM l GROUP BY 1),
+w AS (SELECT *, pow(2.0, greatest(ceil(log2((mx - mn) / 32)), ceil(log2(greatest(abs(mn), abs(mx)))) - 50)) AS width FROM s),
+b AS (SELECT feature, floor(v / width) * width AS lower, count(*) AS count FROM l JOIN w USING (feature) GROUP BY 1, 2)
+SELECT 'describe' AS part, feature, stat AS detail, round(value, 6) AS value FROM (
+  SELECT feature, unnest(['count', 'mean', 'std', 'min', 'max']) AS stat, unnest([CAST(n AS DOUBLE), mean, std, mn, mx]) AS value FROM s)
+UNION ALL SELECT 'histogram', feature, CAST(CAST(lower AS BIGINT) AS VARCHAR), CAST(count AS DOUBLE) FROM b
+UNION ALL SELECT 'sketches', feature, 'within their errors', 1.0 FROM s
+UNION ALL SELECT 'correlation', feature_a, feature_b, corr FROM (
+{' UNION ALL '.join(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, round(corr({a}, {b}), 6) AS corr FROM claims" for i, a in enumerate(STATS) for b in STATS[i + 1:])})
+"""))
+def feature_group_merged_stats(spark, sf):
+    """a group written in three parts; its statistics are merged from those of the parts."""
+    c = claims(spark, sf).withColumn("third", F.pmod(F.xxhash64("claim_identifier"), F.lit(3)))
+    root = scratch_dir(spark, "feature-store")
+    tables.create_feature_group(c.where("third = 0"), "claim_identifier", GROUPS[1], root)
+    for k in (1, 2):
+        tables.insert_rows(c.where(F.col("third") == k).select("claim_identifier", *STATS), root, GROUPS[1]["name"])
+    got = table_stats.read_statistics(spark, root, GROUPS[1]["name"], 1)
+    kinds = F.explode(F.array(*[F.struct(F.lit(k).alias("detail"), F.col(k).cast("double").alias("value")) for k in ("count", "mean", "std", "min", "max")]))
+    describe = got["describe"].select(F.lit("describe").alias("part"), "feature", kinds.alias("s")).select("part", "feature", "s.*")
+    bars = got["histogram"].select(F.lit("histogram").alias("part"), "feature", F.col("lower").cast("long").cast("string").alias("detail"),
+                                   F.col("count").cast("double").alias("value"))
+    corr = got["correlation"].select(F.lit("correlation").alias("part"), F.col("feature_a").alias("feature"), F.col("feature_b").alias("detail"),
+                                     F.col("corr").alias("value"))
+    # sketches against all rows: distinct values within 5 %, the median's rank within 2 % of the rows
+    true = c.agg(*[F.count_distinct(x).alias(f"d_{x}") for x in STATS], *[F.count(x).alias(f"n_{x}") for x in STATS])
+    mid = {r["feature"]: r for r in got["describe"].select("feature", "approx_distinct", "approx_q50").collect()}
+    below = c.agg(*[F.count_if(F.col(x) < mid[x]["approx_q50"]).alias(f"b_{x}") for x in STATS],
+                  *[F.count_if(F.col(x) <= mid[x]["approx_q50"]).alias(f"u_{x}") for x in STATS])
+    lines = [F.struct(F.lit(x).alias("feature"), F.lit("within their errors").alias("detail"), (
+        (F.abs(F.col(f"d_{x}") - mid[x]["approx_distinct"]) <= 0.05 * F.col(f"d_{x}")) & (F.col(f"b_{x}") <= 0.52 * F.col(f"n_{x}"))
+        & (F.col(f"u_{x}") >= 0.48 * F.col(f"n_{x}"))).cast("double").alias("value")) for x in STATS]
+    sketches = true.crossJoin(F.broadcast(below)).select(F.lit("sketches").alias("part"), F.explode(F.array(*lines)).alias("s")).select("part", "s.*")   # one row each
+    return rounded(describe.unionByName(bars).unionByName(sketches).unionByName(corr))
+
+
+@query("feature_group_histogram", with_claims(f"""
+WITH c AS (SELECT average_weekly_wage AS v FROM claims WHERE average_weekly_wage IS NOT NULL),
+r AS (SELECT min(v) AS lo, max(v) AS hi FROM c),
+b AS (SELECT least(CAST(floor((v - lo) / ((hi - lo) / 10)) AS INTEGER), 9) AS bin FROM c, r)
+SELECT 'average_weekly_wage' AS feature, CAST(i AS INTEGER) AS bin, count(b.bin) AS count FROM range(10) t(i) LEFT JOIN b ON b.bin = t.i GROUP BY i
+"""))
+def feature_group_histogram(spark, sf):
+    """the histogram part of a table's statistics."""
+    stats = tables.table_statistics(claims(spark, sf), ["average_weekly_wage"])
+    return stats["histogram"].select("feature", "bin", "count")
+
+
 @query("feature_descriptions", with_claims("SELECT claim_identifier, age_at_injury, gender FROM claims"))
 def feature_descriptions(spark, sf):
     c = claims(spark, sf).select("claim_identifier", "age_at_injury", "gender")
