@@ -252,3 +252,24 @@ def drift_dashboard_table(spark, sf):
     from tabsmith.operators.reports import drift_table
     ref, cur = samples(spark, sf)
     return rounded(drift_table(drift.drift_report(ref, cur, NUM, CAT)))
+
+
+@query("window_drift_stream", """
+SELECT CAST(epoch(time_bucket(INTERVAL 7 DAY, ts, TIMESTAMP '1970-01-01')) AS BIGINT) AS window_start, count(value) AS n,
+       round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS sd, true AS ks_in_range
+FROM events WHERE value IS NOT NULL GROUP BY 1
+""")
+def window_drift_stream(spark, sf):
+    """Streamed events against all of them, by event-time windows held as state; the last row of each window."""
+    from tabsmith.session import scratch_dir
+    from tabsmith.streaming.state_drift import drift_window_stream
+    events = load(spark, sf, "events").select(F.col("ts").cast("timestamp").alias("ts"), "value")
+    path = f"{sf.rstrip('/')}/events.parquet"
+    # as a glob, the path may be a single file
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path[:-1] + "[t]").select(F.col("ts").cast("timestamp").alias("ts"), "value")
+    root = scratch_dir(spark, "window-drift")
+    drift_window_stream(stream, events, ["value"], "ts", f"{root}/rows", f"{root}/checkpoint", "7 days").awaitTermination()
+    rows = spark.read.parquet(f"{root}/rows")
+    last = rows.groupBy("window_start").agg(F.max_by(F.struct("n", "mean", "sd", "ks"), F.struct("batch_id", "final")).alias("s"))
+    return rounded(last.select(F.unix_timestamp("window_start").alias("window_start"), "s.n", "s.mean", "s.sd",
+                               F.col("s.ks").between(0, 1).alias("ks_in_range")))
