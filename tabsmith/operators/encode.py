@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tabsmith.functions.scalars import col, cyclic_pair
 from tabsmith.operators.ranking import rank_distinct
+from tabsmith.session import stored
 
 # -- E1 / K27 label encoder --------------------------------------------------
 
@@ -214,10 +215,12 @@ def encode_frame(df: DataFrame, target: str, date_columns: list[str] | None = No
                  one_hot_columns: list[str] | None = None,
                  ordinal_maps: dict[str, tuple[dict, float]] | None = None) -> tuple[DataFrame, dict]:
     """All-null rows/cols out, duplicates out, label-encode target, date parts,
-    one-hot, sine-cosine.  Returns (frame, fitted parameters)."""
+    one-hot, sine-cosine.  Returns (frame, fitted parameters).
+
+    The frame without duplicates is written once to the shared folder: every fit and the result read it."""
     from tabsmith.functions.dates import components
     from tabsmith.operators.clean import drop_all_null_columns, drop_all_null_rows
-    d = drop_all_null_columns(drop_all_null_rows(df)).dropDuplicates()
+    d = stored(drop_all_null_columns(drop_all_null_rows(df)).dropDuplicates(), "encode-frame")
     params = {}
     if target in d.columns:
         m = fit_labels(d, target)

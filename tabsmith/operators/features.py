@@ -48,26 +48,28 @@ def polynomial(df: DataFrame, cols: list[str], degree: int = 2, limit: int = 10,
     return df.withColumns(exprs)
 
 
-def row_stats_exprs(cols: list[str]) -> dict[str, Column]:
-    """G3 expressions: mean, sample std, median and range of the non-null values."""
-    arr = F.filter(F.array(*[col(c).cast("double") for c in cols]), lambda x: x.isNotNull())
-    n = F.size(arr)
-    total = F.aggregate(arr, F.lit(0.0), lambda a, x: a + x)
-    mean = F.when(n > 0, total / n)
-    ss = F.aggregate(arr, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean))
-    std = F.when(n > 1, F.sqrt(ss / (n - 1)))
-    srt = F.array_sort(arr)
-    half = F.floor(n / 2).cast("int")
-    odd_mid = F.element_at(srt, half + 1)
-    even_mid = (F.element_at(srt, F.greatest(half, F.lit(1))) + F.element_at(srt, half + 1)) / 2
-    median = F.when(n > 0, F.when(n % 2 == 1, odd_mid).otherwise(even_mid))
-    rng = F.when(n > 0, F.array_max(arr) - F.array_min(arr))
-    return {"row_mean": mean, "row_std": std, "row_median": median, "row_range": rng}
-
-
 def row_statistics(df: DataFrame, cols: list[str]) -> DataFrame:
-    """G3."""
-    return df.withColumns(row_stats_exprs(cols))
+    """Mean, sample std, median and range of the non-null values.
+
+    Sums go column by column, without lambdas; the squares about the mean are a
+    second projection, so the mean is computed once.
+    """
+    x = [col(c).cast("double") for c in cols]
+    n = sum((v.isNotNull().cast("int") for v in x), F.lit(0))
+    total = sum((F.coalesce(v, F.lit(0.0)) for v in x), F.lit(0.0))
+    ordered = F.array_sort(F.array_compact(F.array(*x)))
+    half = F.floor(n / 2).cast("int")
+    odd_mid = F.element_at(ordered, half + 1)
+    even_mid = (F.element_at(ordered, F.greatest(half, F.lit(1))) + F.element_at(ordered, half + 1)) / 2
+    new = ("row_mean", "row_std", "row_median", "row_range")
+    keep = [c for c in df.columns if c not in new or c in cols]
+    d = df.select(*[col(c) for c in keep], n.alias("__n"), F.when(n > 0, total / n).alias("__mean"),
+                  F.when(n > 0, F.when(n % 2 == 1, odd_mid).otherwise(even_mid)).alias("__median"),
+                  (F.array_max(ordered) - F.array_min(ordered)).alias("__range"))
+    squares = sum((F.when(v.isNotNull(), (v - F.col("__mean")) * (v - F.col("__mean"))).otherwise(F.lit(0.0)) for v in x), F.lit(0.0))
+    std = F.when(F.col("__n") > 1, F.sqrt(squares / (F.col("__n") - 1)))
+    return d.select(*[col(c) for c in keep if c not in new], F.col("__mean").alias("row_mean"), std.alias("row_std"),
+                    F.col("__median").alias("row_median"), F.col("__range").alias("row_range"))
 
 
 def engineer(df: DataFrame, target: str | None = None, polynomial_features: bool = False,

@@ -79,26 +79,28 @@ def known_flags(spark, sf):
 
 
 def _holiday_days_sql(table: str, column: str) -> str:
-    rules = dates._rule_rows("NY")
-    values = ", ".join("('{}', '{}', {}, {}, {}, {}, {})".format(n.replace("'", "''"), k, m, a, b, af, fy)
-                       for n, k, m, a, b, af, fy in rules)
-    nth = ("make_date(y, m, 1) + CAST(((a - (isodow(make_date(y, m, 1)) - 1) + 7) % 7) + 7 * (bb - 1) AS INTEGER)")
+    """Public holidays of the state of New York, each as its own rule on the days of the years of ``column``."""
     return f"""
 b AS (SELECT min(year({column})) AS y0, max(year({column})) AS y1 FROM {table}),
-yrs AS (SELECT CAST(range AS INTEGER) AS y FROM b, range(b.y0, b.y1 + 1)),
-rules(name, kind, m, a, bb, after, first) AS (VALUES {values}),
-d AS (SELECT name, kind, CASE kind
-        WHEN 'fixed' THEN make_date(y, m, a)
-        WHEN 'nth' THEN {nth}
-        WHEN 'last' THEN last_day(make_date(y, m, 1))
-             - CAST(((isodow(last_day(make_date(y, m, 1))) - 1) - a + 7) % 7 AS INTEGER)
-        WHEN 'after_nth' THEN {nth} + CAST(after AS INTEGER) END AS hd
-      FROM yrs JOIN rules ON yrs.y >= rules.first),
-obs AS (SELECT CASE WHEN isodow(hd) = 6 THEN hd - 1 ELSE hd + 1 END AS hd,
-               name || ' (observed)' AS name
-        FROM d WHERE kind = 'fixed' AND isodow(hd) >= 6),
-cal AS (SELECT CAST(hd AS DATE) AS holiday_date, name AS holiday FROM d
-        UNION ALL SELECT CAST(hd AS DATE), name FROM obs)"""
+days AS (SELECT CAST(unnest(generate_series(make_date(y0, 1, 1), make_date(y1, 12, 31), INTERVAL 1 DAY)) AS DATE) AS d FROM b),
+p AS (SELECT d, year(d) AS y, month(d) AS m, day(d) AS dd, isodow(d) AS wd, (day(d) - 1) // 7 + 1 AS nth FROM days),
+named AS (
+  SELECT d, y, 'New Year''s Day' AS name, true AS moves FROM p WHERE m = 1 AND dd = 1
+  UNION ALL SELECT d, y, 'Lincoln''s Birthday', true FROM p WHERE m = 2 AND dd = 12
+  UNION ALL SELECT d, y, 'Susan B. Anthony Day', true FROM p WHERE m = 2 AND dd = 15 AND y >= 2004
+  UNION ALL SELECT d, y, 'Juneteenth National Independence Day', true FROM p WHERE m = 6 AND dd = 19 AND y >= 2021
+  UNION ALL SELECT d, y, 'Independence Day', true FROM p WHERE m = 7 AND dd = 4
+  UNION ALL SELECT d, y, 'Veterans Day', true FROM p WHERE m = 11 AND dd = 11
+  UNION ALL SELECT d, y, 'Christmas Day', true FROM p WHERE m = 12 AND dd = 25
+  UNION ALL SELECT d, y, 'Martin Luther King Jr. Day', false FROM p WHERE m = 1 AND wd = 1 AND nth = 3 AND y >= 1986
+  UNION ALL SELECT d, y, 'Washington''s Birthday', false FROM p WHERE m = 2 AND wd = 1 AND nth = 3
+  UNION ALL SELECT d, y, 'Memorial Day', false FROM p WHERE m = 5 AND wd = 1 AND dd > 24
+  UNION ALL SELECT d, y, 'Labor Day', false FROM p WHERE m = 9 AND wd = 1 AND nth = 1
+  UNION ALL SELECT d, y, 'Columbus Day', false FROM p WHERE m = 10 AND wd = 1 AND nth = 2
+  UNION ALL SELECT d, y, 'Election Day', false FROM p WHERE m = 11 AND wd = 2 AND dd BETWEEN 2 AND 8 AND y >= 2015
+  UNION ALL SELECT d, y, 'Thanksgiving', false FROM p WHERE m = 11 AND wd = 4 AND nth = 4),
+obs AS (SELECT CASE isodow(d) WHEN 6 THEN d - 1 ELSE d + 1 END AS d, name || ' (observed)' AS name FROM named WHERE moves AND isodow(d) >= 6),
+cal AS (SELECT d AS holiday_date, name AS holiday FROM named UNION ALL SELECT CAST(d AS DATE), name FROM obs)"""
 
 
 @query("holiday_calendar", f"""

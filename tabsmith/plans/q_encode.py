@@ -318,6 +318,24 @@ def engineer_features(spark, sf):
          for i, a in enumerate(CLAIM_NUM[:5]) for b in CLAIM_NUM[i + 1:6]}))
 
 
+G4_NUM = ["number_of_dependents", "ime_4_count", "age_at_injury"]
+
+
+@query("engineer_polynomial", with_claims(f"""
+SELECT claim_identifier, label, {', '.join(G4_NUM)},
+  {', '.join(f'round(CAST({a} AS DOUBLE) * {b}, 6) AS {a}_x_{b}' for i, a in enumerate(G4_NUM) for b in G4_NUM[i + 1:])},
+  {', '.join(f'round({" * ".join(f"CAST({c} AS DOUBLE)" for c in t)}, 6) AS poly_{i}' for i, t in enumerate(features.polynomial_terms(G4_NUM, 2)))},
+  round(list_avg(l), 6) AS row_mean, round(CASE WHEN len(l) > 1 THEN list_stddev_samp(l) END, 6) AS row_std,
+  round(list_aggregate(l, 'median'), 6) AS row_median, round(list_max(l) - list_min(l), 6) AS row_range
+FROM (SELECT *, length(claim_injury_type) AS label, list_filter([{', '.join(f'CAST({c} AS DOUBLE)' for c in G4_NUM)}], lambda x: x IS NOT NULL) AS l FROM claims)
+"""))
+def engineer_polynomial(spark, sf):
+    """G4 with polynomial features; a numeric target and the key stay out of all derived columns."""
+    c = claims(spark, sf).select("claim_identifier", F.length("claim_injury_type").cast("bigint").alias("label"), *G4_NUM)
+    out = features.engineer(c, target="label", polynomial_features=True, exclude=["claim_identifier"])
+    return rounded(out.withColumns({f"{a}_x_{b}": F.col(f"{a}_x_{b}").cast("double") for i, a in enumerate(G4_NUM) for b in G4_NUM[i + 1:]}))
+
+
 # -- splits ------------------------------------------------------------------------------
 
 SPLIT_SQL = """
