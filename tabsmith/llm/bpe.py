@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tabsmith.llm.common import map_texts
+from tabsmith.llm.common import by_value, map_texts
 
 #: Pieces of more bytes than this are merged by a heap.
 LONG_PIECE = 256
@@ -227,8 +227,8 @@ class Codec:
 
 
 def _codec_maker(spark: SparkSession, path: str, pattern: str, latin_pattern: str | None):
-    shared = spark.sparkContext.broadcast(Merges(load_ranks(path)))
-    return lambda: Codec(shared.value, pattern, latin_pattern)
+    merges = by_value(spark, Merges(load_ranks(path)))
+    return lambda: Codec(merges(), pattern, latin_pattern)
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "ids",
@@ -248,10 +248,10 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids
 
 def decode(encoded: DataFrame, path: str, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
     """``encoded`` with the bytes that its ids stand for (null ids: no bytes)."""
-    shared = encoded.sparkSession.sparkContext.broadcast(Merges(load_ranks(path)))
+    held = by_value(encoded.sparkSession, Merges(load_ranks(path)))
 
     def task():
-        merges = shared.value
+        merges = held()
         return lambda cols: {bytes_col: [merges.decode(x or b"") for x in cols[0]]}
     return map_texts(encoded, [ids_col], T.StructType([T.StructField(bytes_col, T.BinaryType())]), task)
 

@@ -35,6 +35,27 @@ def table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def by_value(spark: SparkSession, value) -> Callable[[], object]:
+    """Broadcast ``value``, an object of this package's classes, and return what gives it in a task.
+
+    A broadcast is pickled by reference to its class, which workers without the
+    package cannot follow; these bytes hold the class as well.
+    """
+    from pyspark import cloudpickle
+    held = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def get():
+        import pickle
+        return pickle.loads(held.value)
+    return get
+
+
+def free_name(columns: list[str], base: str) -> str:
+    """``base``, with a number behind it where a column has that name in any case."""
+    taken = {c.lower() for c in columns}
+    return next(n for n in (base, *(f"{base}{i}" for i in range(len(taken) + 1))) if n.lower() not in taken)
+
+
 def map_texts(df: DataFrame, columns: list[str], schema: T.StructType,
               make: Callable[[], Callable[[list[list]], dict]]) -> DataFrame:
     """Add the columns of ``schema`` computed from ``columns``; every input column stays.

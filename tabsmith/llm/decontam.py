@@ -1,9 +1,10 @@
 """Benchmark decontamination: every training passage queries a BM25 index of the test items.
 
-Words: runs of letters and digits, lower-cased.  Test items of more than
-``UNIT_WORDS`` words are cut into units of that many; a unit's question is all
-but its last sentence, its answer the last one (a unit of one sentence is all
-question).
+Words: runs of letters and digits, lower-cased.  An item's question is all but
+its last sentence, its answer the last one (an item of one sentence is all
+question).  Test items of more than ``UNIT_WORDS`` words are cut into equal blocks
+of half that many at most, and every two neighbouring blocks are a unit; so units
+overlap by half and none is short.
 
 Index: BM25 impacts of each (word, unit), divided by the unit's own total, so
 a passage that holds all words of a unit scores 1.  The question of a unit that
@@ -13,7 +14,9 @@ largest impact.
 
 Threshold: of each entry the least score that ``OVERLAP`` of its words leave,
 whichever words are missing, and ``THRESHOLD`` at most; so no pair that the
-check would find is lost before it.
+check would find is lost before it.  Of a long item's units it is the least score
+that ``UNIT_OVERLAP`` leaves: an item that is covered to ``OVERLAP`` has a unit that
+is covered to more than that (0.7 for three blocks, more for others).
 
 Query, as in block-max WAND: words whose impacts may be added up to ``SLACK``
 (half the threshold where that is less) in any entry are non-essential; a
@@ -28,8 +31,11 @@ times the longest unit, so a copy of any unit lies whole in some window.
 
 Check: the share of the question's (answer's) words that lie in five-word
 shingles found in the passage.  A pair is contaminated if question, or
-question and answer together, reach ``OVERLAP``.  A unit of fewer than five
-words counts only as a text's only words.
+question and answer together, reach ``OVERLAP``.  Of a long item each unit counts
+like an item, so a copied stretch of some 120 words is found wherever it begins;
+and once a unit is retrieved the item's words are looked up in the whole text, so its
+covered share over all passages counts, too.  An item of fewer than five words
+counts only as a text's only words.
 
 The index is broadcast in shards of at most ``SHARD_POSTINGS`` postings; more
 items mean more passes over the documents, not a larger broadcast.  Null or
@@ -45,11 +51,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabsmith.llm.common import map_texts, read, table
+from tabsmith.llm.common import by_value, free_name, map_texts, read, table
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6
 OVERLAP = 0.8
+UNIT_OVERLAP = 0.68
 SHINGLE = 5
 UNIT_WORDS = 128
 BLOCK = 8
@@ -73,29 +80,45 @@ def words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "replace").translate(_BYTES).split()
 
 
-def units(text: str | None, size: int = UNIT_WORDS) -> list[tuple[list[bytes], int]]:
-    """``(words, number of question words)`` of every unit of an item."""
+def whole_item(text: str | None) -> tuple[list[bytes], int]:
+    """The words of an item and how many of them are the question's."""
     all_words = words(text)
     sentences = [w for w in map(words, _SENTENCE.split((text or "").strip())) if w]
-    answer = len(sentences[-1]) if len(sentences) > 1 else 0
-    out = []
-    for at in range(0, len(all_words), size):
-        part = all_words[at:at + size]
-        out.append((part, max(0, min(len(part), len(all_words) - answer - at))))
-    return out
+    return all_words, len(all_words) - (len(sentences[-1]) if len(sentences) > 1 else 0)
+
+
+def units(text: str | None, size: int = UNIT_WORDS) -> list[tuple[list[bytes], int]]:
+    """``(words, number of question words)`` of every unit of an item."""
+    all_words, question = whole_item(text)
+    n = len(all_words)
+    if n <= size:
+        return [(all_words, question)] if n else []
+    blocks = -(-n // (size // 2))
+    edges = [n * i // blocks for i in range(blocks + 1)]
+    return [(all_words[a:b], max(0, min(b, question) - a)) for a, b in zip(edges, edges[2:], strict=False)]
 
 
 UNITS = T.StructType([T.StructField("units", T.ArrayType(T.StructType([
-    T.StructField("words", T.ArrayType(T.StringType())), T.StructField("question", T.IntegerType())])))])
+    T.StructField("words", T.ArrayType(T.StringType())), T.StructField("question", T.IntegerType())]))),
+    T.StructField("whole", T.ArrayType(T.StringType())), T.StructField("whole_question", T.IntegerType())])
 
 
 def build_index(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> list["Index"]:
     """Index shards; document frequencies and lengths cover all items."""
     def task():
-        return lambda cols: {"units": [[{"words": [x.decode("utf-8", "replace") for x in w], "question": q}
-                                        for w, q in units(t)] for t in cols[0]]}
+        def run(cols):
+            out = {"units": [], "whole": [], "whole_question": []}
+            for t in cols[0]:
+                parts, (whole, question) = units(t), whole_item(t)
+                out["units"].append([{"words": [x.decode("utf-8", "replace") for x in w], "question": q} for w, q in parts])
+                out["whole"].append([x.decode("utf-8", "replace") for x in whole] if len(parts) > 1 else None)
+                out["whole_question"].append(question)
+            return out
+        return run
     cut = map_texts(items.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).alias("text")), ["text"], UNITS, task)
-    cut = table(cut.select("item_id", F.posexplode("units").alias("part", "u")).select("item_id", "part", "u.*"), "bench-units")
+    cut = table(cut.withColumn("row", F.monotonically_increasing_id()), "bench-items")   # equal ids are items of their own
+    cut = table(cut.select("row", "item_id", "whole", "whole_question", F.posexplode("units").alias("part", "u"))
+                .select("row", "item_id", "part", "u.*", F.when(F.col("part") == 0, F.col("whole")).alias("whole"), "whole_question"), "bench-units")
     df = table(cut.select(F.explode(F.array_distinct("words")).alias("w")).groupBy("w").count(), "bench-df")
     asked = F.when((F.col("question") >= SHINGLE) & (F.col("question") < F.size("words")),
                    F.size(F.array_distinct(F.slice("words", F.lit(1), F.greatest("question", F.lit(1)))))).otherwise(0)
@@ -106,13 +129,14 @@ def build_index(items: DataFrame, id_col: str = "item_id", text_col: str = "text
     shards = -(-postings // (SHARD_POSTINGS // 2))
     out = []
     for s in range(shards):
-        mine = cut.where(F.pmod(F.xxhash64("item_id", "part"), F.lit(shards)) == s)
-        rows = mine.orderBy("item_id", "part").collect()  # about half of SHARD_POSTINGS words
+        mine = cut.where(F.pmod(F.xxhash64("row"), F.lit(shards)) == s)
+        rows = mine.orderBy("item_id", "row", "part").collect()  # about half of SHARD_POSTINGS words
         if not rows:
             continue
         freq = dict(mine.select(F.explode("words").alias("w")).distinct().join(df, "w").select("w", "count").collect())
-        out.append(Index([(r[0], [w.encode() for w in r[2]], r[3]) for r in rows], {w.encode(): c for w, c in freq.items()},
-                         n, total / n, largest))
+        long = {r["row"]: ([w.encode() for w in r["whole"]], r["whole_question"]) for r in rows if r["whole"]}
+        out.append(Index([(r["item_id"], [w.encode() for w in r["words"]], r["question"]) for r in rows],
+                         {w.encode(): c for w, c in freq.items()}, n, total / n, largest, [long.get(r["row"]) for r in rows]))
     return out
 
 
@@ -130,12 +154,12 @@ def _sums(key: np.ndarray, value: np.ndarray, size: int) -> np.ndarray:
     return np.bincount(at, value)[at]
 
 
-def least_score(impacts: list[float], n: int, missing: int | None = None) -> float:
-    """The least score of a passage that covers ``OVERLAP`` of ``n`` words, or all but ``missing``; ``THRESHOLD`` at most.
+def least_score(impacts: list[float], n: int, missing: int | None = None, share: float = OVERLAP) -> float:
+    """The least score of a passage that covers ``share`` of ``n`` words, or all but ``missing``; ``THRESHOLD`` at most.
 
     ``impacts``: of every word its term's impact, shared among the term's places.
     """
-    missing = int(n * (1 - OVERLAP) + 1e-9) if missing is None else missing
+    missing = int(n * (1 - share) + 1e-9) if missing is None else missing
     return min(THRESHOLD, 1 - sum(sorted(impacts, reverse=True)[:missing]) - 1e-9)
 
 
@@ -145,7 +169,10 @@ class Index:
     Entries of the lists: every unit whole, under its own number, then the questions; ``of``: an entry's unit.
     """
 
-    def __init__(self, rows: list[tuple[int, list[bytes], int]], freq: dict[bytes, int], n: int, mean: float, largest: int):
+    def __init__(self, rows: list[tuple[int, list[bytes], int]], freq: dict[bytes, int], n: int, mean: float, largest: int,
+                 long: list[tuple[list[bytes], int] | None] | None = None):
+        """``long``: of every unit that is a part of a longer item that item's words and number of question words."""
+        self.long = long or [None] * len(rows)
         self.items = [r[0] for r in rows]
         self.words = [r[1] for r in rows]
         self.question = [r[2] for r in rows]
@@ -164,7 +191,8 @@ class Index:
             full = {t: idf[t] * f * (K1 + 1) / (f + K1 * (1 - B + B * len(ws) / mean)) for t, f in tf.items()}
             own = sum(full.values())
             trip += [(t, entry, x / own) for t, x in full.items()]
-            self.least[entry] = least_score([full[t] / own / f for t, f in tf.items() for _ in range(f)], len(ws))
+            self.least[entry] = least_score([full[t] / own / f for t, f in tf.items() for _ in range(f)], len(ws),
+                                            share=OVERLAP if self.long[self.of[entry]] is None else UNIT_OVERLAP)
         trip.sort()
         self.post_unit = np.array([x[1] for x in trip])
         self.post_impact = np.array([x[2] for x in trip])
@@ -259,9 +287,23 @@ class Index:
             best: dict[int, dict] = {}
             for m in sorted(matches, key=lambda m: (is_leak(m), m["overlap"], m["score"], -m["passage"])):
                 best[m["unit"]] = m
-            found[d] = [best[u] for u in sorted(best)]
+            found[d] = self._items_of([best[u] for u in sorted(best)], tokens[d])
         return found
 
+    def _items_of(self, matches: list[dict], tokens: list[bytes]) -> list[dict]:
+        """Matches; of each long item the best one of its units, or of its words in the whole text."""
+        out, best = [], {}
+        for m in matches:
+            long = self.long[m["unit"]]
+            if long is None:
+                out.append(m)
+                continue
+            key = (m["item_id"], id(long))
+            if key not in best:
+                best[key] = {**m, **shares(*long, tokens)}
+            best[key] = max(best[key], m, key=lambda x: (is_leak(x), x["overlap"], x["score"]))
+        return out + list(best.values())
+
     def score(self, entry: int, there: set[int]) -> float:
         impact = self.impact[entry]
         return float(sum(impact[term] for term in impact.keys() & there))
@@ -272,14 +314,19 @@ class Index:
         if len(ws) < SHINGLE:
             same = float(tokens == ws)
             return {"question_overlap": same, "answer_overlap": same if q < len(ws) else None, "overlap": same}
-        there = {tuple(tokens[i:i + SHINGLE]) for i in range(at, stop - SHINGLE + 1)}
-        covered = np.zeros(len(ws), bool)
-        for i in range(len(ws) - SHINGLE + 1):
-            if tuple(ws[i:i + SHINGLE]) in there:
-                covered[i:i + SHINGLE] = True
-        whole = float(covered.mean())
-        return {"question_overlap": float(covered[:q].mean()) if q >= SHINGLE else whole,
-                "answer_overlap": float(covered[q:].mean()) if q < len(ws) else None, "overlap": whole}
+        return shares(ws, q, tokens[at:stop])
+
+
+def shares(ws: list[bytes], q: int, tokens: list[bytes]) -> dict:
+    """Shares of the question's (the first ``q``), answer's and all words in shingles that ``tokens`` hold."""
+    there = {tuple(tokens[i:i + SHINGLE]) for i in range(len(tokens) - SHINGLE + 1)}
+    covered = np.zeros(len(ws), bool)
+    for i in range(len(ws) - SHINGLE + 1):
+        if tuple(ws[i:i + SHINGLE]) in there:
+            covered[i:i + SHINGLE] = True
+    whole = float(covered.mean())
+    return {"question_overlap": float(covered[:q].mean()) if q >= SHINGLE else whole,
+            "answer_overlap": float(covered[q:].mean()) if q < len(ws) else None, "overlap": whole}
 
 
 MATCH = T.StructType([T.StructField("item_id", T.LongType()), T.StructField("passage", T.LongType()),
@@ -298,11 +345,11 @@ def retrieve(docs: DataFrame, items: DataFrame, text_col: str = "text") -> DataF
     """
     out = None
     for index in build_index(items):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
+        held = by_value(docs.sparkSession, index)
 
-        def task(shared=shared):
-            names = MATCH.fieldNames()
-            return lambda cols: {"matches": [[{n: m[n] for n in names} for m in ms] for ms in shared.value.search(cols[0])]}
+        def task(held=held):
+            names, here = MATCH.fieldNames(), held()
+            return lambda cols: {"matches": [[{n: m[n] for n in names} for m in ms] for ms in here.search(cols[0])]}
         got = map_texts(docs, [text_col], T.StructType([T.StructField("matches", T.ArrayType(MATCH))]), task).drop(text_col)
         out = got if out is None else out.unionByName(got)
     if out is None:
@@ -314,14 +361,15 @@ def retrieve(docs: DataFrame, items: DataFrame, text_col: str = "text") -> DataF
 
 def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` without a contaminated pair, columns as they are."""
-    out = docs
+    out, name = docs, free_name(docs.columns, "leak")
     for index in build_index(items):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
+        held = by_value(docs.sparkSession, index)
 
-        def task(shared=shared):
-            return lambda cols: {"__leak": [any(map(is_leak, ms)) for ms in shared.value.search(cols[0])]}
-        out = map_texts(out, [text_col], T.StructType([T.StructField("__leak", T.BooleanType())]), task)
-        out = out.where("NOT __leak").select(docs.columns)
+        def task(held=held):
+            here = held()
+            return lambda cols: {name: [any(map(is_leak, ms)) for ms in here.search(cols[0])]}
+        out = map_texts(out, [text_col], T.StructType([T.StructField(name, T.BooleanType())]), task)
+        out = out.where(~out[name]).drop(name)
     return out
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabsmith.llm.common import map_texts, read
+from tabsmith.llm.common import free_name, map_texts, read, table
 
 #: Bound of the training sample: documents of each class, and lines of a document in it.
 TRAIN_DOCS = 1500
@@ -303,6 +303,11 @@ def train(docs: DataFrame, labels: DataFrame, fold=None, id_col: str = "doc_id",
     y = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("y")).where("y IN (0, 1)")
     y = y.where(fold) if fold is not None else y
     y = y.groupBy("doc_id").agg(F.min("y").alias("y"))
+    # only documents that can be used are counted: there, with a text of few lines
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    lines = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
+    usable = docs.where(lines <= max_lines).select(F.col(id_col).alias("doc_id")).distinct()
+    y = table(y.join(usable, "doc_id"), "quality-labels")
     key = F.xxhash64(F.col("doc_id"), F.lit("quality"))
     wanted = None
     for v in (0, 1):
@@ -353,9 +358,10 @@ def keep_good(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame
     """The rows of ``docs`` that are predicted good, columns as they are."""
     def task():
         table = char_table()
-        return lambda cols: {"__good": score([t or "" for t in cols[0]], model, table) >= 0.5}
-    scored = map_texts(docs, [text_col], T.StructType([T.StructField("__good", T.BooleanType())]), task)
-    return scored.where("__good").select(docs.columns)
+        return lambda cols: {name: score([t or "" for t in cols[0]], model, table) >= 0.5}
+    name = free_name(docs.columns, "good")
+    scored = map_texts(docs, [text_col], T.StructType([T.StructField(name, T.BooleanType())]), task)
+    return scored.where(scored[name]).drop(name)
 
 
 def in_fold(remainder: int, of: int):

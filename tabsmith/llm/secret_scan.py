@@ -88,13 +88,14 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def lexicon(docs: DataFrame, text_col: str = "text", size: int = DICTIONARY) -> DataFrame:
-    """``(kind, item, value)``: the dictionary's words (value 1) and log-probabilities of letter pairs in it.
+    """``(kind, item, value)``: the dictionary's words (value 1) and log-probabilities of letter pairs in all words.
 
     Counts cover all documents; the result has at most ``size`` + 676 rows.
     """
     words = docs.select(F.explode(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit("([a-z]{3,20})"), 1)).alias("w"))
-    top = table(words.groupBy("w").count().orderBy(F.desc("count"), "w").limit(size), "secret-words")
-    pairs = (top.select("count", F.explode(F.transform(F.sequence(F.lit(1), F.length("w") - 1), lambda i: F.substring("w", i, 2))).alias("item"))
+    counts = table(words.groupBy("w").count(), "secret-counts")
+    top = counts.orderBy(F.desc("count"), "w").limit(size)
+    pairs = (counts.select("count", F.explode(F.transform(F.sequence(F.lit(1), F.length("w") - 1), lambda i: F.substring("w", i, 2))).alias("item"))
              .groupBy("item").agg(F.sum("count").alias("n")))
     of_first = Window.partitionBy(F.substring("item", 1, 1))  # 26 pairs at most
     value = F.log((F.col("n") + 1) / (F.sum("n").over(of_first) + 26))

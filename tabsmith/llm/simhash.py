@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabsmith.llm.common import components, map_texts, table
+from tabsmith.llm.common import components, free_name, map_texts, table
 
 SHINGLE = 3
 RADIUS = 2
@@ -129,9 +129,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
 
 def dedup(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """Rows of ``docs`` whose ``doc_id`` is the smallest of its component; rows without an id stay."""
-    gone = (near_duplicates(docs, shingle, radius).where("doc_id != component_id")
-            .select(F.col("doc_id").alias("__gone")).distinct())
-    return docs.join(gone, docs["doc_id"] == F.col("__gone"), "left_anti")
+    name = free_name(docs.columns, "gone")
+    gone = near_duplicates(docs, shingle, radius).where("doc_id != component_id").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, docs["doc_id"] == gone[name], "left_anti")
 
 
 def op1_simhash(spark, sf_dir: str) -> DataFrame:

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabsmith.llm.common import bounded_batches, read, table
+from tabsmith.llm.common import bounded_batches, by_value, read, table
 from tabsmith.session import scratch_dir
 
 MIN_REVISIT = 100
@@ -249,12 +249,12 @@ class Reader:
 
 def locate(keys: DataFrame, archive: Archive) -> DataFrame:
     """``(key, file, offset, length)`` of every capture whose key is among the distinct strings of column ``key``."""
-    shared = keys.sparkSession.sparkContext.broadcast(archive)
+    held = by_value(keys.sparkSession, archive)
 
     def run(batches):
         reader = None
         for batch in batches:
-            reader = reader or Reader(shared.value)
+            reader = reader or Reader(held())
             got = [x for key in batch.column(0).to_pylist() for x in reader.captures(key, key)]
             if got:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*got, strict=True)], names=["key", "file", "offset", "length"])
@@ -266,12 +266,12 @@ def locate(keys: DataFrame, archive: Archive) -> DataFrame:
 
 def captures_of(urls: DataFrame, archive: Archive, url_col: str = "url") -> DataFrame:
     """``(url, key, file, offset, length)`` of all captures of every distinct URL."""
-    shared = urls.sparkSession.sparkContext.broadcast(archive)
+    held = by_value(urls.sparkSession, archive)
 
     def run(batches):
         reader = None
         for batch in batches:
-            reader = reader or Reader(shared.value)
+            reader = reader or Reader(held())
             for url in batch.column(0).to_pylist():
                 low = capture_key(url, None, "")[:-2]
                 got = [(url, *x) for x in reader.captures(low, low + "\x7f")]
