@@ -51,6 +51,8 @@ MIN_REVISIT = 100
 LINES = 1024
 FILE_BYTES = 1 << 28
 GAP = 1 << 16
+#: Bytes of records that a reading task takes.
+READ_BYTES = 64 << 20
 
 DATE = "1970-01-01T00:00:00Z"
 
@@ -260,7 +262,8 @@ def locate(keys: DataFrame, archive: Archive) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*got, strict=True)], names=["key", "file", "offset", "length"])
 
     sought = keys.select("key").where("key IS NOT NULL").distinct()
-    return (sought.repartitionByRange("key").sortWithinPartitions("key")
+    parts = max(keys.sparkSession.sparkContext.defaultParallelism, len(archive.manifest))
+    return (sought.repartitionByRange(parts, "key").sortWithinPartitions("key")
             .mapInArrow(run, "key string, file string, offset long, length long"))
 
 
@@ -326,7 +329,12 @@ def fetch(places: DataFrame, archive: Archive, payloads: bool = False) -> DataFr
             file.close()
 
     kinds = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
-    return (places.select("file", "offset", "length").repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    # rows of some bytes stand for records of any size: the number of tasks follows the bytes to be read
+    spark = places.sparkSession
+    sought = table(places.select("file", "offset", "length"), "warc-places")
+    size = sought.agg(F.sum("length")).first()[0] or 0
+    parts = max(spark.sparkContext.defaultParallelism, -(-size // READ_BYTES))
+    return (sought.repartitionByRange(parts, "file", "offset").sortWithinPartitions("file", "offset")
             .mapInArrow(run, kinds + (", payload binary" if payloads else "")))
 
 
@@ -340,7 +348,7 @@ def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
             keys = [capture_key(*r) for r in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string())], names=["key"])
     keys = pages.select("url", "page_id", F.sha2(html, 256)).mapInArrow(run, "key string")
-    return fetch(table(locate(keys, archive), "warc-places"), archive).select(
+    return fetch(locate(keys, archive), archive).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
