@@ -6,8 +6,11 @@ directions (fitted on a bounded sample; any orthonormal directions keep the
 result right, since a projection never lengthens a distance), put in order of
 their grid cells of width eps and cut into blocks, intervals of the order.
 
-Two blocks meet only if their boxes in the projected space come within eps:
-blocks are joined on the grid cells of the first direction, then by box.
+Two blocks meet only if their boxes in the projected space come within eps, and
+their balls (centre and radius in the whole space), too: blocks are joined on the
+grid cells of the first direction, then by box and ball.  Pairs of blocks go to
+tasks in tiles of ``TILE`` x ``TILE`` blocks, so a block travels once for each tile of
+its row and column and not for each partner.
 Inside a task, two intervals are joined recursively: boxes farther apart than
 eps end a branch, the longer interval is halved, and small ones are multiplied.
 Two intervals so tight that all pairs must link (their balls' centres and radii
@@ -40,9 +43,11 @@ THRESHOLD = 0.9
 #: Bound of the sample that the principal directions are fitted on.
 SAMPLE = 2048
 #: Principal directions used for boxes, and for grid cells.
-DIRECTIONS, GRID = 16, 4
-#: Vectors of a block, and of the smallest interval.
-BLOCK, LEAF = 4096, 256
+DIRECTIONS, GRID = 16, 8
+#: Numbers of a block (its vectors times their length), and vectors of the smallest interval.
+BLOCK_NUMBERS, LEAF = 4096 * 64, 256
+#: Blocks along the side of a tile; fewer while there are not enough tiles for all tasks.
+TILE, TILES = 8, 16
 
 
 def _matrix(raw: bytes, dim: int) -> np.ndarray:
@@ -207,14 +212,16 @@ def _blocks(groups: DataFrame, basis: np.ndarray, eps: float, block: int) -> Dat
         total += n
     place_of = groups.sparkSession.createDataFrame(offsets, "part int, offset long")
     schema = pa.schema([("id", pa.int64()), ("reps", pa.binary()), ("weights", pa.binary()), ("raw", pa.binary()),
-                        ("lo", pa.list_(pa.float64())), ("hi", pa.list_(pa.float64()))])
+                        ("lo", pa.list_(pa.float64())), ("hi", pa.list_(pa.float64())), ("centre", pa.list_(pa.float64())), ("radius", pa.float64())])
 
     def cut(batches):
         def emit(held):
             raw = b"".join(r["raw"] for r in held)
-            p = unit(_matrix(raw, dim)) @ basis
+            x = unit(_matrix(raw, dim))
+            p, centre = x @ basis, x.mean(axis=0)
             cols = (held[0]["pos"] // block, np.array([r["rep"] for r in held], "<i8").tobytes(),
-                    np.array([r["weight"] for r in held], "<i8").tobytes(), raw, p.min(axis=0), p.max(axis=0))
+                    np.array([r["weight"] for r in held], "<i8").tobytes(), raw, p.min(axis=0), p.max(axis=0),
+                    centre, float(np.sqrt(((x - centre) ** 2).sum(axis=1).max())))
             return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(cols, schema.types, strict=True)], schema=schema)
         held: list[dict] = []
         for batch in batches:
@@ -229,55 +236,67 @@ def _blocks(groups: DataFrame, basis: np.ndarray, eps: float, block: int) -> Dat
     return (rows.join(F.broadcast(place_of), "part").withColumn("pos", F.col("offset") + F.col("idx"))
             .withColumn("block", F.expr(f"pos div {int(block)}")).select("block", "pos", "rep", "weight", "raw")
             .repartition("block").sortWithinPartitions("block", "pos")
-            .mapInArrow(cut, "id long, reps binary, weights binary, raw binary, lo array<double>, hi array<double>"))
+            .mapInArrow(cut, "id long, reps binary, weights binary, raw binary, lo array<double>, hi array<double>, centre array<double>, radius double"))
 
 
 def _pairs(blocks: DataFrame, eps: float) -> DataFrame:
-    """Ids ``(a, b)``, a <= b, of blocks whose boxes come within eps."""
+    """Ids ``(a, b)``, a <= b, of blocks whose boxes and balls come within eps."""
     def cell(x):
         return F.floor(x / eps).cast("int")
-    box = blocks.select("id", "lo", "hi")
-    a = box.select(F.col("id").alias("a"), F.col("lo").alias("alo"), F.col("hi").alias("ahi"),
+    box = blocks.select("id", "lo", "hi", "centre", "radius")
+    a = box.select(F.col("id").alias("a"), F.col("lo").alias("alo"), F.col("hi").alias("ahi"), F.col("centre").alias("ac"), F.col("radius").alias("ar"),
                    F.explode(F.sequence(cell(F.element_at("lo", 1)) - 1, cell(F.element_at("hi", 1)) + 1)).alias("cell"))
-    b = box.select(F.col("id").alias("b"), F.col("lo").alias("blo"), F.col("hi").alias("bhi"),
+    b = box.select(F.col("id").alias("b"), F.col("lo").alias("blo"), F.col("hi").alias("bhi"), F.col("centre").alias("bc"), F.col("radius").alias("br"),
                    F.explode(F.sequence(cell(F.element_at("lo", 1)), cell(F.element_at("hi", 1)))).alias("cell"))
     gap = F.zip_with(F.zip_with("alo", "bhi", lambda x, y: x - y), F.zip_with("blo", "ahi", lambda x, y: x - y),
                      lambda x, y: F.greatest(x, y, F.lit(0.0)))
     far = F.aggregate(gap, F.lit(0.0), lambda s, x: s + x * x)
-    return a.join(b, "cell").where((F.col("a") <= F.col("b")) & (far <= (eps + 1e-7) ** 2)).select("a", "b").distinct()
+    apart = F.sqrt(F.aggregate(F.zip_with("ac", "bc", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
+    met = a.join(b, "cell").where((F.col("a") <= F.col("b")) & (far <= (eps + 1e-7) ** 2))
+    return met.where(apart - F.col("ar") - F.col("br") <= eps + 1e-7).select("a", "b").distinct()
 
 
 def _join(blocks: DataFrame, pairs: DataFrame, basis: np.ndarray, threshold: float) -> DataFrame:
     """``(rep, links, root)``: of every block pair the vectors that link, their links in it and the end of a forest edge."""
     dim = basis.shape[0]
-    body = blocks.select("id", F.struct("reps", "weights", "raw").alias("body"))
-    both = (pairs.join(body.selectExpr("id AS a", "body AS left"), "a")
-            .join(body.selectExpr("id AS b", "body AS right"), "b"))
+    count = blocks.count()
+    side_blocks = max(1, min(TILE, count // TILES))
+    tiled = pairs.select(F.expr(f"a div {side_blocks}").alias("ta"), F.expr(f"b div {side_blocks}").alias("tb"), "a", "b")
+    lists = tiled.groupBy("ta", "tb").agg(F.collect_list(F.struct("a", "b")).alias("pairs"))      # at most TILE * TILE pairs
+    wanted = tiled.select("ta", "tb", F.explode(F.array("a", "b")).alias("id")).distinct()
+    bodies = wanted.join(blocks.select("id", "reps", "weights", "raw"), "id").unionByName(lists, allowMissingColumns=True)
+    # the bodies of a tile come before its list of pairs
+    dealt = bodies.repartition("ta", "tb").sortWithinPartitions("ta", "tb", F.col("pairs").isNotNull())
     schema = pa.schema([("rep", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
 
     def side(x):
         return Side(_matrix(x["raw"], dim), np.frombuffer(x["weights"], "<i8"), basis)
 
     def run(batches):
+        held: dict[int, tuple[np.ndarray, Side]] = {}
         for batch in batches:
+            cols = {n: batch.column(batch.schema.get_field_index(n)) for n in ("id", "reps", "weights", "raw", "pairs")}
             for k in range(batch.num_rows):
-                r = {n: batch.column(batch.schema.get_field_index(n))[k].as_py() for n in ("a", "b", "left", "right")}
-                ids = np.frombuffer(r["left"]["reps"], "<i8")
-                if r["a"] == r["b"]:
-                    found = join_blocks(side(r["left"]), None, threshold)
-                else:
-                    found = join_blocks(side(r["left"]), side(r["right"]), threshold)
-                    ids = np.concatenate([ids, np.frombuffer(r["right"]["reps"], "<i8")])
-                some = np.flatnonzero(found.count)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(found.count[some]),
-                                                  pa.array(ids[found.find(some)])], schema=schema)
-
-    return both.select("a", "b", "left", "right").mapInArrow(run, "rep long, links long, root long")
+                r = {n: c[k].as_py() for n, c in cols.items()}
+                if r["pairs"] is None:
+                    held[r["id"]] = np.frombuffer(r["reps"], "<i8"), side(r)
+                    continue
+                for p in r["pairs"]:
+                    (ids, left), (more, right) = held[p["a"]], held[p["b"]]
+                    same = p["a"] == p["b"]
+                    found = join_blocks(left, None if same else right, threshold)
+                    if not same:
+                        ids = np.concatenate([ids, more])
+                    some = np.flatnonzero(found.count)
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(found.count[some]), pa.array(ids[found.find(some)])], schema=schema)
+                held = {}
+
+    return dealt.select("id", "reps", "weights", "raw", "pairs").mapInArrow(run, "rep long, links long, root long")
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec_id", vec_col: str = "embedding",
-                    block: int = BLOCK, sample: int = SAMPLE) -> DataFrame:
-    """``(vec_id, n_links, component_id, kept)``, a row per row of ``vectors``."""
+                    block: int | None = None, sample: int = SAMPLE) -> DataFrame:
+    """``(vec_id, n_links, component_id, kept)``, a row per row of ``vectors``; ``block``: vectors of a block."""
     spark = vectors.sparkSession
     eps = math.sqrt(2 - 2 * threshold)
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("v"))
@@ -289,7 +308,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, id_col: st
         mine = groups.where(F.size("v") == dim)
         picked = mine.orderBy(F.xxhash64("rep"), "rep").limit(sample).select("v").collect()
         basis = directions(unit(np.array([r[0] for r in picked])), min(DIRECTIONS, dim))
-        blocks = table(_blocks(mine, basis, eps, block), "ego-blocks")
+        blocks = table(_blocks(mine, basis, eps, block or max(LEAF, BLOCK_NUMBERS // dim)), "ego-blocks")
         got = _join(blocks, table(_pairs(blocks, eps), "ego-pairs"), basis, threshold)
         links = got if links is None else links.unionByName(got)
     if links is None:

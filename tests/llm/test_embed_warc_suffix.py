@@ -195,3 +195,25 @@ def test_long_text_in_pieces(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "PIECE", 700)
     parts = {s: h for lo, hi, _, h, _ in suffix_dedup.Anchors(40, 10).contexts(text) for s in range(lo, hi + 1)}
     assert parts == whole
+
+
+def test_tiles_and_pruning_of_clusters(spark):
+    """Clusters far apart: few pairs of blocks meet, in tiles, and no link is lost."""
+    rng = np.random.default_rng(12)
+    centres = rng.normal(size=(24, 32))
+    x = np.concatenate([c + rng.normal(size=(60, 32)) * rng.choice([0.05, 0.25]) for c in centres])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(6)
+    got = {r["vec_id"]: r for r in embed_dedup.near_duplicates(df, block=20).collect()}
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = u @ u.T >= 0.9
+    assert [got[i]["n_links"] for i in range(len(x))] == (near.sum(axis=1) - 1).tolist()
+    reach = near
+    while (more := (reach.astype(float) @ reach.astype(float) > 0)).sum() > reach.sum():
+        reach = more
+    assert [got[i]["component_id"] for i in range(len(x))] == reach.argmax(axis=1).tolist()
+    eps = (2 - 2 * 0.9) ** 0.5
+    groups = df.selectExpr("vec_id AS rep", "1L AS weight", "embedding AS v")
+    basis = embed_dedup.directions(u, 16)
+    blocks = embed_dedup.table(embed_dedup._blocks(groups, basis, eps, 20), "t")
+    n = blocks.count()
+    assert n == 72 and embed_dedup._pairs(blocks, eps).count() < 0.4 * n * (n + 1) / 2
