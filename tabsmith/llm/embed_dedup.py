@@ -47,7 +47,7 @@ DIRECTIONS, GRID = 16, 8
 #: Numbers of a block (its vectors times their length), and vectors of the smallest interval.
 BLOCK_NUMBERS, LEAF = 4096 * 64, 256
 #: Blocks along the side of a tile; fewer while there are not enough tiles for all tasks.
-TILE, TILES = 8, 16
+TILE, TILES = 8, 4
 
 
 def _matrix(raw: bytes, dim: int) -> np.ndarray:
