@@ -20,8 +20,8 @@ its strings cover, is a context.
 4. An anchor hash with more than ``HOT`` contexts is split over several shards.
    A shard then also gives one start of each of its distinct owned strings with
    the string's digest, unless the bytes around the anchor already differ from
-   all other shards'; the digests of all shards are sorted, and each shard's are
-   sought among the others' by binary search.
+   all other shards'; the shards' strings are merged in the order of their digests,
+   and each is sought there by binary search.
 
 Documents then lose all starts but those of contexts that stayed single.
 
@@ -54,7 +54,9 @@ LANE = 128
 #: Starts of a cell, the unit in which shards of one anchor hash are compared before digests are given.
 CELL = 32
 #: Distinct contexts of an anchor hash in one shard.
-HOT = 1024
+HOT = 4
+#: Strings of shards that one task merges.
+MERGED = 1 << 18
 
 _ODD = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
@@ -330,7 +332,7 @@ def _shard(rows: list[dict], length: int) -> Iterator[tuple]:
         last = np.append(first[1:], len(hits)) - 1
         for a, z in zip(hits[first].tolist(), hits[last].tolist(), strict=True):
             r = rows[body[a]]
-            yield r["k1"], r["k2"], r["lo"] + int(offset[a]), r["lo"] + int(offset[z]), None, None, None, None, None, None
+            yield r["k1"], r["k2"], r["lo"] + int(offset[a]), r["lo"] + int(offset[z]), None, None, None, None, None
     # a start's cell is its distance before the anchor; only cells that other shards share are given
     ahead = np.array([r["anchor"] - r["lo"] for r in rows])[body] - offset
     wanted = {(i, c) for i, r in enumerate(rows) for c in r["cells"] or ()}
@@ -341,15 +343,13 @@ def _shard(rows: list[dict], length: int) -> Iterator[tuple]:
         r = rows[body[k]]
         at = int(offset[k])
         d1, d2 = _digests(r["body"][at:at + length])
-        # 64 buckets for each shard of a split anchor
-        yield (r["k1"], r["k2"], r["lo"] + at, r["lo"] + at, r["h"], r["sub"], (d1 & 0x7FFFFFFF) % (64 * r["parts"]), d1, d2,
-               bool(single[k] and not again[k]))
+        yield r["k1"], r["k2"], r["lo"] + at, r["lo"] + at, r["h"], r["sub"], d1, d2, bool(single[k] and not again[k])
 
 
 def _search(bodies: DataFrame, length: int, shard_bytes: int) -> DataFrame:
-    kinds = "k1 long, k2 long, lo int, hi int, h long, sub int, bucket int, d1 long, d2 long, open boolean"
+    kinds = "k1 long, k2 long, lo int, hi int, h long, sub int, d1 long, d2 long, open boolean"
     out = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("h", pa.int64()), ("sub", pa.int32()),
-                     ("bucket", pa.int32()), ("d1", pa.int64()), ("d2", pa.int64()), ("open", pa.bool_())])
+                     ("d1", pa.int64()), ("d2", pa.int64()), ("open", pa.bool_())])
 
     def run(batches):
         def rows():
@@ -374,27 +374,38 @@ def _search(bodies: DataFrame, length: int, shard_bytes: int) -> DataFrame:
     return bodies.repartition("h", "sub").sortWithinPartitions("h", "sub", "k1", "k2", "lo").mapInArrow(run, kinds)
 
 
+def _sought(part: pa.Table) -> np.ndarray:
+    """Which of one bucket's strings are in another shard of their anchor, too.
+
+    The shards' strings are merged in the order of (h, d1); every one is sought there by
+    binary search, and a place of several is gone through for an equal second half.
+    """
+    h, d1, d2, shard = (part.column(c).to_numpy() for c in ("h", "d1", "d2", "sub"))
+    key = h.astype(np.uint64) * np.uint64(_ODD) ^ d1.astype(np.uint64)
+    order = np.argsort(key, kind="stable")
+    merged = key[order]
+    first, last = np.searchsorted(merged, key, "left"), np.searchsorted(merged, key, "right")
+    several = np.flatnonzero(last - first > 1)
+    size = (last - first)[several]
+    mine = np.repeat(several, size)
+    other = order[np.repeat(first[several] - np.cumsum(size) + size, size) + np.arange(size.sum())]
+    equal = (h[mine] == h[other]) & (d1[mine] == d1[other]) & (d2[mine] == d2[other]) & (shard[mine] != shard[other])
+    hit = np.zeros(len(key), bool)
+    hit[mine[equal]] = True
+    return hit
+
+
 def _merge(found: DataFrame) -> DataFrame:
     """Starts of split anchors whose string is in another shard too: ``(k1, k2, lo, hi)``."""
-    def run(part):
-        import pandas as pd
-        d1, d2 = part["d1"].to_numpy(), part["d2"].to_numpy()
-        order = np.lexsort((d2, d1))
-        change = np.append(True, (d1[order][1:] != d1[order][:-1]) | (d2[order][1:] != d2[order][:-1]))
-        number = np.empty(len(part), np.int64)
-        number[order] = np.cumsum(change)
-        sub, every = part["sub"].to_numpy(), np.sort(number)
-        hit = np.zeros(len(part), bool)
-        for s in np.unique(sub):
-            own = np.flatnonzero(sub == s)
-            mine = np.sort(number[own])
-            def among(x, values):
-                return np.searchsorted(x, values, "right") - np.searchsorted(x, values, "left")
-            hit[own] = among(every, number[own]) > among(mine, number[own])
-        keep = part[hit & part["open"].to_numpy(bool)]
-        return pd.DataFrame({c: keep[c] for c in ("k1", "k2", "lo", "hi")})
-
-    return found.where("d1 IS NOT NULL").groupBy("h", "bucket").applyInPandas(run, "k1 long, k2 long, lo int, hi int")
+    schema = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32())])
+
+    def run(group: pa.Table) -> pa.Table:
+        keep = pa.array(_sought(group) & group.column("open").to_numpy())
+        return group.select(schema.names).filter(keep).cast(schema)
+    given = found.where("d1 IS NOT NULL")
+    # as many buckets as rows ask for; an anchor of any size is spread over them by its strings' digests
+    buckets = max(1, -(-given.count() // MERGED))
+    return given.groupBy(F.pmod("d1", F.lit(buckets)).alias("bucket")).applyInArrow(run, "k1 long, k2 long, lo int, hi int")
 
 
 def _removed(n: int, marks: list[dict] | None, length: int) -> list[tuple[int, int]]:
