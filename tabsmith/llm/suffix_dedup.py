@@ -54,7 +54,7 @@ LANE = 128
 #: Starts of a cell, the unit in which shards of one anchor hash are compared before digests are given.
 CELL = 32
 #: Distinct contexts of an anchor hash in one shard.
-HOT = 4
+HOT = 64
 #: Strings of shards that one task merges.
 MERGED = 1 << 18
 
