@@ -214,6 +214,21 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, id_col: str = "doc_
                          F.coalesce(F.col("score") >= 0.5, F.lit(True)).alias("kept"))
 
 
+def quality(judged: DataFrame) -> DataFrame:
+    """``(verdict, precision, recall)`` of the forest's verdicts (``kept``) and of the format rule alone.
+
+    ``judged``: rows of ``scan`` with ``truth``, 1 for a secret and 0 for none.  The rule keeps
+    what it labels a secret or does not know.
+    """
+    rule = ~F.col("kind").isin("card_number", "number_or_identifier")
+    both = judged.select("truth", F.explode(F.array(
+        F.struct(F.lit("forest").alias("verdict"), F.col("kept").alias("kept")),
+        F.struct(F.lit("rule").alias("verdict"), rule.alias("kept")))).alias("v")).select("truth", "v.*")
+    hit = F.count_if(F.col("kept") & (F.col("truth") == 1))
+    return both.groupBy("verdict").agg(F.try_divide(hit, F.count_if("kept")).alias("precision"),
+                                       F.try_divide(hit, F.count_if(F.col("truth") == 1)).alias("recall"))
+
+
 def op2_secret_scan(spark, sf_dir: str) -> DataFrame:
     """Every candidate with its verdict; the candidate itself as a digest.  One document in five teaches nothing."""
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0

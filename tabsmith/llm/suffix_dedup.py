@@ -56,7 +56,7 @@ CELL = 32
 #: Distinct contexts of an anchor hash in one shard.
 HOT = 64
 #: Strings of shards that one task merges.
-MERGED = 1 << 18
+MERGED = 1 << 15
 
 _ODD = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
