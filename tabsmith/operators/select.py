@@ -165,10 +165,11 @@ def recursive_elimination(df: DataFrame, features: list[str], label: str, min_fe
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
     from tabsmith.operators.models import macro_metrics
+    from tabsmith.session import spread
     spark = df.sparkSession
     cur = list(features)
     rows = []
-    d = df.select(*features, col(label).cast("double").alias("_y")).cache()
+    d = spread(df.select(*features, col(label).cast("double").alias("_y"))).cache()
     while len(cur) >= min_features:
         v = VectorAssembler(inputCols=cur, outputCol="features", handleInvalid="skip").transform(d)
         m = LogisticRegression(featuresCol="features", labelCol="_y").fit(v)
@@ -194,7 +195,8 @@ def tree_importance(df: DataFrame, features: list[str], label: str, max_depth: i
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import DecisionTreeClassifier
     from pyspark.ml.feature import VectorAssembler
-    w = with_class_weights(df, label)
+    from tabsmith.session import spread
+    w = spread(with_class_weights(df, label).select(*[col(c) for c in dict.fromkeys([*features, label, "class_weight"])]))
     dt = DecisionTreeClassifier(maxDepth=max_depth, minInstancesPerNode=min_leaf, labelCol=label,
                                 weightCol="class_weight", seed=42)
     m = Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep"), dt]).fit(w)

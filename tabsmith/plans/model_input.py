@@ -14,7 +14,7 @@ from tabsmith.functions.dates import elapsed_days, weekend
 from tabsmith.operators import encode, impute, split
 from tabsmith.operators.features import claim_features
 from tabsmith.plans.claims import claims
-from tabsmith.session import stored
+from tabsmith.session import spread, stored
 
 TARGET = "claim_injury_type"
 KEY = "claim_identifier"
@@ -46,4 +46,6 @@ def model_frame(spark, sf) -> tuple[DataFrame, list[str], str, int]:
                        dependents="number_of_dependents")
     d = d.withColumns({f: F.col(f"`{f}`").cast("double") for f in FEATURES})
     # fits read their input many times: written once, joins and fitted maps are not redone
-    return stored(d.select(KEY, "split", TARGET, *[F.col(f"`{f}`") for f in FEATURES]), "model-frame"), FEATURES, TARGET, n_classes
+    frame = stored(d.select(KEY, "split", TARGET, *[F.col(f"`{f}`") for f in FEATURES]), "model-frame")
+    even = spread(frame)   # the files of a join come few and uneven
+    return frame if even is frame else stored(even, "model-frame"), FEATURES, TARGET, n_classes
