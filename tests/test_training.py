@@ -129,6 +129,26 @@ def test_large_training_sets_are_dealt_to_all_cores(spark):
     assert spread(one.limit(0)).count() == 0
 
 
+def test_forests_trees_and_folds_get_even_partitions(spark, monkeypatch, tmp_path):
+    """Rows in one large partition are dealt to all cores before a forest, a tree or the folds read them."""
+    from pyspark.ml import Pipeline
+    one = spark.range(0, 100_000, 1, 1).select("id", (F.col("id") % 7).cast("double").alias("x"), (F.col("id") % 2).cast("double").alias("y"))
+    seen, fit = [], Pipeline.fit
+
+    def look(self, df, *more):
+        last = self.getStages()[-1]
+        sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+        seen.append((type(last).__name__, len(sizes), max(sizes) < 30_000, last.hasParam("cacheNodeIds") and last.getCacheNodeIds()))
+        return fit(self, df, *more)
+    monkeypatch.setattr(Pipeline, "fit", look)
+    small = {"n_estimators": 2, "max_depth": 2}
+    models.train_forest(one, ["x"], "y", small)
+    select.tree_importance(one, ["x"], "y")
+    models.cv_performance(one, ["x"], "y", "id", n_folds=2, trainer=lambda d: models.train_forest(d, ["x"], "y", small))
+    assert seen[0] == ("RandomForestClassifier", 4, True, True) and seen[1][:3] == ("DecisionTreeClassifier", 4, True)
+    assert len(seen) == 4 and all(n == 4 and even and kept for _, n, even, kept in seen[2:])
+
+
 def test_only_the_drawn_features_are_summed_on_scores_as_they_are():
     """A job neither scores earlier rounds again nor sums features that a tree may not use."""
     rng = np.random.default_rng(1)
