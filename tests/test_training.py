@@ -198,6 +198,21 @@ def test_both_parts_are_scored_in_one_pass(spark, monkeypatch):
     assert len(made) == 9 and p == pytest.approx(fitted["boosted"].probabilities(pdf.sort_values("a")[["a", "b"]].to_numpy()))
 
 
+def test_elimination_gets_even_partitions(spark, monkeypatch):
+    """Every fit of an elimination reads rows that are dealt to all cores."""
+    from pyspark.ml.classification import LogisticRegression
+    one = spark.range(0, 100_000, 1, 1).select((F.col("id") % 7).cast("double").alias("x"), (F.col("id") % 3).cast("double").alias("z"),
+                                               (F.col("id") % 2).cast("double").alias("y"))
+    seen, fit = [], LogisticRegression.fit
+
+    def look(self, df, *more):
+        sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+        seen.append((len(sizes), max(sizes) < 30_000))
+        return fit(self, df, *more)
+    monkeypatch.setattr(LogisticRegression, "fit", look)
+    assert select.recursive_elimination(one, ["x", "z"], "y").count() == 2 and seen == [(4, True)] * 2
+
+
 # -- lasso ----------------------------------------------------------------------------
 
 def regression(seed=2, n=500):
