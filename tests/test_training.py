@@ -213,6 +213,19 @@ def test_elimination_gets_even_partitions(spark, monkeypatch):
     assert select.recursive_elimination(one, ["x", "z"], "y").count() == 2 and seen == [(4, True)] * 2
 
 
+def test_voting_folds_get_even_partitions(spark):
+    """The forests of a fold ensemble read folds that are dealt to all cores."""
+    one = spark.range(0, 100_000, 1, 1).select("id", (F.col("id") % 7).cast("double").alias("x"), (F.col("id") % 2).cast("double").alias("y"))
+    seen = []
+
+    def trainer(d):
+        sizes = [r["count"] for r in d.groupBy(F.spark_partition_id()).count().collect()]
+        seen.append((len(sizes), max(sizes) < 30_000))
+        return models.train_forest(d, ["x"], "y", {"n_estimators": 2, "max_depth": 2})
+    out = models.fold_ensemble(one, one.limit(10), ["x"], "y", "id", 2, n_folds=2, trainer=trainer)
+    assert seen == [(4, True)] * 2 and out.count() == 10
+
+
 # -- lasso ----------------------------------------------------------------------------
 
 def regression(seed=2, n=500):
