@@ -218,6 +218,31 @@ def model_features(model, default: list[str]) -> list[str]:
     return stages[0].getInputCols() if stages else list(default)
 
 
+def _permuted_accuracy(model, rows: DataFrame, n: int, used: list[str], features: list[str], n_repeats: int, seed: int) -> DataFrame:
+    """``(slot, acc)`` of any model: a row is scored for each slot."""
+    from tabsmith.operators.permute import dealt_values
+    # a row's own values are one more message to its number: a single exchange
+    sent = dealt_values(rows, n, "_id", features, n_repeats, seed).select("id", F.struct("slot", "value").alias("got"), F.lit(None).alias("own"))
+    own = rows.select(F.col("_id").alias("id"), F.lit(None).alias("got"), F.struct("_label", *[col(f) for f in used]).alias("own"))
+    met = sent.unionByName(own).groupBy("id").agg(F.first("own", ignorenulls=True).alias("own"), F.collect_list("got").alias("got"))
+    each = met.select("own.*", F.explode("got").alias("got"))
+    which = F.floor(F.col("got.slot") / n_repeats)
+    tried = each.select("_label", "got.slot", *[
+        (F.when(which == features.index(f), F.col("got.value")).otherwise(col(f)) if f in features else col(f)).alias(f) for f in used])
+    return model.transform(tried).groupBy("slot").agg(F.avg((F.col("prediction") == F.col("_label")).cast("double")).alias("acc"))
+
+
+def _forest_accuracy(model, rows: DataFrame, n: int, features: list[str], n_repeats: int, seed: int) -> DataFrame | None:
+    """``(slot, acc)`` of a random forest with numeric cuts; None for other models."""
+    from tabsmith.operators import permuted_votes
+    found = permuted_votes.forest_of(model)
+    made = permuted_votes.arrays(rows.sparkSession, found[1]) if found else None
+    if made is None or n_repeats < 1 or len(features) * n_repeats >= 1 << 16:
+        return None
+    counts = permuted_votes.slot_counts(rows, n, "_id", "_label", found[0], features, n_repeats, seed, *made)
+    return counts.groupBy("slot").agg(F.try_divide(F.sum("right"), F.sum("seen")).alias("acc"))
+
+
 def permutation_importance(model, df: DataFrame, features: list[str], label: str, key: str,
                            n_repeats: int = 5, seed: int = 42) -> DataFrame:
     """mean/std (ddof 0) drop of accuracy when one feature's values are permuted.
@@ -226,22 +251,18 @@ def permutation_importance(model, df: DataFrame, features: list[str], label: str
     permutation (``operators.permute``), so values are sent, not ranked: one
     exchange by row number brings every row its values of all features and
     repeats, and all of them are scored in one job.  Values are compared as doubles.
+    A forest scores a row's values together (``operators.permuted_votes``), any other
+    model as rows of their own.
     """
-    from tabsmith.operators.permute import dealt_values, numbered
+    from tabsmith.operators.permute import numbered
     used = list(dict.fromkeys([*model_features(model, features), *features]))
     rows, n = numbered(df.select(*[col(f).cast("double").alias(f) for f in used], col(label).alias("_label")), "_id")
     baseline = model.transform(rows).agg(F.avg((F.col("prediction") == F.col("_label")).cast("double")).alias("a")).first()["a"]
     if not n:
         return df.sparkSession.createDataFrame([], "feature string, importance_mean double, importance_std double")
-    # a row's own values are one more message to its number: a single exchange
-    sent = dealt_values(rows, n, "_id", features, n_repeats, seed).select("id", F.struct("slot", "value").alias("got"), F.lit(None).alias("own"))
-    own = rows.select(F.col("_id").alias("id"), F.lit(None).alias("got"), F.struct("_label", *[col(f) for f in used]).alias("own"))
-    met = sent.unionByName(own).groupBy("id").agg(F.first("own", ignorenulls=True).alias("own"), F.collect_list("got").alias("got"))
-    each = met.select("own.*", F.explode("got").alias("got"))
-    which = F.floor(F.col("got.slot") / n_repeats)
-    tried = each.select("_label", "got.slot", *[
-        (F.when(which == features.index(f), F.col("got.value")).otherwise(col(f)) if f in features else col(f)).alias(f) for f in used])
-    acc = model.transform(tried).groupBy("slot").agg(F.avg((F.col("prediction") == F.col("_label")).cast("double")).alias("acc"))
+    acc = _forest_accuracy(model, rows, n, features, n_repeats, seed)
+    if acc is None:
+        acc = _permuted_accuracy(model, rows, n, used, features, n_repeats, seed)
     drop = F.lit(baseline) - F.col("acc")
     names = F.array(*[F.lit(f) for f in features])
     out = acc.groupBy(F.element_at(names, (F.floor(F.col("slot") / n_repeats) + 1).cast("int")).alias("feature")).agg(
