@@ -24,12 +24,18 @@ FEATURES = ["age_at_injury", "birth_year", "average_weekly_wage", "number_of_dep
             "Weekend_Accident", "Relative_Wage", "Age_Group", "Financial Impact Category"]
 
 
+#: Columns of the claims view that the frame is made of.
+NEEDED = [KEY, TARGET, "accident_date", "c_2_date", "age_at_injury", "birth_year", "average_weekly_wage", "number_of_dependents",
+          "ime_4_count", *FREQ]
+
+
 def model_frame(spark, sf) -> tuple[DataFrame, list[str], str, int]:
-    c = claims(spark, sf)
+    # labels, cuts and fits each read the rows: the view's joins and the split are done once and written
+    c = stored(claims(spark, sf).select(*NEEDED), "claims")
     labels = encode.fit_labels(c.select(TARGET), TARGET)
     n_classes = labels.count()
     d = encode.encode_labels(c, labels, TARGET).withColumn(TARGET, F.col(TARGET).cast("double"))
-    d = split.stratified_split(d, KEY, TARGET, 0.1, 0.2, 42)
+    d = stored(split.stratified_split(d, KEY, TARGET, 0.1, 0.2, 42), "split")
     train = d.where(F.col("split") == "train")
     meds = impute.fit_medians(train, ["age_at_injury", "average_weekly_wage"])
     d = impute.fill_from(d.withColumn("age_at_injury", F.col("age_at_injury").cast("double")), meds)

@@ -291,3 +291,19 @@ def test_moments_subtract(spark):
     assert lasso.without(whole, a)[2] == pytest.approx(b[2], rel=1e-7) and lasso.without(whole, whole)[0] == 0
     none = spark.createDataFrame([], "a double, y double")
     assert [r["coefficient"] for r in select.lasso_coefficients(none, ["a"], "y").collect()] == [0.0]
+
+
+def test_the_frame_joins_the_claims_once(spark, monkeypatch):
+    """The joins of the claims view and the split are done once: labels, cuts and fits read written rows."""
+    from tabsmith.plans import model_input
+    made, views, stored, claims = {}, [], model_input.stored, model_input.claims
+
+    def keep(df, name="stored"):
+        made[name] = (df._jdf.queryExecution().optimizedPlan().toString(), stored(df, name))
+        return made[name][1]
+    monkeypatch.setattr(model_input, "stored", keep)
+    monkeypatch.setattr(model_input, "claims", lambda *a: views.append(claims(*a)) or views[-1])
+    d, feats, label, k = model_input.model_frame(spark, "/root/testdata/sf0.001")
+    assert list(made) == ["claims", "split", "model-frame"] and len(views) == 1 and d.count() == views[0].count()
+    assert "l_shipdate" in made["claims"][0]
+    assert all("l_shipdate" not in made[n][0] and "o_orderkey" not in made[n][0] for n in ("split", "model-frame"))
