@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from tabsmith.llm import embed_dedup, suffix_dedup, warc
+from tabsmith.llm.queries import QUERIES
 
 
 def brute_links(ids, vectors, threshold=0.9):
@@ -182,6 +183,38 @@ def test_split_anchors_with_cells(spark, monkeypatch):
         assert sorted(((r.doc_id, [tuple(s) for s in r.spans]) for r in got), key=str) == brute_spans(rows, 60)
 
 
+def test_query_on_planted_passages(spark, tmp_path):
+    """Passages of over 50 words in two documents go if they have 400 bytes, and only then; every row equals a brute force."""
+    rng = random.Random(14)
+
+    def words(n, letters):
+        return " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(letters)) for _ in range(n))
+    rows, planted = [], {}
+    for k in range(24):
+        passage = words(51 + k, 7 if k % 2 else 5)  # 415 bytes and more; 305 to 437 bytes
+        for doc, mark in ((10 * k, "A"), (10 * k + 1, "B")):
+            rows.append((doc, f"{words(30, 6)}{mark} {passage} {mark}{words(30, 6)}"))
+            # the spaces around the passage are equal, too
+            planted[doc] = len(passage) + 2 if len(passage) + 2 >= 400 else 0
+    clean = range(1000, 1040)
+    rows += [(i, words(rng.randrange(200), 6)) for i in clean]
+    rows += [(2000, None), (2001, ""), (2002, "é" * 250 + words(20, 5)), (2003, words(60, 8) * 2), rows[0], rows[5]]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op10_suffix_array"](spark, str(tmp_path)).collect()
+    texts, want = collections.defaultdict(list), []
+    for i, t in rows:
+        texts[i].append((t or "").encode())
+    for i, spans in brute_spans(rows, 400):
+        data = texts[i][0]  # rows of one id have one text
+        kept = b"".join(data[a:b] for a, b in zip([0, *(e for _, e in spans)], [*(s for s, _ in spans), len(data)], strict=True))
+        want.append((i, len(data), len(data) - len(kept), len(spans), hashlib.sha256(kept).hexdigest()))
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == sorted(want)
+    removed = {r.doc_id: r.n_removed for r in got}
+    once = {i: n for i, n in planted.items() if len(texts[i]) == 1}
+    assert {i: removed[i] for i in once} == once and 0 < sum(n > 0 for n in once.values()) < len(once)
+    assert not any(removed[i] for i in clean) and removed[2000] == removed[2001] == 0 and removed[2003] > 0
+
+
 def test_no_repeats_and_empty(spark):
     df = spark.createDataFrame([(1, "short"), (2, None)], "doc_id long, text string")
     assert [r.spans for r in suffix_dedup.repeated_spans(df).collect()] == [[], []]
