@@ -8,6 +8,8 @@ the macro averages are aggregates over that table.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (GBTClassifier, OneVsRest, RandomForestClassifier)
 from pyspark.ml.feature import VectorAssembler
@@ -16,14 +18,17 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabsmith.functions.scalars import col
-from tabsmith.operators import boosting
+from tabsmith.operators import boosting, forest
 from tabsmith.operators.boosting import BoostedModel
+from tabsmith.operators.forest import ForestModel
 from tabsmith.session import materialize, spread, stored
 
 # Default hyper-parameters of the two model families.
 BOOSTED_PARAMS = {"n_estimators": 100, "max_depth": 6, "learning_rate": 0.1, "subsample": 0.8,
                   "colsample_bytree": 0.8, "random_state": 42}
 FOREST_PARAMS = {"n_estimators": 100, "max_depth": 10, "random_state": 42}
+#: Rows from which a forest is grown by ``operators.forest``.
+FOREST_ROWS = 1 << 18
 
 
 def _assembler(features: list[str]) -> VectorAssembler:
@@ -64,7 +69,9 @@ def train_forest(df: DataFrame, features: list[str], label: str, params: dict |
     """K2: random forest.
 
     Every level of the trees is a pass over the rows, on all cores (``spread``); each row's
-    nodes are kept, so a pass does not walk the trees again.
+    nodes are kept, so a pass does not walk the trees again.  Spark's forest counts row by row for all
+    trees, in tables that no processor cache holds; from ``FOREST_ROWS`` rows on ``operators.forest`` grows
+    one of the same settings, with draws of its own, tree after tree.
     """
     p = {**FOREST_PARAMS, **(params or {})}
     rf = RandomForestClassifier(numTrees=int(p["n_estimators"]), maxDepth=int(p["max_depth"]),
@@ -72,9 +79,24 @@ def train_forest(df: DataFrame, features: list[str], label: str, params: dict |
     if weight_col:
         rf = rf.setWeightCol(weight_col)
     narrow = df.select(*[col(c) for c in dict.fromkeys([*features, label, *([weight_col] if weight_col else [])])])
+    if int(p["max_depth"]) <= forest.MOST_DEPTH and _forest_rows(narrow, features, label, weight_col) >= FOREST_ROWS:
+        return forest.train(narrow, features, label, int(p["n_estimators"]), int(p["max_depth"]), weight_col, int(p["random_state"]))
     return Pipeline(stages=[_assembler(features), rf]).fit(spread(narrow))
 
 
+def _forest_rows(df: DataFrame, features: list[str], label: str, weight_col: str | None) -> int:
+    """Number of rows; 0 where a value is one that Spark's forest refuses, which is then left to say so."""
+    def odd(c):
+        v = col(c).cast("double")
+        return v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))
+    y = col(label).cast("double")
+    refused = reduce(lambda a, b: a | b, [odd(c) for c in features], odd(label) | (y < 0) | (y != F.floor(y)))
+    if weight_col:
+        refused = refused | odd(weight_col) | (col(weight_col) < 0)
+    n, bad = df.agg(F.count(F.lit(1)), F.count_if(refused)).first()
+    return 0 if bad else n
+
+
 def train_all(df: DataFrame, features: list[str], label: str, boosted: dict | None = None,
               forest: dict | None = None) -> dict:
     """K3: both model families on one cached input."""
@@ -89,7 +111,7 @@ def train_all(df: DataFrame, features: list[str], label: str, boosted: dict | No
 def importances(model, features: list[str]) -> DataFrame:
     """K4: (feature, importance) sorted desc; OvR averages its binary models."""
     last = model.stages[-1] if hasattr(model, "stages") else model
-    if isinstance(last, BoostedModel):
+    if isinstance(last, (BoostedModel, ForestModel)):
         vals = last.gains().tolist()
     elif hasattr(last, "models"):
         vecs = [m.featureImportances.toArray() for m in last.models]
@@ -211,8 +233,8 @@ def train_and_evaluate(df: DataFrame, features: list[str], label: str, n_classes
 
 
 def model_features(model, default: list[str]) -> list[str]:
-    """Input columns of a boosted model or of a pipeline's assembler."""
-    if isinstance(model, BoostedModel):
+    """Input columns of a boosted model, a forest of blocks or of a pipeline's assembler."""
+    if isinstance(model, (BoostedModel, ForestModel)):
         return model.features
     stages = [s for s in getattr(model, "stages", []) if isinstance(s, VectorAssembler)]
     return stages[0].getInputCols() if stages else list(default)

@@ -37,6 +37,10 @@ def forest_of(model) -> tuple | None:
     """``(inputs, forest)`` of an assembler and a random forest with numeric cuts; None for any other model."""
     from pyspark.ml.classification import RandomForestClassificationModel
     from pyspark.ml.feature import VectorAssembler
+
+    from tabsmith.operators.forest import ForestModel
+    if isinstance(model, ForestModel):
+        return model.features, model
     stages = getattr(model, "stages", [])
     if len(stages) != 2 or not isinstance(stages[0], VectorAssembler) or not isinstance(stages[1], RandomForestClassificationModel):
         return None
@@ -51,6 +55,11 @@ def arrays(spark, forest) -> tuple[list[np.ndarray], list[tuple]] | None:
     A tree is (feature, code up to which rows go left, children, class shares, depth); a leaf is its own
     child.  None where a test is one of categories.
     """
+    from tabsmith.operators.forest import ForestModel
+    if isinstance(forest, ForestModel):
+        top = np.iinfo(np.uint16).max
+        return forest.cuts, [(feature, np.where(tree["feature"] >= 0, cut, top), child.T.ravel(), np.ascontiguousarray(share.T), depth)
+                             for tree, (feature, cut, child, share, depth) in zip(forest.trees, forest.walks(), strict=True)]
     path = scratch_dir(spark, "forest")
     forest.write().save(path)
     node = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").select(

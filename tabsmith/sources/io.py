@@ -84,16 +84,26 @@ def load_params(spark: SparkSession, path: str) -> DataFrame:
 
 
 def save_model(model, path: str) -> str:
-    """Persist a fitted ``pyspark.ml`` model or pipeline, or a boosted model (``load_boosted`` reads it)."""
+    """Persist a fitted ``pyspark.ml`` model or pipeline, a forest of blocks, or a boosted model (``load_boosted`` reads it)."""
     from tabsmith.operators.boosting import BoostedModel
-    if isinstance(model, BoostedModel):
+    from tabsmith.operators.forest import ForestModel
+    if isinstance(model, (BoostedModel, ForestModel)):
         return model.save(SparkSession.getActiveSession(), path)
     model.write().overwrite().save(path)
     return path
 
 
 def load_model(path: str):
+    """A pipeline or a forest of blocks, which has no folder of metadata."""
+    from pyspark.errors import AnalysisException
     from pyspark.ml import PipelineModel
+
+    from tabsmith.operators.forest import ForestModel
+    spark = SparkSession.getActiveSession()
+    try:
+        spark.read.text(f"{path}/metadata")
+    except AnalysisException:
+        return ForestModel.load(spark, path)
     return PipelineModel.load(path)
 
 
