@@ -118,3 +118,17 @@ def test_block_forest_of_odd_input(spark):
     assert all(len(t["feature"]) == 1 for t in one.trees) and one.probabilities(np.zeros((1, 2))).tolist() == [[0.0, 1.0]]
     with pytest.raises(ValueError):
         forest.train(spark.createDataFrame(rows, schema), ["a"], "y", 2, 40)
+
+
+def test_fold_votes_of_block_forests_are_summed(spark, monkeypatch):
+    """A fold ensemble of a large frame grows a forest of blocks for each fold; its scores are the sum of theirs."""
+    _, pdf = frame(spark, n=400)
+    pdf = pdf.fillna(0.5)
+    df, made, train = spark.createDataFrame(pdf).coalesce(1), [], forest.train
+    monkeypatch.setattr(models, "FOREST_ROWS", 100)
+    monkeypatch.setitem(models.FOREST_PARAMS, "n_estimators", 5)
+    monkeypatch.setattr(forest, "train", lambda *a, **k: made.append(train(*a, **k)) or made[-1])
+    out = models.fold_ensemble(df, df.where("id < 60"), NAMES, "label", "id", 3, n_folds=3).orderBy("id").toPandas()
+    assert len(made) == 3
+    p = sum(m.probabilities(pdf[NAMES].to_numpy()[:60]) for m in made)
+    assert out[[f"prob_class_{i}" for i in range(3)]].to_numpy() == pytest.approx(p) and (out["predicted_label"] == p.argmax(axis=1)).all()
